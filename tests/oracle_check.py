@@ -1,0 +1,54 @@
+"""Compare a Spark result with DuckDB SQL over the same parquet tables."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+
+from skewkit.plans.tables import TABLES
+
+
+def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 6)
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
+def _key(row):
+    return tuple((x is None, str(type(x).__name__) if x is not None else "", x if x is not None else 0)
+                 for x in row)
+
+
+def compare(spark_df, con, sql: str) -> tuple[bool, str]:
+    s_cols = spark_df.columns
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    if sorted(s_cols) != sorted(d_cols):
+        return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    order = sorted(s_cols)
+    s_rows = [tuple(_norm(r[c]) for c in order) for r in spark_df.collect()]
+    d_idx = [d_cols.index(c) for c in order]
+    d_rows = [tuple(_norm(r[i]) for i in d_idx) for r in rel.fetchall()]
+    if len(s_rows) != len(d_rows):
+        return False, f"row counts differ: spark={len(s_rows)} duck={len(d_rows)}"
+    s_sorted = sorted(s_rows, key=_key)
+    d_sorted = sorted(d_rows, key=_key)
+    for a, b in zip(s_sorted, d_sorted):
+        if a != b:
+            return False, f"first differing row: spark={a} duck={b}"
+    return True, f"{len(s_rows)} rows equal"
