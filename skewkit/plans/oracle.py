@@ -108,3 +108,42 @@ SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey,
 FROM customer
 """,
 }
+
+_MESSAGES = ("SELECT 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS \"partition\", "
+             "event_id AS \"offset\", ts FROM events")
+
+_LEDGER = ("SELECT 'events' AS topic, 'skewkit' AS group_id, CAST(user_id % 4 AS INTEGER) AS part, "
+           "max(event_id) + 1 AS \"offset\" FROM events GROUP BY user_id % 4")
+
+ORACLE_SQL.update({
+    "stream_tumbling": f"""
+SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start,
+       time_bucket(INTERVAL '5 seconds', ts) + INTERVAL '5 seconds' AS window_end,
+       word, count(*) AS cnt
+FROM ({_WORDS}) w GROUP BY 1, 2, 3
+""",
+    "stream_running": ORACLE_SQL["word_count"],
+    "stream_running_per_record": f"""
+SELECT word, "offset",
+       count(*) OVER (PARTITION BY word ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS running_cnt
+FROM ({_WORDS}) w
+""",
+    "stream_cocommit_counts": ORACLE_SQL["word_count"],
+    "stream_cocommit_ledger": _LEDGER,
+    "stream_resume": f"""
+WITH m AS ({_MESSAGES}),
+led AS (SELECT topic, "partition", max("offset") + 1 AS nxt FROM m
+        WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY topic, "partition")
+SELECT m.topic, m."partition", m."offset"
+FROM m LEFT JOIN led ON m.topic = led.topic AND m."partition" = led."partition"
+WHERE led.nxt IS NULL OR m."offset" >= led.nxt
+""",
+    "stream_upsert": f"""
+SELECT id, arg_max(name, "offset") AS name, arg_max(money, "offset") AS money
+FROM ({_PARSED_SALES}) p
+WHERE n_fields = 3 AND id <> '0' AND money IS NOT NULL
+GROUP BY id
+""",
+    "stream_upsert_ledger": _LEDGER,
+})
