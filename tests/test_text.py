@@ -1,0 +1,75 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SITE_LOG, rows
+from skewkit.functions.parse import explode_words, parse_sales
+from skewkit.functions.text import java_split, java_trim
+from skewkit.sources.delimited import scan_delimited, scan_orc
+
+
+def _split(spark, values, sep):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    return [r[0] for r in df.select(java_split("v", sep)).collect()]
+
+
+def test_java_split_rules(spark):
+    got = _split(spark, ["a,b,a", ",a", "a,,b", "a,b,,", ",,,", "", "abc", ",", "a,"], ",")
+    assert got == [["a", "b", "a"], ["", "a"], ["a", "", "b"], ["a", "b"], [], [""], ["abc"], [], ["a"]]
+
+
+def test_java_split_regex_metachar_is_literal(spark):
+    assert _split(spark, ["a|b||", "a.b"], "|") == [["a", "b"], ["a.b"]]
+    assert _split(spark, ["a.b"], ".") == [["a", "b"]]
+
+
+def test_java_trim_strips_control_chars(spark):
+    df = spark.createDataFrame([(" \t\n x y \r\u0001",), (" z ",)], "v string")
+    assert [r[0] for r in df.select(java_trim("v")).collect()] == ["x y", " z "]
+
+
+def test_explode_words_edges(spark):
+    df = spark.createDataFrame([("a,b,a",), (",lead",), ("in,,ner",), ("trail,,",), (",,,",)], "value string")
+    got = sorted(r[0] for r in explode_words(df).collect())
+    assert got == sorted(["a", "b", "a", "", "lead", "in", "", "ner", "trail"])
+
+
+def test_parse_sales_edges(spark):
+    msgs = ["7\tx\t1.5", "0\tzero\t2.0", "8\ty", "9\ta\t1\textra", "10\tb\t3.5\t", " 11 \t c \t 4 ",
+            "12\td\tabc", "13\te\t"]
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    got = rows(parse_sales(df), "id", "name", "money")
+    assert got == [("10", "b", 3.5), ("11", "c", 4.0), ("7", "x", 1.5)]
+    with pytest.raises(Exception):
+        parse_sales(df, strict=True).collect()
+
+
+def test_scan_delimited_site_log_and_short_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "site.log")
+    with open(path, "w") as f:
+        f.write("\n".join(SITE_LOG + ["onlyone", "s u extra", "s  u"]) + "\n")
+    df = scan_delimited(spark, path, ["site", "url"])
+    got = rows(df)
+    assert len(got) == 11 + 2
+    assert ("s", "u") in got and ("s", "") in got      # extra field ignored; double blank = empty field
+    assert ("onlyone", None) not in got                # too short: dropped
+    with pytest.raises(Exception):
+        scan_delimited(spark, path, ["site", "url"], strict=True).collect()
+
+
+def test_scan_delimited_types(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "typed.txt")
+    with open(path, "w") as f:
+        f.write("a\t1\t2.5\nb\t2\t3.5\n")
+    df = scan_delimited(spark, path, ["k", "n", "x"], sep="\t", types=["string", "int", "double"])
+    assert df.dtypes == [("k", "string"), ("n", "int"), ("x", "double")]
+    assert rows(df) == [("a", 1, 2.5), ("b", 2, 3.5)]
+
+
+def test_scan_orc_typed(spark, site_log, tmp_dir):
+    path = os.path.join(tmp_dir, "orc")
+    site_log.write.orc(path)
+    df = scan_orc(spark, path, "site string, url string")
+    assert rows(df) == rows(site_log)
+    assert rows(scan_orc(spark, path)) == rows(site_log)
