@@ -27,17 +27,15 @@ def parse_sales(df: DataFrame, col: str = "value", strict: bool = False,
     sentinel, so a real id ``0`` is dropped too) and its money parses. With
     ``strict=True`` unparseable money raises instead of dropping the row.
     """
-    parts = java_split(col, "\t")
-    staged = df.select(*keep, parts.alias("_f"))
-    ok_shape = F.size("_f") == F.lit(SALES_FIELDS)
+    staged = df.select(*keep, java_split(col, "\t").alias("_f"))
     money_txt = java_trim(F.get(F.col("_f"), 2))
-    money = money_txt.cast("double") if strict else money_txt.try_cast("double")
-    parsed = staged.select(
-        *keep,
-        ok_shape.alias("_ok"),
-        F.when(ok_shape, java_trim(F.get(F.col("_f"), 0))).alias("id"),
-        F.when(ok_shape, java_trim(F.get(F.col("_f"), 1))).alias("name"),
-        F.when(ok_shape, money).alias("money"),
+    record = F.struct(
+        java_trim(F.get(F.col("_f"), 0)).alias("id"),
+        java_trim(F.get(F.col("_f"), 1)).alias("name"),
+        (money_txt.cast("double") if strict else money_txt.try_cast("double")).alias("money"),
     )
-    return (parsed.where(F.col("_ok") & (F.col("id") != F.lit("0")) & F.col("money").isNotNull())
-            .drop("_ok"))
+    parsed = staged.select(*keep, F.when(F.size("_f") == F.lit(SALES_FIELDS), record).alias("_r"))
+    # Keep/drop as a 0-or-1-row generator over the parsed record: a Filter here
+    # would be pushed below the parse and re-evaluate the split per predicate.
+    keep_rec = F.filter(F.array("_r"), lambda r: r.isNotNull() & (r["id"] != F.lit("0")) & r["money"].isNotNull())
+    return parsed.select(*keep, F.inline(keep_rec))

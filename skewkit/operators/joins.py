@@ -49,8 +49,9 @@ def heavy_keys(df: DataFrame, on: str | Sequence[str], fraction: float = 0.001,
                min_count: int = 2) -> DataFrame:
     """Keys holding at least ``fraction`` of all rows (and ``min_count`` rows).
 
-    The result has at most ``1 / fraction`` rows, so it is safe to broadcast.
-    Costs one counting job plus one aggregate over the key columns.
+    The result has at most ``1 / fraction`` rows (a proven bound), so it may be
+    broadcast or collected. Costs one counting job plus one aggregate over the
+    key columns (combined map-side, so a hot key ships one row per task).
     """
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be in (0, 1]")
@@ -61,33 +62,59 @@ def heavy_keys(df: DataFrame, on: str | Sequence[str], fraction: float = 0.001,
     return count_per_key(keyed, on, name="_n").where(F.col("_n") >= threshold).select(*on)
 
 
+MAX_HOT_KEYS = 10_000
+
+
+def _key_hash(on: Sequence[str]):
+    return F.xxhash64(*[F.col(k) for k in on])
+
+
+def hot_key_hashes(hot_keys: DataFrame, on: Sequence[str], limit: int = MAX_HOT_KEYS) -> list[int] | None:
+    """Hashes of the hot keys, or ``None`` when there are more than ``limit``.
+
+    At most ``limit + 1`` longs reach the driver. A hash shared with a cold key
+    only salts that key too, which never changes a join result.
+    """
+    got = [r[0] for r in hot_keys.select(_key_hash(on).alias("_h")).distinct().take(limit + 1)]
+    return None if len(got) > limit else got
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
                 n_salts: int = 10, by: Sequence[str] | None = None, seed: int = 0,
-                hot_keys: DataFrame | None = None) -> DataFrame:
+                hot_keys: DataFrame | str | None = None, hot_fraction: float = 0.001) -> DataFrame:
     """Equi-join with the left side salted and the right side replicated.
 
-    Returns the same rows as ``left.join(right, on, how)``. ``how`` must be one
-    of inner, left outer, left semi or left anti. ``hot_keys`` (a small
-    DataFrame of key values, e.g. from :func:`heavy_keys`) restricts salting and
-    replication to those keys.
+    Returns the same rows as ``left.join(right, on, how)``; ``how`` must be
+    inner, left outer, left semi or left anti.
+
+    ``hot_keys=None`` salts every key (right side replicated ``n_salts`` times).
+    ``hot_keys`` as a DataFrame of key values, or ``"auto"`` (keys holding at
+    least ``hot_fraction`` of the left rows, see :func:`heavy_keys`), salts and
+    replicates only those keys; all other rows join plainly. With more than
+    ``MAX_HOT_KEYS`` hot keys every key is salted.
     """
     on = _names(on)
     if how.lower() not in SALTABLE_HOW:
         raise ValueError(f"salted_join supports inner/left/left_semi/left_anti, not {how!r}: "
                          "a replicated right side would repeat unmatched right rows")
     salt = salt_column(n_salts, by, seed)
-    if hot_keys is None:
+    every = F.sequence(F.lit(0), F.lit(n_salts - 1))
+    hashes = None
+    if isinstance(hot_keys, str):
+        if hot_keys != "auto":
+            raise ValueError("hot_keys must be None, 'auto' or a DataFrame")
+        hot_keys = heavy_keys(left, on, fraction=hot_fraction)
+    if hot_keys is not None:
+        hashes = hot_key_hashes(hot_keys, on)
+    if hashes is None:
         lhs = left.withColumn("_salt", salt)
-        rhs = replicate(right, n_salts, "_salt")
+        rhs = right.withColumn("_salt", F.explode(every))
+    elif not hashes:
+        return left.join(right, on, how)
     else:
-        hot = F.broadcast(hot_keys.select(*on).distinct().withColumn("_hot", F.lit(True)))
-        lhs = (left.join(hot, on, "left")
-               .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-               .select(*left.columns, "_salt"))
-        reps = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n_salts - 1))).otherwise(F.array(F.lit(0)))
-        rhs = (right.join(hot, on, "left")
-               .withColumn("_salt", F.explode(reps))
-               .select(*right.columns, "_salt"))
+        is_hot = _key_hash(on).isin(hashes)
+        lhs = left.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
+        rhs = right.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
 
 
@@ -103,16 +130,18 @@ def matched_pairs(left: DataFrame, right: DataFrame, on: str | Sequence[str]) ->
 
 def join_topn(left: DataFrame, right: DataFrame, group: str, key: str, n: int | None = 2,
               n_salts: int = 10, by: Sequence[str] | None = None, cnt: str = "cnt",
-              name: str = "rn") -> DataFrame:
+              name: str = "rn", hot_keys: DataFrame | str | None = None,
+              hot_fraction: float = 0.001) -> DataFrame:
     """Per ``group``, the top ``n`` distinct counts of matched left rows per (group, key).
 
     ``cnt`` counts the left rows that have at least one partner in ``right``
-    (right duplicates do not multiply it). The semi-join is salted.
+    (right duplicates do not multiply it). The semi-join is salted (all keys,
+    or only hot ones with ``hot_keys``, as in :func:`salted_join`).
     """
     on = [group, key]
     keep = on + list(by or [])
     matched = salted_join(left.select(*keep), right.select(*on).distinct(), on, how="left_semi",
-                          n_salts=n_salts, by=by)
+                          n_salts=n_salts, by=by, hot_keys=hot_keys, hot_fraction=hot_fraction)
     counts = count_per_key(matched, on, name=cnt)
     return topn_distinct_counts(counts, group, key, cnt=cnt, n=n, name=name)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skewkit.functions.parse import explode_words, parse_sales
 from skewkit.operators.joins import (
-    broadcast_left_join, broadcast_lookup_join, heavy_keys, join_topn, matched_pairs, salted_join,
+    broadcast_left_join, broadcast_lookup_join, join_topn, matched_pairs, salted_join,
 )
 from skewkit.operators.topn import (
     count_per_key, distinct_keys, plain_topn, salted_count, salted_topn, topn_distinct_counts,
@@ -25,6 +25,8 @@ TOP_N = 2
 SALTS_RDD_TOPN = 9
 SALTS_SQL_TOPN = 3
 SALTS_JOIN = 10
+# Our parameter: a key is hot when it holds at least this share of the rows.
+HOT_FRACTION = 0.001
 
 
 def topn_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +100,8 @@ def salted_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def salted_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``salted_join`` but only keys holding >= 0.1 % of the orders are salted."""
     orders, customer = _orders_customers(spark, sf_dir)
-    hot = heavy_keys(orders, "custkey", fraction=0.001)
-    return salted_join(orders, customer, "custkey", n_salts=SALTS_JOIN, by=["o_orderkey"], hot_keys=hot)
+    return salted_join(orders, customer, "custkey", n_salts=SALTS_JOIN, by=["o_orderkey"],
+                       hot_keys="auto", hot_fraction=HOT_FRACTION)
 
 
 def _lineitem_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -113,9 +115,14 @@ def _lineitem_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def salted_join_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem A JOIN returned lineitem B on (l_partkey, l_suppkey), 10 salts."""
+    """lineitem A JOIN returned lineitem B on (l_partkey, l_suppkey).
+
+    Both sides are fact-sized, so only hot key pairs (>= 0.1 % of A) are salted
+    over 10 replicas; replicating all of B would multiply its shuffle tenfold.
+    """
     a, b = _lineitem_sides(spark, sf_dir)
-    return salted_join(a, b, ["l_partkey", "l_suppkey"], n_salts=SALTS_JOIN, by=["a_orderkey", "a_linenumber"])
+    return salted_join(a, b, ["l_partkey", "l_suppkey"], n_salts=SALTS_JOIN, by=["a_orderkey", "a_linenumber"],
+                       hot_keys="auto", hot_fraction=HOT_FRACTION)
 
 
 def matched_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +135,8 @@ def join_topn_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     (event_type, user_id), top 2 distinct counts per event_type."""
     ev = table(spark, sf_dir, "events")
     b = ev.where(F.col("value") > 100)
-    return join_topn(ev, b, "event_type", "user_id", n=TOP_N, n_salts=SALTS_JOIN, by=["event_id"])
+    return join_topn(ev, b, "event_type", "user_id", n=TOP_N, n_salts=SALTS_JOIN, by=["event_id"],
+                     hot_keys="auto", hot_fraction=HOT_FRACTION)
 
 
 def left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,9 +26,10 @@ def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = " ", col:
     if strict:
         cols = [F.col("_f")[i].cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
         return fields.select(*cols)
-    fields = fields.where(F.size("_f") >= F.lit(len(names)))
-    return fields.select(*[F.get(F.col("_f"), i).cast(t).alias(n)
-                           for i, (n, t) in enumerate(zip(names, types))])
+    record = F.struct(*[F.get(F.col("_f"), i).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
+    parsed = fields.select(F.when(F.size("_f") >= F.lit(len(names)), record).alias("_r"))
+    # 0-or-1-row generator instead of a Filter, so the split runs once per line
+    return parsed.select(F.inline(F.filter(F.array("_r"), lambda r: r.isNotNull())))
 
 
 def scan_delimited(spark: SparkSession, path: str | Sequence[str], names: Sequence[str],

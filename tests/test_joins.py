@@ -27,10 +27,11 @@ def test_join_topn_equals_counts(site_log):
     assert got == rows(topn_distinct_counts(counts, "site", "url", n=None), "site", "url", "cnt")
 
 
-def test_join_topn_right_duplicates_do_not_multiply(spark):
-    a = spark.createDataFrame([("s", "u")] * 3, "site string, url string")
-    b = spark.createDataFrame([("s", "u")] * 5, "site string, url string")
-    assert rows(join_topn(a, b, "site", "url"), "cnt") == [(3,)]
+@pytest.mark.parametrize("hot", [None, "auto"])
+def test_join_topn_right_duplicates_do_not_multiply(spark, hot):
+    a = spark.createDataFrame([("s", "u")] * 3 + [("s", "v")], "site string, url string")
+    b = spark.createDataFrame([("s", "u")] * 5 + [("t", "v")], "site string, url string")
+    assert rows(join_topn(a, b, "site", "url", hot_keys=hot, hot_fraction=0.5), "url", "cnt") == [("u", 3)]
 
 
 def test_left_lookup_golden(spark):
