@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -33,6 +34,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # keyed streaming state in RocksDB (off-heap, spills to local disk, checkpointed)
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

@@ -21,11 +21,29 @@ from skewkit.operators.topn import _names
 
 
 def tumbling_count(words: DataFrame, ts: str = "ts", key: str = "word",
-                   length: str = "5 seconds", name: str = "cnt") -> DataFrame:
-    """Count per (tumbling event-time window, key) with ``window_start``/``window_end`` columns."""
-    return (words.groupBy(F.window(F.col(ts), length).alias("_w"), F.col(key))
+                   length: str = "5 seconds", name: str = "cnt",
+                   watermark: str | None = None) -> DataFrame:
+    """Count per (tumbling event-time window, key) with ``window_start``/``window_end`` columns.
+
+    ``watermark=None`` keeps every window's state for the life of the query
+    and never drops a row (the reference has no lateness). With a watermark
+    delay (e.g. ``"1 hour"``) windows older than the watermark are evicted, so
+    state stays bounded on an endless stream; rows arriving later than that
+    delay are dropped. Window bounds keep the input's timestamp type.
+    """
+    ntz = dict(words.dtypes).get(ts) == "timestamp_ntz"
+    t = F.col(ts)
+    if watermark:
+        # event-time watermarks need TIMESTAMP (not TIMESTAMP_NTZ); session time zone applies
+        words = words.withColumn("_ts", t.cast("timestamp")).withWatermark("_ts", watermark)
+        t = F.col("_ts")
+    w = F.window(t, length)
+    start, end = F.col("_w.start"), F.col("_w.end")
+    if watermark and ntz:
+        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+    return (words.groupBy(w.alias("_w"), F.col(key))
             .agg(F.count(F.lit(1)).alias(name))
-            .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), key, name))
+            .select(start.alias("window_start"), end.alias("window_end"), key, name))
 
 
 def running_count(words: DataFrame, key: str = "word", name: str = "cnt") -> DataFrame:
