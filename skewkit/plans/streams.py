@@ -31,6 +31,10 @@ WINDOW = "5 seconds"
 # replay lands records in offset (= event-time) order, so nothing is late.
 WATERMARK = "1 hour"
 N_CHUNKS = 4
+# Our parameter: files per micro-batch. Bounds what one batch (and one key's
+# share of it in the per-record state function) can hold, however large a
+# landed chunk is; availableNow splits a chunk into as many batches as needed.
+MAX_FILES_PER_TRIGGER = 64
 GROUP_ID = "skewkit"
 RESUME_CUT = "2024-01-16 00:00:00"
 
@@ -45,7 +49,7 @@ class _Replay:
         self.sink = os.path.join(base, "sink")
 
     def stream(self) -> DataFrame:
-        return message_stream(self.spark, self.source)
+        return message_stream(self.spark, self.source, max_files_per_trigger=MAX_FILES_PER_TRIGGER)
 
     def run(self, build) -> DataFrame:
         """``build(stream) -> DataStreamWriter`` (without checkpoint/trigger)."""

@@ -1,9 +1,8 @@
 """Stateful stream operators: tumbling-window counts, running counts per key,
 and the per-record running count (one output row per input record).
 
-No watermark is used: the reference has no notion of lateness, so state is
-kept for every key and results are emitted in update mode (a key's row is
-re-emitted in every batch that changes it). :class:`UpdateLog` stores those
+Results are emitted in update mode (a key's row is re-emitted in every batch
+that changes it); window counts can bound their state with a watermark. :class:`UpdateLog` stores those
 emissions batch-keyed; :func:`latest_updates` reads the final value per key.
 """
 
@@ -71,6 +70,9 @@ def running_count_per_record(words: DataFrame, key: str = "word", order: str = "
 
     Records of a key are numbered in ``order`` within a micro-batch and across
     batches through keyed state (no time-out: state lives as long as the query).
+    Per key and batch only the ``order`` values are held (8 bytes a row), so
+    bound the batch with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``: a
+    hot key's share of one batch is what one task holds.
     """
     schema = f"{key} string, {order} long, {name} long"
     return (words.select(F.col(key).cast("string").alias(key), F.col(order).cast("long").alias(order))
