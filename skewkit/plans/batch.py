@@ -19,6 +19,7 @@ from skewkit.plans import fixtures as fx
 from skewkit.plans.tables import table
 from skewkit.sources.delimited import scan_delimited, scan_orc
 from skewkit.sources.wide_column import parse_column_mapping, read_wide_column
+from skewkit.streaming.stateful import running_count_per_record_batch
 
 # Fixed values of the reference workloads: N of the Top-N and the salt counts.
 TOP_N = 2
@@ -161,6 +162,12 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_per_key(explode_words(msgs), "word")
 
 
+def running_count_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word occurrence numbered within its word in offset order (bucketed, skew-safe)."""
+    msgs = fx.messages(table(spark, sf_dir, "events"), "words")
+    return running_count_per_record_batch(explode_words(msgs, keep=["offset"]))
+
+
 def parse_sales_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-separated sales messages parsed; malformed rows and id '0' dropped."""
     msgs = fx.messages(table(spark, sf_dir, "events"), "sales")
@@ -193,6 +200,7 @@ BATCH_QUERIES = {
     "left_lookup": left_lookup,
     "inner_lookup": inner_lookup,
     "word_count": word_count,
+    "running_count_batch": running_count_batch,
     "parse_sales": parse_sales_q,
     "wide_column": wide_column,
 }

@@ -123,6 +123,12 @@ SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start,
 FROM ({_WORDS}) w GROUP BY 1, 2, 3
 """,
     "stream_running": ORACLE_SQL["word_count"],
+    "running_count_batch": f"""
+SELECT word, "offset",
+       count(*) OVER (PARTITION BY word ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS running_cnt
+FROM ({_WORDS}) w
+""",
     "stream_running_per_record": f"""
 SELECT word, "offset",
        count(*) OVER (PARTITION BY word ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)

@@ -18,6 +18,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from skewkit.operators.topn import _names
 
+# Rows per emitted pandas frame of the per-record state function.
+OUTPUT_SLICE = 100_000
+
 
 def tumbling_count(words: DataFrame, ts: str = "ts", key: str = "word",
                    length: str = "5 seconds", name: str = "cnt",
@@ -57,10 +60,12 @@ def _per_record_fn(key_name: str, order: str, name: str):
         orders = [b[order].to_numpy() for b in batches]
         seen = np.sort(np.concatenate(orders)) if orders else np.array([], dtype=np.int64)
         prior = int(state.get[0]) if state.exists else 0
-        total = prior + len(seen)
-        state.update((total,))
-        yield pd.DataFrame({key_name: [key[0]] * len(seen), order: seen,
-                            name: np.arange(prior + 1, total + 1, dtype=np.int64)})
+        state.update((prior + len(seen),))
+        for lo in range(0, len(seen), OUTPUT_SLICE):
+            part = seen[lo:lo + OUTPUT_SLICE]
+            yield pd.DataFrame({key_name: pd.Series(key[0], index=range(len(part)), dtype=object),
+                                order: part,
+                                name: np.arange(prior + lo + 1, prior + lo + len(part) + 1, dtype=np.int64)})
     return fn
 
 
@@ -82,11 +87,26 @@ def running_count_per_record(words: DataFrame, key: str = "word", order: str = "
 
 
 def running_count_per_record_batch(words: DataFrame, key: str = "word", order: str = "offset",
-                                   name: str = "running_cnt") -> DataFrame:
-    """Batch form of :func:`running_count_per_record` (a running window count)."""
+                                   name: str = "running_cnt", bucket_width: int = 1 << 20) -> DataFrame:
+    """Batch form of :func:`running_count_per_record`, safe for hot keys.
+
+    Equal to ``count(*) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED
+    PRECEDING)`` for a ``order`` that is unique within a key (offsets are), but a
+    key is never one task: rows are split into ``order`` ranges of
+    ``bucket_width`` (``bucket = order div width``). Rows are numbered inside
+    each (key, bucket) in parallel; each bucket adds the row count of the key's
+    earlier buckets (a prefix sum over the small per-bucket count table). The
+    final join reuses the (key, bucket) partitioning of the numbered rows.
+    """
     from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return words.select(key, order, F.count(F.lit(1)).over(w).alias(name))
+    bucket = F.expr(f"`{order}` div {int(bucket_width)}")  # integral division: exact for any long
+    b = words.select(F.col(key), F.col(order), bucket.alias("_b"))
+    ranked = b.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_b").orderBy(order)))
+    per_bucket = b.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(key, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    return (ranked.join(offsets, [key, "_b"], "inner")
+            .select(key, order, (F.col("_o") + F.col("_r")).cast("long").alias(name)))
 
 
 class UpdateLog:

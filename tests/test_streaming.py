@@ -126,3 +126,15 @@ def test_sales_upsert_latest_wins(spark, tmp_dir):
     assert rows(read_latest(out, "id", ["name", "money"], ["batch_id", "offset"])) == \
         [("1", "new", 5.0), ("2", "two", 2.0)]
     assert rows(read_ledger(out, "g")) == [("t", "g", 0, 11), ("t", "g", 1, 12)]
+
+
+def test_running_count_batch_buckets_split_a_hot_key(spark):
+    # one word holds 90 % of the rows; tiny buckets force it over many (word, bucket) groups
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.concat(F.lit("w"), (F.col("id") % 7).cast("string"))).alias("word"),
+        (F.col("id") * 3 + 1).alias("offset"))
+    from pyspark.sql import Window
+    w = Window.partitionBy("word").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = df.select("word", "offset", F.count(F.lit(1)).over(w).alias("running_cnt"))
+    for width in (1 << 20, 64, 7):
+        assert rows(running_count_per_record_batch(df, bucket_width=width)) == rows(want)
