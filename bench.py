@@ -23,7 +23,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = set(filter(None, os.environ.get("BENCH_QUERIES", "").split(",")))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="skewkit-bench")
+    # one shuffle partition per core; AQE coalesces batch stages, and stateful
+    # streams keep this count for their state stores
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, app_name="skewkit-bench")
 
     # JVM / file-listing warm-up, not timed
     spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet")).write.format("noop").mode("overwrite").save()

@@ -36,6 +36,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # keyed streaming state in RocksDB (off-heap, spills to local disk, checkpointed)
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        # commit a changelog per batch instead of uploading a snapshot each time
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
