@@ -14,16 +14,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.functions.parse import explode_words
 from skewkit.plans import fixtures as fx
 from skewkit.plans.tables import table
 from skewkit.session import scratch_path
 from skewkit.sources.messages import message_stream
-from skewkit.streaming.jobs import SalesUpsertCommit, WordCountCommit, replay_in_chunks, run_available
+from skewkit.streaming import apps
+from skewkit.streaming.jobs import replay_in_chunks, run_available
 from skewkit.streaming.ledger import read_accumulated, read_latest, read_ledger, resume_from_ledger
-from skewkit.streaming.stateful import (
-    UpdateLog, latest_updates, running_count, running_count_per_record, tumbling_count,
-)
+from skewkit.streaming.stateful import UpdateLog, latest_updates
 
 # Fixed values of the reference streams: 5 s windows; our replay parameters.
 WINDOW = "5 seconds"
@@ -51,42 +49,39 @@ class _Replay:
     def stream(self) -> DataFrame:
         return message_stream(self.spark, self.source, max_files_per_trigger=MAX_FILES_PER_TRIGGER)
 
-    def run(self, build) -> DataFrame:
-        """``build(stream) -> DataStreamWriter`` (without checkpoint/trigger)."""
-        def start():
-            return (build(self.stream()).option("checkpointLocation", self.checkpoint)
-                    .trigger(availableNow=True).start())
-        replay_in_chunks(self.spark, self.messages, self.source, N_CHUNKS, start)
+    def run(self, start_app) -> DataFrame:
+        """Land the chunks one by one; after each, ``start_app(stream, sink, checkpoint)``
+        (an app started with ``every=None``) runs to completion."""
+        replay_in_chunks(self.spark, self.messages, self.source, N_CHUNKS,
+                         lambda: start_app(self.stream(), self.sink, self.checkpoint))
         return self.spark.read.parquet(self.sink)
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts per 5-second tumbling event-time window (state bounded by a watermark)."""
     rp = _Replay(spark, sf_dir, "words", "stream-tumbling")
-    log = rp.run(lambda s: tumbling_count(explode_words(s, keep=["ts"]), length=WINDOW, watermark=WATERMARK)
-                 .writeStream.outputMode("update").foreachBatch(UpdateLog(rp.sink)))
+    log = rp.run(lambda s, sink, ckpt: apps.start_window_counts(s, sink, ckpt, length=WINDOW,
+                                                               watermark=WATERMARK, every=None))
     return latest_updates(log, ["window_start", "window_end", "word"], ["cnt"])
 
 
 def stream_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count per word across batches (final state)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running")
-    log = rp.run(lambda s: running_count(explode_words(s))
-                 .writeStream.outputMode("update").foreachBatch(UpdateLog(rp.sink)))
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts(s, sink, ckpt, every=None))
     return latest_updates(log, "word", ["cnt"])
 
 
 def stream_running_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every word occurrence, the running count of that word so far (offset order)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running-per-record")
-    log = rp.run(lambda s: running_count_per_record(explode_words(s, keep=["offset"]))
-                 .writeStream.outputMode("append").foreachBatch(UpdateLog(rp.sink)))
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_per_record(s, sink, ckpt, every=None))
     return log.select("word", "offset", "running_cnt")
 
 
 def _cocommit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rp = _Replay(spark, sf_dir, "words", "stream-cocommit")
-    return rp.run(lambda s: s.writeStream.foreachBatch(WordCountCommit(rp.sink, GROUP_ID)))
+    return rp.run(lambda s, sink, ckpt: apps.start_word_count_with_offsets(s, sink, ckpt, GROUP_ID, every=None))
 
 
 def stream_cocommit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +105,8 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.col("ts") < F.lit(RESUME_CUT).cast("timestamp_ntz")
     first_sink = rp.sink + "-run1"
     rp.messages.where(cut).sortWithinPartitions("offset").write.mode("append").parquet(rp.source)
-    run_available(rp.stream().writeStream.foreachBatch(WordCountCommit(first_sink, GROUP_ID))
-                  .option("checkpointLocation", rp.checkpoint + "-run1")
-                  .trigger(availableNow=True).start())
+    run_available(apps.start_word_count_with_offsets(rp.stream(), first_sink, rp.checkpoint + "-run1",
+                                                     GROUP_ID, every=None))
     rp.messages.where(~cut).sortWithinPartitions("offset").write.mode("append").parquet(rp.source)
     ledger = read_ledger(spark.read.parquet(first_sink), GROUP_ID)
     resumed = resume_from_ledger(rp.stream(), ledger, GROUP_ID).select("topic", "partition", "offset")
@@ -124,7 +118,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rp = _Replay(spark, sf_dir, "sales", "stream-upsert")
-    return rp.run(lambda s: s.writeStream.foreachBatch(SalesUpsertCommit(rp.sink, GROUP_ID)))
+    return rp.run(lambda s, sink, ckpt: apps.start_sales_upsert(s, sink, ckpt, GROUP_ID, every=None))
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,9 @@
 """Structured Streaming jobs: stateful counts, offset ledger, co-committed writes."""
 
+from skewkit.streaming.apps import (  # noqa: F401
+    start_running_counts, start_running_counts_per_record, start_sales_upsert, start_window_counts,
+    start_word_count_with_offsets,
+)
 from skewkit.streaming.jobs import (  # noqa: F401
     SalesUpsertCommit, WordCountCommit, batch_word_count, replay_in_chunks,
 )

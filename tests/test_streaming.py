@@ -138,3 +138,18 @@ def test_running_count_batch_buckets_split_a_hot_key(spark):
     want = df.select("word", "offset", F.count(F.lit(1)).over(w).alias("running_cnt"))
     for width in (1 << 20, 64, 7):
         assert rows(running_count_per_record_batch(df, bucket_width=width)) == rows(want)
+
+
+def test_app_with_processing_time_trigger(spark, tmp_dir):
+    from skewkit.streaming.apps import start_word_count_with_offsets
+    msgs = _messages(spark, WORDS)
+    src, ckpt, sink = (os.path.join(tmp_dir, n) for n in ("src", "ckpt", "sink"))
+    msgs.write.parquet(src)
+    q = start_word_count_with_offsets(message_stream(spark, src), sink, ckpt, "g", every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = spark.read.parquet(sink)
+    assert rows(read_accumulated(out)) == rows(batch_word_count(msgs))
+    assert rows(read_ledger(out, "g")) == [("t", "g", 0, 23), ("t", "g", 1, 24)]
