@@ -30,7 +30,7 @@ def read_site_log(spark: SparkSession, text: str | None, orc: str | None) -> Dat
 
 
 def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame:
-    n = None if getattr(args, "all", False) else args.n
+    n = None if getattr(args, "all", False) else getattr(args, "n", None)
     if args.command == "topn":
         log = read_site_log(spark, args.text, args.orc)
         if args.distinct:
