@@ -6,17 +6,19 @@ Design notes for scale:
 * ``salted_join`` replicates the right side ``n_salts`` times with one
   ``explode(sequence)`` (one scan, no union loop). With ``hot_keys`` only the
   rows of those keys are salted/replicated; everything else joins plainly.
-* A side is broadcast only after its row count was checked against a bound
-  (:func:`fits_broadcast`); beyond the bound the join stays a shuffle join, where
-  AQE's skew-join splitting still applies.
+* A side is broadcast only after its rows and estimated bytes were checked
+  against bounds (:func:`fits_broadcast`, one aggregate job); beyond them the
+  join stays a shuffle join, where AQE's skew-join splitting still applies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skewkit.operators.topn import _names, count_per_key, salt_column, topn_distinct_counts
 
@@ -26,16 +28,43 @@ SALTABLE_HOW = {"inner", "left", "leftouter", "left_outer", "semi", "leftsemi",
                 "anti", "leftanti", "left_anti"}
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Row-count check of a broadcast candidate (one column-pruned counting job)."""
-    return df.count() <= max_rows
 
+def _row_bytes(df: DataFrame):
+    """Upper estimate of a row's in-memory size: 8 bytes per fixed-width value,
+    8 + octet length per string/binary, 8 + JSON length for nested values."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, _FIXED_WIDTH):
+            parts.append(F.lit(8))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.lit(8) + F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            parts.append(F.lit(8) + F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)))
+    return reduce(lambda a, b: a + b, parts, F.lit(16)).cast("long")
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+def broadcast_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) of ``df`` in one aggregate job (map-side combined)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Size check of a broadcast candidate: rows and estimated bytes under both bounds."""
+    rows, size = broadcast_size(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` fits both bounds, else ``df`` unchanged."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
 def replicate(df: DataFrame, n: int, name: str = "salt") -> DataFrame:

@@ -100,3 +100,12 @@ def test_broadcast_only_within_bound(spark):
         assert "BroadcastHashJoin" not in plan_out
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_size_counts_rows_and_bytes(spark):
+    from skewkit.operators.joins import broadcast_size
+    df = spark.createDataFrame([(1, "abc", [1, 2]), (2, None, None)], "k long, s string, a array<int>")
+    n, b = broadcast_size(df)
+    assert n == 2
+    assert b == (16 + 8 + 8 + 3 + 8 + len('{"a":[1,2]}')) + (16 + 8 + 8 + 8 + len("{}"))
+    assert fits_broadcast(df, max_rows=2, max_bytes=b) and not fits_broadcast(df, max_rows=2, max_bytes=b - 1)
