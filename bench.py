@@ -1,8 +1,10 @@
 """Benchmark: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full with the ``noop`` sink (the whole plan runs,
-nothing is collected to the driver). Prints one JSON line on stdout; per-query
-progress goes to stderr.
+nothing is collected to the driver). Every query runs $BENCH_WARMUP times
+untimed first (default 1: code generation, JIT and class loading are paid
+there), then once timed; ``queries`` holds the timed runs and ``cold`` the
+first runs. Prints one JSON line on stdout; progress goes to stderr.
 """
 
 from __future__ import annotations
@@ -31,14 +33,25 @@ def main() -> None:
     # JVM / file-listing warm-up, not timed
     spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet")).write.format("noop").mode("overwrite").save()
 
+    warmup = int(os.environ.get("BENCH_WARMUP", "1"))
+
+    def timed(fn) -> float:
+        t0 = time.perf_counter()
+        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - t0, 3)
+
     times: dict[str, float] = {}
+    cold: dict[str, float] = {}
     for name, fn in all_queries().items():
         if only and name not in only:
             continue
-        t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
-        print(f"{name:28s} {times[name]:8.3f}s", file=sys.stderr, flush=True)
+        for i in range(warmup):
+            t = timed(fn)
+            if i == 0:
+                cold[name] = t
+        times[name] = timed(fn)
+        print(f"{name:28s} {times[name]:8.3f}s  (cold {cold.get(name, times[name]):.3f}s)",
+              file=sys.stderr, flush=True)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -46,6 +59,8 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "cold": cold,
+        "cold_total": round(sum(cold.values()), 3),
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
     }))
