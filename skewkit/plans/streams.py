@@ -46,6 +46,11 @@ class _Replay:
         self.checkpoint = os.path.join(base, "checkpoint")
         self.sink = os.path.join(base, "sink")
 
+    @property
+    def state_partitions(self) -> int:
+        """One state partition per core of the cluster (not the batch shuffle default)."""
+        return self.spark.sparkContext.defaultParallelism
+
     def stream(self) -> DataFrame:
         return message_stream(self.spark, self.source, max_files_per_trigger=MAX_FILES_PER_TRIGGER)
 
@@ -61,21 +66,24 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts per 5-second tumbling event-time window (state bounded by a watermark)."""
     rp = _Replay(spark, sf_dir, "words", "stream-tumbling")
     log = rp.run(lambda s, sink, ckpt: apps.start_window_counts(s, sink, ckpt, length=WINDOW,
-                                                               watermark=WATERMARK, every=None))
+                                                               watermark=WATERMARK, every=None,
+                                                               state_partitions=rp.state_partitions))
     return latest_updates(log, ["window_start", "window_end", "word"], ["cnt"])
 
 
 def stream_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count per word across batches (final state)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running")
-    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts(s, sink, ckpt, every=None))
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts(s, sink, ckpt, every=None,
+                                                                state_partitions=rp.state_partitions))
     return latest_updates(log, "word", ["cnt"])
 
 
 def stream_running_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every word occurrence, the running count of that word so far (offset order)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running-per-record")
-    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_per_record(s, sink, ckpt, every=None))
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_per_record(
+        s, sink, ckpt, every=None, state_partitions=rp.state_partitions))
     return log.select("word", "offset", "running_cnt")
 
 

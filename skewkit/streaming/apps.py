@@ -7,11 +7,14 @@ interval (processing-time trigger); ``every=None`` processes what is available
 and stops (``availableNow``), which is how tests and replays run them.
 The checkpoint folder owns the source offsets: a restarted job resumes after
 the last committed batch, and batch-keyed sinks make a replayed batch
-overwrite itself.
+overwrite itself. ``state_partitions`` sizes the state stores of a stateful
+job at its first start (default: the session's shuffle partitions).
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -22,44 +25,73 @@ from skewkit.streaming.stateful import UpdateLog, running_count, running_count_p
 DEFAULT_EVERY = "5 seconds"
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def _partitions(spark, n: int | None):
+    """Session shuffle partitions set to ``n`` while a query starts.
+
+    A stateful query fixes its state partition count at its first start (it
+    is stored in the checkpoint and reused on every restart), so this sizes
+    the state stores without changing the session for anything else.
+    """
+    if n is None:
+        yield
+        return
+    old = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, old)
+
+
+def _start(messages: DataFrame, writer: DataStreamWriter, checkpoint: str, every: str | None,
+           state_partitions: int | None = None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return writer.start()
+    with _partitions(messages.sparkSession, state_partitions):
+        return writer.start()
 
 
 def start_word_count_with_offsets(messages: DataFrame, sink: str, checkpoint: str, group_id: str,
                                   every: str | None = DEFAULT_EVERY, run_id: str = "run0") -> StreamingQuery:
     """Per batch: word counts and the offset ledger, co-committed in one write."""
-    return _start(messages.writeStream.foreachBatch(WordCountCommit(sink, group_id, run_id)), checkpoint, every)
+    return _start(messages, messages.writeStream.foreachBatch(WordCountCommit(sink, group_id, run_id)),
+                  checkpoint, every)
 
 
 def start_running_counts(messages: DataFrame, sink: str, checkpoint: str,
-                         every: str | None = DEFAULT_EVERY, run_id: str = "run0") -> StreamingQuery:
+                         every: str | None = DEFAULT_EVERY, run_id: str = "run0",
+                         state_partitions: int | None = None) -> StreamingQuery:
     """Running count per word across batches; each batch logs the words it changed."""
     counts = running_count(explode_words(messages))
-    return _start(counts.writeStream.outputMode("update").foreachBatch(UpdateLog(sink, run_id)), checkpoint, every)
+    return _start(messages, counts.writeStream.outputMode("update").foreachBatch(UpdateLog(sink, run_id)),
+                  checkpoint, every, state_partitions)
 
 
 def start_running_counts_per_record(messages: DataFrame, sink: str, checkpoint: str,
-                                    every: str | None = DEFAULT_EVERY, run_id: str = "run0") -> StreamingQuery:
+                                    every: str | None = DEFAULT_EVERY, run_id: str = "run0",
+                                    state_partitions: int | None = None) -> StreamingQuery:
     """One row per word occurrence with the word's running count (keyed state)."""
     per_record = running_count_per_record(explode_words(messages, keep=["offset"]))
-    return _start(per_record.writeStream.outputMode("append").foreachBatch(UpdateLog(sink, run_id)),
-                  checkpoint, every)
+    return _start(messages, per_record.writeStream.outputMode("append").foreachBatch(UpdateLog(sink, run_id)),
+                  checkpoint, every, state_partitions)
 
 
 def start_window_counts(messages: DataFrame, sink: str, checkpoint: str, length: str = "5 seconds",
                         watermark: str | None = None, every: str | None = DEFAULT_EVERY,
-                        run_id: str = "run0") -> StreamingQuery:
+                        run_id: str = "run0", state_partitions: int | None = None) -> StreamingQuery:
     """Word counts per tumbling event-time window (update mode, batch-keyed log)."""
     counts = tumbling_count(explode_words(messages, keep=["ts"]), length=length, watermark=watermark)
-    return _start(counts.writeStream.outputMode("update").foreachBatch(UpdateLog(sink, run_id)), checkpoint, every)
+    return _start(messages, counts.writeStream.outputMode("update").foreachBatch(UpdateLog(sink, run_id)),
+                  checkpoint, every, state_partitions)
 
 
 def start_sales_upsert(messages: DataFrame, sink: str, checkpoint: str, group_id: str,
                        every: str | None = DEFAULT_EVERY, run_id: str = "run0",
                        strict: bool = False) -> StreamingQuery:
     """Per batch: parsed sales rows as versioned puts plus the ledger of all records."""
-    return _start(messages.writeStream.foreachBatch(SalesUpsertCommit(sink, group_id, run_id, strict)),
+    return _start(messages, messages.writeStream.foreachBatch(SalesUpsertCommit(sink, group_id, run_id, strict)),
                   checkpoint, every)
