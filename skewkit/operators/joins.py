@@ -108,42 +108,62 @@ def hot_key_hashes(hot_keys: DataFrame, on: Sequence[str], limit: int = MAX_HOT_
     return None if len(got) > limit else got
 
 
+INNER_HOW = {"inner"}
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
                 n_salts: int = 10, by: Sequence[str] | None = None, seed: int = 0,
-                hot_keys: DataFrame | str | None = None, hot_fraction: float = 0.001) -> DataFrame:
-    """Equi-join with the left side salted and the right side replicated.
+                hot_keys: DataFrame | str | None = None, hot_fraction: float = 0.001,
+                right_hot_keys: DataFrame | str | None = None,
+                right_by: Sequence[str] | None = None) -> DataFrame:
+    """Equi-join with hot keys salted on one side and replicated on the other.
 
     Returns the same rows as ``left.join(right, on, how)``; ``how`` must be
     inner, left outer, left semi or left anti.
 
-    ``hot_keys=None`` salts every key (right side replicated ``n_salts`` times).
-    ``hot_keys`` as a DataFrame of key values, or ``"auto"`` (keys holding at
-    least ``hot_fraction`` of the left rows, see :func:`heavy_keys`), salts and
-    replicates only those keys; all other rows join plainly. With more than
-    ``MAX_HOT_KEYS`` hot keys every key is salted.
+    ``hot_keys=None`` salts every key of the left side and replicates the right
+    side ``n_salts`` times. ``hot_keys`` as a DataFrame of key values, or
+    ``"auto"`` (keys holding at least ``hot_fraction`` of the left rows, see
+    :func:`heavy_keys`), does that only for those keys; all other rows join
+    plainly. With more than ``MAX_HOT_KEYS`` hot keys every key is salted.
+
+    For inner joins ``right_hot_keys`` (DataFrame or ``"auto"``) handles keys
+    that are hot on the right: their right rows are salted (by ``right_by``)
+    and their left rows replicated. Keys hot on both sides stay left-salted.
     """
     on = _names(on)
     if how.lower() not in SALTABLE_HOW:
         raise ValueError(f"salted_join supports inner/left/left_semi/left_anti, not {how!r}: "
                          "a replicated right side would repeat unmatched right rows")
-    salt = salt_column(n_salts, by, seed)
+    if right_hot_keys is not None and how.lower() not in INNER_HOW:
+        raise ValueError("right_hot_keys needs an inner join: replicated left rows would repeat")
     every = F.sequence(F.lit(0), F.lit(n_salts - 1))
-    hashes = None
-    if isinstance(hot_keys, str):
-        if hot_keys != "auto":
-            raise ValueError("hot_keys must be None, 'auto' or a DataFrame")
-        hot_keys = heavy_keys(left, on, fraction=hot_fraction)
-    if hot_keys is not None:
-        hashes = hot_key_hashes(hot_keys, on)
-    if hashes is None:
-        lhs = left.withColumn("_salt", salt)
+
+    def resolve(keys, side):
+        if isinstance(keys, str):
+            if keys != "auto":
+                raise ValueError("hot keys must be None, 'auto' or a DataFrame")
+            keys = heavy_keys(side, on, fraction=hot_fraction)
+        return None if keys is None else hot_key_hashes(keys, on)
+
+    left_hashes = resolve(hot_keys, left) if hot_keys is not None else None
+    if hot_keys is None:
+        lhs = left.withColumn("_salt", salt_column(n_salts, by, seed))
         rhs = right.withColumn("_salt", F.explode(every))
-    elif not hashes:
+        return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
+    right_hashes = resolve(right_hot_keys, right) if right_hot_keys is not None else []
+    if left_hashes is None or right_hashes is None:   # too many hot keys: salt everything
+        return salted_join(left, right, on, how, n_salts, by, seed)
+    right_only = sorted(set(right_hashes) - set(left_hashes))
+    if not left_hashes and not right_only:
         return left.join(right, on, how)
-    else:
-        is_hot = _key_hash(on).isin(hashes)
-        lhs = left.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)))
-        rhs = right.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    h = _key_hash(on)
+    hot_l = h.isin(left_hashes) if left_hashes else F.lit(False)
+    hot_r = h.isin(right_only) if right_only else F.lit(False)
+    l_salt = F.when(hot_l, salt_column(n_salts, by, seed)).otherwise(F.lit(0))
+    r_salt = F.when(hot_r, salt_column(n_salts, right_by, seed + 1)).otherwise(F.lit(0))
+    lhs = left.withColumn("_salt", F.explode(F.when(hot_r, every).otherwise(F.array(l_salt))))
+    rhs = right.withColumn("_salt", F.explode(F.when(hot_l, every).otherwise(F.array(r_salt))))
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
 
 

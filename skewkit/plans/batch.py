@@ -118,12 +118,14 @@ def _lineitem_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def salted_join_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem A JOIN returned lineitem B on (l_partkey, l_suppkey).
 
-    Both sides are fact-sized, so only hot key pairs (>= 0.1 % of A) are salted
-    over 10 replicas; replicating all of B would multiply its shuffle tenfold.
+    Both sides are fact-sized, so only hot key pairs (>= 0.1 % of A, or of B)
+    are salted over 10 replicas, on the side where they are hot; replicating
+    all of B would multiply its shuffle tenfold.
     """
     a, b = _lineitem_sides(spark, sf_dir)
     return salted_join(a, b, ["l_partkey", "l_suppkey"], n_salts=SALTS_JOIN, by=["a_orderkey", "a_linenumber"],
-                       hot_keys="auto", hot_fraction=HOT_FRACTION)
+                       hot_keys="auto", hot_fraction=HOT_FRACTION,
+                       right_hot_keys="auto", right_by=["b_orderkey", "b_linenumber"])
 
 
 def matched_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:

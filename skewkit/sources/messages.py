@@ -61,7 +61,9 @@ def starting_offsets_json(ledger: DataFrame, topics: Sequence[str]) -> str:
     The ledger holds one row per topic partition, so collecting it moves a
     bounded handful of rows; partitions missing from it start at earliest (-2).
     """
-    rows = ledger.where(F.col("topic").isin(list(topics))).select("topic", "part", "offset").collect()
+    latest = (ledger.where(F.col("topic").isin(list(topics)))
+              .groupBy("topic", "part").agg(F.max("offset").alias("offset")))
+    rows = latest.collect()  # one row per topic partition
     out: dict[str, dict[str, int]] = {t: {} for t in topics}
     for r in rows:
         out[r["topic"]][str(r["part"])] = int(r["offset"])

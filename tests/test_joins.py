@@ -109,3 +109,19 @@ def test_broadcast_size_counts_rows_and_bytes(spark):
     assert n == 2
     assert b == (16 + 8 + 8 + 3 + 8 + len('{"a":[1,2]}')) + (16 + 8 + 8 + 8 + len("{}"))
     assert fits_broadcast(df, max_rows=2, max_bytes=b) and not fits_broadcast(df, max_rows=2, max_bytes=b - 1)
+
+
+def test_salted_join_right_hot_keys(spark):
+    # key 1 is hot on the left, key 2 hot on the right, key 3 hot on both
+    left = spark.range(2000).select(
+        F.when(F.col("id") % 4 == 0, 1).when(F.col("id") % 4 == 1, 3).otherwise(F.col("id") % 40).cast("long").alias("k"),
+        F.col("id").alias("lid"))
+    right = spark.range(2000).select(
+        F.when(F.col("id") % 4 == 0, 2).when(F.col("id") % 4 == 1, 3).otherwise(F.col("id") % 40).cast("long").alias("k"),
+        F.col("id").alias("rid"))
+    plain = rows(left.join(right, "k"))
+    got = salted_join(left, right, "k", n_salts=4, by=["lid"], hot_keys="auto", hot_fraction=0.2,
+                      right_hot_keys="auto", right_by=["rid"])
+    assert rows(got) == plain
+    with pytest.raises(ValueError):
+        salted_join(left, right, "k", how="left", hot_keys="auto", right_hot_keys="auto")
