@@ -121,8 +121,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     Returns the same rows as ``left.join(right, on, how)``; ``how`` must be
     inner, left outer, left semi or left anti.
 
-    ``hot_keys=None`` salts every key of the left side and replicates the right
-    side ``n_salts`` times. ``hot_keys`` as a DataFrame of key values, or
+    With neither ``hot_keys`` nor ``right_hot_keys``, every key of the left side
+    is salted and the right side replicated ``n_salts`` times. ``hot_keys`` as a DataFrame of key values, or
     ``"auto"`` (keys holding at least ``hot_fraction`` of the left rows, see
     :func:`heavy_keys`), does that only for those keys; all other rows join
     plainly. With more than ``MAX_HOT_KEYS`` hot keys every key is salted.
@@ -146,11 +146,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
             keys = heavy_keys(side, on, fraction=hot_fraction)
         return None if keys is None else hot_key_hashes(keys, on)
 
-    left_hashes = resolve(hot_keys, left) if hot_keys is not None else None
-    if hot_keys is None:
+    if hot_keys is None and right_hot_keys is None:   # the reference form: every key salted
         lhs = left.withColumn("_salt", salt_column(n_salts, by, seed))
         rhs = right.withColumn("_salt", F.explode(every))
         return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
+    left_hashes = resolve(hot_keys, left) if hot_keys is not None else []
     right_hashes = resolve(right_hot_keys, right) if right_hot_keys is not None else []
     if left_hashes is None or right_hashes is None:   # too many hot keys: salt everything
         return salted_join(left, right, on, how, n_salts, by, seed)

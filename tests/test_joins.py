@@ -123,5 +123,7 @@ def test_salted_join_right_hot_keys(spark):
     got = salted_join(left, right, "k", n_salts=4, by=["lid"], hot_keys="auto", hot_fraction=0.2,
                       right_hot_keys="auto", right_by=["rid"])
     assert rows(got) == plain
+    only_right = salted_join(left, right, "k", n_salts=4, right_hot_keys="auto", hot_fraction=0.2, right_by=["rid"])
+    assert rows(only_right) == plain
     with pytest.raises(ValueError):
         salted_join(left, right, "k", how="left", hot_keys="auto", right_hot_keys="auto")
