@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skewkit.functions.parse import explode_words, parse_sales
+from skewkit.functions.text import java_split
 from skewkit.operators.topn import count_per_key
-from skewkit.streaming.ledger import cocommit_batch, offset_ledger
+from skewkit.streaming.ledger import KIND_DATA, KIND_OFFSET, cocommit_batch, offset_ledger, write_batch
 
 
 def batch_word_count(batch: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
@@ -27,8 +28,30 @@ def batch_word_count(batch: DataFrame, col: str = "value", sep: str = ",") -> Da
     return count_per_key(explode_words(batch, col=col, sep=sep), "word")
 
 
+def word_counts_with_ledger(batch: DataFrame, group_id: str, col: str = "value", sep: str = ",") -> DataFrame:
+    """Word counts and the offset ledger of one batch in the co-commit layout, in one pass.
+
+    One scan and one exchange: the words are exploded once (``explode_outer``,
+    so a record without words still counts for the ledger) and aggregated with
+    ``GROUPING SETS ((word), (topic, partition))``.
+    """
+    words = batch.select("topic", "partition", "offset", F.explode_outer(java_split(col, sep)).alias("word"))
+    agg = (words.groupingSets([["word"], ["topic", "partition"]], "word", "topic", "partition")
+           .agg(F.count("word").alias("_cnt"), F.max("offset").alias("_max"), F.grouping("word").alias("_gw")))
+    is_count = F.col("_gw") == 0
+    return (agg.where((is_count & F.col("word").isNotNull()) | ~is_count)
+            .select(F.when(is_count, F.lit(KIND_DATA)).otherwise(F.lit(KIND_OFFSET)).alias("kind"),
+                    F.when(is_count, F.col("word")).alias("word"),
+                    F.when(is_count, F.col("_cnt")).alias("cnt"),
+                    F.when(~is_count, F.col("topic")).alias("topic"),
+                    F.when(~is_count, F.lit(group_id)).alias("group_id"),
+                    F.when(~is_count, F.col("partition")).alias("part"),
+                    F.when(~is_count, F.col("_max") + F.lit(1)).alias("offset")))
+
+
 class WordCountCommit:
-    """``foreachBatch``: word counts and offsets of a batch in one idempotent write."""
+    """``foreachBatch``: word counts and offsets of a batch in one idempotent write
+    (one pass over the batch, no cache)."""
 
     def __init__(self, path: str, group_id: str, run_id: str = "run0"):
         self.path, self.group_id, self.run_id = path, group_id, run_id
@@ -36,12 +59,7 @@ class WordCountCommit:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.persist()
-        try:
-            cocommit_batch(batch_word_count(batch), offset_ledger(batch, self.group_id),
-                           self.path, self.run_id, batch_id)
-        finally:
-            batch.unpersist()
+        write_batch(word_counts_with_ledger(batch, self.group_id), self.path, self.run_id, batch_id)
 
 
 class SalesUpsertCommit:

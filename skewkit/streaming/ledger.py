@@ -57,6 +57,14 @@ def resume_from_ledger(records: DataFrame, ledger: DataFrame, group_id: str,
     return joined.where(keep).select(*[records[c] for c in records.columns])
 
 
+def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+    """Write one batch's rows (with a ``kind`` column) as partition (run_id, batch_id),
+    replacing that partition if it exists (dynamic overwrite): one job, idempotent."""
+    (rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id", "batch_id").parquet(path))
+
+
 def cocommit_batch(results: DataFrame | None, ledger: DataFrame | None, path: str,
                    run_id: str, batch_id: int) -> None:
     """Write results and ledger rows of one batch in one idempotent job."""
@@ -70,9 +78,7 @@ def cocommit_batch(results: DataFrame | None, ledger: DataFrame | None, path: st
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    (out.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "batch_id").parquet(path))
+    write_batch(out, path, run_id, batch_id)
 
 
 def read_kind(df: DataFrame, kind: str) -> DataFrame:
