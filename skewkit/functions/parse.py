@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.functions.text import java_split, java_trim
+from skewkit.functions.text import java_split, java_trim, strict_cast
 
 SALES_FIELDS = 3
 
@@ -32,7 +32,7 @@ def parse_sales(df: DataFrame, col: str = "value", strict: bool = False,
     record = F.struct(
         java_trim(F.get(F.col("_f"), 0)).alias("id"),
         java_trim(F.get(F.col("_f"), 1)).alias("name"),
-        (money_txt.cast("double") if strict else money_txt.try_cast("double")).alias("money"),
+        (strict_cast(money_txt, "double", "money") if strict else money_txt.try_cast("double")).alias("money"),
     )
     parsed = staged.select(*keep, F.when(F.size("_f") == F.lit(SALES_FIELDS), record).alias("_r"))
     # Keep/drop as a 0-or-1-row generator over the parsed record: a Filter here

@@ -58,13 +58,30 @@ def spark_type(type_name: str) -> str:
                          f"expected one of {sorted(TYPE_DEFAULTS)}") from None
 
 
+def strict_cast(c: str | Column, sql_type: str, what: str = "value") -> Column:
+    """``cast`` that fails the task on unparseable input whatever the ANSI setting
+    (``try_cast``, and ``raise_error`` where it gave null for a non-null input)."""
+    s = _col(c)
+    t = s.try_cast(sql_type)
+    return F.when(s.isNotNull() & t.isNull(),
+                  F.raise_error(F.concat(F.lit(f"cannot parse {what} as {sql_type}: "), s.cast("string")))
+                  ).otherwise(t)
+
+
+def strict_get(arr: str | Column, i: int, what: str = "field") -> Column:
+    """``arr[i]`` that fails the task when the array is too short (any ANSI setting)."""
+    a = _col(arr)
+    return F.when(F.size(a) > F.lit(i), F.get(a, i)).otherwise(
+        F.raise_error(F.lit(f"missing {what} {i}")).cast("string"))
+
+
 def typed_or_default(c: str | Column, type_name: str, strict: bool = False) -> Column:
     """Cast text to ``type_name``; a missing (null) value becomes the type default.
 
     ``strict=False`` also maps unparseable text to the default (``try_cast``);
-    ``strict=True`` raises on it (ANSI ``cast``).
+    ``strict=True`` fails on it.
     """
     sql_type, default = TYPE_DEFAULTS[type_name.strip().lower()]
     s = _col(c)
-    cast = s.cast(sql_type) if strict else s.try_cast(sql_type)
+    cast = strict_cast(s, sql_type) if strict else s.try_cast(sql_type)
     return F.coalesce(cast, F.lit(default).cast(sql_type))

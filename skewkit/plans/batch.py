@@ -41,6 +41,34 @@ def topn_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return salted_topn(ev, "event_type", "user_id", n=TOP_N, n_salts=SALTS_RDD_TOPN, by=["event_id"])
 
 
+# Spark SQL text over a DataFrame bound as a view: salt in its own column
+# (a hash of the row id, never glued into the key), partial counts per
+# (salt, key), sums per key, then row_number with a key tie-break.
+SALTED_TOPN_SQL = """
+SELECT event_type, user_id, cnt, rn
+FROM (
+  SELECT event_type, user_id, cnt,
+         row_number() OVER (PARTITION BY event_type ORDER BY cnt DESC, user_id) AS rn
+  FROM (
+    SELECT event_type, user_id, CAST(sum(part_cnt) AS BIGINT) AS cnt
+    FROM (
+      SELECT salt, event_type, user_id, count(1) AS part_cnt
+      FROM (SELECT event_type, user_id, pmod(xxhash64(event_id), {n_salts}) AS salt FROM {process})
+      GROUP BY salt, event_type, user_id
+    )
+    GROUP BY event_type, user_id
+  )
+)
+WHERE rn <= {top_n}
+"""
+
+
+def topn_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``topn_salted`` written as Spark SQL text (3 salts) over the events view."""
+    return spark.sql(SALTED_TOPN_SQL, process=table(spark, sf_dir, "events"),
+                     n_salts=SALTS_SQL_TOPN, top_n=TOP_N)
+
+
 def _event_counts_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return salted_count(ev, ["event_type", "user_id"], n_salts=SALTS_RDD_TOPN, by=["event_id"])
@@ -187,6 +215,7 @@ def wide_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH_QUERIES = {
     "topn_sql": topn_sql,
     "topn_salted": topn_salted,
+    "topn_sql_text": topn_sql_text,
     "topn_distinct": topn_distinct,
     "topn_distinct_all": topn_distinct_all,
     "count_per_key": count_per_key_q,

@@ -65,6 +65,7 @@ _WORDS = ("SELECT unnest(string_split(concat_ws(',', event_type, CAST(user_id AS
 ORACLE_SQL: dict[str, str] = {
     "topn_sql": _TOPN,
     "topn_salted": _TOPN,
+    "topn_sql_text": _TOPN,
     "topn_distinct": _distinct_counts(_EVENT_COUNTS, "event_type", "user_id", "WHERE rn <= 2"),
     "topn_distinct_all": _distinct_counts(_EVENT_COUNTS, "event_type", "user_id", ""),
     "count_per_key": "SELECT l_returnflag, l_partkey, count(*) AS cnt FROM lineitem GROUP BY l_returnflag, l_partkey",

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skewkit.functions.text import java_split
+from skewkit.functions.text import java_split, strict_cast, strict_get
 
 
 def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = " ", col: str = "value",
                     types: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
     """Fields ``0..len(names)-1`` of each line, split with JVM rules; extra fields ignored.
 
-    A line with too few fields is dropped, or with ``strict=True`` raises
-    (ANSI array index). ``types`` casts each field (default: string).
+    A line with too few fields is dropped, or with ``strict=True`` fails the
+    task (as does an unparseable typed field). ``types`` casts each field
+    (default: string; non-strict casts give null when unparseable).
     """
     names = list(names)
     types = list(types or ["string"] * len(names))
@@ -24,9 +25,9 @@ def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = " ", col:
         raise ValueError("names and types must have the same length")
     fields = lines.select(java_split(col, sep).alias("_f"))
     if strict:
-        cols = [F.col("_f")[i].cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))]
+        cols = [strict_cast(strict_get("_f", i, "field"), t, n).alias(n) for i, (n, t) in enumerate(zip(names, types))]
         return fields.select(*cols)
-    record = F.struct(*[F.get(F.col("_f"), i).cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
+    record = F.struct(*[F.get(F.col("_f"), i).try_cast(t).alias(n) for i, (n, t) in enumerate(zip(names, types))])
     parsed = fields.select(F.when(F.size("_f") >= F.lit(len(names)), record).alias("_r"))
     # 0-or-1-row generator instead of a Filter, so the split runs once per line
     return parsed.select(F.inline(F.filter(F.array("_r"), lambda r: r.isNotNull())))

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.functions.text import spark_type, typed_or_default
+from skewkit.functions.text import spark_type, strict_cast, typed_or_default
 
 ROW_KEY = ":key"
 
@@ -94,7 +94,7 @@ def read_wide_column(cells: DataFrame, mapping: Sequence[CellColumn] | Sequence[
         if c.is_row_key:
             t = spark_type(c.type)
             key = F.col("_rowkey")
-            out.append((key.cast(t) if strict else key.try_cast(t)).alias(c.name))
+            out.append((strict_cast(key, t, "row key") if strict else key.try_cast(t)).alias(c.name))
         else:
             out.append(typed_or_default(F.col(f"_c{k}"), c.type, strict=strict).alias(c.name))
             k += 1

@@ -73,3 +73,24 @@ def test_scan_orc_typed(spark, site_log, tmp_dir):
     df = scan_orc(spark, path, "site string, url string")
     assert rows(df) == rows(site_log)
     assert rows(scan_orc(spark, path)) == rows(site_log)
+
+
+def test_strict_modes_raise_without_ansi(spark, tmp_dir):
+    from skewkit.sources.wide_column import read_wide_column
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("7\tx\tabc",)], "value string")
+        with pytest.raises(Exception):
+            parse_sales(df, strict=True).collect()
+        path = os.path.join(tmp_dir, "short.txt")
+        with open(path, "w") as f:
+            f.write("a b\nonly\n")
+        with pytest.raises(Exception):
+            scan_delimited(spark, path, ["x", "y"], strict=True).collect()
+        assert rows(scan_delimited(spark, path, ["x", "y"])) == [("a", "b")]
+        cells = spark.createDataFrame([("k", "d", "q", "x", 1)],
+                                      "rowkey string, cf string, qualifier string, value string, version long")
+        with pytest.raises(Exception):
+            read_wide_column(cells, [(":key", "id", "long"), ("d:q", "q", "int")], strict=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
