@@ -162,8 +162,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     hot_r = h.isin(right_only) if right_only else F.lit(False)
     l_salt = F.when(hot_l, salt_column(n_salts, by, seed)).otherwise(F.lit(0))
     r_salt = F.when(hot_r, salt_column(n_salts, right_by, seed + 1)).otherwise(F.lit(0))
-    lhs = left.withColumn("_salt", F.explode(F.when(hot_r, every).otherwise(F.array(l_salt))))
-    rhs = right.withColumn("_salt", F.explode(F.when(hot_l, every).otherwise(F.array(r_salt))))
+    # a side is exploded only where the other side has hot keys to meet
+    lhs = (left.withColumn("_salt", F.explode(F.when(hot_r, every).otherwise(F.array(l_salt))))
+           if right_only else left.withColumn("_salt", l_salt))
+    rhs = (right.withColumn("_salt", F.explode(F.when(hot_l, every).otherwise(F.array(r_salt))))
+           if left_hashes else right.withColumn("_salt", r_salt))
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
 
 

@@ -127,3 +127,19 @@ def test_salted_join_right_hot_keys(spark):
     assert rows(only_right) == plain
     with pytest.raises(ValueError):
         salted_join(left, right, "k", how="left", hot_keys="auto", right_hot_keys="auto")
+
+
+def test_hot_key_salting_engages_on_skewed_lineitem(spark):
+    # a third of lineitem rows moved onto one partkey: the key is found and salted
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    skewed = li.select(F.when(F.col("l_linenumber") == 1, F.lit(-1)).otherwise(F.col("l_partkey")).alias("k"),
+                       "l_orderkey", "l_linenumber")
+    right = skewed.select("k").distinct().withColumn("tag", F.col("k") % 7)
+    from skewkit.operators.joins import hot_key_hashes
+    hot = heavy_keys(skewed, "k", fraction=0.1)
+    assert rows(hot) == [(-1,)]
+    assert len(hot_key_hashes(hot, ["k"])) == 1
+    joined = salted_join(skewed, right, "k", n_salts=8, by=["l_orderkey", "l_linenumber"], hot_keys=hot)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(k#" in plan and "pmod(xxhash64(0, l_orderkey" in plan
+    assert rows(joined) == rows(skewed.join(right, "k"))
