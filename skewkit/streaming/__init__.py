@@ -1,11 +1,12 @@
 """Structured Streaming jobs: stateful counts, offset ledger, co-committed writes."""
 
 from skewkit.streaming.apps import (  # noqa: F401
-    start_running_counts, start_running_counts_per_record, start_sales_upsert, start_window_counts,
-    start_word_count_with_offsets,
+    start_running_counts, start_running_counts_per_record, start_sales_upsert, start_window_count_deltas,
+    start_window_counts, start_word_count_with_offsets,
 )
 from skewkit.streaming.jobs import (  # noqa: F401
-    SalesUpsertCommit, WordCountCommit, batch_word_count, replay_in_chunks,
+    SalesUpsertCommit, WindowCountCommit, WordCountCommit, batch_word_count, read_window_counts,
+    replay_in_chunks, word_counts_with_ledger,
 )
 from skewkit.streaming.ledger import (  # noqa: F401
     cocommit_batch, latest_ledger, offset_ledger, read_accumulated, read_latest, read_ledger,

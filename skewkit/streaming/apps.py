@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from skewkit.functions.parse import explode_words
-from skewkit.streaming.jobs import SalesUpsertCommit, WordCountCommit
+from skewkit.streaming.jobs import SalesUpsertCommit, WindowCountCommit, WordCountCommit
 from skewkit.streaming.stateful import UpdateLog, running_count, running_count_per_record, tumbling_count
 
 DEFAULT_EVERY = "5 seconds"
@@ -89,6 +89,14 @@ def start_window_counts(messages: DataFrame, sink: str, checkpoint: str, length:
                   checkpoint, every, state_partitions)
 
 
+def start_window_count_deltas(messages: DataFrame, sink: str, checkpoint: str, length: str = "5 seconds",
+                              every: str | None = DEFAULT_EVERY, run_id: str = "run0") -> StreamingQuery:
+    """Word counts per tumbling event-time window as per-batch deltas (stateless;
+    read with :func:`skewkit.streaming.jobs.read_window_counts`)."""
+    return _start(messages, messages.writeStream.foreachBatch(WindowCountCommit(sink, length, run_id)),
+                  checkpoint, every)
+
+
 def start_sales_upsert(messages: DataFrame, sink: str, checkpoint: str, group_id: str,
                        every: str | None = DEFAULT_EVERY, run_id: str = "run0",
                        strict: bool = False) -> StreamingQuery:
