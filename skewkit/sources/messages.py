@@ -42,7 +42,13 @@ def message_stream(spark: SparkSession, path: str | None = None, *,
                   .option("failOnDataLoss", "true"))
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-        raw = reader.load()
+        try:
+            raw = reader.load()
+        except Exception as exc:  # connector jar missing: name the fix
+            if "kafka" in str(exc).lower():
+                raise RuntimeError("the Kafka source needs the spark-sql-kafka-0-10 connector on the "
+                                   "classpath (spark.jars.packages); or replay files with path=...") from exc
+            raise
         return raw.select(
             "topic", "partition", "offset",
             F.col("timestamp").cast("timestamp_ntz").alias("ts"),

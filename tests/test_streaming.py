@@ -167,3 +167,13 @@ def test_window_count_deltas_keep_late_records(spark, tmp_dir):
     job(late, 1)     # replay of batch 1: overwrites, does not add
     got = rows(read_window_counts(spark.read.parquet(sink)), "window_start", "word", "cnt")
     assert got == [(T0, "a", 2), (T0, "b", 1), (T0 + dt.timedelta(hours=3), "a", 1)]
+
+
+def test_kafka_branch_names_the_missing_connector(spark):
+    import pytest
+    try:
+        message_stream(spark, kafka_servers="localhost:1", topics=["t"])
+    except RuntimeError as exc:
+        assert "spark-sql-kafka" in str(exc)
+    else:  # connector present: nothing to check without a broker
+        pytest.skip("Kafka connector is on the classpath")
