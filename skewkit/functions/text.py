@@ -26,6 +26,8 @@ def literal_regex(sep: str) -> str:
 
 def java_split(c: str | Column, sep: str, regex: bool = False) -> Column:
     """``array<string>`` equal to ``s.split(sep)`` on the JVM (limit 0)."""
+    if not sep:
+        raise ValueError("separator must not be empty")
     s = _col(c)
     pat = sep if regex else literal_regex(sep)
     stripped = F.regexp_replace(s, F.lit(f"(?:{pat})+$"), F.lit(""))

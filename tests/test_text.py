@@ -94,3 +94,8 @@ def test_strict_modes_raise_without_ansi(spark, tmp_dir):
             read_wide_column(cells, [(":key", "id", "long"), ("d:q", "q", "int")], strict=True).collect()
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_java_split_rejects_empty_separator():
+    with pytest.raises(ValueError):
+        java_split("v", "")
