@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skewkit.operators.topn import _names, count_per_key, salt_column, topn_distinct_counts
+from skewkit.operators.topn import _names, _salt_inputs, count_per_key, salt_column, topn_distinct_counts
 
 # Join types for which a replicated right side cannot duplicate output rows:
 # each left row meets exactly one replica, and unmatched right rows are never emitted.
@@ -76,7 +76,8 @@ def replicate(df: DataFrame, n: int, name: str = "salt") -> DataFrame:
 
 def heavy_keys(df: DataFrame, on: str | Sequence[str], fraction: float = 0.001,
                min_count: int = 2) -> DataFrame:
-    """Keys holding at least ``fraction`` of all rows (and ``min_count`` rows).
+    """Keys holding at least ``fraction`` of all rows (and ``min_count`` rows),
+    with their row count in column ``_n``.
 
     The result has at most ``1 / fraction`` rows (a proven bound), so it may be
     broadcast or collected. Costs one counting job plus one aggregate over the
@@ -88,24 +89,46 @@ def heavy_keys(df: DataFrame, on: str | Sequence[str], fraction: float = 0.001,
     total = df.count()
     threshold = max(min_count, int(total * fraction + 0.999999))
     keyed = df.select(*on).dropna(how="any", subset=on)  # null keys never match
-    return count_per_key(keyed, on, name="_n").where(F.col("_n") >= threshold).select(*on)
+    return count_per_key(keyed, on, name="_n").where(F.col("_n") >= threshold)
 
 
 MAX_HOT_KEYS = 10_000
+# Our parameter: rows one salt of a hot key should hold (about one task's worth).
+DEFAULT_ROWS_PER_SALT = 2_000_000
 
 
 def _key_hash(on: Sequence[str]):
     return F.xxhash64(*[F.col(k) for k in on])
 
 
-def hot_key_hashes(hot_keys: DataFrame, on: Sequence[str], limit: int = MAX_HOT_KEYS) -> list[int] | None:
-    """Hashes of the hot keys, or ``None`` when there are more than ``limit``.
+def hot_key_hashes(hot_keys: DataFrame, on: Sequence[str], limit: int = MAX_HOT_KEYS) -> dict[int, int] | None:
+    """``{key hash: row count}`` of the hot keys (count 0 when ``hot_keys`` has no
+    ``_n`` column), or ``None`` when there are more than ``limit`` keys.
 
-    At most ``limit + 1`` longs reach the driver. A hash shared with a cold key
-    only salts that key too, which never changes a join result.
+    At most ``limit + 1`` small rows reach the driver. A hash shared with a cold
+    key only salts that key too, which never changes a join result.
     """
-    got = [r[0] for r in hot_keys.select(_key_hash(on).alias("_h")).distinct().take(limit + 1)]
-    return None if len(got) > limit else got
+    n = F.col("_n") if "_n" in hot_keys.columns else F.lit(0)
+    got = (hot_keys.select(_key_hash(on).alias("_h"), n.cast("long").alias("_n"))
+           .groupBy("_h").agg(F.sum("_n").alias("_n")).take(limit + 1))
+    return None if len(got) > limit else {r["_h"]: r["_n"] for r in got}
+
+
+def _salts_for(counts: dict[int, int], n_salts: int, rows_per_salt: int | None) -> dict[int, int]:
+    """Salts per hot key: at least ``n_salts``, more for keys above ``rows_per_salt`` rows."""
+    if not rows_per_salt:
+        return {h: n_salts for h in counts}
+    return {h: max(n_salts, -(-c // rows_per_salt)) for h, c in counts.items()}
+
+
+def _salt_count(hashes: dict[int, int], h) -> "F.Column":
+    """Per-row salt count of a hot key: a literal map lookup (the map has at most
+    ``MAX_HOT_KEYS`` entries); one shared literal when all keys use the same count."""
+    values = set(hashes.values())
+    if len(values) == 1:
+        return F.lit(values.pop())
+    pairs = [x for k, v in sorted(hashes.items()) for x in (F.lit(k), F.lit(v))]
+    return F.element_at(F.create_map(*pairs), h)
 
 
 INNER_HOW = {"inner"}
@@ -115,17 +138,22 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
                 n_salts: int = 10, by: Sequence[str] | None = None, seed: int = 0,
                 hot_keys: DataFrame | str | None = None, hot_fraction: float = 0.001,
                 right_hot_keys: DataFrame | str | None = None,
-                right_by: Sequence[str] | None = None) -> DataFrame:
+                right_by: Sequence[str] | None = None,
+                rows_per_salt: int | None = DEFAULT_ROWS_PER_SALT) -> DataFrame:
     """Equi-join with hot keys salted on one side and replicated on the other.
 
     Returns the same rows as ``left.join(right, on, how)``; ``how`` must be
     inner, left outer, left semi or left anti.
 
     With neither ``hot_keys`` nor ``right_hot_keys``, every key of the left side
-    is salted and the right side replicated ``n_salts`` times. ``hot_keys`` as a DataFrame of key values, or
-    ``"auto"`` (keys holding at least ``hot_fraction`` of the left rows, see
-    :func:`heavy_keys`), does that only for those keys; all other rows join
-    plainly. With more than ``MAX_HOT_KEYS`` hot keys every key is salted.
+    is salted and the right side replicated ``n_salts`` times (the reference
+    form). ``hot_keys`` as a DataFrame of key values, or ``"auto"`` (keys holding
+    at least ``hot_fraction`` of the left rows, see :func:`heavy_keys`), does
+    that only for those keys; all other rows join plainly. A hot key whose row
+    count is known gets ``ceil(count / rows_per_salt)`` salts when that is more
+    than ``n_salts``, so a key holding a third of a huge table is still cut
+    into task-sized pieces. With more than ``MAX_HOT_KEYS`` hot keys every key
+    is salted.
 
     For inner joins ``right_hot_keys`` (DataFrame or ``"auto"``) handles keys
     that are hot on the right: their right rows are salted (by ``right_by``)
@@ -137,36 +165,41 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
                          "a replicated right side would repeat unmatched right rows")
     if right_hot_keys is not None and how.lower() not in INNER_HOW:
         raise ValueError("right_hot_keys needs an inner join: replicated left rows would repeat")
-    every = F.sequence(F.lit(0), F.lit(n_salts - 1))
 
     def resolve(keys, side):
         if isinstance(keys, str):
             if keys != "auto":
                 raise ValueError("hot keys must be None, 'auto' or a DataFrame")
             keys = heavy_keys(side, on, fraction=hot_fraction)
-        return None if keys is None else hot_key_hashes(keys, on)
+        counts = hot_key_hashes(keys, on)
+        return None if counts is None else _salts_for(counts, n_salts, rows_per_salt)
 
     if hot_keys is None and right_hot_keys is None:   # the reference form: every key salted
         lhs = left.withColumn("_salt", salt_column(n_salts, by, seed))
-        rhs = right.withColumn("_salt", F.explode(every))
+        rhs = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
         return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
-    left_hashes = resolve(hot_keys, left) if hot_keys is not None else []
-    right_hashes = resolve(right_hot_keys, right) if right_hot_keys is not None else []
-    if left_hashes is None or right_hashes is None:   # too many hot keys: salt everything
+    left_hot = resolve(hot_keys, left) if hot_keys is not None else {}
+    right_hot = resolve(right_hot_keys, right) if right_hot_keys is not None else {}
+    if left_hot is None or right_hot is None:   # too many hot keys: salt everything
         return salted_join(left, right, on, how, n_salts, by, seed)
-    right_only = sorted(set(right_hashes) - set(left_hashes))
-    if not left_hashes and not right_only:
+    right_hot = {h: n for h, n in right_hot.items() if h not in left_hot}
+    if not left_hot and not right_hot:
         return left.join(right, on, how)
     h = _key_hash(on)
-    hot_l = h.isin(left_hashes) if left_hashes else F.lit(False)
-    hot_r = h.isin(right_only) if right_only else F.lit(False)
-    l_salt = F.when(hot_l, salt_column(n_salts, by, seed)).otherwise(F.lit(0))
-    r_salt = F.when(hot_r, salt_column(n_salts, right_by, seed + 1)).otherwise(F.lit(0))
+    hot_l = h.isin(list(left_hot)) if left_hot else F.lit(False)
+    hot_r = h.isin(list(right_hot)) if right_hot else F.lit(False)
+    n_l = _salt_count(left_hot, h) if left_hot else F.lit(1)
+    n_r = _salt_count(right_hot, h) if right_hot else F.lit(1)
+    l_salt = F.when(hot_l, F.pmod(F.xxhash64(F.lit(seed), *_salt_inputs(by)), n_l).cast("int")).otherwise(F.lit(0))
+    r_salt = F.when(hot_r, F.pmod(F.xxhash64(F.lit(seed + 1), *_salt_inputs(right_by)), n_r).cast("int")
+                    ).otherwise(F.lit(0))
     # a side is exploded only where the other side has hot keys to meet
-    lhs = (left.withColumn("_salt", F.explode(F.when(hot_r, every).otherwise(F.array(l_salt))))
-           if right_only else left.withColumn("_salt", l_salt))
-    rhs = (right.withColumn("_salt", F.explode(F.when(hot_l, every).otherwise(F.array(r_salt))))
-           if left_hashes else right.withColumn("_salt", r_salt))
+    lhs = (left.withColumn("_salt", F.explode(F.when(hot_r, F.sequence(F.lit(0), (n_r - 1).cast("int")))
+                                              .otherwise(F.array(l_salt))))
+           if right_hot else left.withColumn("_salt", l_salt))
+    rhs = (right.withColumn("_salt", F.explode(F.when(hot_l, F.sequence(F.lit(0), (n_l - 1).cast("int")))
+                                               .otherwise(F.array(r_salt))))
+           if left_hot else right.withColumn("_salt", r_salt))
     return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
 
 

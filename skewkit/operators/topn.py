@@ -31,10 +31,13 @@ def salt_column(n_salts: int, by: Sequence[str | Column] | None = None, seed: in
         raise ValueError("n_salts must be >= 1")
     if n_salts == 1:
         return F.lit(0)
+    return F.pmod(F.xxhash64(F.lit(seed), *_salt_inputs(by)), F.lit(n_salts)).cast("int")
+
+
+def _salt_inputs(by: Sequence[str | Column] | None) -> list[Column]:
+    """Columns a salt is hashed from: ``by``, else the input partition id."""
     parts = [F.col(c) if isinstance(c, str) else c for c in (by or [])]
-    if not parts:
-        parts = [F.spark_partition_id()]
-    return F.pmod(F.xxhash64(F.lit(seed), *parts), F.lit(n_salts)).cast("int")
+    return parts or [F.spark_partition_id()]
 
 
 def add_salt(df: DataFrame, n_salts: int, by: Sequence[str] | None = None,

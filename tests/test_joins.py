@@ -63,7 +63,7 @@ def test_salted_join_equals_plain_with_nulls_and_hot_key(spark, how):
     plain = left.join(right, "k", how)
     assert rows(salted_join(left, right, "k", how=how, n_salts=5, by=["lid"])) == rows(plain)
     hot = heavy_keys(left, "k", fraction=0.2)
-    assert rows(hot) == [(7,)]
+    assert rows(hot, "k") == [(7,)]
     assert rows(salted_join(left, right, "k", how=how, n_salts=5, by=["lid"], hot_keys=hot)) == rows(plain)
 
 
@@ -137,9 +137,27 @@ def test_hot_key_salting_engages_on_skewed_lineitem(spark):
     right = skewed.select("k").distinct().withColumn("tag", F.col("k") % 7)
     from skewkit.operators.joins import hot_key_hashes
     hot = heavy_keys(skewed, "k", fraction=0.1)
-    assert rows(hot) == [(-1,)]
+    assert rows(hot, "k") == [(-1,)]
     assert len(hot_key_hashes(hot, ["k"])) == 1
     joined = salted_join(skewed, right, "k", n_salts=8, by=["l_orderkey", "l_linenumber"], hot_keys=hot)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64(k#" in plan and "pmod(xxhash64(0, l_orderkey" in plan
     assert rows(joined) == rows(skewed.join(right, "k"))
+
+
+def test_salts_grow_with_the_hot_key(spark):
+    from skewkit.operators.joins import _salts_for, hot_key_hashes
+    assert _salts_for({1: 10, 2: 1000, 3: 0}, 4, 100) == {1: 4, 2: 10, 3: 4}
+    assert _salts_for({1: 10**9}, 4, None) == {1: 4}
+    # two hot keys of different sizes: per-key salt counts, same result as a plain join
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 10 == 1, 2).otherwise(F.col("id") % 50 + 10)
+        .cast("long").alias("k"), F.col("id").alias("lid"))
+    right = spark.range(200).select((F.col("id") % 60).cast("long").alias("k"), F.col("id").alias("rid"))
+    hot = heavy_keys(left, "k", fraction=0.05)
+    counts = hot_key_hashes(hot, ["k"])
+    assert sorted(counts.values()) == [200, 1000]
+    got = salted_join(left, right, "k", n_salts=2, by=["lid"], hot_keys=hot, rows_per_salt=100)
+    assert rows(got) == rows(left.join(right, "k"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0" in plan
