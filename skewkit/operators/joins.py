@@ -127,7 +127,7 @@ def _salt_count(hashes: dict[int, int], h) -> "F.Column":
     values = set(hashes.values())
     if len(values) == 1:
         return F.lit(values.pop())
-    pairs = [x for k, v in sorted(hashes.items()) for x in (F.lit(k), F.lit(v))]
+    pairs = [x for k, v in sorted(hashes.items()) for x in (F.lit(k).cast("long"), F.lit(v).cast("int"))]
     return F.element_at(F.create_map(*pairs), h)
 
 
@@ -176,8 +176,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
     if hot_keys is None and right_hot_keys is None:   # the reference form: every key salted
         lhs = left.withColumn("_salt", salt_column(n_salts, by, seed))
-        rhs = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
-        return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
+        return lhs.join(replicate(right, n_salts, "_salt"), on + ["_salt"], how).drop("_salt")
     left_hot = resolve(hot_keys, left) if hot_keys is not None else {}
     right_hot = resolve(right_hot_keys, right) if right_hot_keys is not None else {}
     if left_hot is None or right_hot is None:   # too many hot keys: salt everything
