@@ -9,6 +9,12 @@ The checkpoint folder owns the source offsets: a restarted job resumes after
 the last committed batch, and batch-keyed sinks make a replayed batch
 overwrite itself. ``state_partitions`` sizes the state stores of a stateful
 job at its first start (default: the session's shuffle partitions).
+
+``run_id`` is part of every sink partition key. Keep it for restarts from the
+same checkpoint; give a **new, larger** one (e.g. a start timestamp) when a
+job starts from a fresh checkpoint into an existing sink: batch ids restart at
+0 and would otherwise replace the earlier run's batches, and "latest" reads
+order runs by ``run_id``.
 """
 
 from __future__ import annotations

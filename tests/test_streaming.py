@@ -234,3 +234,13 @@ def test_crash_in_stateful_job_then_restart_is_exact(spark, tmp_dir):
     run_available(start())   # batch 1 recomputed from the state of batch 0, rewritten in place
     got = spark.read.parquet(sink).select("word", "offset", "running_cnt")
     assert rows(got) == rows(running_count_per_record_batch(explode_words(msgs, keep=["offset"])))
+
+
+def test_fresh_checkpoint_needs_a_new_run_id(spark, tmp_dir):
+    msgs = _messages(spark, WORDS)
+    sink = os.path.join(tmp_dir, "sink")
+    WordCountCommit(sink, "g", run_id="run0")(msgs.where("offset < 10"), 0)
+    # a second job from a fresh checkpoint also starts at batch 0: its own run_id keeps both
+    WordCountCommit(sink, "g", run_id="run1")(msgs.where("offset >= 10"), 0)
+    out = spark.read.parquet(sink)
+    assert rows(read_accumulated(out)) == rows(batch_word_count(msgs))
