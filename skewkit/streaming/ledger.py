@@ -99,7 +99,9 @@ def read_ledger(df: DataFrame, group_id: str | None = None) -> DataFrame:
 
 
 def read_latest(df: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
-    """Keyed-put read: per key, the columns of the row with the largest ``order``."""
+    """Keyed-put read: per key, the columns of the row with the largest ``order``
+    (runs first: a later ``run_id`` wins over any batch of an earlier run)."""
+    order = (["run_id"] if "run_id" in df.columns and "run_id" not in order else []) + list(order)
     picked = (read_kind(df, KIND_DATA).groupBy(key)
               .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_v")))
     return picked.select(key, *[F.col("_v")[c].alias(c) for c in columns])

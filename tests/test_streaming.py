@@ -244,3 +244,13 @@ def test_fresh_checkpoint_needs_a_new_run_id(spark, tmp_dir):
     WordCountCommit(sink, "g", run_id="run1")(msgs.where("offset >= 10"), 0)
     out = spark.read.parquet(sink)
     assert rows(read_accumulated(out)) == rows(batch_word_count(msgs))
+
+
+def test_upsert_latest_across_runs(spark, tmp_dir):
+    sink = os.path.join(tmp_dir, "up")
+    first = spark.createDataFrame([("t", 0, 5, T0, "1\told\t1.0")], MESSAGE_SCHEMA)
+    second = spark.createDataFrame([("t", 0, 9, T0, "1\tnew\t2.0")], MESSAGE_SCHEMA)
+    SalesUpsertCommit(sink, "g", run_id="run0")(first, 5)
+    SalesUpsertCommit(sink, "g", run_id="run1")(second, 0)   # fresh checkpoint: batch ids restart
+    got = read_latest(spark.read.parquet(sink), "id", ["name", "money"], ["batch_id", "offset"])
+    assert rows(got) == [("1", "new", 2.0)]
