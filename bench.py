@@ -42,14 +42,21 @@ def main() -> None:
 
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, fn in all_queries().items():
         if only and name not in only:
             continue
-        for i in range(warmup):
-            t = timed(fn)
-            if i == 0:
-                cold[name] = t
-        times[name] = timed(fn)
+        try:
+            for i in range(warmup):
+                t = timed(fn)
+                if i == 0:
+                    cold[name] = t
+            times[name] = timed(fn)
+        except Exception as exc:  # keep measuring the others; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            cold.pop(name, None)
+            print(f"{name:28s} FAILED {errors[name]}", file=sys.stderr, flush=True)
+            continue
         print(f"{name:28s} {times[name]:8.3f}s  (cold {cold.get(name, times[name]):.3f}s)",
               file=sys.stderr, flush=True)
 
@@ -63,6 +70,7 @@ def main() -> None:
         "cold_total": round(sum(cold.values()), 3),
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
