@@ -34,3 +34,12 @@ def test_cli_join_topn_and_lookup(spark, tmp_dir):
         f.write("id,course\n110,zs\n220,ls\n")
     got = run(parser().parse_args(["lookup", "--left-csv", a, "--right-csv", b, "--key", "id"]), spark)
     assert rows(got) == [("110", "school1", "1", "zs"), ("111", "school2", "2", None)]
+
+
+def test_cli_orc_distinct_counts(spark, site_log, tmp_dir):
+    path = os.path.join(tmp_dir, "orc")
+    site_log.write.orc(path)
+    got = run(parser().parse_args(["topn", "--orc", path, "--distinct", "--salts", "9"]), spark)
+    assert rows(got, "site", "url", "cnt") == [
+        ("www.baidu.com", "url1", 1), ("www.baidu.com", "url2", 2),
+        ("www.google.com", "url1", 3), ("www.google.com", "url3", 2)]
