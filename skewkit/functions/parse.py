@@ -26,6 +26,8 @@ def parse_sales(df: DataFrame, col: str = "value", strict: bool = False,
     trailing tab does not count), its trimmed id is not ``"0"`` (the documented
     sentinel, so a real id ``0`` is dropped too) and its money parses. With
     ``strict=True`` unparseable money raises instead of dropping the row.
+    Money text parses as the JVM's ``Double.parseDouble`` does (Spark's cast
+    accepts the same forms: ``1.5d``, ``0x1p3``, ``+2.5``, ``NaN``, ``Infinity``).
     """
     staged = df.select(*keep, java_split(col, "\t").alias("_f"))
     money_txt = java_trim(F.get(F.col("_f"), 2))

@@ -99,3 +99,8 @@ def test_strict_modes_raise_without_ansi(spark, tmp_dir):
 def test_java_split_rejects_empty_separator():
     with pytest.raises(ValueError):
         java_split("v", "")
+
+
+def test_parse_sales_money_forms_of_the_jvm(spark):
+    df = spark.createDataFrame([("1\ta\t1.5d",), ("2\tb\t0x1p3",), ("3\tc\t+2.5",), ("4\td\t1,5",)], "value string")
+    assert rows(parse_sales(df), "id", "money") == [("1", 1.5), ("2", 8.0), ("3", 2.5)]
