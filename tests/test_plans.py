@@ -41,3 +41,11 @@ def test_wide_column_filter_reaches_scan(spark):
 
 def test_matched_pairs_is_semi_join(spark):
     assert "LeftSemi" in _plan(batch.matched_pairs_q(spark, SF))
+
+
+def test_running_count_batch_shuffles_by_word_and_bucket(spark):
+    import re
+    plan = _plan(batch.running_count_batch(spark, SF))
+    row_exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert any("word" in e and "_b" in e for e in row_exchanges)
+    assert "Window [row_number()" in plan
