@@ -5,13 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skewkit.llm import fuzzyhash, langid, packing, quality
+from skewkit.llm import decontaminate, fuzzyhash, jaccard_join, langid, packing, quality
 from skewkit.llm.common import read_table
 
 #: End-of-document ids that the contracts of op8 and op10 name.
 WORD_BPE_END, BYTE_BPE_END = 2, 1
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -30,5 +38,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_language_id, op7_quality_classifier, op9_document_fingerprints, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+    op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op7_quality_classifier, op9_document_fingerprints, op10_packing)}
+
+#: All pairs of shingle sets by an equality join, then the classes by a recursive closure.
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\t\n\x0b\x0c\r ]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+shingles AS (SELECT doc_id, unnest(s) AS s FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+pairs AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 10 * c >= 8 * (len(x.s) + len(y.s) - c)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+classes AS (SELECT node AS doc_id, min(root) AS class_id FROM reach GROUP BY node),
+degrees AS (SELECT a AS doc_id, count(*) AS n FROM links GROUP BY a)
+SELECT c.doc_id, c.class_id, coalesce(d.n, 0) AS n_links FROM classes c LEFT JOIN degrees d USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_ngram_jaccard_join": JACCARD_SQL}
