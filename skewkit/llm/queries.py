@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skewkit.llm import decontaminate, fuzzyhash, jaccard_join, langid, packing, quality
+from skewkit.llm import chat, decontaminate, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality
 from skewkit.llm.common import read_table
 
 #: End-of-document ids that the contracts of op8 and op10 name.
 WORD_BPE_END, BYTE_BPE_END = 2, 1
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -38,7 +50,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op7_quality_classifier, op9_document_fingerprints, op10_packing)}
+    op1_html_extraction, op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op5_chat_formatting,
+    op6_license_scans, op7_quality_classifier, op9_document_fingerprints, op10_packing)}
 
 #: All pairs of shingle sets by an equality join, then the classes by a recursive closure.
 JACCARD_SQL = r"""
