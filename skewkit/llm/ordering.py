@@ -42,20 +42,23 @@ def prefix_sums(df: DataFrame, order: list[str], value: str, out: str, splits: l
     """Add ``out``: the sum of ``value`` over all rows before this one, by ``order``.
 
     ``order[0]`` is the integer column that ``splits`` cut. Nulls come first. ``df`` is read
-    twice, so it should be a staged or cheap table. One total per range is summed up on
-    the driver (``len(splits) + 1`` numbers).
+    twice, so it should be a staged or cheap table.
     """
-    spark = df.sparkSession
-    dealt = df.withColumn("_range", range_index(order[0], splits))
-    totals = {r["_range"]: r["s"] or 0 for r in dealt.groupBy("_range").agg(F.sum(value).alias("s")).collect()}
+    return prefix_sums_by_range(df.withColumn("_range", range_index(order[0], splits)), order, value, out).drop("_range")
+
+
+def prefix_sums_by_range(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
+    """As ``prefix_sums``, for rows whose column ``_range`` already tells the range. One total per range is
+    summed up on the driver."""
+    totals = {r["_range"]: r["s"] or 0 for r in df.groupBy("_range").agg(F.sum(value).alias("s")).collect()}
     before, rows = 0, []
-    for part in range(len(splits) + 1):
+    for part in sorted(totals):
         rows.append((part, before))
-        before += totals.get(part, 0)
-    base = spark.createDataFrame(rows, "_range int, _before long")
+        before += totals[part]
+    base = df.sparkSession.createDataFrame(rows, "_range int, _before long")
     running = Window.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_first() for c in order]) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    return (dealt.withColumn("_inside", F.coalesce(F.sum(value).over(running), F.lit(0)))
+    return (df.withColumn("_inside", F.coalesce(F.sum(value).over(running), F.lit(0)))
             .join(F.broadcast(base), "_range")
             .withColumn(out, F.col("_before") + F.col("_inside"))
-            .drop("_range", "_before", "_inside"))
+            .drop("_before", "_inside"))

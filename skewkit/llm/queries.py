@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skewkit.llm import chat, decontaminate, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality
+from skewkit.llm import chat, decontaminate, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality, token_files
 from skewkit.llm.common import read_table
+from skewkit.session import scratch_path
 
 #: End-of-document ids that the contracts of op8 and op10 name.
 WORD_BPE_END, BYTE_BPE_END = 2, 1
@@ -40,6 +41,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-ids")
+    token_files.write_ids(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
+                          WORD_BPE_END)
+    return token_files.read_digests(spark, path)
+
+
 def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzyhash.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
@@ -51,7 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op5_chat_formatting,
-    op6_license_scans, op7_quality_classifier, op9_document_fingerprints, op10_packing)}
+    op6_license_scans, op7_quality_classifier, op8_token_ids, op9_document_fingerprints, op10_packing)}
 
 #: All pairs of shingle sets by an equality join, then the classes by a recursive closure.
 JACCARD_SQL = r"""
