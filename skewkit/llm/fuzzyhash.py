@@ -51,7 +51,7 @@ def boundary_levels(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     since = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
     with np.errstate(over="ignore"):
         scale = np.uint64(1)
-        for j in range(WINDOW):
+        for j in range(min(WINDOW, n)):
             seen = data[:n - j].astype(np.uint64) + np.uint64(1)
             value[j:] += np.where(since[j:] >= j, seen * scale, np.uint64(0))
             scale = scale * _factor
