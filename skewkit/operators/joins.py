@@ -3,9 +3,10 @@
 Design notes for scale:
 
 * The salt is its own integer column; keys are never rewritten.
-* ``salted_join`` replicates the right side ``n_salts`` times with one
-  ``explode(sequence)`` (one scan, no union loop). With ``hot_keys`` only the
-  rows of those keys are salted/replicated; everything else joins plainly.
+* Hot keys are those with more rows than one task should hold (``rows_per_salt``),
+  found by one count per key that combines map-side. They form a small table
+  ``(key, salts)`` that is joined to both sides; a broadcast where it
+  fits, a shuffle join where not, so there is no limit on their number.
 * A side is broadcast only after its rows and estimated bytes were checked
   against bounds (:func:`fits_broadcast`, one aggregate job); beyond them the
   join stays a shuffle join, where AQE's skew-join splitting still applies.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skewkit.operators.topn import _names, _salt_inputs, count_per_key, salt_column, topn_distinct_counts
+from skewkit.session import scratch_path
 
 # Join types for which a replicated right side cannot duplicate output rows:
 # each left row meets exactly one replica, and unmatched right rows are never emitted.
@@ -74,90 +76,95 @@ def replicate(df: DataFrame, n: int, name: str = "salt") -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
-def heavy_keys(df: DataFrame, on: str | Sequence[str], fraction: float = 0.001,
-               min_count: int = 2) -> DataFrame:
-    """Keys holding at least ``fraction`` of all rows (and ``min_count`` rows),
-    with their row count in column ``_n``.
-
-    The result has at most ``1 / fraction`` rows (a proven bound), so it may be
-    broadcast or collected. Costs one counting job plus one aggregate over the
-    key columns (combined map-side, so a hot key ships one row per task).
-    """
-    if not 0 < fraction <= 1:
-        raise ValueError("fraction must be in (0, 1]")
-    on = _names(on)
-    total = df.count()
-    threshold = max(min_count, int(total * fraction + 0.999999))
-    keyed = df.select(*on).dropna(how="any", subset=on)  # null keys never match
-    return count_per_key(keyed, on, name="_n").where(F.col("_n") >= threshold)
-
-
-MAX_HOT_KEYS = 10_000
 # Our parameter: rows one salt of a hot key should hold (about one task's worth).
 DEFAULT_ROWS_PER_SALT = 2_000_000
+# Our parameter: pieces for left rows whose key is null. They match nothing, so no
+# right row is replicated for them.
+NULL_KEY_SALTS = 1_000
 
-
-def _key_hash(on: Sequence[str]):
-    return F.xxhash64(*[F.col(k) for k in on])
+INNER_HOW = {"inner"}
 
 
-def hot_key_hashes(hot_keys: DataFrame, on: Sequence[str], limit: int = MAX_HOT_KEYS) -> dict[int, int] | None:
-    """``{key hash: row count}`` of the hot keys (count 0 when ``hot_keys`` has no
-    ``_n`` column), or ``None`` when there are more than ``limit`` keys.
+def heavy_keys(df: DataFrame, on: str | Sequence[str], rows: int = DEFAULT_ROWS_PER_SALT) -> DataFrame:
+    """Keys with more than ``rows`` rows, with their row count in column ``_n``.
 
-    At most ``limit + 1`` small rows reach the driver. A hash shared with a cold
-    key only salts that key too, which never changes a join result.
+    One count per key (combined map-side, so a hot key ships one row per task);
+    at most ``total / rows`` keys come out. Null keys never match and are left out.
     """
-    n = F.col("_n") if "_n" in hot_keys.columns else F.lit(0)
-    got = (hot_keys.select(_key_hash(on).alias("_h"), n.cast("long").alias("_n"))
-           .groupBy("_h").agg(F.sum("_n").alias("_n")).take(limit + 1))
-    return None if len(got) > limit else {r["_h"]: r["_n"] for r in got}
-
-
-def _salts_for(counts: dict[int, int], n_salts: int, rows_per_salt: int | None) -> dict[int, int]:
-    """Salts per hot key: at least ``n_salts``, more for keys above ``rows_per_salt`` rows."""
-    if not rows_per_salt:
-        return {h: n_salts for h in counts}
-    return {h: max(n_salts, -(-c // rows_per_salt)) for h, c in counts.items()}
-
-
-def _salt_count(hashes: dict[int, int], h) -> "F.Column":
-    """Per-row salt count of a hot key: a literal map lookup (the map has at most
-    ``MAX_HOT_KEYS`` entries); one shared literal when all keys use the same count."""
-    values = set(hashes.values())
-    if len(values) == 1:
-        return F.lit(values.pop())
-    pairs = [x for k, v in sorted(hashes.items()) for x in (F.lit(k).cast("long"), F.lit(v).cast("int"))]
-    return F.element_at(F.create_map(*pairs), h)
-
-
-INNER_HOW = {"inner"}
+    if rows < 1:
+        raise ValueError("rows must be >= 1")
+    on = _names(on)
+    keyed = df.select(*on).dropna(how="any", subset=on)
+    return count_per_key(keyed, on, name="_n").where(F.col("_n") > rows)
+
+
+def _common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[T.DataType] | None:
+    """The types both sides' keys are compared in; None where text meets another type
+    (whose comparison is not an equality of widened values)."""
+    out = []
+    for k in on:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if a != b and isinstance(a, T.StringType) != isinstance(b, T.StringType):
+            return None
+        out.append(a if a == b else left.select(k).limit(0).union(right.select(k).limit(0)).schema[k].dataType)
+    return out
+
+
+def _salt_by(df: DataFrame, by: Sequence[str] | None):
+    """What a row's salt is drawn from: ``by``, else the row's columns and its input partition."""
+    if by:
+        return _salt_inputs(by)
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)] + _salt_inputs(None)
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, (T.MapType, T.VariantType))
+
+
+def _hot_table(keys: DataFrame, names: Sequence[str], n_salts: int, rows_per_salt: int | None, salts: str) -> DataFrame:
+    """``(key, salts)``, one row per hot key, written once to the shared scratch folder."""
+    if "_n" in keys.columns and rows_per_salt:
+        n = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_salt)), F.lit(2)).cast("int")
+    else:
+        n = F.lit(n_salts)
+    table = keys.select(*names, n.alias(salts)).dropna(how="any", subset=list(names))
+    table = table.groupBy(*names).agg(F.max(salts).alias(salts))
+    path = scratch_path(keys.sparkSession, "hot-keys")
+    table.write.mode("overwrite").parquet(path)
+    return keys.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
                 n_salts: int = 10, by: Sequence[str] | None = None, seed: int = 0,
-                hot_keys: DataFrame | str | None = None, hot_fraction: float = 0.001,
+                hot_keys: DataFrame | str | None = None,
                 right_hot_keys: DataFrame | str | None = None,
                 right_by: Sequence[str] | None = None,
-                rows_per_salt: int | None = DEFAULT_ROWS_PER_SALT) -> DataFrame:
+                rows_per_salt: int | None = DEFAULT_ROWS_PER_SALT, hint: str | None = None) -> DataFrame:
     """Equi-join with hot keys salted on one side and replicated on the other.
 
     Returns the same rows as ``left.join(right, on, how)``; ``how`` must be
-    inner, left outer, left semi or left anti.
+    inner, left outer, left semi or left anti. Keys of different types are compared in
+    their common type, as the plain join does (text against another type is joined plainly).
 
     With neither ``hot_keys`` nor ``right_hot_keys``, every key of the left side
     is salted and the right side replicated ``n_salts`` times (the reference
-    form). ``hot_keys`` as a DataFrame of key values, or ``"auto"`` (keys holding
-    at least ``hot_fraction`` of the left rows, see :func:`heavy_keys`), does
+    form). ``hot_keys`` as a DataFrame of key values, or ``"auto"`` (keys with more than
+    ``rows_per_salt`` left rows, see :func:`heavy_keys`), does
     that only for those keys; all other rows join plainly. A hot key whose row
-    count is known gets ``ceil(count / rows_per_salt)`` salts when that is more
-    than ``n_salts``, so a key holding a third of a huge table is still cut
-    into task-sized pieces. With more than ``MAX_HOT_KEYS`` hot keys every key
-    is salted.
-
-    For inner joins ``right_hot_keys`` (DataFrame or ``"auto"``) handles keys
-    that are hot on the right: their right rows are salted (by ``right_by``)
-    and their left rows replicated. Keys hot on both sides stay left-salted.
+    count is known gets ``ceil(count / rows_per_salt)`` salts (at least 2), others ``n_salts``,
+    so a key holding a third of a huge table is cut into task-sized pieces.
+
+    For inner joins ``right_hot_keys`` (DataFrame or ``"auto"``) handles keys that are hot on the
+    right: their right rows are salted (by ``right_by``) and their left rows replicated. A key that is
+    hot on both sides gets a grid: left piece ``i`` meets right piece ``j`` in a group of its own.
+
+    Left rows with a null key (left and anti joins keep them) are spread over ``NULL_KEY_SALTS``
+    groups. ``by`` names the columns a row's piece is drawn from, best a row id; without it, all columns and the input
+    partition. ``hint`` is a join hint for the right side, such as ``"merge"``.
     """
     on = _names(on)
     if how.lower() not in SALTABLE_HOW:
@@ -165,41 +172,60 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
                          "a replicated right side would repeat unmatched right rows")
     if right_hot_keys is not None and how.lower() not in INNER_HOW:
         raise ValueError("right_hot_keys needs an inner join: replicated left rows would repeat")
-
-    def resolve(keys, side):
-        if isinstance(keys, str):
-            if keys != "auto":
-                raise ValueError("hot keys must be None, 'auto' or a DataFrame")
-            keys = heavy_keys(side, on, fraction=hot_fraction)
-        counts = hot_key_hashes(keys, on)
-        return None if counts is None else _salts_for(counts, n_salts, rows_per_salt)
-
+    for keys in (hot_keys, right_hot_keys):
+        if isinstance(keys, str) and keys != "auto":
+            raise ValueError("hot keys must be None, 'auto' or a DataFrame")
+    types = _common_types(left, right, on)
+    if types is None:
+        return left.join(right if hint is None else right.hint(hint), on, how)
+    keyed = [f"_k{i}" for i in range(len(on))]
+
+    def with_keys(df: DataFrame) -> DataFrame:
+        return df.withColumns({k: F.col(c).cast(t) for k, c, t in zip(keyed, on, types, strict=True)})
+
+    lhs = with_keys(left.select(*on, *[F.col(f"`{c}`") for c in left.columns if c not in on]))
+    rhs = with_keys(right)
     if hot_keys is None and right_hot_keys is None:   # the reference form: every key salted
-        lhs = left.withColumn("_salt", salt_column(n_salts, by, seed))
-        return lhs.join(replicate(right, n_salts, "_salt"), on + ["_salt"], how).drop("_salt")
-    left_hot = resolve(hot_keys, left) if hot_keys is not None else {}
-    right_hot = resolve(right_hot_keys, right) if right_hot_keys is not None else {}
-    if left_hot is None or right_hot is None:   # too many hot keys: salt everything
-        return salted_join(left, right, on, how, n_salts, by, seed)
-    right_hot = {h: n for h, n in right_hot.items() if h not in left_hot}
-    if not left_hot and not right_hot:
-        return left.join(right, on, how)
-    h = _key_hash(on)
-    hot_l = h.isin(list(left_hot)) if left_hot else F.lit(False)
-    hot_r = h.isin(list(right_hot)) if right_hot else F.lit(False)
-    n_l = _salt_count(left_hot, h) if left_hot else F.lit(1)
-    n_r = _salt_count(right_hot, h) if right_hot else F.lit(1)
-    l_salt = F.when(hot_l, F.pmod(F.xxhash64(F.lit(seed), *_salt_inputs(by)), n_l).cast("int")).otherwise(F.lit(0))
-    r_salt = F.when(hot_r, F.pmod(F.xxhash64(F.lit(seed + 1), *_salt_inputs(right_by)), n_r).cast("int")
-                    ).otherwise(F.lit(0))
-    # a side is exploded only where the other side has hot keys to meet
-    lhs = (left.withColumn("_salt", F.explode(F.when(hot_r, F.sequence(F.lit(0), (n_r - 1).cast("int")))
-                                              .otherwise(F.array(l_salt))))
-           if right_hot else left.withColumn("_salt", l_salt))
-    rhs = (right.withColumn("_salt", F.explode(F.when(hot_l, F.sequence(F.lit(0), (n_l - 1).cast("int")))
-                                               .otherwise(F.array(r_salt))))
-           if left_hot else right.withColumn("_salt", r_salt))
-    return lhs.join(rhs, on + ["_salt"], how).drop("_salt")
+        lhs = lhs.withColumn("_left", salt_column(n_salts, by, seed))
+        rhs = replicate(rhs.drop(*on), n_salts, "_left")
+        salts = ["_left"]
+    else:
+        salts = ["_left", "_right"]
+        lhs = lhs.withColumn("_draw", F.xxhash64(F.lit(seed), *_salt_by(left, by)))
+        rhs = rhs.withColumn("_draw", F.xxhash64(F.lit(seed + 1), *_salt_by(right, right_by))).drop(*on)
+        lhs, rhs = _grid(lhs, rhs, keyed, [
+            None if keys is None else _hot_table(
+                heavy_keys(side, keyed, rows_per_salt or DEFAULT_ROWS_PER_SALT) if isinstance(keys, str)
+                else keys.select(*[F.col(c).cast(t).alias(k) for k, c, t in zip(keyed, on, types, strict=True)],
+                                 *(["_n"] if "_n" in keys.columns else [])),
+                keyed, n_salts, rows_per_salt, name)
+            for keys, side, name in ((hot_keys, lhs, "_nl"), (right_hot_keys, rhs, "_nr"))])
+    if hint is not None:
+        rhs = rhs.hint(hint)
+    return lhs.join(rhs, keyed + salts, how).drop(*keyed, *salts)
+
+
+def _grid(lhs: DataFrame, rhs: DataFrame, keyed: list[str],
+          hot: list[DataFrame | None]) -> tuple[DataFrame, DataFrame]:
+    """Both sides (with ``_draw``, the hash that a row's piece is drawn from) with ``_left`` and ``_right``: own piece of the side's hot keys, all pieces of the other side's."""
+    sides = []
+    for df, own in ((lhs, 0), (rhs, 1)):
+        for table in hot:
+            if table is not None:
+                df = df.join(broadcast_if_bounded(table), keyed, "left")
+        piece, count = ("_left", "_nl") if own == 0 else ("_right", "_nr")
+        other, others = ("_right", "_nr") if own == 0 else ("_left", "_nl")
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keyed])
+        n = F.coalesce(F.col(count), F.lit(1)) if hot[own] is not None else F.lit(1)
+        if own == 0:
+            n = F.when(null_key, F.lit(NULL_KEY_SALTS)).otherwise(n)
+        df = df.withColumn(piece, F.pmod(F.col("_draw"), n).cast("int"))
+        if hot[1 - own] is not None:
+            df = df.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(others), F.lit(1)) - 1)))
+        else:
+            df = df.withColumn(other, F.lit(0))
+        sides.append(df.drop("_nl", "_nr", "_draw"))
+    return sides[0], sides[1]
 
 
 def matched_pairs(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -213,27 +239,24 @@ def matched_pairs(left: DataFrame, right: DataFrame, on: str | Sequence[str]) ->
 
 
 def join_topn(left: DataFrame, right: DataFrame, group: str, key: str, n: int | None = 2,
-              n_salts: int = 10, by: Sequence[str] | None = None, cnt: str = "cnt",
-              name: str = "rn", hot_keys: DataFrame | str | None = None,
-              hot_fraction: float = 0.001) -> DataFrame:
+              cnt: str = "cnt", name: str = "rn") -> DataFrame:
     """Per ``group``, the top ``n`` distinct counts of matched left rows per (group, key).
 
     ``cnt`` counts the left rows that have at least one partner in ``right``
-    (right duplicates do not multiply it). The semi-join is salted (all keys,
-    or only hot ones with ``hot_keys``, as in :func:`salted_join`).
+    (right duplicates do not multiply it). The join key is the grouping key, so left
+    rows are counted first (combined map-side, one row per key is shuffled) and
+    the counts are kept whose key the right side has: a hot key is one row in the join.
     """
     on = [group, key]
-    keep = on + list(by or [])
-    matched = salted_join(left.select(*keep), right.select(*on).distinct(), on, how="left_semi",
-                          n_salts=n_salts, by=by, hot_keys=hot_keys, hot_fraction=hot_fraction)
-    counts = count_per_key(matched, on, name=cnt)
-    return topn_distinct_counts(counts, group, key, cnt=cnt, n=n, name=name)
+    counts = count_per_key(left.select(*on), on, name=cnt)
+    matched = counts.join(right.select(*on).distinct(), on, "left_semi")
+    return topn_distinct_counts(matched, group, key, cnt=cnt, n=n, name=name)
 
 
 def broadcast_left_join(big: DataFrame, small: DataFrame, on: str | Sequence[str],
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``big LEFT JOIN small`` with ``small`` broadcast when it fits ``max_rows``."""
-    return big.join(broadcast_if_bounded(small, max_rows), _names(on), "left")
+                        max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``big LEFT JOIN small`` with ``small`` broadcast when it fits both bounds."""
+    return big.join(broadcast_if_bounded(small, max_rows, max_bytes), _names(on), "left")
 
 
 def latest_per_key(df: DataFrame, on: str | Sequence[str], order_by: str) -> DataFrame:
@@ -248,9 +271,13 @@ def latest_per_key(df: DataFrame, on: str | Sequence[str], order_by: str) -> Dat
 
 
 def broadcast_lookup_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], order_by: str,
-                          max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                          max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Inner lookup join: ``small`` reduced to one row per key (largest ``order_by``
-    wins), then broadcast when it fits ``max_rows``; rows of ``big`` without a key
-    in ``small`` are dropped."""
+    wins), then broadcast when it fits both bounds; rows of ``big`` without a key
+    in ``small`` are dropped. The reduced table is written once to the scratch folder, so the
+    size check and the join do not compute it twice."""
     lookup = latest_per_key(small, on, order_by)
-    return big.join(broadcast_if_bounded(lookup, max_rows), _names(on), "inner")
+    path = scratch_path(small.sparkSession, "lookup")
+    lookup.write.mode("overwrite").parquet(path)
+    lookup = small.sparkSession.read.schema(lookup.schema).parquet(path)
+    return big.join(broadcast_if_bounded(lookup, max_rows, max_bytes), _names(on), "inner")

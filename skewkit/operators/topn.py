@@ -56,7 +56,11 @@ def salted_count(df: DataFrame, keys: str | Sequence[str], n_salts: int = 9,
     """Two-phase count: partial counts per (salt, key), then sum per key.
 
     Equal to :func:`count_per_key` for every ``n_salts``. The first exchange is
-    on (salt, key), so a single hot key is spread over ``n_salts`` reducers.
+    on (salt, key), so a single hot key's partial counts are spread over ``n_salts``
+    reducers. By default the salt is drawn by the input partition: a map task then
+    emits one partial row per key, as many as the plain count, and reads no
+    other column. ``by`` draws it by row instead, at up to ``n_salts`` partial rows per
+    key and task.
     """
     keys = _names(keys)
     salted = df.select(*keys, salt_column(n_salts, by, seed).alias("_salt"))

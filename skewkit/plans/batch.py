@@ -26,8 +26,10 @@ TOP_N = 2
 SALTS_RDD_TOPN = 9
 SALTS_SQL_TOPN = 3
 SALTS_JOIN = 10
-# Our parameter: a key is hot when it holds at least this share of the rows.
-HOT_FRACTION = 0.001
+# Our parameter: rows per task-sized piece in the queries that join hot keys. Far below the
+# default (joins.DEFAULT_ROWS_PER_SALT), so that keys of the test data are hot.
+ROWS_PER_SALT = 500
+ROWS_PER_SALT_PAIRS = 5
 
 
 def topn_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,11 +40,11 @@ def topn_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topn_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``topn_sql`` with the count done in two phases over 9 salts."""
     ev = table(spark, sf_dir, "events")
-    return salted_topn(ev, "event_type", "user_id", n=TOP_N, n_salts=SALTS_RDD_TOPN, by=["event_id"])
+    return salted_topn(ev, "event_type", "user_id", n=TOP_N, n_salts=SALTS_RDD_TOPN)
 
 
 # Spark SQL text over a DataFrame bound as a view: salt in its own column
-# (a hash of the row id, never glued into the key), partial counts per
+# (by input partition, never glued into the key), partial counts per
 # (salt, key), sums per key, then row_number with a key tie-break.
 SALTED_TOPN_SQL = """
 SELECT event_type, user_id, cnt, rn
@@ -53,7 +55,7 @@ FROM (
     SELECT event_type, user_id, CAST(sum(part_cnt) AS BIGINT) AS cnt
     FROM (
       SELECT salt, event_type, user_id, count(1) AS part_cnt
-      FROM (SELECT event_type, user_id, pmod(xxhash64(event_id), {n_salts}) AS salt FROM {process})
+      FROM (SELECT event_type, user_id, pmod(spark_partition_id(), {n_salts}) AS salt FROM {process})
       GROUP BY salt, event_type, user_id
     )
     GROUP BY event_type, user_id
@@ -71,7 +73,7 @@ def topn_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_counts_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return salted_count(ev, ["event_type", "user_id"], n_salts=SALTS_RDD_TOPN, by=["event_id"])
+    return salted_count(ev, ["event_type", "user_id"], n_salts=SALTS_RDD_TOPN)
 
 
 def topn_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,8 +93,7 @@ def count_per_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def count_salted_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return salted_count(li, ["l_returnflag", "l_partkey"], n_salts=SALTS_RDD_TOPN,
-                        by=["l_orderkey", "l_linenumber"])
+    return salted_count(li, ["l_returnflag", "l_partkey"], n_salts=SALTS_RDD_TOPN)
 
 
 def distinct_keys_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,10 +128,46 @@ def salted_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def salted_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``salted_join`` but only keys holding >= 0.1 % of the orders are salted."""
+    """As ``salted_join`` but only keys with more orders than a task should hold are salted."""
     orders, customer = _orders_customers(spark, sf_dir)
-    return salted_join(orders, customer, "custkey", n_salts=SALTS_JOIN, by=["o_orderkey"],
-                       hot_keys="auto", hot_fraction=HOT_FRACTION)
+    return salted_join(orders, customer, "custkey", n_salts=SALTS_JOIN, by=["o_orderkey"], hot_keys="auto")
+
+
+def salted_join_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``salted_join_hot`` with an int key on the left, a bigint key on the right, and hot keys."""
+    orders, customer = _orders_customers(spark, sf_dir)
+    orders = orders.withColumn("custkey", F.col("custkey").cast("int"))
+    customer = customer.withColumn("custkey", F.col("custkey").cast("bigint"))
+    return salted_join(orders, customer, "custkey", by=["o_orderkey"], hot_keys="auto",
+                       rows_per_salt=ROWS_PER_SALT_PAIRS, hint="merge")
+
+
+def _event_types(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ev = table(spark, sf_dir, "events").select("event_type", "event_id", "user_id")
+    users = ev.groupBy("event_type").agg(F.countDistinct("user_id").alias("n_users"))
+    return ev, users
+
+
+def salted_join_hot_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events (each type holds a fifth of them) joined with a row per type, as a shuffle join."""
+    ev, users = _event_types(spark, sf_dir)
+    return salted_join(ev, users, "event_type", by=["event_id"], hot_keys="auto", rows_per_salt=ROWS_PER_SALT,
+                       hint="merge")
+
+
+def salted_join_hot_right(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per type joined with the events, as a shuffle join: the right side is hot."""
+    ev, users = _event_types(spark, sf_dir)
+    return salted_join(users, ev, "event_type", right_hot_keys="auto", right_by=["event_id"],
+                       rows_per_salt=ROWS_PER_SALT, hint="merge")
+
+
+def salted_join_hot_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events paired with the events of the same type and user: keys hot on both sides, as a shuffle join."""
+    ev = table(spark, sf_dir, "events").select("event_type", "user_id", "event_id")
+    a, b = ev.withColumnRenamed("event_id", "a_event"), ev.withColumnRenamed("event_id", "b_event")
+    return salted_join(a, b, ["event_type", "user_id"], by=["a_event"], hot_keys="auto", right_hot_keys="auto",
+                       right_by=["b_event"], rows_per_salt=ROWS_PER_SALT_PAIRS, hint="merge")
 
 
 def _lineitem_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -146,14 +183,12 @@ def _lineitem_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def salted_join_2key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem A JOIN returned lineitem B on (l_partkey, l_suppkey).
 
-    Both sides are fact-sized, so only hot key pairs (>= 0.1 % of A, or of B)
-    are salted over 10 replicas, on the side where they are hot; replicating
-    all of B would multiply its shuffle tenfold.
+    Both sides are fact-sized, so only key pairs with more rows than a task should hold
+    are salted, on the side where they are hot; replicating all of B would multiply its shuffle.
     """
     a, b = _lineitem_sides(spark, sf_dir)
-    return salted_join(a, b, ["l_partkey", "l_suppkey"], n_salts=SALTS_JOIN, by=["a_orderkey", "a_linenumber"],
-                       hot_keys="auto", hot_fraction=HOT_FRACTION,
-                       right_hot_keys="auto", right_by=["b_orderkey", "b_linenumber"])
+    return salted_join(a, b, ["l_partkey", "l_suppkey"], by=["a_orderkey", "a_linenumber"],
+                       hot_keys="auto", right_hot_keys="auto", right_by=["b_orderkey", "b_linenumber"])
 
 
 def matched_pairs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +201,7 @@ def join_topn_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     (event_type, user_id), top 2 distinct counts per event_type."""
     ev = table(spark, sf_dir, "events")
     b = ev.where(F.col("value") > 100)
-    return join_topn(ev, b, "event_type", "user_id", n=TOP_N, n_salts=SALTS_JOIN, by=["event_id"],
-                     hot_keys="auto", hot_fraction=HOT_FRACTION)
+    return join_topn(ev, b, "event_type", "user_id", n=TOP_N)
 
 
 def left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,6 +246,15 @@ def wide_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_wide_column(spark.read.parquet(path), mapping)
 
 
+def wide_column_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``wide_column`` over cells whose row keys and values are bytes."""
+    cells = fx.customer_cells(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    raw = cells.withColumns({c: F.encode(c, "UTF-8") for c in ("rowkey", "value")})
+    path = fx.stage_parquet(spark, raw, "customer-cells-binary")
+    mapping = parse_column_mapping(fx.CUSTOMER_STORE_COLUMNS, fx.CUSTOMER_SPARK_COLUMNS)
+    return read_wide_column(spark.read.parquet(path), mapping)
+
+
 BATCH_QUERIES = {
     "topn_sql": topn_sql,
     "topn_salted": topn_salted,
@@ -225,6 +268,10 @@ BATCH_QUERIES = {
     "scan_orc_topn_all": scan_orc_topn_all,
     "salted_join": salted_join_q,
     "salted_join_hot": salted_join_hot,
+    "salted_join_mixed_types": salted_join_mixed_types,
+    "salted_join_hot_left": salted_join_hot_left,
+    "salted_join_hot_right": salted_join_hot_right,
+    "salted_join_hot_both": salted_join_hot_both,
     "salted_join_2key": salted_join_2key,
     "matched_pairs": matched_pairs_q,
     "join_topn": join_topn_q,
@@ -234,4 +281,5 @@ BATCH_QUERIES = {
     "running_count_batch": running_count_batch,
     "parse_sales": parse_sales_q,
     "wide_column": wide_column,
+    "wide_column_binary": wide_column_binary,
 }

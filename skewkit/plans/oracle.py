@@ -43,6 +43,12 @@ SELECT o.o_custkey AS custkey, o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
+_EVENT_TYPES = """
+SELECT e.event_type, e.event_id, e.user_id, t.n_users
+FROM events e JOIN (SELECT event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY event_type) t
+  ON e.event_type = t.event_type
+"""
+
 # JVM trim: strip chars U+0000..U+0020 at both ends.
 _JTRIM = "regexp_replace({x}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 
@@ -80,6 +86,13 @@ SELECT site, url, cnt, CAST(rn AS INTEGER) AS rn FROM (
     "scan_orc_topn_all": _distinct_counts(_SITE_COUNTS, "site", "url", ""),
     "salted_join": _ORDERS_JOIN_CUSTOMER,
     "salted_join_hot": _ORDERS_JOIN_CUSTOMER,
+    "salted_join_mixed_types": f"SELECT * REPLACE (CAST(custkey AS INTEGER) AS custkey) FROM ({_ORDERS_JOIN_CUSTOMER}) j",
+    "salted_join_hot_left": _EVENT_TYPES,
+    "salted_join_hot_right": _EVENT_TYPES,
+    "salted_join_hot_both": """
+SELECT a.event_type, a.user_id, a.event_id AS a_event, b.event_id AS b_event
+FROM events a JOIN events b ON a.event_type = b.event_type AND a.user_id = b.user_id
+""",
     "salted_join_2key": _LINEITEM_JOIN,
     "matched_pairs": f"SELECT DISTINCT l_partkey, l_suppkey FROM ({_LINEITEM_JOIN}) j",
     "join_topn": _distinct_counts(
@@ -116,6 +129,7 @@ _MESSAGES = ("SELECT 'events' AS topic, CAST(user_id % 4 AS INTEGER) AS \"partit
 _LEDGER = ("SELECT 'events' AS topic, 'skewkit' AS group_id, CAST(user_id % 4 AS INTEGER) AS part, "
            "max(event_id) + 1 AS \"offset\" FROM events GROUP BY user_id % 4")
 
+ORACLE_SQL["wide_column_binary"] = ORACLE_SQL["wide_column"]
 ORACLE_SQL.update({
     "stream_tumbling": f"""
 SELECT time_bucket(INTERVAL '5 seconds', ts) AS window_start,
@@ -141,7 +155,7 @@ FROM ({_WORDS}) w
     "stream_resume": f"""
 WITH m AS ({_MESSAGES}),
 led AS (SELECT topic, "partition", max("offset") + 1 AS nxt FROM m
-        WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY topic, "partition")
+        WHERE "offset" < (SELECT (min("offset") + max("offset") + 1) // 2 FROM m) GROUP BY topic, "partition")
 SELECT m.topic, m."partition", m."offset"
 FROM m LEFT JOIN led ON m.topic = led.topic AND m."partition" = led."partition"
 WHERE led.nxt IS NULL OR m."offset" >= led.nxt
@@ -154,3 +168,4 @@ GROUP BY id
 """,
     "stream_upsert_ledger": _LEDGER,
 })
+ORACLE_SQL["stream_running_keyed"] = ORACLE_SQL["stream_running_per_record"]

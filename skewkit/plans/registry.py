@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from skewkit.plans.batch import BATCH_QUERIES
 from skewkit.plans.oracle import ORACLE_SQL
+from skewkit.plans.streams import STREAM_QUERIES
 
 
 def all_queries() -> dict:
-    out = dict(BATCH_QUERIES)
-    try:
-        from skewkit.plans.streams import STREAM_QUERIES
-    except ImportError:  # pragma: no cover - streaming plans not present
-        STREAM_QUERIES = {}
-    out.update(STREAM_QUERIES)
-    return out
+    return {**BATCH_QUERIES, **STREAM_QUERIES}
 
 
 def all_oracle_sql() -> dict[str, str]:

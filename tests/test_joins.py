@@ -27,11 +27,10 @@ def test_join_topn_equals_counts(site_log):
     assert got == rows(topn_distinct_counts(counts, "site", "url", n=None), "site", "url", "cnt")
 
 
-@pytest.mark.parametrize("hot", [None, "auto"])
-def test_join_topn_right_duplicates_do_not_multiply(spark, hot):
+def test_join_topn_right_duplicates_do_not_multiply(spark):
     a = spark.createDataFrame([("s", "u")] * 3 + [("s", "v")], "site string, url string")
     b = spark.createDataFrame([("s", "u")] * 5 + [("t", "v")], "site string, url string")
-    assert rows(join_topn(a, b, "site", "url", hot_keys=hot, hot_fraction=0.5), "url", "cnt") == [("u", 3)]
+    assert rows(join_topn(a, b, "site", "url"), "url", "cnt") == [("u", 3)]
 
 
 def test_left_lookup_golden(spark):
@@ -62,7 +61,7 @@ def test_salted_join_equals_plain_with_nulls_and_hot_key(spark, how):
     right = right.unionByName(spark.createDataFrame([(None, 999)], "k long, rid long"))
     plain = left.join(right, "k", how)
     assert rows(salted_join(left, right, "k", how=how, n_salts=5, by=["lid"])) == rows(plain)
-    hot = heavy_keys(left, "k", fraction=0.2)
+    hot = heavy_keys(left, "k", rows=600)
     assert rows(hot, "k") == [(7,)]
     assert rows(salted_join(left, right, "k", how=how, n_salts=5, by=["lid"], hot_keys=hot)) == rows(plain)
 
@@ -84,8 +83,8 @@ def test_replicate_equals_union_form(site_log):
 
 def test_heavy_keys_bound(spark):
     df = spark.range(10_000).select((F.col("id") % 5).alias("k"))
-    assert heavy_keys(df, "k", fraction=0.5).count() == 0
-    assert heavy_keys(df, "k", fraction=0.1).count() == 5
+    assert heavy_keys(df, "k", rows=2000).count() == 0
+    assert heavy_keys(df, "k", rows=1999).count() == 5
 
 
 def test_broadcast_only_within_bound(spark):
@@ -120,10 +119,10 @@ def test_salted_join_right_hot_keys(spark):
         F.when(F.col("id") % 4 == 0, 2).when(F.col("id") % 4 == 1, 3).otherwise(F.col("id") % 40).cast("long").alias("k"),
         F.col("id").alias("rid"))
     plain = rows(left.join(right, "k"))
-    got = salted_join(left, right, "k", n_salts=4, by=["lid"], hot_keys="auto", hot_fraction=0.2,
+    got = salted_join(left, right, "k", n_salts=4, by=["lid"], hot_keys="auto", rows_per_salt=150,
                       right_hot_keys="auto", right_by=["rid"])
     assert rows(got) == plain
-    only_right = salted_join(left, right, "k", n_salts=4, right_hot_keys="auto", hot_fraction=0.2, right_by=["rid"])
+    only_right = salted_join(left, right, "k", n_salts=4, right_hot_keys="auto", rows_per_salt=150, right_by=["rid"])
     assert rows(only_right) == plain
     with pytest.raises(ValueError):
         salted_join(left, right, "k", how="left", hot_keys="auto", right_hot_keys="auto")
@@ -135,29 +134,73 @@ def test_hot_key_salting_engages_on_skewed_lineitem(spark):
     skewed = li.select(F.when(F.col("l_linenumber") == 1, F.lit(-1)).otherwise(F.col("l_partkey")).alias("k"),
                        "l_orderkey", "l_linenumber")
     right = skewed.select("k").distinct().withColumn("tag", F.col("k") % 7)
-    from skewkit.operators.joins import hot_key_hashes
-    hot = heavy_keys(skewed, "k", fraction=0.1)
+    hot = heavy_keys(skewed, "k", rows=600)
     assert rows(hot, "k") == [(-1,)]
-    assert len(hot_key_hashes(hot, ["k"])) == 1
-    joined = salted_join(skewed, right, "k", n_salts=8, by=["l_orderkey", "l_linenumber"], hot_keys=hot)
+    joined = salted_join(skewed, right, "k", n_salts=8, by=["l_orderkey", "l_linenumber"], hot_keys=hot, rows_per_salt=500)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64(k#" in plan and "pmod(xxhash64(0, l_orderkey" in plan
+    assert "xxhash64(0, l_orderkey" in plan
     assert rows(joined) == rows(skewed.join(right, "k"))
 
 
 def test_salts_grow_with_the_hot_key(spark):
-    from skewkit.operators.joins import _salts_for, hot_key_hashes
-    assert _salts_for({1: 10, 2: 1000, 3: 0}, 4, 100) == {1: 4, 2: 10, 3: 4}
-    assert _salts_for({1: 10**9}, 4, None) == {1: 4}
-    # two hot keys of different sizes: per-key salt counts, same result as a plain join
+    from skewkit.operators.joins import _hot_table
     left = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 10 == 1, 2).otherwise(F.col("id") % 50 + 10)
         .cast("long").alias("k"), F.col("id").alias("lid"))
     right = spark.range(200).select((F.col("id") % 60).cast("long").alias("k"), F.col("id").alias("rid"))
-    hot = heavy_keys(left, "k", fraction=0.05)
-    counts = hot_key_hashes(hot, ["k"])
-    assert sorted(counts.values()) == [200, 1000]
-    got = salted_join(left, right, "k", n_salts=2, by=["lid"], hot_keys=hot, rows_per_salt=100)
+    hot = heavy_keys(left, "k", rows=100)
+    assert rows(hot) == [(1, 1000), (2, 200)]
+    assert rows(_hot_table(hot, ["k"], 2, 100, "n")) == [(1, 10), (2, 2)]
+    assert rows(_hot_table(hot.drop("_n"), ["k"], 7, 100, "n")) == [(1, 7), (2, 7)]
+    got = salted_join(left, right, "k", by=["lid"], hot_keys=hot, rows_per_salt=100)
     assert rows(got) == rows(left.join(right, "k"))
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert "sequence(0" in plan
+
+
+MIXED = [("int", "bigint"), ("bigint", "int"), ("float", "double"), ("decimal(5,1)", "decimal(12,3)"),
+         ("date", "timestamp"), ("int", "double"), ("string", "int")]
+
+
+@pytest.mark.parametrize("types", MIXED, ids="-".join)
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_mixed_key_types_equal_the_plain_join(spark, types, how):
+    def key(kind):
+        day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("k").cast("int"))
+        return (day if kind in ("date", "timestamp") else F.col("k")).cast(kind)
+    base = spark.range(400).select(F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 2 == 0, 7)
+                                   .otherwise(F.col("id") % 30).alias("k"), F.col("id").alias("lid"))
+    left = base.select(key(types[0]).alias("k"), "lid")
+    right = spark.range(20).select(F.col("id").alias("k"), F.col("id").alias("rid")).select(key(types[1]).alias("k"), "rid")
+    plain = left.join(right, "k", how)
+    for keys in (None, "auto"):
+        got = salted_join(left, right, "k", how=how, n_salts=3, hot_keys=keys, rows_per_salt=20)
+        assert got.dtypes == plain.dtypes and rows(got) == rows(plain)
+
+
+def test_keys_hot_on_both_sides_meet_once(spark):
+    left = spark.range(300).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    right = spark.range(200).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("b"))
+    got = salted_join(left, right, "k", by=["a"], hot_keys="auto", right_hot_keys="auto", right_by=["b"], rows_per_salt=50)
+    assert got.count() == 60_000 == got.distinct().count()
+
+
+def test_null_keys_are_spread_and_kept(spark):
+    left = spark.range(5000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("lid"))
+    right = spark.range(5).select(F.col("id").alias("k"), F.col("id").alias("rid"))
+    for how, n in (("inner", 0), ("left", 5000), ("left_anti", 5000), ("left_semi", 0)):
+        assert salted_join(left, right, "k", how=how, hot_keys="auto").count() == n
+    left = left.unionByName(spark.range(9).select(F.col("id").alias("k"), F.col("id").alias("lid")))
+    joined = salted_join(left, right, "k", how="left", hot_keys="auto", hint="merge")
+    assert "1000" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lookup_bounds_reach_the_size_check(spark):
+    big = spark.range(100).select((F.col("id") % 10).alias("id"))
+    small = spark.range(10).select("id", F.col("id").alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bytes_, found in ((10**6, True), (10, False)):
+            for joined in (broadcast_left_join(big, small, "id", max_bytes=bytes_),
+                           broadcast_lookup_join(big, small, "id", "w", max_bytes=bytes_)):
+                assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

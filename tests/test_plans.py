@@ -49,3 +49,30 @@ def test_running_count_batch_shuffles_by_word_and_bucket(spark):
     row_exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert any("word" in e and "_b" in e for e in row_exchanges)
     assert "Window [row_number()" in plan
+
+
+def test_hot_joins_shuffle_on_key_and_pieces(spark):
+    for q in (batch.salted_join_hot_left, batch.salted_join_hot_right, batch.salted_join_hot_both):
+        plan = _plan(q(spark, SF))
+        assert "SortMergeJoin" in plan and "_left" in plan and "Generate explode" in plan
+
+
+def test_join_topn_shuffles_counts_not_rows(spark):
+    plan = _plan(batch.join_topn_q(spark, SF))
+    semi = plan[plan.index("LeftSemi"):]
+    assert "partial_count(1)" in semi[:semi.index("Scan parquet")] or "partial_count" in semi
+
+
+def test_salted_count_combines_like_the_plain_one(spark):
+    from skewkit.operators.topn import count_per_key, salted_count
+    df = spark.read.parquet(f"{SF}/lineitem.parquet").repartition(6).cache()
+
+    def partials(counts):
+        from pyspark.sql import functions as F
+        # rows that the map side emits: one per key (and salt) of a partition
+        return counts(df.withColumn("task", F.spark_partition_id())).count()
+    plain = partials(lambda d: count_per_key(d, ["task", "l_returnflag", "l_partkey"]))
+    salted = partials(lambda d: d.selectExpr("task", "pmod(xxhash64(0, task), 9) AS salt", "l_returnflag", "l_partkey").distinct())
+    assert salted == plain
+    assert "l_orderkey" not in _plan(batch.count_salted_q(spark, SF))
+    assert sorted(salted_count(df, ["l_returnflag"]).collect()) == sorted(count_per_key(df, ["l_returnflag"]).collect())
