@@ -30,7 +30,10 @@ def java_split(c: str | Column, sep: str, regex: bool = False) -> Column:
         raise ValueError("separator must not be empty")
     s = _col(c)
     pat = sep if regex else literal_regex(sep)
-    stripped = F.regexp_replace(s, F.lit(f"(?:{pat})+$"), F.lit(""))
+    if len(sep) == 1 and not regex:
+        stripped = F.rtrim(s, F.lit(sep))
+    else:  # \z, not $: the latter also matches before a final line terminator
+        stripped = F.regexp_replace(s, F.lit(f"(?:{pat})+\\z"), F.lit(""))
     return (F.when(s == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, pat, -1)))
@@ -38,7 +41,7 @@ def java_split(c: str | Column, sep: str, regex: bool = False) -> Column:
 
 def java_trim(c: str | Column) -> Column:
     """``s.trim()`` on the JVM: strip chars <= U+0020 at both ends."""
-    return F.regexp_replace(_col(c), F.lit(f"^{_CTRL_CLASS}+|{_CTRL_CLASS}+$"), F.lit(""))
+    return F.regexp_replace(_col(c), F.lit(f"\\A{_CTRL_CLASS}+|{_CTRL_CLASS}+\\z"), F.lit(""))
 
 
 # Type names of the column-mapping strings and the value a
@@ -77,11 +80,16 @@ def strict_get(arr: str | Column, i: int, what: str = "field") -> Column:
         F.raise_error(F.lit(f"missing {what} {i}")).cast("string"))
 
 
-def typed_or_default(c: str | Column, type_name: str, strict: bool = False) -> Column:
+def utf8_text(c: str | Column, sql_type: str) -> Column:
+    """A column as text: binary cells are decoded as UTF-8."""
+    return F.decode(_col(c), "UTF-8") if sql_type == "binary" else _col(c)
+
+
+def typed_or_default(c: str | Column, type_name: str, strict: bool = True) -> Column:
     """Cast text to ``type_name``; a missing (null) value becomes the type default.
 
-    ``strict=False`` also maps unparseable text to the default (``try_cast``);
-    ``strict=True`` fails on it.
+    Unparseable text fails the task; ``strict=False`` maps it to the default
+    too (``try_cast``).
     """
     sql_type, default = TYPE_DEFAULTS[type_name.strip().lower()]
     s = _col(c)

@@ -12,12 +12,12 @@ from skewkit.functions.text import java_split, strict_cast, strict_get
 
 
 def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = " ", col: str = "value",
-                    types: Sequence[str] | None = None, strict: bool = False) -> DataFrame:
+                    types: Sequence[str] | None = None, strict: bool = True) -> DataFrame:
     """Fields ``0..len(names)-1`` of each line, split with JVM rules; extra fields ignored.
 
-    A line with too few fields is dropped, or with ``strict=True`` fails the
-    task (as does an unparseable typed field). ``types`` casts each field
-    (default: string; non-strict casts give null when unparseable).
+    A line with too few fields fails the task, as does an unparseable typed
+    field; with ``strict=False`` the line is dropped and the field is null.
+    ``types`` casts each field (default: string).
     """
     names = list(names)
     types = list(types or ["string"] * len(names))
@@ -35,7 +35,7 @@ def parse_delimited(lines: DataFrame, names: Sequence[str], sep: str = " ", col:
 
 def scan_delimited(spark: SparkSession, path: str | Sequence[str], names: Sequence[str],
                    sep: str = " ", types: Sequence[str] | None = None,
-                   strict: bool = False) -> DataFrame:
+                   strict: bool = True) -> DataFrame:
     """Read text files (one record per line) into typed columns.
 
     Splittable text is read in parallel by ``spark.read.text``; each task

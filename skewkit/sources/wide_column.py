@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.functions.text import spark_type, strict_cast, typed_or_default
+from skewkit.functions.text import spark_type, strict_cast, typed_or_default, utf8_text
 
 ROW_KEY = ":key"
 
@@ -68,11 +68,15 @@ def parse_column_mapping(store_columns: str, spark_columns: str) -> list[CellCol
 def read_wide_column(cells: DataFrame, mapping: Sequence[CellColumn] | Sequence[tuple[str, str, str]],
                      rowkey: str = "rowkey", cf: str = "cf", qualifier: str = "qualifier",
                      value: str = "value", version: str = "version",
-                     strict: bool = False) -> DataFrame:
+                     strict: bool = True) -> DataFrame:
     """Typed wide rows from a cell table, one row per row key.
 
-    A mapped cell that is missing takes its type default ("" / 0 / 0.0).
+    A mapped cell that is missing takes its type default ("" / 0 / 0.0); a cell or
+    row key that does not parse fails the task (``strict=False``: default or null).
+    Binary row keys, families, qualifiers and values are read as UTF-8 text.
     """
+    types = dict(cells.dtypes)
+    cells = cells.select(*[utf8_text(c, types[c]).alias(c) for c in (rowkey, cf, qualifier, value)], version)
     cols = [m if isinstance(m, CellColumn) else CellColumn(*m) for m in mapping]
     data_cols = [c for c in cols if not c.is_row_key]
     src = cells
