@@ -1,11 +1,14 @@
-"""Command line for the batch site-log programs.
+"""Command line for the batch site-log programs and the stream programs.
 
     python -m skewkit.cli topn      --text data/site.log [--salts 3] [--n 2]
     python -m skewkit.cli topn      --orc data/orc --distinct [--salts 9] [--n 2 | --all]
-    python -m skewkit.cli join-topn --text a.log --right-text b.log [--salts 10] [--n 2]
+    python -m skewkit.cli join-topn --text a.log --right-text b.log [--n 2]
     python -m skewkit.cli lookup    --left-csv schools.csv --right-csv people.csv --key id
+    python -m skewkit.cli stream    word-counts|running-counts|per-record|window-counts|sales
+                                    --source folder | --kafka servers --topics a,b
+                                    --sink folder --checkpoint folder [--group g] [--every "5 seconds" | --once]
 
-Results are shown (``--rows`` lines) or written as parquet with ``--out``.
+Results of the batch programs are shown (``--rows`` lines) or written as parquet with ``--out``.
 """
 
 from __future__ import annotations
@@ -17,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from skewkit.operators.joins import broadcast_left_join, join_topn
 from skewkit.operators.topn import salted_count, salted_topn, topn_distinct_counts
 from skewkit.sources.delimited import scan_delimited, scan_orc
+from skewkit.sources.messages import message_stream
+from skewkit.streaming import apps
 
 SITE_COLUMNS = ["site", "url"]
 
@@ -40,7 +45,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame:
     if args.command == "join-topn":
         left = read_site_log(spark, args.text, args.orc)
         right = read_site_log(spark, args.right_text, args.right_orc)
-        return join_topn(left, right, "site", "url", n=n, n_salts=args.salts)
+        return join_topn(left, right, "site", "url", n=n)
     if args.command == "lookup":
         big = spark.read.option("header", True).csv(args.left_csv)
         small = spark.read.option("header", True).csv(args.right_csv)
@@ -48,17 +53,31 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame:
     raise SystemExit(f"unknown command {args.command}")
 
 
+def start_stream(args: argparse.Namespace, spark: SparkSession):
+    """The started query of a stream program."""
+    topics = args.topics.split(",") if args.topics else []
+    messages = message_stream(spark, args.source, kafka_servers=args.kafka, topics=topics)
+    every = None if args.once else args.every
+    if args.program == "word-counts":
+        return apps.start_word_count_with_offsets(messages, args.sink, args.checkpoint, args.group, every, args.run_id)
+    if args.program == "sales":
+        return apps.start_sales_upsert(messages, args.sink, args.checkpoint, args.group, every, args.run_id)
+    start = {"running-counts": apps.start_running_counts, "per-record": apps.start_running_counts_per_record,
+             "window-counts": apps.start_window_count_deltas}[args.program]
+    return start(messages, args.sink, args.checkpoint, every=every, run_id=args.run_id)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="skewkit")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, salts in (("topn", 3), ("join-topn", 10)):
+    for name in ("topn", "join-topn"):
         c = sub.add_parser(name)
         c.add_argument("--text")
         c.add_argument("--orc")
-        c.add_argument("--salts", type=int, default=salts)
         c.add_argument("--n", type=int, default=2)
         c.add_argument("--all", action="store_true", help="no limit on N")
         if name == "topn":
+            c.add_argument("--salts", type=int, default=3)
             c.add_argument("--distinct", action="store_true", help="top-N distinct counts per site")
         else:
             c.add_argument("--right-text")
@@ -67,7 +86,20 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--left-csv", required=True)
     c.add_argument("--right-csv", required=True)
     c.add_argument("--key", required=True)
-    for c in sub.choices.values():
+    s = sub.add_parser("stream")
+    s.add_argument("program", choices=["word-counts", "running-counts", "per-record", "window-counts", "sales"])
+    s.add_argument("--source", help="folder of message files")
+    s.add_argument("--kafka", help="bootstrap servers")
+    s.add_argument("--topics")
+    s.add_argument("--sink", required=True)
+    s.add_argument("--checkpoint", required=True)
+    s.add_argument("--group", default="skewkit")
+    s.add_argument("--every", default=apps.DEFAULT_EVERY)
+    s.add_argument("--once", action="store_true", help="process what is there and stop")
+    s.add_argument("--run-id", type=int, default=0)
+    for name, c in sub.choices.items():
+        if name == "stream":
+            continue
         c.add_argument("--out")
         c.add_argument("--rows", type=int, default=20)
     return p
@@ -76,6 +108,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"skewkit-{args.command}").getOrCreate()
+    if args.command == "stream":
+        start_stream(args, spark).awaitTermination()
+        return
     df = run(args, spark)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)

@@ -1,10 +1,10 @@
 """Registered streaming queries.
 
 Each query derives broker-shaped messages from the whole ``events`` table,
-lands them in a replay folder in offset-ordered chunks, and runs the stream
-once per chunk from the same checkpoint (``availableNow``), so every run is a
-restart that must pick up exactly the new files. The returned DataFrame reads
-the query's sink.
+lands them in a replay folder range by range in order of offset, and runs the stream
+once per range from the same checkpoint (``availableNow``), so every run is a
+restart that must pick up exactly the new files. A range is one micro-batch, however many files it
+has; ranges are sized by their rows. The returned DataFrame reads the query's sink.
 """
 
 from __future__ import annotations
@@ -26,12 +26,19 @@ from skewkit.streaming.stateful import UpdateLog, latest_updates
 # Fixed values of the reference streams: 5 s windows; our replay parameters.
 WINDOW = "5 seconds"
 N_CHUNKS = 4
-# Our parameter: files per micro-batch. Bounds what one batch (and one key's
-# share of it in the per-record state function) can hold, however large a
-# landed chunk is; availableNow splits a chunk into as many batches as needed.
-MAX_FILES_PER_TRIGGER = 64
+# Our parameter: messages of one range, and so of one micro-batch.
+ROWS_PER_BATCH = 50_000_000
 GROUP_ID = "skewkit"
-RESUME_CUT = "2024-01-16 00:00:00"
+
+_BATCH_KEY = "run_id long, batch_id long"
+_LEDGER = "topic string, group_id string, part int, offset long"
+COUNTS_SINK = f"kind string, word string, cnt long, {_LEDGER}, {_BATCH_KEY}"
+WINDOW_SINK = f"window_start timestamp_ntz, window_end timestamp_ntz, word string, cnt long, kind string, {_BATCH_KEY}"
+RUNNING_SINK = f"word string, cnt long, {_BATCH_KEY}"
+PER_RECORD_SINK = f"word string, offset long, running_cnt long, kind string, {_BATCH_KEY}"
+KEYED_SINK = f"word string, offset long, running_cnt long, {_BATCH_KEY}"
+SALES_SINK = f"topic string, part int, offset long, id string, name string, money double, kind string, group_id string, {_BATCH_KEY}"
+RESUME_SINK = f"topic string, partition int, offset long, {_BATCH_KEY}"
 
 
 class _Replay:
@@ -49,14 +56,21 @@ class _Replay:
         return self.spark.sparkContext.defaultParallelism
 
     def stream(self) -> DataFrame:
-        return message_stream(self.spark, self.source, max_files_per_trigger=MAX_FILES_PER_TRIGGER)
+        return message_stream(self.spark, self.source)
+
+    def read(self, schema: str, sink: str | None = None) -> DataFrame:
+        """The sink with its schema; empty if no batch was written."""
+        sink = sink or self.sink
+        # leaves the folder there for a stream without a message
+        (self.spark.createDataFrame([], schema).write.mode("append").partitionBy("run_id", "batch_id").parquet(sink))
+        return self.spark.read.schema(schema).parquet(sink)
 
-    def run(self, start_app) -> DataFrame:
-        """Land the chunks one by one; after each, ``start_app(stream, sink, checkpoint)``
+    def run(self, start_app, schema: str) -> DataFrame:
+        """Land the ranges one by one; after each, ``start_app(stream, sink, checkpoint)``
         (an app started with ``every=None``) runs to completion."""
         replay_in_chunks(self.spark, self.messages, self.source, N_CHUNKS,
-                         lambda: start_app(self.stream(), self.sink, self.checkpoint))
-        return self.spark.read.parquet(self.sink)
+                         lambda: start_app(self.stream(), self.sink, self.checkpoint), ROWS_PER_BATCH)
+        return self.read(schema)
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +82,8 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     :func:`skewkit.streaming.apps.start_window_counts`).
     """
     rp = _Replay(spark, sf_dir, "words", "stream-tumbling")
-    deltas = rp.run(lambda s, sink, ckpt: apps.start_window_count_deltas(s, sink, ckpt, length=WINDOW, every=None))
+    deltas = rp.run(lambda s, sink, ckpt: apps.start_window_count_deltas(s, sink, ckpt, length=WINDOW, every=None),
+                    WINDOW_SINK)
     return read_window_counts(deltas)
 
 
@@ -76,21 +91,29 @@ def stream_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count per word across batches (final state)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running")
     log = rp.run(lambda s, sink, ckpt: apps.start_running_counts(s, sink, ckpt, every=None,
-                                                                state_partitions=rp.state_partitions))
+                                                                state_partitions=rp.state_partitions),
+                 RUNNING_SINK)
     return latest_updates(log, "word", ["cnt"])
 
 
 def stream_running_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every word occurrence, the running count of that word so far (offset order)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running-per-record")
-    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_per_record(
-        s, sink, ckpt, every=None, state_partitions=rp.state_partitions))
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_per_record(s, sink, ckpt, every=None), PER_RECORD_SINK)
+    return log.where("kind = 'data'").select("word", "offset", "running_cnt")
+
+
+def stream_running_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_running_per_record`` with a state function per word."""
+    rp = _Replay(spark, sf_dir, "words", "stream-running-keyed")
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_keyed(
+        s, sink, ckpt, every=None, state_partitions=rp.state_partitions), KEYED_SINK)
     return log.select("word", "offset", "running_cnt")
 
 
 def _cocommit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rp = _Replay(spark, sf_dir, "words", "stream-cocommit")
-    return rp.run(lambda s, sink, ckpt: apps.start_word_count_with_offsets(s, sink, ckpt, GROUP_ID, every=None))
+    return rp.run(lambda s, sink, ckpt: apps.start_word_count_with_offsets(s, sink, ckpt, GROUP_ID, every=None), COUNTS_SINK)
 
 
 def stream_cocommit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,33 +129,35 @@ def stream_cocommit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records a second run reads after resuming from the first run's ledger.
 
-    Run 1 sees the messages before ``RESUME_CUT`` and co-commits its ledger;
+    Run 1 sees the messages before the middle of the offset range and co-commits its ledger;
     then the rest arrives and run 2 starts from a *fresh* checkpoint, reading
     the whole folder but skipping what the ledger covers.
     """
     rp = _Replay(spark, sf_dir, "words", "stream-resume")
-    cut = F.col("ts") < F.lit(RESUME_CUT).cast("timestamp_ntz")
+    lo, hi = rp.messages.agg(F.min("offset"), F.max("offset")).first()
+    middle = 0 if lo is None else (lo + hi + 1) // 2
+    cut = F.col("offset") < middle
     first_sink = rp.sink + "-run1"
     rp.messages.where(cut).sortWithinPartitions("offset").write.mode("append").parquet(rp.source)
     run_available(apps.start_word_count_with_offsets(rp.stream(), first_sink, rp.checkpoint + "-run1",
                                                      GROUP_ID, every=None))
     rp.messages.where(~cut).sortWithinPartitions("offset").write.mode("append").parquet(rp.source)
-    ledger = read_ledger(spark.read.parquet(first_sink), GROUP_ID)
+    ledger = read_ledger(rp.read(COUNTS_SINK, first_sink), GROUP_ID)
     resumed = resume_from_ledger(rp.stream(), ledger, GROUP_ID).select("topic", "partition", "offset")
     run_available(resumed.writeStream.foreachBatch(UpdateLog(rp.sink))
                   .option("checkpointLocation", rp.checkpoint + "-run2")
                   .trigger(availableNow=True).start())
-    return spark.read.parquet(rp.sink).select("topic", "partition", "offset")
+    return rp.read(RESUME_SINK).select("topic", "partition", "offset")
 
 
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rp = _Replay(spark, sf_dir, "sales", "stream-upsert")
-    return rp.run(lambda s, sink, ckpt: apps.start_sales_upsert(s, sink, ckpt, GROUP_ID, every=None))
+    return rp.run(lambda s, sink, ckpt: apps.start_sales_upsert(s, sink, ckpt, GROUP_ID, every=None), SALES_SINK)
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest (name, money) per sales id: later puts of an id overwrite earlier ones."""
-    return read_latest(_upsert(spark, sf_dir), "id", ["name", "money"], ["batch_id", "offset"])
+    return read_latest(_upsert(spark, sf_dir), "id", ["name", "money"])
 
 
 def stream_upsert_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +169,7 @@ STREAM_QUERIES = {
     "stream_tumbling": stream_tumbling,
     "stream_running": stream_running,
     "stream_running_per_record": stream_running_per_record,
+    "stream_running_keyed": stream_running_keyed,
     "stream_cocommit_counts": stream_cocommit_counts,
     "stream_cocommit_ledger": stream_cocommit_ledger,
     "stream_resume": stream_resume,

@@ -8,7 +8,7 @@ the same columns with the file stream source.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,16 +61,24 @@ def message_stream(spark: SparkSession, path: str | None = None, *,
     return reader.parquet(path)
 
 
-def starting_offsets_json(ledger: DataFrame, topics: Sequence[str]) -> str:
-    """Kafka ``startingOffsets`` JSON from a ledger ``(topic, part, offset)``.
+#: A ledger has a row per topic partition; more than this is no ledger.
+MAX_TOPIC_PARTITIONS = 1_000_000
+EARLIEST = -2
 
-    The ledger holds one row per topic partition, so collecting it moves a
-    bounded handful of rows; partitions missing from it start at earliest (-2).
+
+def starting_offsets_json(ledger: DataFrame, group_id: str, partitions: Mapping[str, Sequence[int] | int]) -> str:
+    """Kafka ``startingOffsets`` JSON: the stored offsets of ``group_id``, and earliest (-2) for the rest.
+
+    ``partitions`` names every partition of every subscribed topic (a sequence of
+    partition numbers, or how many there are), as the source requires: a topic's partitions that
+    the ledger does not know start at the earliest offset, also with an empty ledger. One row per
+    stored partition reaches the driver, checked against ``MAX_TOPIC_PARTITIONS``.
     """
-    latest = (ledger.where(F.col("topic").isin(list(topics)))
+    wanted = {t: list(range(p)) if isinstance(p, int) else list(p) for t, p in partitions.items()}
+    stored = (ledger.where((F.col("group_id") == F.lit(group_id)) & F.col("topic").isin(list(wanted)))
               .groupBy("topic", "part").agg(F.max("offset").alias("offset")))
-    rows = latest.collect()  # one row per topic partition
-    out: dict[str, dict[str, int]] = {t: {} for t in topics}
-    for r in rows:
-        out[r["topic"]][str(r["part"])] = int(r["offset"])
-    return json.dumps(out)
+    rows = stored.take(MAX_TOPIC_PARTITIONS + 1)
+    if len(rows) > MAX_TOPIC_PARTITIONS:
+        raise ValueError(f"the ledger holds more than {MAX_TOPIC_PARTITIONS} topic partitions")
+    known = {(r["topic"], r["part"]): int(r["offset"]) for r in rows}
+    return json.dumps({t: {str(p): known.get((t, p), EARLIEST) for p in ps} for t, ps in wanted.items()})

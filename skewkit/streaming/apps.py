@@ -11,7 +11,7 @@ overwrite itself. ``state_partitions`` sizes the state stores of a stateful
 job at its first start (default: the session's shuffle partitions).
 
 ``run_id`` is part of every sink partition key. Keep it for restarts from the
-same checkpoint; give a **new, larger** one (e.g. a start timestamp) when a
+same checkpoint; give a **new, larger** number (e.g. a start timestamp) when a
 job starts from a fresh checkpoint into an existing sink: batch ids restart at
 0 and would otherwise replace the earlier run's batches, and "latest" reads
 order runs by ``run_id``.
@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from skewkit.functions.parse import explode_words
-from skewkit.streaming.jobs import SalesUpsertCommit, WindowCountCommit, WordCountCommit
+from skewkit.streaming.jobs import RunningCountCommit, SalesUpsertCommit, WindowCountCommit, WordCountCommit
 from skewkit.streaming.stateful import UpdateLog, running_count, running_count_per_record, tumbling_count
 
 DEFAULT_EVERY = "5 seconds"
+# Our parameter: how late a record may be in the stateful window counts.
+DEFAULT_WATERMARK = "1 day"
 
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -62,14 +64,14 @@ def _start(messages: DataFrame, writer: DataStreamWriter, checkpoint: str, every
 
 
 def start_word_count_with_offsets(messages: DataFrame, sink: str, checkpoint: str, group_id: str,
-                                  every: str | None = DEFAULT_EVERY, run_id: str = "run0") -> StreamingQuery:
+                                  every: str | None = DEFAULT_EVERY, run_id: int = 0) -> StreamingQuery:
     """Per batch: word counts and the offset ledger, co-committed in one write."""
     return _start(messages, messages.writeStream.foreachBatch(WordCountCommit(sink, group_id, run_id)),
                   checkpoint, every)
 
 
 def start_running_counts(messages: DataFrame, sink: str, checkpoint: str,
-                         every: str | None = DEFAULT_EVERY, run_id: str = "run0",
+                         every: str | None = DEFAULT_EVERY, run_id: int = 0,
                          state_partitions: int | None = None) -> StreamingQuery:
     """Running count per word across batches; each batch logs the words it changed."""
     counts = running_count(explode_words(messages))
@@ -78,25 +80,34 @@ def start_running_counts(messages: DataFrame, sink: str, checkpoint: str,
 
 
 def start_running_counts_per_record(messages: DataFrame, sink: str, checkpoint: str,
-                                    every: str | None = DEFAULT_EVERY, run_id: str = "run0",
-                                    state_partitions: int | None = None) -> StreamingQuery:
-    """One row per word occurrence with the word's running count (keyed state)."""
+                                    every: str | None = DEFAULT_EVERY, run_id: int = 0) -> StreamingQuery:
+    """One row per word occurrence with the word's running count (no task holds a hot word)."""
+    return _start(messages, messages.writeStream.foreachBatch(RunningCountCommit(sink, run_id)), checkpoint, every)
+
+
+def start_running_counts_keyed(messages: DataFrame, sink: str, checkpoint: str,
+                               every: str | None = DEFAULT_EVERY, run_id: int = 0,
+                               state_partitions: int | None = None) -> StreamingQuery:
+    """As :func:`start_running_counts_per_record` with a state function per word."""
     per_record = running_count_per_record(explode_words(messages, keep=["offset"]))
     return _start(messages, per_record.writeStream.outputMode("append").foreachBatch(UpdateLog(sink, run_id)),
                   checkpoint, every, state_partitions)
 
 
 def start_window_counts(messages: DataFrame, sink: str, checkpoint: str, length: str = "5 seconds",
-                        watermark: str | None = None, every: str | None = DEFAULT_EVERY,
-                        run_id: str = "run0", state_partitions: int | None = None) -> StreamingQuery:
-    """Word counts per tumbling event-time window (update mode, batch-keyed log)."""
+                        watermark: str = DEFAULT_WATERMARK, every: str | None = DEFAULT_EVERY,
+                        run_id: int = 0, state_partitions: int | None = None) -> StreamingQuery:
+    """Word counts per tumbling event-time window (update mode, batch-keyed log).
+
+    State is bounded by ``watermark``: later records are dropped. The delta form below keeps them.
+    """
     counts = tumbling_count(explode_words(messages, keep=["ts"]), length=length, watermark=watermark)
     return _start(messages, counts.writeStream.outputMode("update").foreachBatch(UpdateLog(sink, run_id)),
                   checkpoint, every, state_partitions)
 
 
 def start_window_count_deltas(messages: DataFrame, sink: str, checkpoint: str, length: str = "5 seconds",
-                              every: str | None = DEFAULT_EVERY, run_id: str = "run0") -> StreamingQuery:
+                              every: str | None = DEFAULT_EVERY, run_id: int = 0) -> StreamingQuery:
     """Word counts per tumbling event-time window as per-batch deltas (stateless;
     read with :func:`skewkit.streaming.jobs.read_window_counts`)."""
     return _start(messages, messages.writeStream.foreachBatch(WindowCountCommit(sink, length, run_id)),
@@ -104,7 +115,7 @@ def start_window_count_deltas(messages: DataFrame, sink: str, checkpoint: str, l
 
 
 def start_sales_upsert(messages: DataFrame, sink: str, checkpoint: str, group_id: str,
-                       every: str | None = DEFAULT_EVERY, run_id: str = "run0",
+                       every: str | None = DEFAULT_EVERY, run_id: int = 0,
                        strict: bool = False) -> StreamingQuery:
     """Per batch: parsed sales rows as versioned puts plus the ledger of all records."""
     return _start(messages, messages.writeStream.foreachBatch(SalesUpsertCommit(sink, group_id, run_id, strict)),

@@ -4,8 +4,10 @@
   with the batch's offset ledger (accumulating word counts + ledger, one job).
 * :class:`SalesUpsertCommit` — sales records of each batch parsed and written
   as versioned rows with the ledger; reads take the latest row per id.
-* :func:`replay_in_chunks` — lands message files chunk by chunk and runs the
-  query once per chunk from the same checkpoint (``availableNow``), i.e. the
+* :class:`RunningCountCommit` — every word occurrence numbered, with the running totals of
+  the words kept beside it; no task holds a hot word.
+* :func:`replay_in_chunks` — lands message files range by range, in order of offset, and runs the
+  query once per range from the same checkpoint (``availableNow``), i.e. the
   query is restarted between arrivals and must resume exactly.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,8 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 from skewkit.functions.parse import explode_words, parse_sales
 from skewkit.functions.text import java_split
 from skewkit.operators.topn import count_per_key
-from skewkit.streaming.ledger import KIND_DATA, KIND_OFFSET, cocommit_batch, offset_ledger, write_batch
-from skewkit.streaming.stateful import tumbling_count
+from skewkit.streaming.ledger import (
+    KIND_DATA, KIND_OFFSET, cocommit_batch, live_rows, offset_ledger, write_batch,
+)
+from skewkit.streaming.stateful import running_count_per_record_batch, tumbling_count
 
 
 def batch_word_count(batch: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
@@ -54,7 +59,7 @@ class WordCountCommit:
     """``foreachBatch``: word counts and offsets of a batch in one idempotent write
     (one pass over the batch, no cache)."""
 
-    def __init__(self, path: str, group_id: str, run_id: str = "run0"):
+    def __init__(self, path: str, group_id: str, run_id: int = 0):
         self.path, self.group_id, self.run_id = path, group_id, run_id
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -72,7 +77,7 @@ class WindowCountCommit:
     batch, not by the number of windows ever seen.
     """
 
-    def __init__(self, path: str, length: str = "5 seconds", run_id: str = "run0"):
+    def __init__(self, path: str, length: str = "5 seconds", run_id: int = 0):
         self.path, self.length, self.run_id = path, length, run_id
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -84,16 +89,16 @@ class WindowCountCommit:
 
 def read_window_counts(df: DataFrame) -> DataFrame:
     """Window counts from :class:`WindowCountCommit` deltas: sum per (window, word)."""
-    return (df.where(F.col("kind") == F.lit(KIND_DATA))
+    return (live_rows(df).where(F.col("kind") == F.lit(KIND_DATA))
             .groupBy("window_start", "window_end", "word")
             .agg(F.sum("cnt").cast("long").alias("cnt")))
 
 
 class SalesUpsertCommit:
-    """``foreachBatch``: parsed sales rows (versioned by batch and offset) plus the
+    """``foreachBatch``: parsed sales rows (versioned by offset, topic and partition) plus the
     ledger of *all* records of the batch, in one idempotent write."""
 
-    def __init__(self, path: str, group_id: str, run_id: str = "run0", strict: bool = False):
+    def __init__(self, path: str, group_id: str, run_id: int = 0, strict: bool = False):
         self.path, self.group_id, self.run_id, self.strict = path, group_id, run_id, strict
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -101,19 +106,76 @@ class SalesUpsertCommit:
             return
         batch.persist()
         try:
-            rows = parse_sales(batch, strict=self.strict, keep=["offset"])
+            rows = parse_sales(batch, strict=self.strict, keep=["topic", "partition", "offset"])
+            rows = rows.withColumnRenamed("partition", "part")
             cocommit_batch(rows, offset_ledger(batch, self.group_id), self.path, self.run_id, batch_id)
         finally:
             batch.unpersist()
 
 
-def offset_bounds(messages: DataFrame, n_chunks: int) -> list[tuple[int, int]]:
-    """``n_chunks`` contiguous offset ranges covering the messages (two numbers collected)."""
-    lo, hi = messages.agg(F.min("offset"), F.max("offset")).first()
+KIND_TOTAL = "total"
+
+
+class RunningCountCommit:
+    """``foreachBatch``: one row per word occurrence with the word's running count, in offset order.
+
+    A batch is numbered in (word, offset range) groups by
+    :func:`running_count_per_record_batch`, and each word adds its total of the batches before.
+    The totals (words, not occurrences) are written beside the rows in the same idempotent
+    write, with the largest offset of the batch: batch ``b`` reads those of batch ``b - 1``
+    only, so a replayed batch finds what it found the first time. A batch that goes back in
+    offset fails instead of being numbered wrongly.
+    """
+
+    def __init__(self, path: str, run_id: int = 0, bucket_width: int = 1 << 20):
+        self.path, self.run_id, self.bucket_width = path, run_id, bucket_width
+
+    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        """Totals after the batch before; None if there was no word yet."""
+        path = f"{self.path}/run_id={int(self.run_id)}/batch_id={batch_id - 1}"
+        try:
+            rows = spark.read.parquet(path)
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" in str(missing):
+                return None
+            raise
+        return rows.where(F.col("kind") == KIND_TOTAL).select(
+            "word", F.col("running_cnt").alias("_total"), F.col("offset").alias("_last"))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        words = explode_words(batch, keep=["offset", "partition"])
+        numbered = running_count_per_record_batch(words, bucket_width=self.bucket_width, ties=["partition"])
+        now = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"), F.max("offset").alias("_max"))
+        before = self._before(batch.sparkSession, batch_id)
+        if before is not None:
+            last = before.agg(F.max("_last").alias("n")).first()["n"]
+            first = batch.agg(F.min("offset").alias("n")).first()["n"]
+            if last is not None and first is not None and first < last:
+                raise ValueError(f"a batch goes back: offset {first} after {last} was counted")
+            numbered = numbered.join(before.select("word", "_total"), "word", "left").select(
+                "word", "offset", (F.col("running_cnt") + F.coalesce("_total", F.lit(0))).alias("running_cnt"))
+            now = now.join(before, "word", "full").select(
+                "word", (F.coalesce("_n", F.lit(0)) + F.coalesce("_total", F.lit(0))).alias("_n"),
+                F.greatest("_max", "_last").alias("_max"))
+        totals = now.select("word", F.col("_max").alias("offset"), F.col("_n").cast("long").alias("running_cnt"))
+        write_batch(numbered.withColumn("kind", F.lit(KIND_DATA)).unionByName(totals.withColumn("kind", F.lit(KIND_TOTAL))),
+                    self.path, self.run_id, batch_id)
+
+
+def offset_bounds(messages: DataFrame, n_chunks: int, rows_per_chunk: int | None = None) -> list[tuple[int, int]]:
+    """Increasing, contiguous offset ranges covering the messages: at least ``n_chunks`` where the offsets allow,
+    and as many as it takes for about ``rows_per_chunk`` messages in each.
+
+    Ranges are cut at approximate quantiles of the offset; one number per range is collected.
+    """
+    lo, hi, rows = messages.agg(F.min("offset"), F.max("offset"), F.count("offset")).first()
     if lo is None:
         return []
-    step = max(1, -(-(hi - lo + 1) // n_chunks))
-    return [(a, min(a + step, hi + 1)) for a in range(lo, hi + 1, step)]
+    parts = max(n_chunks, -(-rows // rows_per_chunk) if rows_per_chunk else 1)
+    shares = [i / parts for i in range(1, parts)]
+    cuts = messages.agg(F.percentile_approx("offset", F.lit(shares), F.lit(10 * parts))).first()[0] if shares else []
+    edges = sorted({lo, hi + 1, *(c + 1 for c in cuts if c < hi)})
+    return list(zip(edges[:-1], edges[1:], strict=True))
 
 
 def land_chunk(messages: DataFrame, source_dir: str, lo: int, hi: int) -> None:
@@ -130,9 +192,14 @@ def run_available(query: StreamingQuery) -> None:
 
 
 def replay_in_chunks(spark: SparkSession, messages: DataFrame, source_dir: str, n_chunks: int,
-                     start: Callable[[], StreamingQuery]) -> int:
-    """Land chunks one at a time; after each, run ``start()`` to completion. Returns #chunks."""
-    bounds = offset_bounds(messages, n_chunks)
+                     start: Callable[[], StreamingQuery], rows_per_chunk: int | None = None) -> int:
+    """Land ranges of offsets one at a time; after each, run ``start()`` to completion. Returns #ranges.
+
+    A range is one batch if the stream takes all new files at once (no ``maxFilesPerTrigger``): batches
+    then follow each other in offset however many files a range has. Their size is bounded by
+    ``rows_per_chunk``.
+    """
+    bounds = offset_bounds(messages, n_chunks, rows_per_chunk)
     for lo, hi in bounds:
         land_chunk(messages, source_dir, lo, hi)
         run_available(start())

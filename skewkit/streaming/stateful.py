@@ -59,8 +59,12 @@ def _per_record_fn(key_name: str, order: str, name: str):
         # so memory is bounded by the trigger size, not by the key's history.
         orders = [b[order].to_numpy() for b in batches]
         seen = np.sort(np.concatenate(orders)) if orders else np.array([], dtype=np.int64)
-        prior = int(state.get[0]) if state.exists else 0
-        state.update((prior + len(seen),))
+        prior, last = state.get if state.exists else (0, None)
+        if len(seen):
+            if last is not None and seen[0] < last:
+                raise ValueError(f"a batch goes back: {key[0]!r} has {order} {seen[0]} after {last} was counted")
+            last = int(seen[-1])
+        state.update((int(prior) + len(seen), last))
         for lo in range(0, len(seen), OUTPUT_SLICE):
             part = seen[lo:lo + OUTPUT_SLICE]
             yield pd.DataFrame({key_name: pd.Series(key[0], index=range(len(part)), dtype=object),
@@ -75,37 +79,44 @@ def running_count_per_record(words: DataFrame, key: str = "word", order: str = "
 
     Records of a key are numbered in ``order`` within a micro-batch and across
     batches through keyed state (no time-out: state lives as long as the query).
-    Per key and batch only the ``order`` values are held (8 bytes a row), so
-    bound the batch with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``: a
-    hot key's share of one batch is what one task holds.
+    Batches must come in ``order``; the state keeps the largest value and a batch that
+    goes back fails instead of being numbered wrongly. Per key and batch only the ``order``
+    values are held (8 bytes a row): a hot key's share of one batch is what one task
+    holds. :class:`skewkit.streaming.jobs.RunningCountCommit` has no such bound.
     """
     schema = f"{key} string, {order} long, {name} long"
     return (words.select(F.col(key).cast("string").alias(key), F.col(order).cast("long").alias(order))
             .groupBy(key)
-            .applyInPandasWithState(_per_record_fn(key, order, name), schema, "total long",
+            .applyInPandasWithState(_per_record_fn(key, order, name), schema, "total long, last long",
                                     "append", GroupStateTimeout.NoTimeout))
 
 
 def running_count_per_record_batch(words: DataFrame, key: str = "word", order: str = "offset",
-                                   name: str = "running_cnt", bucket_width: int = 1 << 20) -> DataFrame:
+                                   name: str = "running_cnt", bucket_width: int = 1 << 20,
+                                   ties: Sequence[str] = ()) -> DataFrame:
     """Batch form of :func:`running_count_per_record`, safe for hot keys.
 
-    Equal to ``count(*) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED
-    PRECEDING)`` for a ``order`` that is unique within a key (offsets are), but a
+    Equal to ``count(*) OVER (PARTITION BY key ORDER BY order, ties ROWS UNBOUNDED
+    PRECEDING)``, null keys and null orders (first) included. ``ties`` orders rows of
+    equal ``order``, such as the topic partition where offsets repeat across partitions. A
     key is never one task: rows are split into ``order`` ranges of
     ``bucket_width`` (``bucket = order div width``). Rows are numbered inside
     each (key, bucket) in parallel; each bucket adds the row count of the key's
-    earlier buckets (a prefix sum over the small per-bucket count table). The
-    final join reuses the (key, bucket) partitioning of the numbered rows.
+    earlier buckets (a prefix sum over the small per-bucket count table). Bucket counts are
+    read from the numbered rows, and the join is on the same (key, bucket), so one
+    exchange of the rows serves all of it.
     """
     from pyspark.sql import Window
     bucket = F.expr(f"`{order}` div {int(bucket_width)}")  # integral division: exact for any long
-    b = words.select(F.col(key), F.col(order), bucket.alias("_b"))
-    ranked = b.withColumn("_r", F.row_number().over(Window.partitionBy(key, "_b").orderBy(order)))
-    per_bucket = b.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(key, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    return (ranked.join(offsets, [key, "_b"], "inner")
+    # a struct of nulls equals a struct of nulls, so null keys and buckets join too
+    b = words.select(F.col(key), F.col(order), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)],
+                     F.struct(F.col(key).alias("key"), bucket.alias("bucket")).alias("_b"))
+    within = Window.partitionBy("_b").orderBy(order, *[f"_t{i}" for i in range(len(ties))])
+    ranked = b.withColumn("_r", F.row_number().over(within))
+    per_bucket = ranked.groupBy("_b").agg(F.max("_r").cast("long").alias("_n"))
+    before = Window.partitionBy("_b.key").orderBy("_b.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    return (ranked.join(offsets, "_b", "inner")
             .select(key, order, (F.col("_o") + F.col("_r")).cast("long").alias(name)))
 
 
@@ -113,12 +124,12 @@ class UpdateLog:
     """``foreachBatch`` sink that stores each batch's emitted rows under
     ``run_id``/``batch_id`` (dynamic overwrite, so a replayed batch replaces itself)."""
 
-    def __init__(self, path: str, run_id: str = "run0"):
+    def __init__(self, path: str, run_id: int = 0):
         self.path = path
-        self.run_id = run_id
+        self.run_id = int(run_id)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("run_id", F.lit(self.run_id))
+        (batch.withColumn("run_id", F.lit(self.run_id).cast("bigint"))
               .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("run_id", "batch_id").parquet(self.path))

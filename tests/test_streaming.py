@@ -55,9 +55,7 @@ def test_resume_from_ledger(spark):
                                    "topic string, group_id string, part int, offset long")
     got = rows(resume_from_ledger(recs, ledger, "g"), "partition", "offset")
     assert got == [(0, 3), (0, 4), (1, 4)] + [(2, o) for o in range(5)]
-    js = json.loads(starting_offsets_json(ledger.where("group_id = 'g'").groupBy("topic", "part")
-                                          .agg(F.max("offset").alias("offset")), ["t"]))
-    assert js == {"t": {"0": 3, "1": 4}}
+    assert json.loads(starting_offsets_json(ledger, "g", {"t": 3})) == {"t": {"0": 3, "1": 4, "2": -2}}
 
 
 def test_stream_restart_reads_each_record_once(spark, tmp_dir):
@@ -123,7 +121,7 @@ def test_sales_upsert_latest_wins(spark, tmp_dir):
     job(first, 0)
     job(second, 1)
     out = spark.read.parquet(sink)
-    assert rows(read_latest(out, "id", ["name", "money"], ["batch_id", "offset"])) == \
+    assert rows(read_latest(out, "id", ["name", "money"])) == \
         [("1", "new", 5.0), ("2", "two", 2.0)]
     assert rows(read_ledger(out, "g")) == [("t", "g", 0, 11), ("t", "g", 1, 12)]
 
@@ -239,9 +237,9 @@ def test_crash_in_stateful_job_then_restart_is_exact(spark, tmp_dir):
 def test_fresh_checkpoint_needs_a_new_run_id(spark, tmp_dir):
     msgs = _messages(spark, WORDS)
     sink = os.path.join(tmp_dir, "sink")
-    WordCountCommit(sink, "g", run_id="run0")(msgs.where("offset < 10"), 0)
+    WordCountCommit(sink, "g", run_id=0)(msgs.where("offset < 10"), 0)
     # a second job from a fresh checkpoint also starts at batch 0: its own run_id keeps both
-    WordCountCommit(sink, "g", run_id="run1")(msgs.where("offset >= 10"), 0)
+    WordCountCommit(sink, "g", run_id=1)(msgs.where("offset >= 10"), 0)
     out = spark.read.parquet(sink)
     assert rows(read_accumulated(out)) == rows(batch_word_count(msgs))
 
@@ -250,7 +248,176 @@ def test_upsert_latest_across_runs(spark, tmp_dir):
     sink = os.path.join(tmp_dir, "up")
     first = spark.createDataFrame([("t", 0, 5, T0, "1\told\t1.0")], MESSAGE_SCHEMA)
     second = spark.createDataFrame([("t", 0, 9, T0, "1\tnew\t2.0")], MESSAGE_SCHEMA)
-    SalesUpsertCommit(sink, "g", run_id="run0")(first, 5)
-    SalesUpsertCommit(sink, "g", run_id="run1")(second, 0)   # fresh checkpoint: batch ids restart
-    got = read_latest(spark.read.parquet(sink), "id", ["name", "money"], ["batch_id", "offset"])
+    SalesUpsertCommit(sink, "g", run_id=0)(first, 5)
+    SalesUpsertCommit(sink, "g", run_id=1)(second, 0)   # fresh checkpoint: batch ids restart
+    got = read_latest(spark.read.parquet(sink), "id", ["name", "money"])
     assert rows(got) == [("1", "new", 2.0)]
+
+
+def test_kafka_offsets_name_every_partition(spark):
+    schema = "topic string, group_id string, part int, offset long"
+    ledger = spark.createDataFrame([("t", "g", 0, 3), ("t", "other", 0, 900), ("u", "g", 1, 5), ("x", "g", 0, 1)], schema)
+    got = json.loads(starting_offsets_json(ledger, "g", {"t": [0, 1, 2], "u": 2}))
+    assert got == {"t": {"0": 3, "1": -2, "2": -2}, "u": {"0": -2, "1": 5}}
+    empty = json.loads(starting_offsets_json(spark.createDataFrame([], schema), "g", {"t": 2}))
+    assert empty == {"t": {"0": -2, "1": -2}}
+
+
+def _events(spark, tmp_dir, n_files):
+    """The smallest events table as one of ``n_files`` files, rows dealt round-robin, each a scan task."""
+    path = os.path.join(tmp_dir, f"events-{n_files}", "events.parquet")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    dealt = ev.withColumn("_f", F.col("event_id") % n_files).repartition(n_files, "_f").drop("_f")
+    dealt.write.option("maxRecordsPerFile", max(1, ev.count() // n_files // 2)).parquet(path)
+    return os.path.dirname(path)
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("n_files", [80, 200])
+def test_many_files_change_no_answer(spark, tmp_dir, n_files):
+    from skewkit.plans import streams
+    from oracle_check import compare, duck_connection
+    from skewkit.plans.oracle import ORACLE_SQL
+    sf = _events(spark, tmp_dir, n_files)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))
+    try:
+        for name in ("stream_running_per_record", "stream_upsert", "stream_resume"):
+            ok, msg = compare(streams.STREAM_QUERIES[name](spark, sf), duck_connection("/root/testdata/sf0.001"), ORACLE_SQL[name])
+            assert ok, f"{name}: {msg}"
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_resume_after_a_partial_run_loses_nothing(spark, tmp_dir):
+    from skewkit.streaming.jobs import land_chunk, offset_bounds
+    msgs = _messages(spark, WORDS * 10).repartition(16)
+    src, sink, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "sink", "ckpt"))
+    bounds = offset_bounds(msgs, 4)
+    assert bounds[0][0] == 0 and bounds[-1][1] == 240 and all(a[1] == b[0] for a, b in zip(bounds, bounds[1:]))
+    from skewkit.streaming import apps
+    for lo, hi in bounds[:2]:                         # the run stops after two ranges
+        land_chunk(msgs, src, lo, hi)
+        run_available(apps.start_word_count_with_offsets(message_stream(spark, src), sink, ckpt, "g", every=None))
+    ledger = read_ledger(spark.read.parquet(sink), "g")
+    unread = resume_from_ledger(msgs, ledger, "g")
+    assert sorted(r["offset"] for r in unread.collect()) == list(range(bounds[1][1], 240))
+    assert len(offset_bounds(msgs, 1, rows_per_chunk=30)) == 8
+
+
+def test_a_batch_that_goes_back_fails(spark, tmp_dir):
+    from skewkit.streaming.jobs import RunningCountCommit
+    msgs = _messages(spark, ["a", "b", "a", "a"])
+    job = RunningCountCommit(os.path.join(tmp_dir, "rc"))
+    job(msgs.where("offset >= 2"), 0)
+    with pytest.raises(ValueError, match="goes back"):
+        job(msgs.where("offset < 2"), 1)
+    src, ckpt, sink = (os.path.join(tmp_dir, n) for n in ("src", "ckpt", "sink"))
+
+    def start():
+        return (running_count_per_record(explode_words(message_stream(spark, src), keep=["offset"]))
+                .writeStream.outputMode("append").foreachBatch(UpdateLog(sink))
+                .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    msgs.where("offset >= 2").coalesce(1).write.mode("append").parquet(src)
+    run_available(start())
+    msgs.where("offset < 2").coalesce(1).write.mode("append").parquet(src)
+    with pytest.raises(Exception, match="goes back"):
+        start().awaitTermination()
+
+
+def test_running_counts_without_a_hot_task_and_replayed(spark, tmp_dir):
+    from skewkit.streaming.jobs import RunningCountCommit
+    msgs = _messages(spark, [",", *WORDS, "c"])
+    sink = os.path.join(tmp_dir, "rc")
+    job = RunningCountCommit(sink, bucket_width=3)
+    cuts = [0, 1, 9, 10, 26]
+    for b, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        part = msgs.where((F.col("offset") >= lo) & (F.col("offset") < hi))
+        job(part, b)
+        job(part, b)                                  # replayed: the same rows
+    got = spark.read.parquet(sink).where("kind = 'data'").select("word", "offset", "running_cnt")
+    assert rows(got) == rows(running_count_per_record_batch(explode_words(msgs, keep=["offset"])))
+
+
+def test_running_count_batch_keeps_null_keys_and_orders(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("a", None), (None, 5), (None, None), ("a", 1)], "word string, offset long")
+    got = running_count_per_record_batch(df, bucket_width=2)
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(
+        [("a", None, 1), ("a", 1, 2), ("a", 1, 3), (None, None, 1), (None, 2, 2), (None, 5, 3)], key=key)
+
+
+def test_latest_put_is_by_offset_topic_and_partition(spark, tmp_dir):
+    puts = [("t", 0, 5, T0, "1\ta\t1.0"), ("t", 1, 5, T0, "1\tb\t2.0"), ("s", 3, 5, T0, "1\tc\t3.0"), ("t", 0, 9, T0, "2\tx\t1.0")]
+    for at, order in enumerate((1, -1)):
+        sink = os.path.join(tmp_dir, f"up{at}")
+        job = SalesUpsertCommit(sink, "g", run_id=10)
+        for b, put in enumerate(puts[::order]):
+            job(spark.createDataFrame([put], MESSAGE_SCHEMA), b)
+        SalesUpsertCommit(sink, "g", run_id=9)(spark.createDataFrame([("t", 0, 99, T0, "2\told\t0.0")], MESSAGE_SCHEMA), 0)
+        assert rows(read_latest(spark.read.parquet(sink), "id", ["name", "money"])) == [("1", "b", 2.0), ("2", "x", 1.0)]
+
+
+def test_committed_reads_and_compaction(spark, tmp_dir):
+    from skewkit.streaming.ledger import compact, fold_counts, fold_latest, last_committed, read_committed
+    from skewkit.streaming import apps
+    msgs = _messages(spark, WORDS)
+    src, ckpt, sink = (os.path.join(tmp_dir, n) for n in ("src", "ckpt", "sink"))
+    assert last_committed(spark, ckpt) is None
+    replay_in_chunks(spark, msgs, src, 3, lambda: apps.start_word_count_with_offsets(
+        message_stream(spark, src), sink, ckpt, "g", every=None))
+    assert last_committed(spark, ckpt) == 2
+    WordCountCommit(sink, "g")(msgs.where("offset < 4"), 3)          # written, not committed
+    done = read_committed(spark, sink, ckpt)
+    counts, ledger = rows(batch_word_count(msgs)), [("t", "g", 0, 23), ("t", "g", 1, 24)]
+    assert rows(read_accumulated(done)) == counts and rows(read_ledger(done, "g")) == ledger
+    assert rows(read_accumulated(spark.read.parquet(sink))) != counts
+    for replaced in (3, 0):                                           # again: nothing left to do
+        assert compact(spark, sink, ckpt, fold_counts("word")) == replaced
+        done = read_committed(spark, sink, ckpt)
+        assert rows(read_accumulated(done)) == counts and rows(read_ledger(done, "g")) == ledger
+        assert {r[0] for r in done.select("batch_id").distinct().collect()} == {-3}
+    puts = [f"{i % 3}x\tn{i}\t{i}.5" for i in range(9)]
+    src, ckpt, sink = (os.path.join(tmp_dir, "p", n) for n in ("src", "ckpt", "sink"))
+    replay_in_chunks(spark, _messages(spark, puts), src, 3, lambda: apps.start_sales_upsert(
+        message_stream(spark, src), sink, ckpt, "g", every=None))
+    before = rows(read_latest(spark.read.parquet(sink), "id", ["name", "money"]))
+    assert compact(spark, sink, ckpt, fold_latest("id", ["offset", "topic", "part"])) == 3
+    after = spark.read.parquet(sink)
+    assert rows(read_latest(after, "id", ["name", "money"])) == before == [("0x", "n6", 6.5), ("1x", "n7", 7.5), ("2x", "n8", 8.5)]
+    assert rows(read_ledger(after, "g")) == [("t", "g", 0, 9), ("t", "g", 1, 8)] and after.count() == 5
+
+
+def test_a_crash_between_fold_and_removal_is_harmless(spark, tmp_dir):
+    from skewkit.streaming.ledger import compact, fold_counts, write_batch
+    from skewkit.streaming import apps
+    msgs = _messages(spark, WORDS)
+    src, ckpt, sink = (os.path.join(tmp_dir, n) for n in ("src", "ckpt", "sink"))
+    replay_in_chunks(spark, msgs, src, 2, lambda: apps.start_word_count_with_offsets(
+        message_stream(spark, src), sink, ckpt, "g", every=None))
+    counts = rows(batch_word_count(msgs))
+    write_batch(fold_counts("word")(spark.read.parquet(sink).drop("run_id", "batch_id")), sink, 0, -2)
+    assert rows(read_accumulated(spark.read.parquet(sink))) == counts
+    assert compact(spark, sink, ckpt, fold_counts("word")) == 2
+    assert rows(read_accumulated(spark.read.parquet(sink))) == counts
+
+
+def test_streams_of_an_empty_table(spark, tmp_dir):
+    from skewkit.plans.streams import STREAM_QUERIES
+    schema = spark.read.parquet("/root/testdata/sf0.001/events.parquet").schema
+    spark.createDataFrame([], schema).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    for name, query in STREAM_QUERIES.items():
+        assert query(spark, tmp_dir).collect() == [], name
+
+
+def test_cli_streams(spark, tmp_dir):
+    from skewkit import cli
+    msgs = _messages(spark, WORDS)
+    src = os.path.join(tmp_dir, "src")
+    msgs.write.parquet(src)
+    for program in ("word-counts", "running-counts", "per-record", "window-counts", "sales"):
+        sink, ckpt = os.path.join(tmp_dir, program, "sink"), os.path.join(tmp_dir, program, "ckpt")
+        cli.main(["stream", program, "--source", src, "--sink", sink, "--checkpoint", ckpt, "--once"])
+        assert os.path.isdir(sink)
+    assert rows(read_accumulated(spark.read.parquet(os.path.join(tmp_dir, "word-counts", "sink")))) == rows(batch_word_count(msgs))
