@@ -1,0 +1,29 @@
+"""Small invented texts for the corpus operators' tests."""
+
+import random
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+SYLLABLES = {"en": "the ing tion ea th er an wh st nd".split(), "de": "sch ung keit ein ä ö ü der ver ß".split(),
+             "fr": "eau oi ê è é que tre les eux ç".split()}
+
+
+def prose(rng, lang="en", words=60):
+    out = ["".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 3))) for _ in range(words)]
+    return " ".join(w + rng.choice(["", "", "", ",", "."]) for w in out).capitalize() + "."
+
+
+def rows(texts, lang="en"):
+    return [(i, t, lang, "src0", len(t) if t is not None else None) for i, t in enumerate(texts)]
+
+
+def odd_texts():
+    """Null, empty, blank, letterless, one word, control characters, very long, repeated."""
+    long = prose(random.Random(1), words=30_000)
+    return [None, "", " \n\t ", "12 34 !!", "Word", "a\x00b\x1cc 　 d", long, "same text here " * 3, "same text here " * 3]
+
+
+def extra_columns(spark, texts):
+    """Documents with extra columns whose names clash with the operators' own."""
+    data = [(*r, 0.5, "x", True, 7, b"z", "t") for r in rows(texts)]
+    return spark.createDataFrame(data, DOCS + ", score double, lang_pred string, leak boolean, k long, sig binary, Text2 string") \
+        .withColumnsRenamed({"Text2": "_c0"})
