@@ -249,7 +249,8 @@ def join_topn(left: DataFrame, right: DataFrame, group: str, key: str, n: int |
     """
     on = [group, key]
     counts = count_per_key(left.select(*on), on, name=cnt)
-    matched = counts.join(right.select(*on).distinct(), on, "left_semi")
+    # inner with distinct keys: a semi-join would be pushed below the count, to the raw rows
+    matched = counts.join(right.select(*on).distinct(), on)
     return topn_distinct_counts(matched, group, key, cnt=cnt, n=n, name=name)
 
 

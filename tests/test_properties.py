@@ -25,7 +25,7 @@ def jvm_split(s: str, sep: str) -> list[str]:
 
 
 @SETTINGS
-@given(st.lists(st.text(alphabet="ab,\t ", max_size=8), min_size=1, max_size=40),
+@given(st.lists(st.text(alphabet="ab,\t \n\r\x0b\x85\u2028\u2029", max_size=8), min_size=1, max_size=40),
        st.sampled_from([",", "\t", " "]))
 def test_java_split_matches_jvm_model(spark, values, sep):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")

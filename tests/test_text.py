@@ -19,6 +19,16 @@ def test_java_split_rules(spark):
     assert got == [["a", "b", "a"], ["", "a"], ["a", "", "b"], ["a", "b"], [], [""], ["abc"], [], ["a"]]
 
 
+def test_java_split_at_line_terminators(spark):
+    # the separator is not at the end: a terminator follows it
+    got = _split(spark, ["a,b,\n", "a,\r\n", ",\u2028", "a\n", "\n,"], ",")
+    assert got == [["a", "b", "\n"], ["a", "\r\n"], ["", "\u2028"], ["a\n"], ["\n"]]
+    df = spark.createDataFrame([("a::b::\n",), ("a::",)], "v string")
+    assert [r[0] for r in df.select(java_split("v", "::")).collect()] == [["a", "b", "\n"], ["a"]]
+    trimmed = spark.createDataFrame([(" x \u2028",), ("\n x \x00\n",)], "v string").select(java_trim("v")).collect()
+    assert [r[0] for r in trimmed] == ["x \u2028", "x"]
+
+
 def test_java_split_regex_metachar_is_literal(spark):
     assert _split(spark, ["a|b||", "a.b"], "|") == [["a", "b"], ["a.b"]]
     assert _split(spark, ["a.b"], ".") == [["a", "b"]]
@@ -49,13 +59,13 @@ def test_scan_delimited_site_log_and_short_lines(spark, tmp_dir):
     path = os.path.join(tmp_dir, "site.log")
     with open(path, "w") as f:
         f.write("\n".join(SITE_LOG + ["onlyone", "s u extra", "s  u"]) + "\n")
-    df = scan_delimited(spark, path, ["site", "url"])
+    df = scan_delimited(spark, path, ["site", "url"], strict=False)
     got = rows(df)
     assert len(got) == 11 + 2
     assert ("s", "u") in got and ("s", "") in got      # extra field ignored; double blank = empty field
     assert ("onlyone", None) not in got                # too short: dropped
     with pytest.raises(Exception):
-        scan_delimited(spark, path, ["site", "url"], strict=True).collect()
+        scan_delimited(spark, path, ["site", "url"]).collect()     # strict unless told otherwise
 
 
 def test_scan_delimited_types(spark, tmp_dir):
@@ -87,7 +97,7 @@ def test_strict_modes_raise_without_ansi(spark, tmp_dir):
             f.write("a b\nonly\n")
         with pytest.raises(Exception):
             scan_delimited(spark, path, ["x", "y"], strict=True).collect()
-        assert rows(scan_delimited(spark, path, ["x", "y"])) == [("a", "b")]
+        assert rows(scan_delimited(spark, path, ["x", "y"], strict=False)) == [("a", "b")]
         cells = spark.createDataFrame([("k", "d", "q", "x", 1)],
                                       "rowkey string, cf string, qualifier string, value string, version long")
         with pytest.raises(Exception):

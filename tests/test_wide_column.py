@@ -36,7 +36,7 @@ def test_parse_column_mapping():
 
 def test_read_wide_column(cells):
     m = parse_column_mapping("(:key, d:name, d:money, d:qty)", "(id long, name string, money double, qty int)")
-    df = read_wide_column(cells, m)
+    df = read_wide_column(cells, m, strict=False)
     assert df.dtypes == [("id", "bigint"), ("name", "string"), ("money", "double"), ("qty", "int")]
     assert rows(df) == [(1, "ann", 2.5, 0), (2, "bob", 0.0, 0), (4, "", 7.0, 3), (5, "eve", 0.0, 0)]
 
@@ -50,4 +50,16 @@ def test_read_wide_column_float_and_key_only(cells):
 
 def test_read_wide_column_strict_raises(cells):
     with pytest.raises(Exception):
-        read_wide_column(cells, [(":key", "id", "string"), ("d:qty", "q", "int")], strict=True).collect()
+        read_wide_column(cells, [(":key", "id", "string"), ("d:qty", "q", "int")]).collect()
+
+
+def test_binary_cells_are_utf8_text(spark, cells):
+    from pyspark.sql import functions as F
+    m = [(":key", "id", "long"), ("d:name", "name", "string"), ("d:money", "m", "double")]
+    text = cells.unionByName(spark.createDataFrame([("6", "d", "name", "zoë", 1)], cells.schema))
+    raw = text.withColumns({c: F.encode(c, "UTF-8") for c in ("rowkey", "cf", "qualifier", "value")})
+    assert rows(read_wide_column(raw, m)) == rows(read_wide_column(text, m))
+    assert (6, "zoë", 0.0) in rows(read_wide_column(raw, m))
+    bad = spark.createDataFrame([("x", "d", "name", "ann", 1)], cells.schema)
+    with pytest.raises(Exception):
+        read_wide_column(bad, m).collect()
