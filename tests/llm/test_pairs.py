@@ -141,11 +141,14 @@ def test_word_and_shingle_hashes_are_those_of_their_text():
 def brute_leaks(texts, items, threshold=0.8):
     out = {}
     for d, text in enumerate(texts):
+        words = split(text)
         for i, item in enumerate(items):
-            own, size = shingles(text), len(split(item))
+            size = len(split(item))
             wanted = Counter(shingles(item))
-            own = own if size >= 5 else [tuple(split(text)[a:a + size]) for a in range(len(split(text)) - size + 1)]
+            own = shingles(text) if size >= 5 else [tuple(words[a:a + size]) for a in range(len(words) - size + 1)]
             n, best = sum(wanted.values()), 0.0
+            if not wanted.keys() & set(own):
+                continue
             for a in range(max(1, len(own) - n + 1)):
                 window = Counter(own[a:a + n])
                 both = sum((window & wanted).values())
