@@ -83,6 +83,13 @@ def test_languages_of_odd_texts(spark):
     assert langid.accepted_documents(clash).columns == clash.columns
 
 
+def test_letters_are_unicode_letters(spark):
+    texts = ["½ ² Ⅷ _", "ä", "漢"]
+    docs = spark.createDataFrame(corpus(30) + [(1000 + i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    out = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    assert [out[1000 + i] == "und" for i in range(3)] == [True, False, False]
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some words", None, None, None), (None, None, None, None, None)], DOCS)
     assert {(r["doc_id"], r["lang_pred"], r["score"]) for r in langid.identify(docs).collect()} == {(1, "und", 0.0), (None, "und", 0.0)}

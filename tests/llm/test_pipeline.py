@@ -24,6 +24,16 @@ def test_jaccard_join_equals_its_sql(spark):
     assert sorted(tuple(r) for r in queries.op2_ngram_jaccard_join(spark, SF).collect()) == wanted
 
 
+def test_leaks_equal_their_sql(spark):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
+    wanted = sorted(con.sql(queries.LEAKS_SQL).fetchall())
+    found = queries.op3_benchmark_decontamination(spark, SF)
+    assert found.columns == con.sql(queries.LEAKS_SQL).columns
+    assert sorted(tuple(r) for r in found.collect()) == wanted and wanted
+
+
 def test_stages_in_order(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
