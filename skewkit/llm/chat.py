@@ -14,8 +14,8 @@ found by pointer doubling, and positions are counted in ranges of turns, so that
 no task needs a whole conversation, however many rows one holds.
 
 Results: one row per distinct message, ``n_copies`` saying how often it occurs. A null
-conv_id or turn counts as one conversation or first turn of its own. Null and empty texts stay
-as empty messages; a message that only quotes is kept with an empty text. A quote of nothing in the
+conv_id or turn counts as one conversation or first turn of its own. A null role is an empty
+one. Null and empty texts stay as empty messages; a message that only quotes is kept with an empty text. A quote of nothing in the
 conversation is dropped and links nothing. Messages that share a turn are in order of role and text;
 a quote links to a turn, its first row in that order. Other columns of the input are not read.
 """
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import map_slices, staged
+from skewkit.llm.common import arrow_map, map_slices, staged
 
 TURNS_PER_RANGE = 4096
 _FIRST = -(1 << 63)
@@ -105,7 +105,7 @@ def _own_sentences(messages: DataFrame) -> DataFrame:
                     sentence.append(s)
             yield pa.record_batch({"conv": pa.array(conv, pa.int64()), "turn": pa.array(turn, pa.int64()),
                                    "sentence": pa.array(sentence, pa.string())})
-    return messages.select("conv", "turn", "own").mapInArrow(run, "conv long, turn long, sentence string")
+    return arrow_map(messages.select("conv", "turn", "own"), run, "conv long, turn long, sentence string")
 
 
 def _key(column):

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from skewkit.session import scratch_path
 
-SLICE_BYTES = 2 << 20   # texts of one numpy slice; a longer single text is a slice of its own
+SLICE_BYTES = 1 << 20   # texts of one numpy slice; a longer single text is a slice of its own
+BATCH_ROWS = 1_000      # rows of an Arrow batch, where the session keeps Spark's default
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _BASE = 0x9E3779B97F4A7C15   # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -63,8 +65,39 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(start)
 
 
+_in_worker: dict = {}
+
+
+def kept_in_worker(kind: str, key, make: Callable):
+    """``make()`` once for ``key`` in each Python worker. A worker keeps one such value, the last: an operator's
+    tables and caches go when the worker turns to another one."""
+    if _in_worker.get("key") != (kind, key):
+        _in_worker.clear()
+        _in_worker.update(key=(kind, key), value=make())
+    return _in_worker["value"]
+
+
+def _drop_others(kind: str | None) -> None:
+    if _in_worker and _in_worker["key"][0] != kind:
+        _in_worker.clear()
+
+
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
+              keeps: str | None = None) -> DataFrame:
+    """``mapInArrow`` with batches of bounded rows, in a worker that holds no other operator's tables than ``keeps``."""
+    conf = df.sparkSession.conf
+    if conf.get(_ROWS_CONF) == "10000":        # Spark's default: ten times the longest texts is too much for a worker
+        conf.set(_ROWS_CONF, str(BATCH_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _drop_others(keeps)
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+    return df.mapInArrow(run, schema)
+
+
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
-               column: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
+               column: str = "text", limit: int = SLICE_BYTES, keeps: str | None = None) -> DataFrame:
     """``fn`` on each slice of each Arrow batch; it returns a batch of ``schema``, or None."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,10 +105,10 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | No
                 out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
-    return df.mapInArrow(run, schema)
+    return arrow_map(df, run, schema, keeps)
 
 
-def annotate(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fields: str) -> DataFrame:
+def annotate(df: DataFrame, fn: Callable[[pa.Array], list[pa.Array]], fields: str, keeps: str | None = None) -> DataFrame:
     """All columns of ``df`` by position (``_c0``, ``_c1`` ...) and the columns ``fields`` that ``fn``
     makes from each slice of its ``text``. Names of ``df`` may clash with anything; see ``restored``."""
     names = [f"_c{i}" for i in range(len(df.columns))]
@@ -89,7 +122,7 @@ def annotate(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fiel
     made = [x.strip().split(" ") for x in fields.split(",")]
     schema = ", ".join([f"{n} {t}" for n, t in zip(names, types, strict=True)] +
                        [f"_m{i} {t}" for i, (_, t) in enumerate(made)])
-    out = map_slices(df.toDF(*names), run, schema, column=text)
+    out = map_slices(df.toDF(*names), run, schema, column=text, keeps=keeps)
     return out.withColumnsRenamed({f"_m{i}": name for i, (name, _) in enumerate(made)})
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import SLICE_BYTES, mix64, span_hashes
+from skewkit.llm.common import SLICE_BYTES, arrow_map, mix64, span_hashes
 from skewkit.llm.ordering import default_parts, range_index, range_splits
 
 WINDOW = 7
@@ -246,4 +246,4 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         if ready:
             yield batch(ready)
 
-    return _with_successors(docs, 4 * default_parts(docs.sparkSession)).mapInArrow(run, schema)
+    return arrow_map(_with_successors(docs, 4 * default_parts(docs.sparkSession)), run, schema)

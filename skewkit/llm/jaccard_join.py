@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import map_slices, mix64, shingle_hashes, staged, utf8, word_hashes
+from skewkit.llm.common import arrow_map, map_slices, mix64, shingle_hashes, staged, utf8, word_hashes
 from skewkit.llm.components import connected_components
 
 SHINGLE = 5
@@ -126,7 +126,7 @@ def _bands(reps: DataFrame) -> DataFrame:
                 sig = _signatures(batch.column("sig"))
                 yield pa.record_batch({"band": pa.array(band_keys(sig).astype(np.int64).ravel()),
                                        "rid": pa.array(np.repeat(batch.column("rid").to_numpy(), BANDS))})
-    return reps.select("rid", "sig").mapInArrow(keys, "band long, rid long")
+    return arrow_map(reps.select("rid", "sig"), keys, "band long, rid long")
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -256,7 +256,7 @@ def _verified(units: DataFrame) -> DataFrame:
             column.extend(values)
         yield _member_rows(out)
 
-    return units.mapInArrow(run, "rid long, links long, label long")
+    return arrow_map(units, run, "rid long, links long, label long")
 
 
 def _member_rows(out: tuple) -> pa.RecordBatch:

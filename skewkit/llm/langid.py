@@ -15,7 +15,8 @@ each text, with code 0 before its first byte.
 
 Training reads rows with a text, a letter and a language whose
 ``crc32(doc_id as text) mod 3`` is not 1, and of them a sample drawn by a hash of id
-and text: about ``train_docs`` rows for each language (all, where it has fewer).
+and text: about ``train_docs`` rows for each language (all, where it has fewer), for the
+``MAX_LANGUAGES`` most frequent labels.
 Counting is a Spark aggregation; the driver gets the frozen counts only, at
 most ``ALPHABET ** (MAX_ORDER + 1)`` per language.
 
@@ -27,19 +28,22 @@ one by one; extra columns of the input are kept only by ``accepted_documents``.
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import annotate, fold_bucket, restored, slices, utf8
+from skewkit.llm.common import annotate, arrow_map, fold_bucket, kept_in_worker, restored, slices, utf8
 
 MAX_ORDER = 3
 ALPHABET = 64
 TRAIN_DOCS = 1500
+#: Languages a model may have, the most frequent labels first.
+MAX_LANGUAGES = 1_000
 UNDETERMINED = "und"
 #: Above so many bits a byte in its best language, a text of at least MIN_BYTES isn't in any of them.
 MAX_BITS = 7.0
@@ -58,8 +62,9 @@ def training_rows(docs: DataFrame, train_docs: int) -> DataFrame:
     """A hash sample of about ``train_docs`` labelled rows of each language: ``text, lang``."""
     rows = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & (F.coalesce(fold_bucket("doc_id", 3), F.lit(0)) != 1))
-    shares = rows.filter(F.col("text").isNotNull()).groupBy("lang").agg(
-        F.least(F.lit(1.0), F.lit(float(train_docs)) / F.count("*")).alias("_share"))
+    counts = rows.filter(F.col("text").isNotNull()).groupBy("lang").agg(F.count("*").alias("_n"))
+    shares = counts.orderBy(F.desc("_n"), "lang").limit(MAX_LANGUAGES).select(
+        "lang", F.least(F.lit(1.0), F.lit(float(train_docs)) / F.col("_n")).alias("_share"))
     draw = (F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
     return (rows.filter(has_letter()).join(F.broadcast(shares), "lang")
             .filter(draw < F.col("_share")).select("text", "lang"))
@@ -194,7 +199,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
             n += np.bincount(_fold[data], minlength=256)
         yield pa.record_batch({"byte": pa.array(np.arange(256), pa.int32()), "n": pa.array(n, pa.int64())})
 
-    totals = (rows.select("text").mapInArrow(byte_counts, "byte int, n long")
+    totals = (arrow_map(rows.select("text"), byte_counts, "byte int, n long")
               .groupBy("byte").agg(F.sum("n").alias("n")).filter("n > 0").collect())
     if not totals:
         return None
@@ -219,7 +224,7 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
                                                "gram_order": pa.array(np.full(len(keys), order), pa.int32()),
                                                "gram": pa.array(keys), "n": pa.array(n.astype(np.int64))})
 
-    frozen = (rows.mapInArrow(gram_counts, "lang string, gram_order int, gram long, n long")
+    frozen = (arrow_map(rows, gram_counts, "lang string, gram_order int, gram long, n long")
               .groupBy("lang", "gram_order", "gram").agg(F.sum("n").alias("n"))
               .groupBy("lang", "gram_order").agg(F.sort_array(F.collect_list(F.struct("gram", "n"))).alias("g")))
     found: dict[str, dict] = {}
@@ -232,14 +237,14 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
 def _scored(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` by position with lang_pred, score and bits a byte (null for ``und``), see ``annotate``."""
     fields = "lang_pred string, score double, bits double"
-    shared = docs.sparkSession.sparkContext.broadcast(model and model.packed())
+    shared = docs.sparkSession.sparkContext.broadcast(model and (uuid.uuid4().hex, model.packed()))
 
     def score(text: pa.Array) -> list[pa.Array]:
         letter = np.array([bool(_letter(t)) if t else False for t in text.to_pylist()], bool)
         if shared.value is None:
             n = len(text)
             return [pa.array([UNDETERMINED] * n, pa.string()), pa.array(np.zeros(n)), pa.nulls(n, pa.float64())]
-        m = _unpacked(shared.value)
+        m = kept_in_worker(KIND, shared.value[0], lambda: Model.unpack(shared.value[1]))
         data, offsets = utf8(text)
         bits = m.bits(data, offsets)
         best = bits.argmin(axis=1)
@@ -250,18 +255,11 @@ def _scored(docs: DataFrame, model: Model | None) -> DataFrame:
                          pa.string()),
                 pa.array(np.where(letter, posterior, 0.0)), pa.array(least / size, pa.float64(), mask=~letter)]
 
-    return annotate(docs, score, fields)
+    return annotate(docs, score, fields, keeps=KIND)
 
 
-_letter = re.compile(r"[^\W\d_]").search
-_unpacked_models: dict = {}
-
-
-def _unpacked(packed: tuple) -> Model:
-    """The model of a broadcast value, unpacked once in each Python worker."""
-    if _unpacked_models.get("of") is not packed:
-        _unpacked_models.update(of=packed, model=Model.unpack(packed))
-    return _unpacked_models["model"]
+_letter = regex.compile(r"\p{L}").search
+KIND = "language models"
 
 
 def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, model: Model | None = None) -> DataFrame:

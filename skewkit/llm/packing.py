@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from skewkit.llm.common import map_slices, staged
 from skewkit.llm.ordering import default_parts, prefix_sums, range_splits
-from skewkit.llm.tokens import encoder
+from skewkit.llm.tokens import KIND, encoder
 
 CONTEXT = 2048
 
@@ -68,7 +68,7 @@ def decompose(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONT
             cols["ids"] = pa.array(pieces, pa.list_(pa.list_(pa.int32())))
         return pa.record_batch(cols)
 
-    return map_slices(docs.select("doc_id", "text"), cut, schema)
+    return map_slices(docs.select("doc_id", "text"), cut, schema, keeps=KIND)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONTEXT, with_ids: bool = False) -> DataFrame:

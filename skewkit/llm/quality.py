@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import annotate, fold_bucket, map_slices, restored, utf8, word_hashes
+from skewkit.llm.common import annotate, arrow_map, fold_bucket, map_slices, restored, utf8, word_hashes
 
 DIMENSIONS = 1 << 18
 TRAIN_DOCS = 6000
@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
                                "slope": pa.array([m.slope]), "shift": pa.array([m.shift])})
 
     rows = map_slices(sample, features, "doc_id long, y int, idx binary").repartition(1)
-    got = rows.mapInArrow(fitted, "used binary, ratio binary, w binary, slope double, shift double").first()
+    got = arrow_map(rows, fitted, "used binary, ratio binary, w binary, slope double, shift double").first()
     if got is None:
         return fit([], np.zeros(0))
     used = np.frombuffer(got["used"], np.int32)

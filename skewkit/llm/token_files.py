@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import staged
+from skewkit.llm.common import arrow_map, staged
 from skewkit.llm.ordering import default_parts, prefix_sums_by_range, range_index, range_splits
 from skewkit.llm.rangecoder import LANES, LONGEST, decode_blocks, encode_blocks
-from skewkit.llm.tokens import encoder
+from skewkit.llm.tokens import KIND, encoder
 
 BLOCK_IDS = LONGEST
 _PIECE = "struct<at:long,doc_id:long,first:long,here:long,all:long>"
@@ -102,7 +102,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
         if blocks.ready:
             yield blocks.coded()
 
-    dealt.mapInArrow(run, FILE_SCHEMA).write.mode("overwrite").parquet(path)
+    arrow_map(dealt, run, FILE_SCHEMA, KIND).write.mode("overwrite").parquet(path)
 
 
 def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -130,7 +130,7 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
     schema = "range int, at long, doc_id long, first long, here long, all long, crc long"
     blocks = spark.read.schema(FILE_SCHEMA).parquet(path).select("range", "documents", "payload")
-    return blocks.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return arrow_map(blocks, run, schema + (", ids array<int>" if with_ids else ""))
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from skewkit.llm.common import kept_in_worker
+
 CACHE_PIECES = 400_000
 #: Longer pieces are encoded, but not kept.
 CACHE_PIECE_CHARS = 64
@@ -69,12 +71,9 @@ class _Both:
         return self.second[key] if found is None else found
 
 
-_encoders: dict[str, CachedEncoder] = {}
+KIND = "tokens"
 
 
 def encoder(vocabulary: str) -> CachedEncoder:
     """This worker's encoder of a vocabulary file."""
-    if vocabulary not in _encoders:
-        _encoders.clear()
-        _encoders[vocabulary] = CachedEncoder(vocabulary)
-    return _encoders[vocabulary]
+    return kept_in_worker(KIND, vocabulary, lambda: CachedEncoder(vocabulary))
