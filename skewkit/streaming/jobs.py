@@ -143,6 +143,13 @@ class RunningCountCommit:
             "word", F.col("running_cnt").alias("_total"), F.col("offset").alias("_last"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.persist()      # read by the count, the totals and the check of its offsets
+        try:
+            self._commit(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _commit(self, batch: DataFrame, batch_id: int) -> None:
         words = explode_words(batch, keep=["offset", "partition"])
         numbered = running_count_per_record_batch(words, bucket_width=self.bucket_width, ties=["partition"])
         now = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"), F.max("offset").alias("_max"))

@@ -267,8 +267,9 @@ def _events(spark, tmp_dir, n_files):
     """The smallest events table as one of ``n_files`` files, rows dealt round-robin, each a scan task."""
     path = os.path.join(tmp_dir, f"events-{n_files}", "events.parquet")
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    dealt = ev.withColumn("_f", F.col("event_id") % n_files).repartition(n_files, "_f").drop("_f")
-    dealt.write.option("maxRecordsPerFile", max(1, ev.count() // n_files // 2)).parquet(path)
+    dealt = ev.withColumn("_f", F.col("event_id") % n_files).repartitionByRange(n_files, "_f").drop("_f")
+    dealt.write.parquet(path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == n_files
     return os.path.dirname(path)
 
 
