@@ -1,35 +1,40 @@
 """Token ids of whole texts, with the words that were seen before read from a cache.
 
 A byte-level or word BPE never merges across the start of a white-space run that
-follows a non-space character, so a text can be cut there and its pieces
-encoded on their own. Words repeat, so the tokenizer sees each distinct piece
-once for as long as the worker's cache holds it; the cache is bounded and
-starts again when full. The ids are those of the whole text's encoding.
+follows a non-space character, nor between a letter and the punctuation after it, so a text can be cut
+there and its pieces encoded on their own. Words repeat, so the tokenizer sees each distinct piece
+once for as long as the worker's cache holds it. The cache is bounded: when its
+new half is full, the old half goes, and pieces still in use move on. The ids are those of
+the whole text's encoding.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 from skewkit.llm.common import kept_in_worker
 
-CACHE_PIECES = 400_000
+#: Pieces in each half of the cache.
+CACHE_PIECES = 200_000
 #: Longer pieces are encoded, but not kept.
 CACHE_PIECE_CHARS = 64
+_TRAILING = ".,!?;:"
 
 _cut = re.compile(r"(?<=\S)(?= )")
 _odd_gap = re.compile(r"\s ")
 
 
 def pieces(text: str) -> list[str]:
-    """The text, cut before each space that follows a non-space character."""
+    """The text, cut at each space that follows a non-space character; the space itself is left out.
+    All pieces but the first follow such a space."""
     if _odd_gap.search(text):
-        return _cut.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
+        first, *rest = _cut.split(text)
+        return [first, *[p[1:] for p in rest]]
+    return text.split(" ")
 
 
 class CachedEncoder:
@@ -41,34 +46,59 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.limit = cache_pieces
-        self.cache: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}                  # ids of " " + piece
+        self.old: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}                # ids of pieces that no space precedes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [pieces(t) if t else [] for t in texts]
-        new = list({p for c in cut for p in c} - self.cache.keys())
-        if len(self.cache) + len(new) > self.limit:
-            self.cache.clear()
-            new = list({p for c in cut for p in c})
-        fresh: dict[str, bytes] = {}
-        for start in range(0, len(new), 20_000):
-            part = new[start:start + 20_000]
-            for piece, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                fresh[piece] = np.array(e.ids, np.uint32).tobytes()
-        known = self.cache
-        kept = {p: v for p, v in fresh.items() if len(p) <= CACHE_PIECE_CHARS}
-        known.update(kept)
-        if len(kept) < len(fresh):
-            known = _Both(known, fresh)
-        return [np.frombuffer(b"".join([known[p] for p in c]), np.uint32) for c in cut]
-
-
-class _Both:
-    def __init__(self, first: dict, second: dict):
-        self.first, self.second = first, second
-
-    def __getitem__(self, key: str) -> bytes:
-        found = self.first.get(key)
-        return self.second[key] if found is None else found
+        cut = [pieces(t) if t else [""] for t in texts]
+        heads = [c.pop(0) for c in cut]
+        self._learn_heads(set(heads))
+        missing = set().union(*cut).difference(self.new)
+        if missing:
+            self._learn(missing)
+        ids = self.new.__getitem__
+        out = [np.frombuffer(self.heads[h] + b"".join(map(ids, c)), np.uint32) for h, c in zip(heads, cut, strict=True)]
+        for p in missing:
+            if len(p) > CACHE_PIECE_CHARS:
+                del self.new[p]
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+        if len(self.heads) > self.limit // 4:
+            self.heads = {}
+        return out
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for start in range(0, len(texts), 20_000):
+            some = self.tokenizer.encode_batch(texts[start:start + 20_000], add_special_tokens=False)
+            out.extend([array("I", e.ids).tobytes() for e in some])
+        return out
+
+    def _learn_heads(self, wanted: set[str]) -> None:
+        new = [p for p in wanted if p not in self.heads]
+        self.heads.update(zip(new, self._plain(new), strict=True))
+
+    def _learn(self, missing: set[str]) -> None:
+        """Put pieces into the cache's new half: from the old one, or encoded."""
+        new, old = self.new, self.old
+        if old:
+            kept = missing.intersection(old)
+            new.update(zip(kept, map(old.__getitem__, kept), strict=True))
+            missing = missing.difference(kept)
+        # a word with punctuation after it: the word may be known without
+        cores = {p: core for p in missing if (core := p.rstrip(_TRAILING)) != p and _ends_in_letter(core)}
+        fresh = list(missing.difference(cores).union(c for c in cores.values() if c not in new))
+        new.update(zip(fresh, self._plain([" " + p for p in fresh]), strict=True))
+        self._learn_heads({p[len(core):] for p, core in cores.items()})
+        heads = self.heads
+        for p, core in cores.items():
+            new[p] = new[core] + heads[p[len(core):]]
+
+
+def _ends_in_letter(text: str) -> bool:
+    # also in lower case, where a letter may end in a mark of its own
+    return text != "" and text[-1].isalpha() and text[-1].lower()[-1].isalpha()
 
 
 KIND = "tokens"
