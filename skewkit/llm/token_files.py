@@ -1,6 +1,6 @@
 """Token-id files: documents as ids, in order of doc_id, in blocks of a context-mixing range coder.
 
-Documents are dealt into ranges of doc_id. A range's ids (each document's, then its
+Documents are dealt into ranges of doc_id, one partition each. A range's ids (each document's, then its
 end id) are one stream that is cut into blocks of ``BLOCK_IDS``; a block is coded on its own and
 carries checksums, see ``rangecoder``. Files hold one block per row: its range, its number there, its
 ``documents`` (number in the range, doc_id, first id, ids of it here, all its ids) and the coded
@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skewkit.llm.common import arrow_map, staged
-from skewkit.llm.ordering import default_parts, prefix_sums_by_range, range_index, range_splits
+from skewkit.llm.ordering import default_parts, prefix_sums_by_range
 from skewkit.llm.rangecoder import LANES, LONGEST, decode_blocks, encode_blocks
 from skewkit.llm.tokens import KIND, encoder
 
@@ -36,12 +37,8 @@ _pieces = pa.list_(pa.struct([(n, pa.int64()) for n in ("at", "doc_id", "first",
 class _Blocks:
     """Collects a range's documents into blocks; hands out batches to code."""
 
-    def __init__(self):
+    def __init__(self, part: int):
         self.ready: list[tuple] = []
-        self.range = None
-
-    def begin(self, part: int) -> None:
-        self.end()
         self.range, self.block, self.at = part, 0, 0
         self.ids, self.documents, self.room = [], [], BLOCK_IDS
 
@@ -63,7 +60,7 @@ class _Blocks:
         self.ids, self.documents, self.room = [], [], BLOCK_IDS
 
     def end(self) -> None:
-        if self.range is not None and self.ids:
+        if self.ids:
             self._close()
 
     def coded(self) -> pa.RecordBatch:
@@ -77,24 +74,19 @@ class _Blocks:
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
     """Write the ids of every document of ``docs`` to ``path``."""
-    spark = docs.sparkSession
-    parts = default_parts(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    splits = range_splits(rows, "doc_id", parts)
-    dealt = (rows.select(range_index("doc_id", splits).alias("range"), "doc_id", "text")
-             .repartition(parts, "range").sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "text"))
+    # partition i holds the i-th range of doc_id
+    key = F.col("doc_id").asc_nulls_first()
+    dealt = rows.repartitionByRange(default_parts(docs.sparkSession), key).sortWithinPartitions(key, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _Blocks()
+        blocks = _Blocks(TaskContext.get().partitionId())
         tokens = encoder(vocabulary)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 ids = tokens.encode(part.column("text").to_pylist())
-                for r, doc_id, own in zip(part.column("range").to_pylist(), part.column("doc_id").to_pylist(), ids,
-                                          strict=True):
-                    if r != blocks.range:
-                        blocks.begin(r)
+                for doc_id, own in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     blocks.add(doc_id, np.append(own, np.uint32(end_id)))
                 if len(blocks.ready) >= LANES:
                     yield blocks.coded()
