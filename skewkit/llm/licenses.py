@@ -4,7 +4,10 @@ A text and a template are aligned on their words (letters and digits, in lower c
 words that occur exactly once in both are paired, the longest increasing subsequence
 of the pairs gives the anchors, and the gaps between anchors are aligned in
 the same way, after equal words at their edges are matched. Coverage is the
-share of the template's words that are matched; ``COVERAGE`` or more is a find.
+share of the template's words that are matched; ``COVERAGE`` or more is a find, if the template's deciding
+phrases (license name, version, terms) are among them, each word by word with nothing between: sibling
+licenses differ in little else. A version that goes on (``2.1`` for ``2``) or a qualified name is another license.
+In short templates of the caller's own, all words decide. A short notice is looked for where its first deciding phrase is.
 
 Where a template may stand is read from shared word pairs: a pair at word ``p`` of the text and
 ``q`` of the template points to the start ``p - q``, and starts that agree within ``SLACK`` of the template's
@@ -12,12 +15,13 @@ length make one place, so that each of several copies is found. A place is align
 least ``PAIRS`` of the template's word pairs are there. The whole text is read, map-side, and nothing is shuffled.
 
 Results: a row per find, none for null, empty or license-free texts. Repeated rows and null
-ids are reported as they are. Finds don't overlap: the one with the larger product of coverage and matched share of
+ids are reported as they are. Finds don't overlap: one inside a find of more matched words gives way to it, else the one with the larger product of coverage and matched share of
 its words in the text wins, then the one with more matched words, then the first template by name.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from bisect import bisect_left
 from collections import defaultdict
@@ -31,6 +35,10 @@ from skewkit.llm.common import map_slices
 COVERAGE = 0.8
 SLACK = 0.25
 PAIRS = 0.2
+#: Templates of up to so many words, without deciding phrases of their own, must be matched whole.
+SHORT = 16
+#: Right before a deciding phrase, these name another license.
+QUALIFIERS = frozenset("modified lesser library affero non".split())
 
 #: Standard notices of public licenses, by SPDX id.
 TEMPLATES = {
@@ -70,6 +78,127 @@ TEMPLATES = {
     "CC-BY-text": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
+#: What decides: phrases that a text must hold word by word for the template to be found.
+DECIDING: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache License, Version 2.0",), "Apache-2.0-header": ("Apache License, Version 2.0",), "MIT": ("MIT License",),
+    "MIT-text": ("subject to the following conditions", "shall be included in all copies"), "ISC-text": ("appear in all copies",),
+    "BSD-2-Clause-text": ("Redistributions in binary form must reproduce",),
+    "GPL-3.0": ("GNU General Public License, version 3",),
+    "GPL-3.0-header": ("GNU General Public License", "version 3 of the License", "any later version"),
+    "CC-BY-4.0": ("CC BY 4.0",), "CC-BY-SA-4.0": ("CC BY-SA 4.0",), "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
+    "CC-BY-text": ("Creative Commons Attribution 4.0",),
+}
+
+
+def _add(name: str, text: str, *deciding: str) -> None:
+    """A further template; ``name#n`` is another wording of ``name``."""
+    at, key = 1, name
+    while key in TEMPLATES:
+        at += 1
+        key = f"{name}#{at}"
+    TEMPLATES[key], DECIDING[key] = text, deciding
+
+
+def _add_notices() -> None:
+    for name, *wordings in (
+            ("Apache-2.0", "Apache License, Version 2.0", "Apache License 2.0"), ("MIT", "MIT License"), ("Apache-1.1", "Apache Software License, Version 1.1"),
+            ("MIT-0", "MIT-0 License", "MIT No Attribution License"), ("BSD", "BSD License"), ("0BSD", "Zero-Clause BSD License", "0BSD License"),
+            ("BSD-2-Clause", "BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+            ("BSD-3-Clause", "BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+            ("BSD-4-Clause", "BSD 4-Clause License", "4-Clause BSD License"), ("ISC", "ISC License"), ("Zlib", "zlib License"),
+            ("MPL-1.1", "Mozilla Public License, version 1.1", "Mozilla Public License 1.1"),
+            ("MPL-2.0", "Mozilla Public License, version 2.0", "Mozilla Public License 2.0"),
+            ("EPL-1.0", "Eclipse Public License, version 1.0", "Eclipse Public License 1.0"),
+            ("EPL-2.0", "Eclipse Public License, version 2.0", "Eclipse Public License 2.0"),
+            ("BSL-1.0", "Boost Software License, version 1.0", "Boost Software License 1.0"),
+            ("Artistic-1.0", "Artistic License 1.0"), ("Artistic-2.0", "Artistic License 2.0"), ("Unlicense", "Unlicense")):
+        for wording in wordings:
+            _add(name, f"Released under the {wording}.", wording)
+            _add(name, f"under the terms of the {wording}.", wording)
+    for name, full, brief, versions in (
+            ("GPL", "GNU General Public License", "GNU GPL", ("1", "2", "3")), ("LGPL", "GNU Library General Public License", "GNU LGPL", ("2",)),
+            ("LGPL", "GNU Lesser General Public License", "GNU LGPL", ("2.1", "3")),
+            ("AGPL", "GNU Affero General Public License", "GNU AGPL", ("3",))):
+        for v in versions:
+            spdx = f"{name}-{v if '.' in v else v + '.0'}"
+            if spdx != "GPL-3.0":
+                _add(spdx, f"This work is licensed under the {full}, version {v}.", f"{full}, version {v}")
+            for wording in (f"{full}, version {v}", f"{full} v{v}", f"{brief} version {v}", f"{brief} v{v}"):
+                _add(spdx, f"Released under the {wording}.", wording)
+            foundation = "as published by the Free Software Foundation"
+            opening = f"This program is free software: you can redistribute it and/or modify it under the terms of the {full} {foundation}"
+            if spdx != "GPL-3.0":
+                _add(f"{spdx}-header", f"{opening}, either version {v} of the License, or (at your option) any later version.",
+                     full, f"version {v} of the License", "any later version")
+            _add(f"{spdx}-only-header", f"{opening}, version {v} of the License.", full, f"Foundation, version {v} of the License")
+        _dates = {"GPL-1": "February 1989", "GPL-2": "June 1991", "GPL-3": "29 June 2007", "LGPL-2": "June 1991", "LGPL-2.1": "February 1999",
+                  "LGPL-3": "29 June 2007", "AGPL-3": "19 November 2007"}
+        for v in versions:
+            _add(f"{name}-{v if '.' in v else v + '.0'}-title", f"{full} Version {v}, {_dates[f'{name}-{v}']}",
+                 f"{full} Version {v}, {_dates[f'{name}-{v}']}")
+    _add("Apache-2.0-title", "Apache License Version 2.0, January 2004", "Apache License Version 2.0, January 2004")
+    _add("MPL-2.0-title", "Mozilla Public License Version 2.0 1. Definitions", "Mozilla Public License Version 2.0 1. Definitions")
+    long = {"BY": "", "BY-SA": "-ShareAlike", "BY-NC": "-NonCommercial", "BY-ND": "-NoDerivatives", "BY-NC-SA": "-NonCommercial-ShareAlike",
+            "BY-NC-ND": "-NonCommercial-NoDerivatives"}
+    for kind, terms in long.items():
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            if f"CC-{kind}-{v}" not in TEMPLATES:
+                _add(f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}.", f"CC {kind} {v}")
+            place = " International" if v == "4.0" else " Unported" if v == "3.0" else ""
+            spdx = "CC-BY-text" if (kind, v) == ("BY", "4.0") else f"CC-{kind}-{v}-text"
+            for t in dict.fromkeys((terms, terms.replace("NoDerivatives", "NoDerivs"))):
+                t = "Creative Commons Attribution" + t
+                if spdx not in TEMPLATES or t.endswith("Derivs"):
+                    _add(spdx, f"This work is licensed under a {t} {v}{place} License.", f"{t} {v}")
+                _add(spdx, f"Licensed under the {t} {v}{place} License.", f"{t} {v}")
+    _add("CC0-1.0", "Released under CC0 1.0.", "CC0 1.0")
+    _add("CC0-1.0-title", "CC0 1.0 Universal", "CC0 1.0 Universal")
+
+
+def _add_texts() -> None:
+    as_is = "THE SOFTWARE IS PROVIDED \"AS IS\""
+    grant = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    _add("0BSD-text", f"{grant}. {as_is} AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE",
+         "is hereby granted. THE SOFTWARE IS PROVIDED")
+    mit = TEMPLATES["MIT-text"]
+    head, rest = mit.split(", subject to the following conditions")
+    _add("MIT-0-text", head + ". " + rest[rest.index("THE SOFTWARE IS"):], "to do so. THE SOFTWARE IS PROVIDED")
+    _add("X11-text", mit + " Except as contained in this notice, the name of the copyright holders shall not be used in advertising or "
+         "otherwise to promote the sale, use or other dealings in this Software without prior written authorization.",
+         *DECIDING["MIT-text"], "Except as contained in this notice")
+    bsd = TEMPLATES["BSD-2-Clause-text"]
+    names = "may be used to endorse or promote products derived from this software without specific prior written permission."
+    _add("BSD-3-Clause-text", f"{bsd} 3. Neither the name of the copyright holder nor the names of its contributors {names}",
+         *DECIDING["BSD-2-Clause-text"], "Neither the name of", "endorse or promote products")
+    _add("BSD-4-Clause-text", f"{bsd} 3. All advertising materials mentioning features or use of this software must display the following "
+         "acknowledgement: This product includes software developed by the organization. 4. Neither the name of the copyright holder nor "
+         f"the names of its contributors {names}", *DECIDING["BSD-2-Clause-text"], "All advertising materials", "Neither the name of")
+    _add("MPL-1.1-header", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use "
+         "this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/",
+         "Mozilla Public License Version 1.1")
+    _add("MPL-2.0-header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Mozilla Public License, v. 2.0")
+    _add("Zlib-text", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+         "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, "
+         "including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The "
+         "origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this "
+         "software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source "
+         "versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be "
+         "removed or altered from any source distribution.", "must not be misrepresented")
+    _add("BSL-1.0-text", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+         "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit "
+         "the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do "
+         "so, all subject to the following: The copyright notices in the Software and this entire statement must be included in all copies of "
+         "the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in "
+         "the form of machine-executable object code generated by a source language processor.", "person or organization obtaining")
+    _add("Unlicense-text", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+         "non-commercial, and by any means.", "released into the public domain")
+
+
+_add_notices()
+_add_texts()
+
 _word = re.compile(r"\w+")
 
 
@@ -124,6 +253,20 @@ def align(left: list[str], right: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _outermost(finds: list[tuple]) -> list[tuple]:
+    """Without the finds that stand inside one of more matched words: a license that goes on is the longer one."""
+    finds = sorted(finds, key=lambda f: f[3])
+    widest = max((f[4] - f[3] for f in finds), default=0)
+    out, first = [], 0
+    for f in finds:
+        while finds[first][3] < f[3] - widest:
+            first += 1
+        near = itertools.takewhile(lambda g, f=f: g[3] <= f[3], itertools.islice(finds, first, None))
+        if not any(g[4] >= f[4] and g[2] > f[2] for g in near):
+            out.append(f)
+    return out
+
+
 class Scanner:
     """Templates with an index of their word pairs."""
 
@@ -131,15 +274,52 @@ class Scanner:
         self.coverage = coverage
         chosen = TEMPLATES if templates is None else templates
         self.templates = {name: _word.findall(text.lower()) for name, text in sorted(chosen.items())}
+        self.shown = {name: name.split("#")[0] if templates is None else name for name in chosen}
+        self.deciding = {name: self._places_of(words, DECIDING.get(name, ()) if TEMPLATES.get(name) == chosen[name] else ())
+                         for name, words in self.templates.items()}
+        # short notices by their first deciding phrase, under its first word
+        self.phrases: dict[str, list[tuple[str, int, list[str]]]] = defaultdict(list)
         self.pairs: dict[tuple[str, str], list[tuple[str, int]]] = defaultdict(list)
         for name, words in self.templates.items():
+            if len(words) <= SHORT and self.deciding[name]:
+                q, end = self.deciding[name][0]
+                self.phrases[words[q]].append((name, q, words[q:end]))
+                continue
             for q, pair in enumerate(zip(words, words[1:], strict=False)):
                 self.pairs[pair].append((name, q))
         # every pair holds one of these words: texts without any have no place
         rare = {w for pair in self.pairs for w in pair if len(w) > 3} | {w for pair in self.pairs for w in pair
-                                                                       if all(len(x) <= 3 for x in pair)}
+                                                                       if all(len(x) <= 3 for x in pair)} | set(self.phrases)
         self._any = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, rare))) + r")\b", re.I) if rare else None
 
+    @staticmethod
+    def _places_of(words: list[str], phrases: tuple[str, ...]) -> list[tuple[int, int]]:
+        """First word and end of each deciding phrase in a template; the whole of a short one that has none."""
+        if not phrases:
+            return [(0, len(words))] if 0 < len(words) <= SHORT else []
+        out = []
+        for phrase in phrases:
+            wanted = _word.findall(phrase.lower())
+            at = next(q for q in range(len(words)) if words[q:q + len(wanted)] == wanted)
+            out.append((at, at + len(wanted)))
+        return out
+
+    def _decided(self, name: str, pairs: list[tuple[int, int]], begin: int, spans: list[tuple], text: str) -> bool:
+        """Whether the deciding phrases of a template are aligned whole, and name no other license in the text."""
+        at = {q: p + begin for p, q in pairs}
+        for a, b in self.deciding[name]:
+            p = at.get(a)
+            if p is None or any(at.get(q) != p + q - a for q in range(a, b)):
+                return False
+            if p and spans[p - 1][0] in QUALIFIERS and at.get(a - 1) != p - 1:
+                return False
+            last = p + b - a
+            if last < len(spans) and at.get(b) != last and spans[last - 1][0][-1].isdigit():
+                more = spans[last][0]
+                if text[spans[last - 1][2]:spans[last][1]] == "." and more.isdigit() and more.strip("0"):
+                    return False
+        return True
+
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """``template, coverage, begin, end`` (code points) of each find, in order."""
         if not text or self._any is None or not self._any.search(text):
@@ -150,18 +330,24 @@ class Scanner:
         for p, pair in enumerate(zip(words, words[1:], strict=False)):
             for name, q in self.pairs.get(pair, ()):
                 starts[name].append(p - q)
-        finds = [f for name, found in starts.items() for f in self._finds(words, name, sorted(found))]
+        placed = {}
+        for p, word in enumerate(words):
+            for name, q, phrase in self.phrases.get(word, ()):
+                if words[p:p + len(phrase)] == phrase:
+                    placed.setdefault(name, []).append(p - q)
+        finds = [f for name, found in starts.items() for f in self._finds(spans, words, name, self._gathered(name, sorted(found)), text)]
+        finds += [f for name, found in placed.items() for f in self._finds(spans, words, name, [[s] for s in found], text)]
+        finds = _outermost(finds)
         finds.sort(key=lambda f: (-f[1] * f[2] / (f[4] - f[3] + 1), -f[2], f[0], f[3]))
         kept: list[tuple] = []
         for f in finds:
             if all(f[4] < k[3] or f[3] > k[4] for k in kept):
                 kept.append(f)
-        return sorted(((name, share, spans[a][1], spans[b][2]) for name, share, _, a, b in kept), key=lambda f: f[2])
+        return sorted(((self.shown[name], share, spans[a][1], spans[b][2]) for name, share, _, a, b in kept), key=lambda f: f[2])
 
-    def _finds(self, words: list[str], name: str, starts: list[int]) -> list[tuple[str, float, int, int, int]]:
-        """``name, coverage, matched words, first word, last word`` of each place with enough coverage."""
-        template = self.templates[name]
-        size = len(template)
+    def _gathered(self, name: str, starts: list[int]) -> list[list[int]]:
+        """Starts of a template, by place; places with too few of its word pairs are left out."""
+        size = len(self.templates[name])
         slack = max(1, int(SLACK * size))
         places: list[list[int]] = []
         for s in starts:
@@ -169,13 +355,19 @@ class Scanner:
                 places[-1].append(s)
             else:
                 places.append([s])
+        return [place for place in places if len(place) >= PAIRS * (size - 1)]
+
+    def _finds(self, spans: list[tuple], words: list[str], name: str, places: list[list[int]],
+               text: str) -> list[tuple[str, float, int, int, int]]:
+        """``name, coverage, matched words, first word, last word`` of each place with enough coverage."""
+        template = self.templates[name]
+        size = len(template)
+        slack = max(1, int(SLACK * size))
         finds = []
         for place in places:
-            if len(place) < PAIRS * (size - 1):
-                continue
             begin, end = max(0, place[0] - slack), min(len(words), place[-1] + size + slack)
             pairs = align(words[begin:end], template)
-            if len(pairs) >= self.coverage * size - 1e-9:
+            if len(pairs) >= self.coverage * size - 1e-9 and self._decided(name, pairs, begin, spans, text):
                 finds.append((name, len(pairs) / size, len(pairs), begin + pairs[0][0], begin + pairs[-1][0]))
         return finds
 
