@@ -8,7 +8,12 @@ terminal. Smoothness edges join blocks that follow each other, and blocks that
 are neighbours under the same parent, so that a doubtful block goes
 with its surroundings. The minimum cut is the labelling of least total cost.
 
-Scripts, styles, markup, comments in the markup and hidden parts give no block. Character
+A boilerplate word in a class, id or role counts against an element only if it names the element's own role
+(``sidebar``, ``cookie-notice``) or, in other names (``comments-x``), if the element holds a small share of the text; never
+in names of a state or layout (``has-sidebar``, ``comments-open``), and never on what holds an article or nearly all of the text.
+
+Scripts, styles, markup, comments in the markup and hidden parts give no block; ``aria-hidden`` parts are
+seen by readers, and formulas are text (without their annotations). Character
 references are decoded, white space inside a block becomes one space, blocks
 are joined in page order by an empty line; nothing else is dropped or cut.
 
@@ -35,7 +40,7 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select "
     "summary table tbody td tfoot th thead tr ul".split())
 #: Elements whose content is never text of the page.
-RAW_TAGS = frozenset("script style noscript template textarea iframe object svg math canvas audio video head title".split())
+RAW_TAGS = frozenset("script style noscript template textarea iframe object svg annotation annotation-xml canvas audio video head title".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What a new element of the kind implicitly ends.
 IMPLIED_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -52,53 +57,99 @@ BAD_WORDS = frozenset(
     "recommendations trending widget widgets comment comments commentlist reply replies respond disqus discussion "
     "pagination pager toolbar legal copyright disclaimer skip hidden tags taglist toc form paywall rail".split())
 GOOD_WORDS = frozenset("article articlebody content entry main post story text prose".split())
+#: Words of names that say where or how an element stands, not what it is.
+PLACE_WORDS = frozenset(
+    "site page global main top bottom left right primary secondary tertiary box block container wrapper wrap inner outer section area "
+    "list bar item items group panel region col column row unit slot body content module link links primary js id the my".split())
+#: Words of names that tell a state or layout of an element that is something else.
+STATE_WORDS = frozenset(
+    "has have no non not with without hide hides show shows is are open opened closed enabled disabled on off allow allowed layout "
+    "supports free visible using use".split())
+#: An element with a bad role is spared if it holds this share of the text, one with a bad word in another name,
+#: or beside the name of a content role, at HINT_SHARE.
+ROLE_SHARE = 0.8
+HINT_SHARE = 0.3
+#: What counts against elements of a bad role.
+BAD_ROLE = 8.0
 BAD_TAGS = {"nav": 9.0, "footer": 8.0, "aside": 8.0, "form": 8.0, "button": 8.0, "select": 8.0, "option": 8.0, "menu": 8.0,
             "dialog": 8.0, "fieldset": 6.0, "legend": 6.0}
 
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?>(?:[^>\"']++|\"[^\"]*\"|'[^']*'){0,200})(?=>)|[^>]*)>"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+(?=>)|[^>]*)>"
     r"|<[!?/][^>]*>", re.S)
-_attribute = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?",
-                        re.I)
+_attribute = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 _word = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 _hidden_style = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Element:
-    """An open element: its tag, the prior of what stands in it, and what it says about its content."""
+    """An open element: its tag, the prior of what stands in it, and what it says about its content.
+
+    The prior is known once the page is read (``settle``): it depends on the share of the text in the element.
+    """
 
-    __slots__ = ("tag", "parent", "prior", "in_article", "hidden")
+    __slots__ = ("tag", "parent", "prior", "in_article", "hidden", "own", "good", "share", "chars", "plain", "holds_article", "region")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         self.tag, self.parent = tag, parent
-        self.prior = parent.prior if parent else 0.0
+        self.prior = self.own = 0.0
+        self.good = False
+        self.share = 0.0                # spared from this share of the text on; 0: nothing speaks against it
+        self.chars = self.plain = 0     # of text, and of text in no element with a bad word below this one
+        self.region = (0, 0)            # plain and all characters of what is spared around
         self.in_article = (parent.in_article if parent else False) or tag in ("article", "main")
+        self.holds_article = tag == "main"
         self.hidden = parent.hidden if parent else False
         if tag in ("article", "main") and not (parent and parent.in_article):
-            self.prior += 4.0
+            self.own += 4.0
         if tag in BAD_TAGS:
-            self.prior -= BAD_TAGS[tag]
+            self.own -= BAD_TAGS[tag]
         elif tag == "header" and not self.in_article:
-            self.prior -= 7.0
+            self.own -= 7.0
         if attrs and not attrs.isspace():
             self._read(attrs)
 
     def _read(self, attrs: str) -> None:
-        words: set[str] = set()
+        good_role = False
         for name, *values in _attribute.findall(attrs):
             value = values[0] or values[1] or values[2]
             name = name.lower()
             if name == "style":
                 self.hidden |= bool(_hidden_style.search(value))
-            elif name == "hidden" or name == "aria-hidden":
-                self.hidden |= name == "hidden" or value.lower() == "true"
-            else:
-                words.update(w.lower() for w in _word.findall(value))
-        if words & BAD_WORDS - ({"header"} if self.in_article else set()) and self.tag not in ("body", "html", "article"):
-            self.prior -= 8.0
-        elif words & GOOD_WORDS and not self.in_article:
-            self.prior += 2.0
+            elif name == "hidden":
+                self.hidden = True
+            elif name == "aria-hidden":
+                if value.lower() == "true" and not self.in_article:
+                    self.share = max(self.share, HINT_SHARE)
+            elif name in ("class", "id", "role", "itemprop"):
+                for token in value.split():
+                    words = {w.lower() for w in _word.findall(token)}
+                    self.good |= not words.isdisjoint(GOOD_WORDS)
+                    good_role |= words.isdisjoint(BAD_WORDS) and not words.isdisjoint(GOOD_WORDS)
+                    bad = words & BAD_WORDS - ({"header"} if self.in_article else set())
+                    if bad and words.isdisjoint(STATE_WORDS):
+                        role = all(w in bad or w in PLACE_WORDS or w.isdigit() for w in words)
+                        self.share = max(self.share, ROLE_SHARE if role else HINT_SHARE)
+        if good_role:
+            self.share = min(self.share, HINT_SHARE)
+
+    def settle(self) -> None:
+        """Set the prior; the parent's is set."""
+        if self.parent:
+            self.prior, self.region = self.parent.prior, self.parent.region
+        else:
+            self.region = (self.plain, self.chars)
+        self.prior += self.own
+        bad = self.share and self.parent and self.tag != "article" and not self.holds_article
+        clean, everything = self.region
+        if bad and not (self.chars and self.chars >= self.share * (self.chars + clean) and 2 * self.chars >= everything):
+            self.prior -= BAD_ROLE
+        else:
+            if bad:
+                self.region = (clean + self.plain, self.chars)
+            if self.good and not self.in_article:
+                self.prior += 2.0
 
 
 class Block:
@@ -133,6 +184,7 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     top = Element("html", "", None)
     stack = [top]
+    elements = [top]
     pieces: list[str] = []
     state = {"linked": 0, "link": False}
 
@@ -196,10 +248,31 @@ def blocks(html: str) -> list[Block]:
                 continue
             _end_implied(stack, name)
             stack.append(Element(name, m["attrs"], stack[-1]))
+            elements.append(stack[-1])
     flush()
+    _settle(elements, out)
     return out
 
 
+def _settle(elements: list[Element], found: list[Block]) -> None:
+    """The priors of a page's elements, in page order (parents first)."""
+    for b in found:
+        chars = len(b.text) - b.linked
+        b.element.chars += chars
+        b.element.plain += chars
+    for e in reversed(elements[1:]):
+        if e.tag not in BAD_TAGS and e.tag != "header":      # what has a boilerplate tag is no text for what is around it
+            e.parent.chars += e.chars
+            e.parent.plain += 0 if e.share else e.plain
+    articles = [e for e in elements if e.tag == "article" and not e.share]
+    if articles:                                             # others may be teasers and comments
+        max(articles, key=lambda e: e.chars).holds_article = True
+    for e in reversed(elements[1:]):
+        e.parent.holds_article |= e.holds_article
+    for e in elements:
+        e.settle()
+
+
 def _end_implied(stack: list[Element], name: str) -> None:
     if stack[-1].tag == "p":                       # a block-level start tag ends a paragraph
         stack.pop()
