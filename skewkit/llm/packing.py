@@ -38,7 +38,7 @@ def binary_lengths(n: int, context: int = CONTEXT) -> list[int]:
 
 
 def decompose(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONTEXT,
-              with_ids: bool = False) -> DataFrame:
+              with_ids: bool = False, special_tokens: bool = False) -> DataFrame:
     """A row per document: ``doc_id, doc_tokens, lengths, starts, crcs, crc`` and, if asked for, ``ids`` of each piece."""
     if context < 1 or context & (context - 1):
         raise ValueError("the context length must be a power of two")
@@ -47,7 +47,7 @@ def decompose(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONT
         schema += ", ids array<array<int>>"
 
     def cut(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = encoder(vocabulary).encode(part.column("text").to_pylist())
+        found = encoder(vocabulary, special_tokens).encode(part.column("text").to_pylist())
         lengths, starts, crcs, whole, pieces = [], [], [], [], []
         for ids in found:
             ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -71,13 +71,15 @@ def decompose(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONT
     return map_slices(docs.select("doc_id", "text"), cut, schema, keeps=KIND)
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONTEXT, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONTEXT, with_ids: bool = False,
+         special_tokens: bool = False) -> DataFrame:
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket`` (and ``ids``).
 
     ``bucket`` is the exponent of the length. ``sequence_id`` numbers all pieces from 0.
+    ``special_tokens``: see ``tokens``.
     """
     spark = docs.sparkSession
-    cut = staged(spark, decompose(docs, vocabulary, end_id, context, with_ids).withColumn(
+    cut = staged(spark, decompose(docs, vocabulary, end_id, context, with_ids, special_tokens).withColumn(
         "n_pieces", F.size("lengths").cast("long")), "packing")
     splits = range_splits(cut, "doc_id", default_parts(spark))
     numbered = prefix_sums(cut, ["doc_id", "doc_tokens", "crc"], "n_pieces", "first_sequence", splits)

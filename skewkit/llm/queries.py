@@ -45,7 +45,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     token_files.write_ids(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
-                          WORD_BPE_END)
+                          WORD_BPE_END, special_tokens=True)
     return token_files.read_digests(spark, path)
 
 
@@ -55,7 +55,7 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                        BYTE_BPE_END)
+                        BYTE_BPE_END, special_tokens=True)
 
 
 QUERIES = {f.__name__: f for f in (

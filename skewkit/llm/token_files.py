@@ -72,8 +72,8 @@ class _Blocks:
             "payload": pa.array(encode_blocks(list(ids)), pa.binary())})
 
 
-def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
-    """Write the ids of every document of ``docs`` to ``path``."""
+def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, special_tokens: bool = False) -> None:
+    """Write the ids of every document of ``docs`` to ``path``; ``special_tokens``: see ``tokens``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # partition i holds the i-th range of doc_id
     key = F.col("doc_id").asc_nulls_first()
@@ -81,7 +81,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(TaskContext.get().partitionId())
-        tokens = encoder(vocabulary)
+        tokens = encoder(vocabulary, special_tokens)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)

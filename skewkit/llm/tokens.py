@@ -6,6 +6,9 @@ there and its pieces encoded on their own. Words repeat, so the tokenizer sees e
 once for as long as the worker's cache holds it. The cache is bounded: when its
 new half is full, the old half goes, and pieces still in use move on. The ids are those of
 the whole text's encoding.
+
+Strings of special tokens in a text are ordinary text, or with ``special_tokens`` their own ids, as the
+library encodes by default; they are cut out of the text first, so pieces hold them whole (none has a space).
 """
 
 from __future__ import annotations
@@ -40,11 +43,11 @@ def pieces(text: str) -> list[str]:
 class CachedEncoder:
     """``encode(texts)``: the ids of each text, as uint32 arrays."""
 
-    def __init__(self, vocabulary: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, vocabulary: str, cache_pieces: int = CACHE_PIECES, special_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_tokens
         self.limit = cache_pieces
         self.new: dict[str, bytes] = {}                  # ids of " " + piece
         self.old: dict[str, bytes] = {}
@@ -104,6 +107,6 @@ def _ends_in_letter(text: str) -> bool:
 KIND = "tokens"
 
 
-def encoder(vocabulary: str) -> CachedEncoder:
+def encoder(vocabulary: str, special_tokens: bool = False) -> CachedEncoder:
     """This worker's encoder of a vocabulary file."""
-    return kept_in_worker(KIND, vocabulary, lambda: CachedEncoder(vocabulary))
+    return kept_in_worker(KIND, (vocabulary, special_tokens), lambda: CachedEncoder(vocabulary, special_tokens=special_tokens))
