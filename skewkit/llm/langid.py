@@ -45,9 +45,16 @@ TRAIN_DOCS = 1500
 #: Languages a model may have, the most frequent labels first.
 MAX_LANGUAGES = 1_000
 UNDETERMINED = "und"
-#: Above so many bits a byte in its best language, a text of at least MIN_BYTES isn't in any of them.
-MAX_BITS = 7.0
-MIN_BYTES = 64
+#: A text's typical bits a byte: the median over windows of so many bytes, which quotes in another script don't move.
+WINDOW = 16
+#: A text is in none of the languages if its typical bits lie beyond those of held-out texts by SPREADS spreads and SLACK bits.
+SPREADS = 4.0
+SLACK = 0.5
+#: Bits that one window alone (a name, an address) may cost besides; a text of n windows, the nth part.
+LONE_WINDOW = 4.0
+#: Held-out texts of each language for that, about, and at least.
+BOUND_DOCS = 400
+LEAST_BOUND_DOCS = 5
 
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
@@ -166,8 +173,14 @@ class Model:
         return np.where(hit, own, escaped)
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return self.bits_and_typical(data, offsets)[0]
+
+    def bits_and_typical(self, data: np.ndarray, offsets: np.ndarray, typical: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's bits in each language and, if asked for, in its best language the median and the
+        spread (median absolute deviation as a standard deviation) of the bits a byte over its windows."""
+        sums, medians = np.zeros((len(offsets) - 1, len(self.languages))), np.zeros((len(offsets) - 1, 2))
         if not len(data):
-            return np.zeros((len(offsets) - 1, len(self.languages)))
+            return sums, medians
         codes = _codes(data, self.rank)
         grams = _grams(codes, offsets, MAX_ORDER)
         row = self.row[grams]
@@ -176,11 +189,16 @@ class Model:
         if len(miss):
             costs[miss] = self.short[grams[miss] % ALPHABET ** MAX_ORDER] + self.escape[_context_of(grams[miss])]
         costs[codes == 0] += np.float32(8.0)
-        sums = np.zeros((len(offsets) - 1, len(self.languages)))
         for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
             if b > a:
                 sums[i] = costs[a:b].sum(axis=0, dtype=np.float64)
-        return sums
+                if typical:
+                    own = costs[a:b, sums[i].argmin()].astype(np.float64)
+                    whole = len(own) // WINDOW * WINDOW
+                    means = own[:whole].reshape(-1, WINDOW).mean(axis=1) if whole else own.mean(keepdims=True)
+                    middle = np.median(means)
+                    medians[i] = middle, 1.4826 * np.median(np.abs(means - middle))
+        return sums, medians
 
 
 def _context_of(keys: np.ndarray) -> np.ndarray:
@@ -234,26 +252,29 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     return Model(languages, rank, [found[lang] for lang in languages]) if languages else None
 
 
-def _scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` by position with lang_pred, score and bits a byte (null for ``und``), see ``annotate``."""
-    fields = "lang_pred string, score double, bits double"
+def _scored(docs: DataFrame, model: Model | None, typical: bool = False) -> DataFrame:
+    """``docs`` by position with lang_pred, score and bits a byte (null for ``und``), see ``annotate``.
+    ``typical`` adds the median and the spread of the bits a byte over windows."""
+    fields = "lang_pred string, score double, bits double" + (", middle double, spread double" if typical else "")
     shared = docs.sparkSession.sparkContext.broadcast(model and (uuid.uuid4().hex, model.packed()))
 
     def score(text: pa.Array) -> list[pa.Array]:
         letter = np.array([bool(_letter(t)) if t else False for t in text.to_pylist()], bool)
         if shared.value is None:
             n = len(text)
-            return [pa.array([UNDETERMINED] * n, pa.string()), pa.array(np.zeros(n)), pa.nulls(n, pa.float64())]
+            return [pa.array([UNDETERMINED] * n, pa.string()), pa.array(np.zeros(n)),
+                    *[pa.nulls(n, pa.float64())] * (3 if typical else 1)]
         m = kept_in_worker(KIND, shared.value[0], lambda: Model.unpack(shared.value[1]))
         data, offsets = utf8(text)
-        bits = m.bits(data, offsets)
+        bits, medians = m.bits_and_typical(data, offsets, typical)
         best = bits.argmin(axis=1)
         least = bits[np.arange(len(bits)), best]
         posterior = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
         size = np.maximum(np.diff(offsets), 1)
         return [pa.array([m.languages[b] if ok else UNDETERMINED for b, ok in zip(best, letter, strict=True)],
                          pa.string()),
-                pa.array(np.where(letter, posterior, 0.0)), pa.array(least / size, pa.float64(), mask=~letter)]
+                pa.array(np.where(letter, posterior, 0.0)), pa.array(least / size, pa.float64(), mask=~letter),
+                *([pa.array(c.copy(), pa.float64(), mask=~letter) for c in medians.T] if typical else [])]
 
     return annotate(docs, score, fields, keeps=KIND)
 
@@ -273,10 +294,35 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, model: Model | None
 def accepted_documents(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in one of the learned languages.
 
-    Rejected: ``und`` texts, and texts of at least ``MIN_BYTES`` bytes that cost more than
-    ``MAX_BITS`` bits a byte in their best language (PPM does not model them at all).
+    Rejected: ``und`` texts, and texts whose typical bits a byte in their best language lie beyond
+    what held-out texts of the language cost, by a margin that is wider for short texts (``_bounds``).
     """
-    scored = _scored(docs, train(docs, train_docs))
+    model = train(docs, train_docs)
+    scored = _scored(docs, model, typical=True)
     text = F.col(f"_c{docs.columns.index('text')}")
-    unmodelled = (F.octet_length(text) >= MIN_BYTES) & (F.col("bits") > MAX_BITS)
-    return restored(scored.filter((F.col("lang_pred") != UNDETERMINED) & ~unmodelled), docs.columns)
+    windows = F.greatest(F.floor(F.octet_length(text) / WINDOW), F.lit(1))
+    bounds = F.broadcast(_bounds(docs, model).withColumnsRenamed({c: "_b_" + c for c in ("lang", "typical", "among", "within")}))
+    joined = scored.join(bounds, scored["lang_pred"] == bounds["_b_lang"], "left")
+    margin = SLACK + LONE_WINDOW / windows + SPREADS * F.sqrt(F.col("_b_among") ** 2 + F.col("_b_within") ** 2 / windows)
+    beyond = F.coalesce(F.col("middle") > F.col("_b_typical") + margin, F.lit(False))
+    return restored(joined.filter((F.col("lang_pred") != UNDETERMINED) & ~beyond), docs.columns)
+
+
+def _bounds(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``lang, typical, among, within``: of held-out texts of each language the median of their typical bits a
+    byte, its spread among texts, and the spread of the median of one window. Training rows cost less than unseen
+    ones, so only held-out rows count; a language with fewer than ``LEAST_BOUND_DOCS`` has no bound."""
+    rows = docs.select("doc_id", "text", "lang").filter(
+        F.col("lang").isNotNull() & (F.coalesce(fold_bucket("doc_id", 3), F.lit(0)) == 1) & has_letter())
+    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    shares = counts.orderBy(F.desc("_n"), "lang").limit(MAX_LANGUAGES).select(
+        F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(float(BOUND_DOCS)) / F.col("_n")).alias("_share"))
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = rows.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).filter(draw < F.col("_share")).select("text", "lang")
+    scored = _scored(drawn, model, typical=True).filter(F.col("_c1") == F.col("lang_pred"))
+    middles = scored.groupBy(F.col("_c1").alias("lang")).agg(
+        F.percentile("middle", 0.5).alias("typical"), F.percentile("spread", 0.5).alias("spread"), F.count("*").alias("n"))
+    apart = (scored.join(F.broadcast(middles.select(F.col("lang").alias("_lang"), "typical")), F.col("_c1") == F.col("_lang"))
+             .groupBy("_lang").agg((1.4826 * F.percentile(F.abs(F.col("middle") - F.col("typical")), 0.5)).alias("among")))
+    return (middles.filter(F.col("n") >= LEAST_BOUND_DOCS).join(F.broadcast(apart), F.col("lang") == F.col("_lang"))
+            .select("lang", "typical", "among", (1.2533 * F.col("spread")).alias("within")))
