@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import annotate, arrow_map, fold_bucket, kept_in_worker, restored, slices, utf8
+from skewkit.llm.common import annotate, arrow_map, fold_bucket, kept_in_worker, restored, slices, staged, utf8
 
 MAX_ORDER = 3
 ALPHABET = 64
@@ -319,7 +319,9 @@ def _bounds(docs: DataFrame, model: Model | None) -> DataFrame:
         F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(float(BOUND_DOCS)) / F.col("_n")).alias("_share"))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = rows.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).filter(draw < F.col("_share")).select("text", "lang")
-    scored = _scored(drawn, model, typical=True).filter(F.col("_c1") == F.col("lang_pred"))
+    # written once: two aggregates read it, and none scores beside the documents' own job
+    scored = staged(docs.sparkSession, _scored(drawn, model, typical=True).filter(F.col("_c1") == F.col("lang_pred"))
+                    .select("_c1", "middle", "spread"), "language-bounds")
     middles = scored.groupBy(F.col("_c1").alias("lang")).agg(
         F.percentile("middle", 0.5).alias("typical"), F.percentile("spread", 0.5).alias("spread"), F.count("*").alias("n"))
     apart = (scored.join(F.broadcast(middles.select(F.col("lang").alias("_lang"), "typical")), F.col("_c1") == F.col("_lang"))
