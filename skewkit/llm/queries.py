@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skewkit.llm import chat, decontaminate, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality, token_files
+from skewkit.llm import (
+    chat, decontaminate, filter_audit, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality, token_files,
+)
 from skewkit.llm.common import read_table
 from skewkit.session import scratch_path
 
@@ -58,9 +60,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         BYTE_BPE_END, special_tokens=True)
 
 
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op5_chat_formatting,
-    op6_license_scans, op7_quality_classifier, op8_token_ids, op9_document_fingerprints, op10_packing)}
+    op6_license_scans, op7_quality_classifier, op8_token_ids, op9_document_fingerprints, op10_packing,
+    op12_filter_interaction_audit)}
 
 #: All pairs of shingle sets by an equality join, then the classes by a recursive closure.
 JACCARD_SQL = r"""
@@ -120,4 +127,46 @@ best AS (
 SELECT doc_id, item_id, similarity, a AS start_word, size + k - 1 AS n_words FROM best WHERE place = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": LEAKS_SQL, "op2_ngram_jaccard_join": JACCARD_SQL}
+#: The figures of each step from the fails of each document, order by order; no tensor.
+AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT d.doc_id, coalesce(d.source, '') AS part, coalesce(d.text, '') AS t,
+    coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic
+  FROM documents d LEFT JOIN (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t),
+words AS (
+  SELECT x.*, f.first_id, list_filter(regexp_split_to_array(x.t, '[\t\n\x0b\x0c\r ]+'), lambda w: w <> '') AS w
+  FROM texts x JOIN firsts f ON f.t = x.t),
+fails AS (
+  SELECT part, good, toxic, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e
+  FROM words),
+cells AS (
+  SELECT part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS f, a::int + b::int + c::int + d::int + e::int AS n_fails,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, a, b, c, d, e),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT [p.x, q.x, r.x, s.x, t.x] AS o FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+marked AS (
+  SELECT c.part, s.o, s.step, c.n, c.good, c.toxic, c.n_fails, c.f[s.o[s.step]] AS own,
+    len(list_filter(s.o[1:s.step - 1], lambda x: c.f[x])) > 0 AS gone
+  FROM cells c, steps s),
+figures AS (
+  SELECT part, o, step, coalesce(sum(n) FILTER (NOT gone AND NOT own), 0) AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND own), 0) AS removed, coalesce(sum(n) FILTER (gone AND own), 0) AS redundant,
+    coalesce(sum(n) FILTER (own AND n_fails = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND own), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND own), 0) AS toxic_lost
+  FROM marked GROUP BY part, o, step)
+SELECT part, array_to_string(o, '') AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+FROM figures
+"""
+
+ORACLE_SQL: dict[str, str] = {"op12_filter_interaction_audit": AUDIT_SQL, "op3_benchmark_decontamination": LEAKS_SQL, "op2_ngram_jaccard_join": JACCARD_SQL}

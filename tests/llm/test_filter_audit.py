@@ -1,0 +1,86 @@
+"""The filter audit against SQL, and against a simulation of every order, document by document."""
+
+import random
+from itertools import permutations
+
+import pytest
+from llm_data import DOCS, odd_texts, prose
+from oracle_check import compare, duck_connection
+
+from skewkit.llm import filter_audit
+from skewkit.llm.queries import AUDIT_SQL, op12_filter_interaction_audit
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def words_of(text):
+    for gap in "\t\n\x0b\x0c\r":
+        text = text.replace(gap, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def fails_of(text, doc_id, rows):
+    w = words_of(text)
+    return {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w),
+            "C": 100 * sum("A" <= ch <= "Z" for ch in text) > 2 * len(text), "D": any(ch in "#$%&*|" for ch in text),
+            "E": doc_id is not None and any(i is not None and i < doc_id and (t or "") == text for i, t, _ in rows)}
+
+
+def simulate(rows, labels):
+    """Applies the filters of each order to the list of documents, one after the other."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    out, shapley = {}, {}
+    for part in {s or "" for _, _, s in rows}:
+        docs = [(i, fails_of(t or "", i, rows)) for i, t, s in rows if (s or "") == part]
+        for order in permutations("ABCDE"):
+            left = list(docs)
+            for step, name in enumerate(order, 1):
+                gone = [d for d in left if d[1][name]]
+                left = [d for d in left if not d[1][name]]
+                failing = [d for d in docs if d[1][name]]
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), len(failing) - len(gone), sum(sum(f.values()) == 1 for _, f in failing),
+                    sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone)]
+                shapley[part, name] = shapley.get((part, name), 0) + len(gone)
+    return {(*k, *v, shapley[k[0], k[1][k[2] - 1]]) for k, v in out.items()}
+
+
+def test_equals_sql_on_the_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    ok, said = compare(op12_filter_interaction_audit(spark, sf), duck_connection(sf), AUDIT_SQL)
+    assert ok, said
+
+
+def test_every_order_simulated(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, words=n) for n in (150, 199, 200, 201, 260)] + ["x y " * 120, "AB cd " * 130, "a# " + prose(rng, words=230)]
+    texts += odd_texts() + [texts[2], texts[2], texts[5], None, ""]
+    rows = [(i, t, rng.choice(["s", "t", "", None])) for i, t in enumerate(texts)]
+    rows += [(None, texts[2], "s"), (3, texts[3], "t"), (3, texts[3], "t"), (None, None, None)]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, len(texts), 2)] + [(2, 1, 1), (None, 1, 1)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, "en", s, 0, 5, "z") for i, t, s in rows], DOCS + ", n long, digest string")
+    got = [tuple(r) for r in filter_audit.audit(docs, spark.createDataFrame(labels, LABELS)).collect()]
+    assert len(got) == len(set(got)) == 600 * 3
+    assert set(got) == simulate(rows, labels)
+
+
+def test_an_empty_table_has_no_parts(spark):
+    docs, labels = spark.createDataFrame([], DOCS), spark.createDataFrame([], LABELS)
+    assert filter_audit.audit(docs, labels).collect() == []
+    one = spark.createDataFrame([(1, "few words", "en", "s", 9)], DOCS)
+    assert {(r.kept, r.removed) for r in filter_audit.audit(one, labels).filter("step = 5").collect()} == {(0, 1), (0, 0)}
+
+
+@pytest.mark.parametrize("order", ["ABCDE", "EDCBA", "CABED"])
+def test_counts_of_an_order_add_up(spark, order):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    got = filter_audit.audit(docs, labels).filter(f"filter_order = '{order}'").orderBy("part", "step").collect()
+    sizes = {r["part"]: r["n"] for r in docs.groupBy("source").count().toDF("part", "n").collect()}
+    for part, n in sizes.items():
+        left = n
+        for r in [r for r in got if r["part"] == part]:
+            assert r["removed"] + r["kept"] == left
+            left = r["kept"]
