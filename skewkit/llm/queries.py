@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skewkit.llm import (
-    chat, decontaminate, filter_audit, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality, token_files,
+    chat, decontaminate, filter_audit, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality, token_alignment,
+    token_files,
 )
 from skewkit.llm.common import read_table
 from skewkit.session import scratch_path
@@ -64,10 +65,15 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op5_chat_formatting,
     op6_license_scans, op7_quality_classifier, op8_token_ids, op9_document_fingerprints, op10_packing,
-    op12_filter_interaction_audit)}
+    op12_filter_interaction_audit, op13_token_alignment)}
 
 #: All pairs of shingle sets by an equality join, then the classes by a recursive closure.
 JACCARD_SQL = r"""
