@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skewkit.llm import (
-    chat, decontaminate, filter_audit, fuzzyhash, html_extract, jaccard_join, langid, licenses, packing, quality, token_alignment,
+    chat, decontaminate, filter_audit, fuzzyhash, html_extract, jaccard_join, langid, licenses, lm_scoring, packing, quality, token_alignment,
     token_files,
 )
 from skewkit.llm.common import read_table
@@ -61,6 +61,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         BYTE_BPE_END, special_tokens=True)
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -73,7 +77,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_ngram_jaccard_join, op3_benchmark_decontamination, op4_language_id, op5_chat_formatting,
     op6_license_scans, op7_quality_classifier, op8_token_ids, op9_document_fingerprints, op10_packing,
-    op12_filter_interaction_audit, op13_token_alignment)}
+    op11_lm_scoring, op12_filter_interaction_audit, op13_token_alignment)}
 
 #: All pairs of shingle sets by an equality join, then the classes by a recursive closure.
 JACCARD_SQL = r"""
