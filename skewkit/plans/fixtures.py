@@ -47,17 +47,24 @@ def sales_message(events: DataFrame) -> F.Column:
             .otherwise(F.concat_ws("\t", uid, et, val)))
 
 
-def messages(events: DataFrame, kind: str = "words") -> DataFrame:
+#: Our parameter: where the offsets of each topic partition start, where partitions have offsets of their own.
+OWN_OFFSETS = (9_000_000_000, 0, 500, 7)
+
+
+def messages(events: DataFrame, kind: str = "words", own_offsets: bool = False) -> DataFrame:
     """Broker-shaped records ``(topic, partition, offset, ts, value)`` from events.
 
     offset := event_id, partition := user_id mod 4 (so each user's records are
-    ordered within one partition), value := a words or sales message.
+    ordered within one partition), value := a words or sales message. With ``own_offsets``
+    each partition starts at an offset of its own, so offsets rise in time inside a partition only.
     """
     value = word_message(events) if kind == "words" else sales_message(events)
+    part = F.pmod(F.col("user_id"), F.lit(N_TOPIC_PARTITIONS)).cast("int")
+    base = F.element_at(F.array(*map(F.lit, OWN_OFFSETS)), part + 1).cast("long") if own_offsets else F.lit(0)
     return events.select(
         F.lit(TOPIC).alias("topic"),
-        F.pmod(F.col("user_id"), F.lit(N_TOPIC_PARTITIONS)).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
+        part.alias("partition"),
+        (F.col("event_id") + base).alias("offset"),
         F.col("ts"),
         value.alias("value"),
     )

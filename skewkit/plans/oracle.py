@@ -169,3 +169,23 @@ GROUP BY id
     "stream_upsert_ledger": _LEDGER,
 })
 ORACLE_SQL["stream_running_keyed"] = ORACLE_SQL["stream_running_per_record"]
+
+_OWN_OFFSETS = ("SELECT unnest(string_split(concat_ws(',', event_type, CAST(user_id AS VARCHAR)), ',')) AS word, "
+                "CAST(user_id % 4 AS INTEGER) AS part, "
+                "event_id + CASE user_id % 4 WHEN 0 THEN 9000000000 WHEN 1 THEN 0 WHEN 2 THEN 500 ELSE 7 END AS \"offset\", ts FROM events")
+
+ORACLE_SQL.update({
+    "stream_running_partitions": f"""
+SELECT word, part, "offset",
+       count(*) OVER (PARTITION BY word ORDER BY ts, part, "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS running_cnt
+FROM ({_OWN_OFFSETS}) w
+""",
+    "stream_sliding": f"""
+SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, word, count(*) AS cnt
+FROM (SELECT word, ts, unnest(generate_series(time_bucket(INTERVAL '4 minutes', ts, TIMESTAMP '1970-01-01') - INTERVAL '8 minutes',
+        time_bucket(INTERVAL '4 minutes', ts, TIMESTAMP '1970-01-01'), INTERVAL '4 minutes')) AS window_start FROM ({_WORDS}) w) x
+WHERE ts < window_start + INTERVAL '10 minutes'
+GROUP BY window_start, word
+""",
+})

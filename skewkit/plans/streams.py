@@ -25,6 +25,8 @@ from skewkit.streaming.stateful import UpdateLog, latest_updates
 
 # Fixed values of the reference streams: 5 s windows; our replay parameters.
 WINDOW = "5 seconds"
+# Our parameters: a length and a slide that are no multiples of each other.
+SLIDING = ("10 minutes", "4 minutes")
 N_CHUNKS = 4
 # Our parameter: messages of one range, and so of one micro-batch.
 ROWS_PER_BATCH = 50_000_000
@@ -35,16 +37,17 @@ _LEDGER = "topic string, group_id string, part int, offset long"
 COUNTS_SINK = f"kind string, word string, cnt long, {_LEDGER}, {_BATCH_KEY}"
 WINDOW_SINK = f"window_start timestamp_ntz, window_end timestamp_ntz, word string, cnt long, kind string, {_BATCH_KEY}"
 RUNNING_SINK = f"word string, cnt long, {_BATCH_KEY}"
-PER_RECORD_SINK = f"word string, offset long, running_cnt long, kind string, {_BATCH_KEY}"
+PER_RECORD_SINK = f"kind string, word string, running_cnt long, topic string, part int, offset long, {_BATCH_KEY}"
 KEYED_SINK = f"word string, offset long, running_cnt long, {_BATCH_KEY}"
 SALES_SINK = f"topic string, part int, offset long, id string, name string, money double, kind string, group_id string, {_BATCH_KEY}"
 RESUME_SINK = f"topic string, partition int, offset long, {_BATCH_KEY}"
 
 
 class _Replay:
-    def __init__(self, spark: SparkSession, sf_dir: str, kind: str, name: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, kind: str, name: str, own_offsets: bool = False):
         self.spark = spark
-        self.messages = fx.messages(table(spark, sf_dir, "events"), kind)
+        self.messages = fx.messages(table(spark, sf_dir, "events"), kind, own_offsets)
+        self.by = "ts" if own_offsets else "offset"
         base = scratch_path(spark, name)
         self.source = os.path.join(base, "source")
         self.checkpoint = os.path.join(base, "checkpoint")
@@ -69,7 +72,7 @@ class _Replay:
         """Land the ranges one by one; after each, ``start_app(stream, sink, checkpoint)``
         (an app started with ``every=None``) runs to completion."""
         replay_in_chunks(self.spark, self.messages, self.source, N_CHUNKS,
-                         lambda: start_app(self.stream(), self.sink, self.checkpoint), ROWS_PER_BATCH)
+                         lambda: start_app(self.stream(), self.sink, self.checkpoint), ROWS_PER_BATCH, self.by)
         return self.read(schema)
 
 
@@ -87,6 +90,15 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_window_counts(deltas)
 
 
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts per event-time window of 10 minutes every 4 minutes: batches write panes of 2 minutes, and the read
+    adds each pane to the windows that hold it."""
+    rp = _Replay(spark, sf_dir, "words", "stream-sliding")
+    deltas = rp.run(lambda s, sink, ckpt: apps.start_window_count_deltas(
+        s, sink, ckpt, length=SLIDING[0], slide=SLIDING[1], every=None), WINDOW_SINK)
+    return read_window_counts(deltas, *SLIDING)
+
+
 def stream_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count per word across batches (final state)."""
     rp = _Replay(spark, sf_dir, "words", "stream-running")
@@ -103,6 +115,14 @@ def stream_running_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.where("kind = 'data'").select("word", "offset", "running_cnt")
 
 
+def stream_running_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_running_per_record`` for a topic whose partitions have offsets of their own, numbered by time."""
+    rp = _Replay(spark, sf_dir, "words", "stream-running-partitions", own_offsets=True)
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_per_record(s, sink, ckpt, every=None, order="ts", snapshot_every=2),
+                 PER_RECORD_SINK)
+    return log.where("kind = 'data'").select("word", "part", "offset", "running_cnt")
+
+
 def stream_running_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_running_per_record`` with a state function per word."""
     rp = _Replay(spark, sf_dir, "words", "stream-running-keyed")
@@ -167,8 +187,10 @@ def stream_upsert_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_tumbling": stream_tumbling,
+    "stream_sliding": stream_sliding,
     "stream_running": stream_running,
     "stream_running_per_record": stream_running_per_record,
+    "stream_running_partitions": stream_running_partitions,
     "stream_running_keyed": stream_running_keyed,
     "stream_cocommit_counts": stream_cocommit_counts,
     "stream_cocommit_ledger": stream_cocommit_ledger,

@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from skewkit.functions.parse import explode_words
-from skewkit.streaming.jobs import RunningCountCommit, SalesUpsertCommit, WindowCountCommit, WordCountCommit
+from skewkit.streaming.jobs import SalesUpsertCommit, WindowCountCommit, WordCountCommit
+from skewkit.streaming.running import SNAPSHOT_EVERY, RunningCountCommit
 from skewkit.streaming.stateful import UpdateLog, running_count, running_count_per_record, tumbling_count
 
 DEFAULT_EVERY = "5 seconds"
@@ -80,16 +81,21 @@ def start_running_counts(messages: DataFrame, sink: str, checkpoint: str,
 
 
 def start_running_counts_per_record(messages: DataFrame, sink: str, checkpoint: str,
-                                    every: str | None = DEFAULT_EVERY, run_id: int = 0) -> StreamingQuery:
-    """One row per word occurrence with the word's running count (no task holds a hot word)."""
-    return _start(messages, messages.writeStream.foreachBatch(RunningCountCommit(sink, run_id)), checkpoint, every)
+                                    every: str | None = DEFAULT_EVERY, run_id: int = 0, order: str = "offset",
+                                    snapshot_every: int = SNAPSHOT_EVERY) -> StreamingQuery:
+    """One row per word occurrence with the word's running count (no task holds a hot word).
+
+    ``order="ts"`` numbers a batch by time, for topics whose partitions have offsets of their own."""
+    job = RunningCountCommit(sink, run_id, order=order, snapshot_every=snapshot_every)
+    return _start(messages, messages.writeStream.foreachBatch(job), checkpoint, every)
 
 
 def start_running_counts_keyed(messages: DataFrame, sink: str, checkpoint: str,
                                every: str | None = DEFAULT_EVERY, run_id: int = 0,
                                state_partitions: int | None = None) -> StreamingQuery:
     """As :func:`start_running_counts_per_record` with a state function per word."""
-    per_record = running_count_per_record(explode_words(messages, keep=["offset"]))
+    per_record = running_count_per_record(explode_words(messages, keep=["offset", "topic", "partition"]),
+                                          progress=["topic", "partition"])
     return _start(messages, per_record.writeStream.outputMode("append").foreachBatch(UpdateLog(sink, run_id)),
                   checkpoint, every, state_partitions)
 
@@ -107,10 +113,10 @@ def start_window_counts(messages: DataFrame, sink: str, checkpoint: str, length:
 
 
 def start_window_count_deltas(messages: DataFrame, sink: str, checkpoint: str, length: str = "5 seconds",
-                              every: str | None = DEFAULT_EVERY, run_id: int = 0) -> StreamingQuery:
-    """Word counts per tumbling event-time window as per-batch deltas (stateless;
-    read with :func:`skewkit.streaming.jobs.read_window_counts`)."""
-    return _start(messages, messages.writeStream.foreachBatch(WindowCountCommit(sink, length, run_id)),
+                              every: str | None = DEFAULT_EVERY, run_id: int = 0, slide: str | None = None) -> StreamingQuery:
+    """Word counts per event-time window of ``length`` every ``slide`` (tumbling without one) as per-batch pane deltas
+    (stateless; read with :func:`skewkit.streaming.jobs.read_window_counts`)."""
+    return _start(messages, messages.writeStream.foreachBatch(WindowCountCommit(sink, length, run_id, slide)),
                   checkpoint, every)
 
 

@@ -4,9 +4,8 @@
   with the batch's offset ledger (accumulating word counts + ledger, one job).
 * :class:`SalesUpsertCommit` — sales records of each batch parsed and written
   as versioned rows with the ledger; reads take the latest row per id.
-* :class:`RunningCountCommit` — every word occurrence numbered, with the running totals of
-  the words kept beside it; no task holds a hot word.
-* :func:`replay_in_chunks` — lands message files range by range, in order of offset, and runs the
+* :class:`RunningCountCommit` — see ``running.py``.
+* :func:`replay_in_chunks` — lands message files range by range, in order of offset or of time, and runs the
   query once per range from the same checkpoint (``availableNow``), i.e. the
   query is restarted between arrivals and must resume exactly.
 """
@@ -14,8 +13,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import gcd
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +25,8 @@ from skewkit.operators.topn import count_per_key
 from skewkit.streaming.ledger import (
     KIND_DATA, KIND_OFFSET, cocommit_batch, live_rows, offset_ledger, write_batch,
 )
-from skewkit.streaming.stateful import running_count_per_record_batch, tumbling_count
+from skewkit.streaming.running import RunningCountCommit  # noqa: F401
+from skewkit.streaming.stateful import tumbling_count
 
 
 def batch_word_count(batch: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
@@ -68,30 +68,66 @@ class WordCountCommit:
         write_batch(word_counts_with_ledger(batch, self.group_id), self.path, self.run_id, batch_id)
 
 
+def interval_micros(spark: SparkSession, text: str) -> int:
+    """Microseconds of an interval such as ``"5 seconds"``; one with months or years has no fixed length and fails."""
+    micros = spark.range(1).select((F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {text}"))).alias("n")).first()["n"]
+    if micros <= 0 or any(unit in text.lower() for unit in ("month", "year")):
+        raise ValueError(f"{text!r} is no positive length of time")
+    return micros
+
+
 class WindowCountCommit:
-    """``foreachBatch``: this batch's word counts per tumbling event-time window,
-    written as batch-keyed deltas (summed at read time by :func:`read_window_counts`).
+    """``foreachBatch``: this batch's word counts per event-time pane, written as batch-keyed deltas (summed into
+    windows at read time by :func:`read_window_counts`).
+
+    A window has a ``length`` and a ``slide``; with no slide it tumbles. A pane is as long as the greatest
+    common divisor of both, so every window is a whole number of panes. However many windows overlap, a batch writes one
+    row per (pane, word).
 
-    No state store and no watermark: a late record simply adds to its window's
-    total in a later delta, so nothing is dropped and memory is bounded by the
-    batch, not by the number of windows ever seen.
+    No state store and no watermark: a late record simply adds to its panes' totals in a later delta, so nothing is
+    dropped and memory is bounded by the batch, not by the number of windows ever seen.
     """
 
-    def __init__(self, path: str, length: str = "5 seconds", run_id: int = 0):
-        self.path, self.length, self.run_id = path, length, run_id
+    def __init__(self, path: str, length: str = "5 seconds", run_id: int = 0, slide: str | None = None):
+        self.path, self.length, self.run_id, self.slide = path, length, run_id, slide
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        deltas = tumbling_count(explode_words(batch, keep=["ts"]), length=self.length)
+        pane = pane_length(batch.sparkSession, self.length, self.slide)
+        deltas = tumbling_count(explode_words(batch, keep=["ts"]), length=f"{pane} microseconds")
         write_batch(deltas.withColumn("kind", F.lit(KIND_DATA)), self.path, self.run_id, batch_id)
 
 
-def read_window_counts(df: DataFrame) -> DataFrame:
-    """Window counts from :class:`WindowCountCommit` deltas: sum per (window, word)."""
-    return (live_rows(df).where(F.col("kind") == F.lit(KIND_DATA))
-            .groupBy("window_start", "window_end", "word")
-            .agg(F.sum("cnt").cast("long").alias("cnt")))
+def pane_length(spark: SparkSession, length: str, slide: str | None = None) -> int:
+    """Microseconds of the panes that windows of ``length`` every ``slide`` are made of."""
+    return gcd(*(interval_micros(spark, x) for x in (length, slide or length)))
+
+
+def read_window_counts(df: DataFrame, length: str | None = None, slide: str | None = None) -> DataFrame:
+    """Window counts from :class:`WindowCountCommit` deltas: sum per (window, word).
+
+    Without ``length`` the panes are the windows. With it, panes are first summed over batches, then each adds to the
+    ``length / slide`` windows that hold it (windows start at multiples of ``slide`` since 1970-01-01); windows without a
+    record are not listed. Any length and slide that are whole numbers of panes can be read from the same deltas.
+    """
+    panes = (live_rows(df).where(F.col("kind") == F.lit(KIND_DATA))
+             .groupBy("window_start", "window_end", "word").agg(F.sum("cnt").cast("long").alias("cnt")))
+    if length is None:
+        return panes
+    kind = dict(df.dtypes)["window_start"]
+    spark = df.sparkSession
+    size, step = interval_micros(spark, length), interval_micros(spark, slide or length)
+    if step > size:
+        raise ValueError(f"windows of {length} every {slide} leave gaps")
+    low, high = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("window_start", "window_end"))
+    # starts s with s <= pane start and pane end <= s + length
+    bounds = panes.select("word", "cnt", low.alias("_low"), (high - size + step - 1).alias("_first"))
+    # floors of integer division, also before 1970; the first one is the ceiling of (pane end - length) / slide
+    starts = F.sequence(*[F.expr(f"({c} - pmod({c}, {step}L)) div {step}L") for c in ("_first", "_low")])
+    windows = bounds.select(F.explode(starts).alias("_s"), "word", "cnt").groupBy("_s", "word").agg(F.sum("cnt").cast("long").alias("cnt"))
+    return windows.select(F.timestamp_micros(F.col("_s") * step).cast(kind).alias("window_start"),
+                          F.timestamp_micros(F.col("_s") * step + size).cast(kind).alias("window_end"), "word", "cnt")
 
 
 class SalesUpsertCommit:
@@ -113,82 +149,32 @@ class SalesUpsertCommit:
             batch.unpersist()
 
 
-KIND_TOTAL = "total"
-
-
-class RunningCountCommit:
-    """``foreachBatch``: one row per word occurrence with the word's running count, in offset order.
+def arrival(by: str = "offset"):
+    """The number that messages arrive in order of: their offset, or their time (``ts``) in microseconds."""
+    return F.col("offset") if by == "offset" else F.unix_micros(F.col(by).cast("timestamp"))
 
-    A batch is numbered in (word, offset range) groups by
-    :func:`running_count_per_record_batch`, and each word adds its total of the batches before.
-    The totals (words, not occurrences) are written beside the rows in the same idempotent
-    write, with the largest offset of the batch: batch ``b`` reads those of batch ``b - 1``
-    only, so a replayed batch finds what it found the first time. A batch that goes back in
-    offset fails instead of being numbered wrongly.
-    """
-
-    def __init__(self, path: str, run_id: int = 0, bucket_width: int = 1 << 20):
-        self.path, self.run_id, self.bucket_width = path, run_id, bucket_width
-
-    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """Totals after the batch before; None if there was no word yet."""
-        path = f"{self.path}/run_id={int(self.run_id)}/batch_id={batch_id - 1}"
-        try:
-            rows = spark.read.parquet(path)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" in str(missing):
-                return None
-            raise
-        return rows.where(F.col("kind") == KIND_TOTAL).select(
-            "word", F.col("running_cnt").alias("_total"), F.col("offset").alias("_last"))
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.persist()      # read by the count, the totals and the check of its offsets
-        try:
-            self._commit(batch, batch_id)
-        finally:
-            batch.unpersist()
 
-    def _commit(self, batch: DataFrame, batch_id: int) -> None:
-        words = explode_words(batch, keep=["offset", "partition"])
-        numbered = running_count_per_record_batch(words, bucket_width=self.bucket_width, ties=["partition"])
-        now = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n"), F.max("offset").alias("_max"))
-        before = self._before(batch.sparkSession, batch_id)
-        if before is not None:
-            last = before.agg(F.max("_last").alias("n")).first()["n"]
-            first = batch.agg(F.min("offset").alias("n")).first()["n"]
-            if last is not None and first is not None and first < last:
-                raise ValueError(f"a batch goes back: offset {first} after {last} was counted")
-            numbered = numbered.join(before.select("word", "_total"), "word", "left").select(
-                "word", "offset", (F.col("running_cnt") + F.coalesce("_total", F.lit(0))).alias("running_cnt"))
-            now = now.join(before, "word", "full").select(
-                "word", (F.coalesce("_n", F.lit(0)) + F.coalesce("_total", F.lit(0))).alias("_n"),
-                F.greatest("_max", "_last").alias("_max"))
-        totals = now.select("word", F.col("_max").alias("offset"), F.col("_n").cast("long").alias("running_cnt"))
-        write_batch(numbered.withColumn("kind", F.lit(KIND_DATA)).unionByName(totals.withColumn("kind", F.lit(KIND_TOTAL))),
-                    self.path, self.run_id, batch_id)
-
-
-def offset_bounds(messages: DataFrame, n_chunks: int, rows_per_chunk: int | None = None) -> list[tuple[int, int]]:
-    """Increasing, contiguous offset ranges covering the messages: at least ``n_chunks`` where the offsets allow,
-    and as many as it takes for about ``rows_per_chunk`` messages in each.
+def offset_bounds(messages: DataFrame, n_chunks: int, rows_per_chunk: int | None = None, by: str = "offset") -> list[tuple[int, int]]:
+    """Increasing, contiguous offset ranges (or ranges of time, see :func:`arrival`) covering the messages: at least
+    ``n_chunks`` where the offsets allow, and as many as it takes for about ``rows_per_chunk`` messages in each.
 
     Ranges are cut at approximate quantiles of the offset; one number per range is collected.
     """
-    lo, hi, rows = messages.agg(F.min("offset"), F.max("offset"), F.count("offset")).first()
+    at = arrival(by)
+    lo, hi, rows = messages.agg(F.min(at), F.max(at), F.count(at)).first()
     if lo is None:
         return []
     parts = max(n_chunks, -(-rows // rows_per_chunk) if rows_per_chunk else 1)
     shares = [i / parts for i in range(1, parts)]
-    cuts = messages.agg(F.percentile_approx("offset", F.lit(shares), F.lit(10 * parts))).first()[0] if shares else []
+    cuts = messages.agg(F.percentile_approx(at, F.lit(shares), F.lit(10 * parts))).first()[0] if shares else []
     edges = sorted({lo, hi + 1, *(c + 1 for c in cuts if c < hi)})
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
-def land_chunk(messages: DataFrame, source_dir: str, lo: int, hi: int) -> None:
+def land_chunk(messages: DataFrame, source_dir: str, lo: int, hi: int, by: str = "offset") -> None:
     """Append the messages with ``lo <= offset < hi`` to the replay folder."""
-    chunk = messages.where((F.col("offset") >= lo) & (F.col("offset") < hi))
-    chunk.sortWithinPartitions("offset").write.mode("append").parquet(source_dir)
+    chunk = messages.where((arrival(by) >= lo) & (arrival(by) < hi))
+    chunk.sortWithinPartitions(by).write.mode("append").parquet(source_dir)
 
 
 def run_available(query: StreamingQuery) -> None:
@@ -199,15 +185,15 @@ def run_available(query: StreamingQuery) -> None:
 
 
 def replay_in_chunks(spark: SparkSession, messages: DataFrame, source_dir: str, n_chunks: int,
-                     start: Callable[[], StreamingQuery], rows_per_chunk: int | None = None) -> int:
+                     start: Callable[[], StreamingQuery], rows_per_chunk: int | None = None, by: str = "offset") -> int:
     """Land ranges of offsets one at a time; after each, run ``start()`` to completion. Returns #ranges.
 
     A range is one batch if the stream takes all new files at once (no ``maxFilesPerTrigger``): batches
     then follow each other in offset however many files a range has. Their size is bounded by
-    ``rows_per_chunk``.
+    ``rows_per_chunk``. ``by="ts"`` lands ranges of time, for topics whose partitions have offsets of their own.
     """
-    bounds = offset_bounds(messages, n_chunks, rows_per_chunk)
+    bounds = offset_bounds(messages, n_chunks, rows_per_chunk, by)
     for lo, hi in bounds:
-        land_chunk(messages, source_dir, lo, hi)
+        land_chunk(messages, source_dir, lo, hi, by)
         run_available(start())
     return len(bounds)

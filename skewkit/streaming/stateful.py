@@ -8,6 +8,7 @@ emissions batch-keyed; :func:`latest_updates` reads the final value per key.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -57,14 +58,17 @@ def _per_record_fn(key_name: str, order: str, name: str):
     def fn(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         # Only the order column of this key's rows *in this micro-batch* is held,
         # so memory is bounded by the trigger size, not by the key's history.
-        orders = [b[order].to_numpy() for b in batches]
+        orders, ends = [], {}
+        prior, passed = state.get if state.exists else (0, "{}")
+        passed = json.loads(passed)
+        for b in batches:
+            orders.append(b[order].to_numpy())
+            for at, part in b.groupby("_at")[order]:
+                if at in passed and part.min() <= passed[at]:
+                    raise ValueError(f"a batch goes back: {key[0]!r} has {order} {part.min()} of {at} after {passed[at]} was counted")
+                ends[at] = max(ends.get(at, part.max()), part.max())
         seen = np.sort(np.concatenate(orders)) if orders else np.array([], dtype=np.int64)
-        prior, last = state.get if state.exists else (0, None)
-        if len(seen):
-            if last is not None and seen[0] < last:
-                raise ValueError(f"a batch goes back: {key[0]!r} has {order} {seen[0]} after {last} was counted")
-            last = int(seen[-1])
-        state.update((int(prior) + len(seen), last))
+        state.update((int(prior) + len(seen), json.dumps(passed | {at: int(n) for at, n in ends.items()})))
         for lo in range(0, len(seen), OUTPUT_SLICE):
             part = seen[lo:lo + OUTPUT_SLICE]
             yield pd.DataFrame({key_name: pd.Series(key[0], index=range(len(part)), dtype=object),
@@ -74,32 +78,34 @@ def _per_record_fn(key_name: str, order: str, name: str):
 
 
 def running_count_per_record(words: DataFrame, key: str = "word", order: str = "offset",
-                             name: str = "running_cnt") -> DataFrame:
+                             name: str = "running_cnt", progress: Sequence[str] = ()) -> DataFrame:
     """For each input record, the count of records of its key so far (itself included).
 
-    Records of a key are numbered in ``order`` within a micro-batch and across
+    Records of a key are numbered in ``order`` within a micro-batch, and across
     batches through keyed state (no time-out: state lives as long as the query).
-    Batches must come in ``order``; the state keeps the largest value and a batch that
-    goes back fails instead of being numbered wrongly. Per key and batch only the ``order``
-    values are held (8 bytes a row): a hot key's share of one batch is what one task
-    holds. :class:`skewkit.streaming.jobs.RunningCountCommit` has no such bound.
+    ``progress`` names the columns whose values have an ``order`` of their own, such as topic and
+    partition: the state keeps the largest value counted for each of them, and a batch that goes
+    back in one of them fails instead of being counted twice. Values of different ones are never compared. Per key and
+    batch only the ``order`` values are held (8 bytes a row): a hot key's share of one batch is what one task
+    holds. :class:`skewkit.streaming.running.RunningCountCommit` has no such bound.
     """
     schema = f"{key} string, {order} long, {name} long"
-    return (words.select(F.col(key).cast("string").alias(key), F.col(order).cast("long").alias(order))
+    at = F.concat_ws("-", *[F.col(c).cast("string") for c in progress]) if progress else F.lit("")
+    return (words.select(F.col(key).cast("string").alias(key), F.col(order).cast("long").alias(order), at.alias("_at"))
             .groupBy(key)
-            .applyInPandasWithState(_per_record_fn(key, order, name), schema, "total long, last long",
+            .applyInPandasWithState(_per_record_fn(key, order, name), schema, "total long, passed string",
                                     "append", GroupStateTimeout.NoTimeout))
 
 
 def running_count_per_record_batch(words: DataFrame, key: str = "word", order: str = "offset",
                                    name: str = "running_cnt", bucket_width: int = 1 << 20,
-                                   ties: Sequence[str] = ()) -> DataFrame:
+                                   ties: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Batch form of :func:`running_count_per_record`, safe for hot keys.
 
     Equal to ``count(*) OVER (PARTITION BY key ORDER BY order, ties ROWS UNBOUNDED
     PRECEDING)``, null keys and null orders (first) included. ``ties`` orders rows of
-    equal ``order``, such as the topic partition where offsets repeat across partitions. A
-    key is never one task: rows are split into ``order`` ranges of
+    equal ``order``, such as the topic partition where offsets repeat across partitions; ``keep`` names columns that
+    come along. A key is never one task: rows are split into ``order`` ranges of
     ``bucket_width`` (``bucket = order div width``). Rows are numbered inside
     each (key, bucket) in parallel; each bucket adds the row count of the key's
     earlier buckets (a prefix sum over the small per-bucket count table). Bucket counts are
@@ -110,6 +116,7 @@ def running_count_per_record_batch(words: DataFrame, key: str = "word", order: s
     bucket = F.expr(f"`{order}` div {int(bucket_width)}")  # integral division: exact for any long
     # a struct of nulls equals a struct of nulls, so null keys and buckets join too
     b = words.select(F.col(key), F.col(order), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)],
+                     *[F.col(c) for c in keep],
                      F.struct(F.col(key).alias("key"), bucket.alias("bucket")).alias("_b"))
     within = Window.partitionBy("_b").orderBy(order, *[f"_t{i}" for i in range(len(ties))])
     ranked = b.withColumn("_r", F.row_number().over(within))
@@ -117,7 +124,7 @@ def running_count_per_record_batch(words: DataFrame, key: str = "word", order: s
     before = Window.partitionBy("_b.key").orderBy("_b.bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     return (ranked.join(offsets, "_b", "inner")
-            .select(key, order, (F.col("_o") + F.col("_r")).cast("long").alias(name)))
+            .select(key, order, *keep, (F.col("_o") + F.col("_r")).cast("long").alias(name)))
 
 
 class UpdateLog:
