@@ -189,3 +189,7 @@ WHERE ts < window_start + INTERVAL '10 minutes'
 GROUP BY window_start, word
 """,
 })
+
+ORACLE_SQL["stream_table_counts"] = ORACLE_SQL["stream_cocommit_counts"]
+ORACLE_SQL["stream_table_ledger"] = ORACLE_SQL["stream_cocommit_ledger"]
+ORACLE_SQL["stream_table_upsert"] = ORACLE_SQL["stream_upsert"]

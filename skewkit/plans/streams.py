@@ -22,12 +22,14 @@ from skewkit.streaming import apps
 from skewkit.streaming.jobs import read_window_counts, replay_in_chunks, run_available
 from skewkit.streaming.ledger import read_accumulated, read_latest, read_ledger, resume_from_ledger
 from skewkit.streaming.stateful import UpdateLog, latest_updates
+from skewkit.streaming.tables import count_table, sales_table
 
 # Fixed values of the reference streams: 5 s windows; our replay parameters.
 WINDOW = "5 seconds"
 # Our parameters: a length and a slide that are no multiples of each other.
 SLIDING = ("10 minutes", "4 minutes")
 N_CHUNKS = 4
+TABLE_CHUNKS = 5        # more than a table's fanout: the first tier is merged
 # Our parameter: messages of one range, and so of one micro-batch.
 ROWS_PER_BATCH = 50_000_000
 GROUP_ID = "skewkit"
@@ -39,7 +41,7 @@ WINDOW_SINK = f"window_start timestamp_ntz, window_end timestamp_ntz, word strin
 RUNNING_SINK = f"word string, cnt long, {_BATCH_KEY}"
 PER_RECORD_SINK = f"kind string, word string, running_cnt long, topic string, part int, offset long, {_BATCH_KEY}"
 KEYED_SINK = f"word string, offset long, running_cnt long, {_BATCH_KEY}"
-SALES_SINK = f"topic string, part int, offset long, id string, name string, money double, kind string, group_id string, {_BATCH_KEY}"
+SALES_SINK = f"topic string, part int, offset long, seq long, id string, name string, money double, kind string, group_id string, {_BATCH_KEY}"
 RESUME_SINK = f"topic string, partition int, offset long, {_BATCH_KEY}"
 
 
@@ -185,6 +187,31 @@ def stream_upsert_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ledger(_upsert(spark, sf_dir), GROUP_ID)
 
 
+def _table_counts(spark: SparkSession, sf_dir: str):
+    rp = _Replay(spark, sf_dir, "words", "stream-table-counts")
+    replay_in_chunks(spark, rp.messages, rp.source, TABLE_CHUNKS, lambda: apps.start_word_count_table(
+        rp.stream(), rp.sink, rp.checkpoint, GROUP_ID, every=None), ROWS_PER_BATCH)
+    return count_table(spark, rp.sink)
+
+
+def stream_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts accumulated in a keyed table with manifests, its full tiers merged on the way."""
+    return _table_counts(spark, sf_dir).read()
+
+
+def stream_table_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of the same commits."""
+    return _table_counts(spark, sf_dir).offsets()
+
+
+def stream_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales put by id into a keyed table, from a topic whose partitions have offsets of their own: the later batch wins."""
+    rp = _Replay(spark, sf_dir, "sales", "stream-table-upsert", own_offsets=True)
+    replay_in_chunks(spark, rp.messages, rp.source, TABLE_CHUNKS, lambda: apps.start_sales_table(
+        rp.stream(), rp.sink, rp.checkpoint, GROUP_ID, every=None), ROWS_PER_BATCH, rp.by)
+    return sales_table(spark, rp.sink).read().select("id", "name", "money")
+
+
 STREAM_QUERIES = {
     "stream_tumbling": stream_tumbling,
     "stream_sliding": stream_sliding,
@@ -197,4 +224,7 @@ STREAM_QUERIES = {
     "stream_resume": stream_resume,
     "stream_upsert": stream_upsert,
     "stream_upsert_ledger": stream_upsert_ledger,
+    "stream_table_counts": stream_table_counts,
+    "stream_table_ledger": stream_table_ledger,
+    "stream_table_upsert": stream_table_upsert,
 }

@@ -28,6 +28,7 @@ from skewkit.functions.parse import explode_words
 from skewkit.streaming.jobs import SalesUpsertCommit, WindowCountCommit, WordCountCommit
 from skewkit.streaming.running import SNAPSHOT_EVERY, RunningCountCommit
 from skewkit.streaming.stateful import UpdateLog, running_count, running_count_per_record, tumbling_count
+from skewkit.streaming.tables import CountTableCommit, SalesTableCommit, count_table, sales_table
 
 DEFAULT_EVERY = "5 seconds"
 # Our parameter: how late a record may be in the stateful window counts.
@@ -126,3 +127,17 @@ def start_sales_upsert(messages: DataFrame, sink: str, checkpoint: str, group_id
     """Per batch: parsed sales rows as versioned puts plus the ledger of all records."""
     return _start(messages, messages.writeStream.foreachBatch(SalesUpsertCommit(sink, group_id, run_id, strict)),
                   checkpoint, every)
+
+
+def start_word_count_table(messages: DataFrame, path: str, checkpoint: str, group_id: str,
+                           every: str | None = DEFAULT_EVERY, run_id: int = 0, **options) -> StreamingQuery:
+    """Word counts accumulated in a :class:`skewkit.streaming.tables.KeyedTable`, offsets in the same commit."""
+    writer = count_table(messages.sparkSession, path, **options).open_writer(run_id)
+    return _start(messages, messages.writeStream.foreachBatch(CountTableCommit(writer, group_id)), checkpoint, every)
+
+
+def start_sales_table(messages: DataFrame, path: str, checkpoint: str, group_id: str,
+                      every: str | None = DEFAULT_EVERY, run_id: int = 0, strict: bool = False, **options) -> StreamingQuery:
+    """Sales put by id into a :class:`skewkit.streaming.tables.KeyedTable`, offsets in the same commit."""
+    writer = sales_table(messages.sparkSession, path, **options).open_writer(run_id)
+    return _start(messages, messages.writeStream.foreachBatch(SalesTableCommit(writer, group_id, strict)), checkpoint, every)

@@ -131,7 +131,7 @@ def read_window_counts(df: DataFrame, length: str | None = None, slide: str | No
 
 
 class SalesUpsertCommit:
-    """``foreachBatch``: parsed sales rows (versioned by offset, topic and partition) plus the
+    """``foreachBatch``: parsed sales rows (versioned by batch ``seq``, then offset, topic and partition) plus the
     ledger of *all* records of the batch, in one idempotent write."""
 
     def __init__(self, path: str, group_id: str, run_id: int = 0, strict: bool = False):
@@ -143,7 +143,7 @@ class SalesUpsertCommit:
         batch.persist()
         try:
             rows = parse_sales(batch, strict=self.strict, keep=["topic", "partition", "offset"])
-            rows = rows.withColumnRenamed("partition", "part")
+            rows = rows.withColumnRenamed("partition", "part").withColumn("seq", F.lit(int(batch_id)).cast("long"))
             cocommit_batch(rows, offset_ledger(batch, self.group_id), self.path, self.run_id, batch_id)
         finally:
             batch.unpersist()

@@ -185,8 +185,9 @@ def read_ledger(df: DataFrame, group_id: str | None = None) -> DataFrame:
     return latest_ledger(led, group_id)
 
 
-#: Puts are ordered by their place in the broker, whatever batch wrote them.
-PUT_ORDER = ["offset", "topic", "part"]
+#: A later put wins: puts are ordered by batch (``seq``, which a compacted batch keeps), and inside it by their place in the
+#: broker. Offsets of different topic partitions are not compared across batches.
+PUT_ORDER = ["seq", "offset", "topic", "part"]
 
 
 def read_latest(df: DataFrame, key: str, columns: list[str], order: list[str] = PUT_ORDER) -> DataFrame:

@@ -350,15 +350,21 @@ def test_running_count_batch_keeps_null_keys_and_orders(spark):
         [("a", None, 1), ("a", 1, 2), ("a", 1, 3), (None, None, 1), (None, 2, 2), (None, 5, 3)], key=key)
 
 
-def test_latest_put_is_by_offset_topic_and_partition(spark, tmp_dir):
-    puts = [("t", 0, 5, T0, "1\ta\t1.0"), ("t", 1, 5, T0, "1\tb\t2.0"), ("s", 3, 5, T0, "1\tc\t3.0"), ("t", 0, 9, T0, "2\tx\t1.0")]
-    for at, order in enumerate((1, -1)):
+def test_a_later_batch_wins_across_partitions(spark, tmp_dir):
+    """The store keeps the put that came last; offsets of different partitions say nothing about that."""
+    puts = [("t", 0, 900, T0, "1\told\t1.0"), ("t", 1, 3, T0, "1\tnew\t2.0"), ("s", 3, 5, T0, "1\tc\t3.0"), ("t", 0, 901, T0, "2\tx\t1.0")]
+    for at, (order, winner) in enumerate([(slice(None), ("1", "c", 3.0)), (slice(None, None, -1), ("1", "old", 1.0)),
+                                          (slice(0, 2), ("1", "new", 2.0))]):
         sink = os.path.join(tmp_dir, f"up{at}")
         job = SalesUpsertCommit(sink, "g", run_id=10)
-        for b, put in enumerate(puts[::order]):
+        for b, put in enumerate(puts[order]):
             job(spark.createDataFrame([put], MESSAGE_SCHEMA), b)
-        SalesUpsertCommit(sink, "g", run_id=9)(spark.createDataFrame([("t", 0, 99, T0, "2\told\t0.0")], MESSAGE_SCHEMA), 0)
-        assert rows(read_latest(spark.read.parquet(sink), "id", ["name", "money"])) == [("1", "b", 2.0), ("2", "x", 1.0)]
+        SalesUpsertCommit(sink, "g", run_id=9)(spark.createDataFrame([("t", 0, 999, T0, "1\tearlier run\t0.0")], MESSAGE_SCHEMA), 50)
+        assert rows(read_latest(spark.read.parquet(sink), "id", ["name", "money"]))[0] == winner
+    # inside a batch: by offset, topic and partition
+    sink = os.path.join(tmp_dir, "one")
+    SalesUpsertCommit(sink, "g")(spark.createDataFrame([("t", 0, 5, T0, "1\ta\t1.0"), ("t", 1, 5, T0, "1\tb\t2.0"), ("s", 3, 5, T0, "1\tc\t3.0")], MESSAGE_SCHEMA), 0)
+    assert rows(read_latest(spark.read.parquet(sink), "id", ["name", "money"])) == [("1", "b", 2.0)]
 
 
 def test_committed_reads_and_compaction(spark, tmp_dir):
@@ -385,7 +391,7 @@ def test_committed_reads_and_compaction(spark, tmp_dir):
     replay_in_chunks(spark, _messages(spark, puts), src, 3, lambda: apps.start_sales_upsert(
         message_stream(spark, src), sink, ckpt, "g", every=None))
     before = rows(read_latest(spark.read.parquet(sink), "id", ["name", "money"]))
-    assert compact(spark, sink, ckpt, fold_latest("id", ["offset", "topic", "part"])) == 3
+    assert compact(spark, sink, ckpt, fold_latest("id", ["seq", "offset", "topic", "part"])) == 3
     after = spark.read.parquet(sink)
     assert rows(read_latest(after, "id", ["name", "money"])) == before == [("0x", "n6", 6.5), ("1x", "n7", 7.5), ("2x", "n8", 8.5)]
     assert rows(read_ledger(after, "g")) == [("t", "g", 0, 9), ("t", "g", 1, 8)] and after.count() == 5
