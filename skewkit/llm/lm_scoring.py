@@ -35,23 +35,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import arrow_map, fold_bucket, mix64, slices, utf8, word_hashes
-from skewkit.llm.ngram_trie import Trie
-from skewkit.session import scratch_path
+from skewkit.llm.common import arrow_map, fold_bucket, mix64, slices, staged, utf8, word_hashes
+from skewkit.llm.ngram_trie import EliasFano, Trie
 
 #: Text bytes whose n-grams a shard holds, about, and whose n-grams a slice sends at once.
-SHARD_BYTES = 20 << 20
-SLICE_BYTES = 4 << 20
+SHARD_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 #: Sampled n-grams for each shard.
 SAMPLES = 100
 DISCOUNT = 0.75
 NONE, END, BEGIN = 0, 1 << 32, 2 << 32
 FIGURES, ANSWERS, TOTALS = 0, 1, 2
 ROWS = "slice long, shard int, kind int, payload binary"
+PARTS = ("kind int, doc_id long, held_out boolean, n_tokens long, n_known long, base_logs double, score_logs double, "
+         "n_single long")
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -108,12 +110,23 @@ class Texts:
 
 def _text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Slices of a partition's texts with names that a run of the task again gives alike."""
-    made = 0
     task = TaskContext.get().partitionId()
-    for batch in batches:
-        for part in slices(batch, limit=SLICE_BYTES):
-            yield (task << 32) + made, part
-            made += 1
+
+    def joined() -> Iterator[list[pa.RecordBatch]]:
+        some, size = [], 0
+        for batch in batches:
+            for part in slices(batch, limit=SLICE_BYTES):
+                n = pa.compute.sum(pa.compute.binary_length(part.column("text"))).as_py() or 0
+                if some and size + n > SLICE_BYTES:
+                    yield some
+                    some, size = [], 0
+                some.append(part)
+                size += n
+        if some:
+            yield some
+
+    for made, some in enumerate(joined()):
+        yield (task << 32) + made, some[0] if len(some) == 1 else pa.Table.from_batches(some).combine_chunks().to_batches()[0]
 
 
 # ---------------------------------------------------------------- ranges
@@ -266,7 +279,8 @@ def _send(docs: DataFrame, ranges: Ranges) -> DataFrame:
                 for mine, kind in ((~held[a:b], small), (held[a:b], np.uint32)):
                     own = u[a:b][mine]
                     first = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
-                    sent += [own[first], np.packbits(first), v[a:b][mine], w[a:b][mine], label[a:b][mine].astype(kind)]
+                    sent += [np.frombuffer(EliasFano.encode(own[first]), np.uint8), np.packbits(first), v[a:b][mine], w[a:b][mine],
+                             label[a:b][mine].astype(kind)]
                 rows.append((name, int(s), ANSWERS, packed(*sent)))
             yield _batch(rows)
     return arrow_map(docs, run, ROWS)
@@ -282,8 +296,8 @@ def _read_block(payload: bytes) -> list[tuple[np.ndarray, ...]]:
     a = unpacked(payload)
     out = []
     for u, first, v, w, label in (a[:5], a[5:]):
-        at = np.cumsum(np.unpackbits(first, count=len(v)), dtype=np.int64) - 1
-        out.append((u[at] if len(u) else u, v, w, label))
+        at = np.cumsum(np.unpackbits(first, count=len(v)), dtype=np.int32) - 1
+        out.append((EliasFano(u.tobytes()).values()[at], v, w, label))
     return out
 
 
@@ -313,10 +327,10 @@ class Shard:
         #: of each n-gram as it came: its places among the distinct ones
         self.node = []
         for f in firsts:
-            mark = np.zeros(len(u), np.int64)
+            mark = np.zeros(len(u), np.int8)
             mark[f] = 1
-            place = np.empty(len(u), np.int64)
-            place[order] = np.cumsum(mark) - 1
+            place = np.empty(len(u), np.int32)
+            place[order] = np.cumsum(mark, dtype=np.int32) - 1
             self.node.append(place)
 
     def _merge(self, hot: dict, counts, followers, above) -> None:
@@ -362,13 +376,17 @@ class Shard:
         third = self.log_p[1][nodes[2]]
         score = np.where(np.isnan(third), 0.0, third) + np.where(begin, self.log_p[0][nodes[1]], 0.0)
         documents = np.flatnonzero(np.bincount(doc))
-        return (documents.astype(np.uint32), np.bincount(doc, base)[documents], np.bincount(doc, score)[documents])
+        # of the scores, a single float's error is far below that of the trie's codes; base sums are exact
+        return (documents.astype(doc.dtype), np.bincount(doc, base)[documents], np.bincount(doc, score)[documents].astype(np.float32))
 
     def heldout(self, at: slice, position: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Positions, counts of their first words, and by bigram and trigram one value: the log probability (below 0) if it is
+        seen, else minus the log of its context's weight (0 or more)."""
         word, second, third = (n[at] for n in self.node)
-        return (position.astype(np.uint32), self.count[word], self.log_p[0][second].astype(np.float32),
-                self.backoff[0][word].astype(np.float32), self.log_p[1][third].astype(np.float32),
-                self.backoff[1][second].astype(np.float32))
+        count = self.count[word]
+        values = [np.where(np.isnan(p), -weight, p).astype(np.float32) for p, weight in (
+            (self.log_p[0][second], self.backoff[0][word]), (self.log_p[1][third], self.backoff[1][second]))]
+        return (position, count.astype(np.uint32) if not len(count) or count.max() < 1 << 32 else count, *values)
 
 
 def _answer(sent: DataFrame, ranges: Ranges, hot: dict, discount: float) -> DataFrame:
@@ -410,55 +428,61 @@ def _answer(sent: DataFrame, ranges: Ranges, hot: dict, discount: float) -> Data
 
 # --------------------------------------------------------------- results
 
-def _finish(answered: DataFrame, shards: int, train_tokens: int, distinct: int) -> DataFrame:
-    whole = np.log10(train_tokens + 0.1 * (distinct + 1))
+def _finish(answered: DataFrame, shards: int) -> DataFrame:
+    """Each document's figures but for the size of the training texts, which is in rows of their own (kind ``TOTALS``): sums of
+    logarithms, and how many times ``score_logs`` has a word's own probability (``n_single``)."""
+    columns = [c.split(" ")[0] for c in PARTS.split(", ")]
 
     def of_slice(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        figures = unpacked(next(x for kind, x in rows if kind == FIGURES))
-        ids, null, tokens, held = figures
+        ids, null, tokens, held = unpacked(next(x for kind, x in rows if kind == FIGURES))
         n = len(ids)
-        base, score, known = np.zeros(n), np.zeros(n), np.where(held, 0, tokens)
+        base, score, known, singles = np.zeros(n), np.zeros(n), np.where(held, 0, tokens), np.zeros(n, np.int64)
         starts = np.concatenate([[0], np.cumsum(np.where(held, tokens + 1, 0))])
         total = int(starts[-1])
-        count = np.zeros(total + 2, np.int64)
-        second, second_weight, third, third_weight = (np.full(total + 2, np.nan) for _ in range(4))
+        count, second, third = np.zeros(total + 2, np.int64), np.zeros(total + 2), np.zeros(total + 2)
         for kind, x in rows:
             if kind == ANSWERS:
                 doc, b, s, at, *values = unpacked(x)
                 base[doc] += b
                 score[doc] += s
-                for column, value in zip((count, second, second_weight, third, third_weight), values, strict=True):
+                for column, value in zip((count, second, third), values, strict=True):
                     column[at] = value
-        base -= np.where(held, 0.0, tokens * whole)
         if total:
             doc = np.repeat(np.arange(n), np.where(held, tokens + 1, 0))
             place = np.arange(total) - starts[doc]
-            single = np.log10(count + 0.1) - whole
-            pair = np.where(np.isnan(second[:-1]), second_weight[:-1] + single[1:], second[:-1])      # of the word after each
-            triple = np.where(np.isnan(third[:-2]), third_weight[:-2] + pair[1:], third[:-2])         # of the one after that
-            own = place > 0
+            single = np.log10(count + 0.1)
+            backed = second[:-1] >= 0                                     # the bigram is not there
+            pair = np.where(backed, single[1:] - second[:-1], second[:-1])                     # of the word after each
+            further = third[:-2] >= 0
+            triple = np.where(further, pair[1:] - third[:-2], third[:-2])                      # of the one after that
+            own, inner = place > 0, place < tokens[doc] - 1
             np.add.at(base, doc[own], single[:total][own])
             np.add.at(known, doc[own], (count[:total][own] > 0).astype(known.dtype))
             np.add.at(score, doc[~own], pair[:total][~own])
-            inner = place < tokens[doc] - 1
+            np.add.at(singles, doc[~own], backed[:total][~own].astype(np.int64))
             np.add.at(score, doc[inner], triple[:total][inner])
-        return pa.record_batch([pa.array(ids, mask=null.astype(bool)), pa.array(held.astype(bool)), pa.array(tokens), pa.array(known),
-                                pa.array(np.full(n, train_tokens)), pa.array(base), pa.array(score)],
-                               [c.split(" ")[0] for c in RESULT.split(", ")])
+            np.add.at(singles, doc[inner], (further & backed[1:])[:total][inner].astype(np.int64))
+        return pa.record_batch([pa.array(np.full(n, FIGURES, np.int32)), pa.array(ids, mask=null.astype(bool)), pa.array(held.astype(bool)),
+                                pa.array(tokens), pa.array(known), pa.array(base), pa.array(score), pa.array(singles)], columns)
+
+    def of_totals(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        tokens, distinct = np.sum([unpacked(x)[0] for _, x in rows], axis=0).tolist()
+        return pa.record_batch([pa.array([x], t) for x, t in zip((TOTALS, None, None, tokens, distinct, None, None, None), (
+            pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()), strict=True)], columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
             for name, kind, x in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 if name != now and rows:
-                    yield of_slice(rows)
+                    yield of_totals(rows) if now < 0 else of_slice(rows)
                     rows = []
                 now = name
                 rows.append((kind, x))
         if rows:
-            yield of_slice(rows)
+            yield of_totals(rows) if now < 0 else of_slice(rows)
 
-    return arrow_map(answered.repartition(shards, "slice").sortWithinPartitions("slice"), run, RESULT)
+    return arrow_map(answered.repartition(shards, "slice").sortWithinPartitions("slice"), run, PARTS)
 
 
 def score_texts(docs: DataFrame, discount: float = DISCOUNT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -471,11 +495,13 @@ def score_texts(docs: DataFrame, discount: float = DISCOUNT, shard_bytes: int =
     shards = max(2 * spark.sparkContext.defaultParallelism, -(-size // shard_bytes))
     ranges = Ranges(_sample(own, shards, size), shards)
     hot = _hot_statistics(own, ranges)
-    path = scratch_path(spark, "llm-scores")
-    _answer(_send(own, ranges), ranges, hot, discount).write.partitionBy("kind").parquet(path)
-    made = spark.read.schema(ROWS).parquet(path).select("slice", "shard", "kind", "payload")
-    totals = [unpacked(r["payload"])[0] for r in made.filter(F.col("kind") == TOTALS).select("payload").collect()]
+    # a few numbers a document: what is gathered and sent back passes through two shuffles and is not kept
+    parts = staged(spark, _finish(_answer(_send(own, ranges), ranges, hot, discount), ranges.shards), "scores")
+    totals = parts.filter(F.col("kind") == TOTALS).agg(F.sum("n_tokens").alias("n"), F.sum("n_known").alias("v")).first()
     words = {k[0]: n for k, (n, _) in hot.items() if len(k) == 1 and k[0] != BEGIN and n}
-    train_tokens = int(sum(t[0] for t in totals)) + sum(words.values())
-    distinct = int(sum(t[1] for t in totals)) + len(words)
-    return _finish(made.filter(F.col("kind") != TOTALS), ranges.shards, train_tokens, distinct)
+    train_tokens, distinct = (totals["n"] or 0) + sum(words.values()), (totals["v"] or 0) + len(words)
+    whole = F.lit(float(np.log10(train_tokens + 0.1 * (distinct + 1))))
+    return parts.filter(F.col("kind") == FIGURES).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"),
+        (F.col("base_logs") - F.col("n_tokens") * whole).alias("base_score"),
+        (F.col("score_logs") - F.col("n_single") * whole).alias("score"))

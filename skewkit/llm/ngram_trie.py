@@ -72,9 +72,10 @@ class EliasFano:
             place = place + np.where(beyond, width, 0)
         return place
 
-    def _low(self, at: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(at), 8), np.uint8)
-        out[:, :self.low_bytes] = self.low[at]
+    def _low(self, at: np.ndarray | slice) -> np.ndarray:
+        low = self.low[at]
+        out = np.zeros((len(low), 8), np.uint8)
+        out[:, :self.low_bytes] = low
         return out.view(np.uint64)[:, 0]
 
     def get(self, at: np.ndarray) -> np.ndarray:
@@ -83,6 +84,14 @@ class EliasFano:
             high = high << np.uint64(8 * self.low_bytes)
         return self.base + (high | self._low(at))
 
+    def values(self) -> np.ndarray:
+        """All elements, in order."""
+        high = np.flatnonzero(np.unpackbits(self.words.view(np.uint8), bitorder="little"))[:self.n] - np.arange(self.n)
+        high = high.astype(np.uint64)
+        if self.low_bytes < 8:
+            high = high << np.uint64(8 * self.low_bytes)
+        return self.base + (high | self._low(slice(None)))
+
     def successor(self, wanted: np.ndarray) -> np.ndarray:
         """Place of the first element that is not below each wanted value (``n``: none)."""
         wanted = wanted.astype(np.uint64)

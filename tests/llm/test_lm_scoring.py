@@ -24,7 +24,7 @@ def test_elias_fano_reads_and_finds(top):
         values = np.sort(rng.integers(0, top, n, dtype=np.uint64, endpoint=True))
         ef = EliasFano(b"\0" * 8 + EliasFano.encode(values), 8)
         assert ef.n == n
-        assert np.array_equal(ef.get(np.arange(n)), values)
+        assert np.array_equal(ef.get(np.arange(n)), values) and np.array_equal(ef.values(), values)
         wanted = np.concatenate([values, values + np.uint64(1), rng.integers(0, top, 200, dtype=np.uint64, endpoint=True),
                                  np.array([0, top], np.uint64)])
         assert np.array_equal(ef.successor(wanted), np.searchsorted(values, wanted, "left"))
