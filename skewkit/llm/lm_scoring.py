@@ -390,6 +390,7 @@ class Shard:
 
 
 def _answer(sent: DataFrame, ranges: Ranges, hot: dict, discount: float) -> DataFrame:
+    """Each shard's answers to its blocks, one shard a task, and the slices' figures passed on."""
     shared = sent.sparkSession.sparkContext.broadcast(hot)
 
     def answers(rows: list[tuple[int, int, bytes]], shard: int) -> Iterator[pa.RecordBatch]:
@@ -413,17 +414,18 @@ def _answer(sent: DataFrame, ranges: Ranges, hot: dict, discount: float) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in batches:
-            for name, shard, kind, x in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            payloads = [x.as_buffer() for x in batch.column(3)]            # not copied
+            for name, shard, kind, x in zip(*(batch.column(i).to_pylist() for i in range(3)), payloads, strict=True):
                 if shard != now:
                     yield from answers(rows, now)
                     now, rows = shard, []
                 if kind == FIGURES:
-                    yield _batch([(name, -1, FIGURES, x)])
+                    yield _batch([(name, -1, FIGURES, x.to_pybytes())])
                 else:
                     rows.append((name, kind, x))
         yield from answers(rows, now)
 
-    return arrow_map(sent.repartition(ranges.shards, "shard").sortWithinPartitions("shard", "slice"), run, ROWS)
+    return arrow_map(sent.repartitionById(ranges.shards, "shard").sortWithinPartitions("shard", "slice"), run, ROWS)
 
 
 # --------------------------------------------------------------- results
