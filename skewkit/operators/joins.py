@@ -3,10 +3,11 @@
 Design notes for scale:
 
 * The salt is its own integer column; keys are never rewritten.
-* Hot keys are those with more rows than one task should hold (``rows_per_salt``),
-  found by one count per key that combines map-side. They form a small table
+* Hot keys are those with more rows than one task should hold (``rows_per_salt``).
+  A mergeable frequent-items sketch names the candidates: one state of bounded size per task is
+  shuffled, no distinct key. Only the candidates are then counted exactly. Hot keys form a small table
   ``(key, salts)`` that is joined to both sides; a broadcast where it
-  fits, a shuffle join where not, so there is no limit on their number.
+  fits, a shuffle join where not. Where nothing is hot the join is a plain one.
 * A side is broadcast only after its rows and estimated bytes were checked
   against bounds (:func:`fits_broadcast`, one aggregate job); beyond them the
   join stays a shuffle join, where AQE's skew-join splitting still applies.
@@ -17,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,21 +84,76 @@ DEFAULT_ROWS_PER_SALT = 2_000_000
 NULL_KEY_SALTS = 1_000
 
 INNER_HOW = {"inner"}
+LEFT_HOW = {"left", "leftouter", "left_outer"}
 
 
-def heavy_keys(df: DataFrame, on: str | Sequence[str], rows: int = DEFAULT_ROWS_PER_SALT) -> DataFrame:
-    """Keys with more than ``rows`` rows, with their row count in column ``_n``.
+# Our parameter: items that a frequent-items sketch tracks (16 bytes each). The sketch's error is at most
+# 3.5 / (4/3 * items) of the rows, and an item is listed for sure above twice that.
+TRACKED_ITEMS = 1 << 15
+SKETCH_SHARE = 2 * 3.5 * 0.75
 
-    One count per key (combined map-side, so a hot key ships one row per task);
-    at most ``total / rows`` keys come out. Null keys never match and are left out.
+
+def sketched_bound(rows: int, total: int, tracked: int = TRACKED_ITEMS) -> int:
+    """Every key with more rows than this, of ``total``, is a candidate of :func:`heavy_candidates`."""
+    return max(rows, int(SKETCH_SHARE * total / tracked))
+
+
+def heavy_candidates(df: DataFrame, on: str | Sequence[str], rows: int = DEFAULT_ROWS_PER_SALT,
+                     tracked: int = TRACKED_ITEMS) -> tuple[list[int], int]:
+    """Hashes (``xxhash64``) of the keys that may have more than ``rows`` rows, and the number of rows with a key.
+
+    One pass over the key columns. Each task folds its keys into a frequent-items sketch; states
+    (at most ``tracked`` items each) are merged in two steps, first in as many groups as keep both steps small, then
+    into one. Every key above :func:`sketched_bound` is among the candidates, and at most ``tracked`` are.
+    """
+    on = _names(on)
+    keyed = df.select(*on).dropna(how="any", subset=on).select(F.xxhash64(*on).alias("_h"), F.spark_partition_id().alias("_p"))
+    groups = max(1, int(keyed.sparkSession.sparkContext.defaultParallelism))
+    states = (keyed.groupBy(F.pmod("_p", F.lit(groups)).alias("_g"))
+              .agg(F.expr(f"approx_top_k_accumulate(_h, {tracked})").alias("_s"), F.count(F.lit(1)).alias("_n")))
+    # grouped, so that an empty table gives no row: there is no state to combine
+    found = (states.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_combine(_s, {tracked})").alias("_s"), F.sum("_n").alias("_n"))
+             .select(F.expr(f"approx_top_k_estimate(_s, {tracked})").alias("items"), "_n").first())
+    if found is None:
+        return [], 0
+    total = int(found["_n"])
+    # an estimate is a count's upper bound, so a key with more than ``rows`` rows has a larger one
+    return [i["item"] for i in found["items"] if i["item"] is not None and i["count"] > rows], total
+
+
+def heavy_keys(df: DataFrame, on: str | Sequence[str], rows: int = DEFAULT_ROWS_PER_SALT,
+               tracked: int | None = TRACKED_ITEMS) -> DataFrame:
+    """Keys with more than ``rows`` rows, with their exact row count in column ``_n``.
+
+    With ``tracked`` (see :func:`heavy_candidates`) the rows of candidate keys only are counted, by a broadcast of
+    at most ``tracked`` hashes: no exchange holds the distinct keys. Keys up to :func:`sketched_bound` may be left out where that is above
+    ``rows``: with the default, keys of less than a 6,000th of all rows. ``tracked=None`` counts every key
+    (combined map-side, so a hot key ships one row per task). Null keys never match and are left out.
     """
     if rows < 1:
         raise ValueError("rows must be >= 1")
     on = _names(on)
     keyed = df.select(*on).dropna(how="any", subset=on)
+    if tracked is None:
+        return count_per_key(keyed, on, name="_n").where(F.col("_n") > rows)
+    return recount(df, on, rows, heavy_candidates(df, on, rows, tracked)[0])
+
+
+def recount(df: DataFrame, on: str | Sequence[str], rows: int, hashes: list[int]) -> DataFrame:
+    """Keys with more than ``rows`` rows among those with the given hashes, counted exactly."""
+    on = _names(on)
+    few = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hashes], "_h long"))
+    keyed = df.select(*on).dropna(how="any", subset=on).join(few, F.xxhash64(*on) == F.col("_h"), "left_semi")
     return count_per_key(keyed, on, name="_n").where(F.col("_n") > rows)
 
 
+def _searched(df: DataFrame, on: Sequence[str], rows: int | None) -> DataFrame | None:
+    """Hot keys of a side; None where the sketch finds no candidate."""
+    rows = rows or DEFAULT_ROWS_PER_SALT
+    hashes, _ = heavy_candidates(df, on, rows)
+    return recount(df, on, rows, hashes) if hashes else None
+
+
 def _common_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> list[T.DataType] | None:
     """The types both sides' keys are compared in; None where text meets another type
     (whose comparison is not an equality of widened values)."""
@@ -125,8 +181,8 @@ def _has_map(t: T.DataType) -> bool:
     return isinstance(t, (T.MapType, T.VariantType))
 
 
-def _hot_table(keys: DataFrame, names: Sequence[str], n_salts: int, rows_per_salt: int | None, salts: str) -> DataFrame:
-    """``(key, salts)``, one row per hot key, written once to the shared scratch folder."""
+def _hot_table(keys: DataFrame, names: Sequence[str], n_salts: int, rows_per_salt: int | None, salts: str) -> DataFrame | None:
+    """``(key, salts)``, one row per hot key, written once to the shared scratch folder; None if there is none."""
     if "_n" in keys.columns and rows_per_salt:
         n = F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_salt)), F.lit(2)).cast("int")
     else:
@@ -134,8 +190,9 @@ def _hot_table(keys: DataFrame, names: Sequence[str], n_salts: int, rows_per_sal
     table = keys.select(*names, n.alias(salts)).dropna(how="any", subset=list(names))
     table = table.groupBy(*names).agg(F.max(salts).alias(salts))
     path = scratch_path(keys.sparkSession, "hot-keys")
-    table.write.mode("overwrite").parquet(path)
-    return keys.sparkSession.read.schema(table.schema).parquet(path)
+    seen = Observation()
+    table.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return keys.sparkSession.read.schema(table.schema).parquet(path) if seen.get["n"] else None
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
@@ -158,9 +215,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     count is known gets ``ceil(count / rows_per_salt)`` salts (at least 2), others ``n_salts``,
     so a key holding a third of a huge table is cut into task-sized pieces.
 
-    For inner joins ``right_hot_keys`` (DataFrame or ``"auto"``) handles keys that are hot on the
+    ``right_hot_keys`` (DataFrame or ``"auto"``) handles keys that are hot on the
     right: their right rows are salted (by ``right_by``) and their left rows replicated. A key that is
-    hot on both sides gets a grid: left piece ``i`` meets right piece ``j`` in a group of its own.
+    hot on both sides gets a grid: left piece ``i`` meets right piece ``j`` in a group of its own. Replicated left rows must not
+    come out more than once, so a left join is then the inner grid join and, beside it, the left rows whose key the right side's
+    distinct keys do not hold; semi and anti joins only need these distinct keys.
 
     Left rows with a null key (left and anti joins keep them) are spread over ``NULL_KEY_SALTS``
     groups. ``by`` names the columns a row's piece is drawn from, best a row id; without it, all columns and the input
@@ -170,14 +229,16 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
     if how.lower() not in SALTABLE_HOW:
         raise ValueError(f"salted_join supports inner/left/left_semi/left_anti, not {how!r}: "
                          "a replicated right side would repeat unmatched right rows")
-    if right_hot_keys is not None and how.lower() not in INNER_HOW:
-        raise ValueError("right_hot_keys needs an inner join: replicated left rows would repeat")
     for keys in (hot_keys, right_hot_keys):
         if isinstance(keys, str) and keys != "auto":
             raise ValueError("hot keys must be None, 'auto' or a DataFrame")
     types = _common_types(left, right, on)
     if types is None:
         return left.join(right if hint is None else right.hint(hint), on, how)
+    if right_hot_keys is not None and how.lower() not in INNER_HOW:
+        return _outer_with_right_hot(left, right, on, how.lower(), dict(
+            n_salts=n_salts, by=by, seed=seed, hot_keys=hot_keys, rows_per_salt=rows_per_salt, hint=hint),
+            right_hot_keys, right_by)
     keyed = [f"_k{i}" for i in range(len(on))]
 
     def with_keys(df: DataFrame) -> DataFrame:
@@ -193,18 +254,47 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
         salts = ["_left", "_right"]
         lhs = lhs.withColumn("_draw", F.xxhash64(F.lit(seed), *_salt_by(left, by)))
         rhs = rhs.withColumn("_draw", F.xxhash64(F.lit(seed + 1), *_salt_by(right, right_by))).drop(*on)
-        lhs, rhs = _grid(lhs, rhs, keyed, [
-            None if keys is None else _hot_table(
-                heavy_keys(side, keyed, rows_per_salt or DEFAULT_ROWS_PER_SALT) if isinstance(keys, str)
-                else keys.select(*[F.col(c).cast(t).alias(k) for k, c, t in zip(keyed, on, types, strict=True)],
-                                 *(["_n"] if "_n" in keys.columns else [])),
-                keyed, n_salts, rows_per_salt, name)
-            for keys, side, name in ((hot_keys, lhs, "_nl"), (right_hot_keys, rhs, "_nr"))])
+        hot = []
+        for keys, side, name in ((hot_keys, lhs, "_nl"), (right_hot_keys, rhs, "_nr")):
+            if isinstance(keys, str):
+                keys = _searched(side, keyed, rows_per_salt)
+            elif keys is not None:
+                keys = keys.select(*[F.col(c).cast(t).alias(k) for k, c, t in zip(keyed, on, types, strict=True)],
+                                   *(["_n"] if "_n" in keys.columns else []))
+            hot.append(None if keys is None else _hot_table(keys, keyed, n_salts, rows_per_salt, name))
+        if hot == [None, None] and how.lower() in INNER_HOW:      # nothing hot, and null keys come to nothing
+            return left.join(right if hint is None else right.hint(hint), on, how)
+        lhs, rhs = _grid(lhs, rhs, keyed, hot)
     if hint is not None:
         rhs = rhs.hint(hint)
     return lhs.join(rhs, keyed + salts, how).drop(*keyed, *salts)
 
 
+def _outer_with_right_hot(left: DataFrame, right: DataFrame, on: list[str], how: str, options: dict,
+                          right_hot_keys: DataFrame | str, right_by: Sequence[str] | None) -> DataFrame:
+    """Left, semi and anti joins whose right side has hot keys (see :func:`salted_join`)."""
+    keys = right.select(*on).distinct()
+    if how not in LEFT_HOW:
+        return salted_join(left, keys, on, how, **options)
+    if isinstance(options["hot_keys"], str):                       # searched once for both parts
+        hot = _searched(left, on, options["rows_per_salt"])
+        if hot is not None:
+            path = scratch_path(left.sparkSession, "hot-keys")
+            hot.write.mode("overwrite").parquet(path)
+            hot = left.sparkSession.read.schema(hot.schema).parquet(path)
+        options = {**options, "hot_keys": hot}
+    matched = salted_join(left, right, on, "inner", right_hot_keys=right_hot_keys, right_by=right_by, **options)
+    if options["hot_keys"] is None:          # an empty list of hot keys: rows with a null key are still spread
+        options["hot_keys"] = right.select(*on).limit(0)
+    alone = salted_join(left, keys, on, "left_anti", **options)
+    # by position: the sides may have columns of one name besides the key
+    kinds = [f.dataType for f in matched.schema.fields]
+    alone = alone.toDF(*[f"_a{i}" for i in range(len(alone.columns))])
+    n = len(alone.columns)
+    return matched.union(alone.select(*[F.col(c).cast(t) for c, t in zip(alone.columns, kinds, strict=False)],
+                                      *[F.lit(None).cast(t).alias(f"_n{i}") for i, t in enumerate(kinds[n:])]))
+
+
 def _grid(lhs: DataFrame, rhs: DataFrame, keyed: list[str],
           hot: list[DataFrame | None]) -> tuple[DataFrame, DataFrame]:
     """Both sides (with ``_draw``, the hash that a row's piece is drawn from) with ``_left`` and ``_right``: own piece of the side's hot keys, all pieces of the other side's."""
@@ -255,9 +345,14 @@ def join_topn(left: DataFrame, right: DataFrame, group: str, key: str, n: int |
 
 
 def broadcast_left_join(big: DataFrame, small: DataFrame, on: str | Sequence[str],
-                        max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``big LEFT JOIN small`` with ``small`` broadcast when it fits both bounds."""
-    return big.join(broadcast_if_bounded(small, max_rows, max_bytes), _names(on), "left")
+                        max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        rows_per_salt: int = DEFAULT_ROWS_PER_SALT, by: Sequence[str] | None = None,
+                        right_by: Sequence[str] | None = None) -> DataFrame:
+    """``big LEFT JOIN small`` with ``small`` broadcast when it fits both bounds, else by shuffle with the hot keys of either side cut
+    into pieces of ``rows_per_salt`` rows (:func:`salted_join`)."""
+    if fits_broadcast(small, max_rows, max_bytes):
+        return big.join(F.broadcast(small), _names(on), "left")
+    return salted_join(big, small, on, "left", hot_keys="auto", right_hot_keys="auto", rows_per_salt=rows_per_salt, by=by, right_by=right_by)
 
 
 def latest_per_key(df: DataFrame, on: str | Sequence[str], order_by: str) -> DataFrame:

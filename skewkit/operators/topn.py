@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skewkit.session import scratch_path
+
 
 def _names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -87,6 +89,43 @@ def topn_per_group(df: DataFrame, group: str | Sequence[str], order: str,
     return ranked if n is None else ranked.where(F.col(name) <= n)
 
 
+# Our parameter: rows that one task of :func:`rank_all` numbers.
+ROWS_PER_RANGE = 2_000_000
+
+
+def rank_all(df: DataFrame, group: str | Sequence[str], order: str, tie: str | Sequence[str] = (),
+             name: str = "rn", descending: bool = True, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``row_number()`` of every row in its group, by ``order`` and then ``tie``, without a task that holds a group.
+
+    Equal to :func:`topn_per_group` with ``n=None``, but as a long. Rows are dealt into ranges of (group, order, tie), so a hot group is many
+    ranges and a small one shares its range. Rows are numbered inside (group, range), and each adds the
+    rows of its group's earlier ranges. Only groups that lie in several ranges have any: at most two for each range, a table
+    that is always small. The numbered rows are written once: ranges are cut by a sample, and both readers must see the same.
+    """
+    if rows_per_range < 1:
+        raise ValueError("rows_per_range must be >= 1")
+    groups, ties = _names(group), _names(tie)
+    by = [F.col(order).desc() if descending else F.col(order).asc(), *[F.col(t).asc() for t in ties]]
+    spark, rows = df.sparkSession, df.count()
+    parts = max(1, -(-rows // rows_per_range))
+    # a range's rows come together, and stay apart from those of the same group in other ranges
+    dealt = df.repartitionByRange(parts, *[F.col(g).asc() for g in groups], *by).withColumn("_range", F.spark_partition_id())
+    inside = Window.partitionBy(*groups, "_range").orderBy(*by)
+    numbered = dealt.withColumn("_r", F.row_number().over(inside).cast("long"))
+    path = scratch_path(spark, "ranked")
+    numbered.write.mode("overwrite").parquet(path)
+    numbered = spark.read.schema(numbered.schema).parquet(path)
+    # a struct of nulls equals a struct of nulls, so groups with null keys join too
+    key = F.struct(*[F.col(g) for g in groups])
+    sizes = numbered.groupBy(key.alias("_g"), "_range").agg(F.max("_r").alias("_n"))
+    spread = sizes.groupBy("_g").agg(F.collect_list(F.struct("_range", "_n")).alias("_parts")).where(F.size("_parts") > 1)
+    before = spread.select("_g", F.explode(F.expr(
+        "transform(_parts, p -> struct(p._range as _range, "
+        "aggregate(filter(_parts, q -> q._range < p._range), 0L, (s, q) -> s + q._n) as _before))")).alias("_p")).select("_g", "_p.*")
+    joined = numbered.withColumn("_g", key).join(F.broadcast(before), ["_g", "_range"], "left")
+    return joined.withColumn(name, F.col("_r") + F.coalesce("_before", F.lit(0))).select(*df.columns, name)
+
+
 def topn_distinct_counts(counts: DataFrame, group: str | Sequence[str], key: str,
                          cnt: str = "cnt", n: int | None = 2, name: str = "rn") -> DataFrame:
     """Top ``n`` *distinct* count values per group, one row per value.

@@ -124,8 +124,9 @@ def test_salted_join_right_hot_keys(spark):
     assert rows(got) == plain
     only_right = salted_join(left, right, "k", n_salts=4, right_hot_keys="auto", rows_per_salt=150, right_by=["rid"])
     assert rows(only_right) == plain
-    with pytest.raises(ValueError):
-        salted_join(left, right, "k", how="left", hot_keys="auto", right_hot_keys="auto")
+    for how in ("left", "left_semi", "left_anti"):
+        got = salted_join(left, right, "k", how=how, by=["lid"], hot_keys="auto", right_hot_keys="auto", right_by=["rid"], rows_per_salt=150)
+        assert rows(got) == rows(left.join(right, "k", how))
 
 
 def test_hot_key_salting_engages_on_skewed_lineitem(spark):
@@ -204,3 +205,81 @@ def test_lookup_bounds_reach_the_size_check(spark):
                 assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == found
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _skewed(spark, n, shares):
+    """``n`` rows: key ``i`` has ``shares[i]`` of them, the rest are distinct."""
+    spread, start = F.col("id") * 7919 % n, 0            # a permutation: hot rows lie all over the partitions
+    key = F.col("id") + 1_000_000
+    for k, share in enumerate(shares):
+        key = F.when((spread >= start) & (spread < start + share), F.lit(k)).otherwise(key)
+        start += share
+    return spark.range(n).repartition(12).select(key.cast("long").alias("k"), F.col("id").alias("row"))
+
+
+@pytest.mark.parametrize("shares", [[], [4000], [900, 899, 901, 2500, 10], [30] * 100], ids=["flat", "one", "near the bound", "many small"])
+def test_sketched_search_equals_the_exact_one(spark, shares):
+    df = _skewed(spark, 20_011, shares)
+    for tracked in (256, 1 << 15):
+        for bound in (900, 200):
+            from skewkit.operators.joins import sketched_bound
+            exact = rows(heavy_keys(df, "k", rows=bound, tracked=None))
+            sketched = rows(heavy_keys(df, "k", rows=bound, tracked=tracked))
+            sure = sketched_bound(bound, 20_011, tracked)
+            assert set(sketched) <= set(exact) and {r for r in exact if r[1] > sure} <= set(sketched)
+            if sure == bound:
+                assert sketched == exact
+
+
+def test_every_key_above_the_bound_is_a_candidate(spark):
+    from skewkit.operators.joins import heavy_candidates, sketched_bound
+    df = _skewed(spark, 60_013, [600 + 40 * i for i in range(30)])
+    tracked = 512                                         # fewer than the distinct keys of a task: the sketch has to forget
+    sure = sketched_bound(1, 60_013, tracked)
+    hashes, total = heavy_candidates(df, "k", 1, tracked)
+    assert total == 60_013 and len(hashes) <= tracked
+    want = {r["h"] for r in df.groupBy("k").count().where(F.col("count") > sure).select(F.xxhash64("k").alias("h")).collect()}
+    assert len(want) > 5 and want <= set(hashes)
+
+
+def test_the_search_exchanges_no_distinct_keys(spark):
+    df = _skewed(spark, 20_011, [4000])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = heavy_keys(df, "k", rows=900)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the only exchange of keys comes after the candidates' rows were picked
+    assert plan.index("Exchange hashpartitioning(k") < plan.index("LeftSemi")
+    assert heavy_keys(df.limit(0), "k").count() == 0
+    assert rows(heavy_keys(df.withColumn("k", F.when(F.col("k") > 0, F.col("k"))), "k", rows=900)) == []
+
+
+def test_a_join_with_nothing_hot_is_the_plain_join(spark):
+    left, right = _skewed(spark, 3001, []), _skewed(spark, 301, [])
+    got = salted_join(left, right.withColumnRenamed("row", "r"), "k", hot_keys="auto", right_hot_keys="auto", rows_per_salt=100)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "explode" not in plan
+    assert rows(got) == rows(left.join(right.withColumnRenamed("row", "r"), "k"))
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot_keys", [None, "auto"])
+def test_left_joins_with_keys_hot_on_the_right(spark, how, hot_keys):
+    left = spark.range(600).select(F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 3 == 0, 1).when(F.col("id") % 5 == 0, 999)
+                                   .otherwise(F.col("id") % 40).cast("int").alias("k"), F.col("id").alias("v"))
+    right = spark.range(900).select(F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 3 == 1, 2).when(F.col("id") % 11 == 0, None)
+                                    .otherwise(F.col("id") % 60).cast("long").alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = salted_join(left, right, "k", how=how, by=["v"], hot_keys=hot_keys, right_hot_keys="auto", right_by=["v"], rows_per_salt=50)
+        plain = left.join(right, "k", how)
+        assert got.columns == plain.columns and got.dtypes == plain.dtypes
+        key = lambda r: tuple((x is not None, x) for x in r)
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+        if how == "left":
+            beyond = broadcast_left_join(left, right, "k", max_rows=5, rows_per_salt=50, by=["v"], right_by=["v"])
+            assert sorted(map(tuple, beyond.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
+            assert "explode" in beyond._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -88,3 +88,36 @@ def test_distinct_keys(site_log):
 def test_topn_per_group_n_none_ranks_all(site_log):
     counts = count_per_key(site_log, ["site", "url"])
     assert topn_per_group(counts, "site", "cnt", n=None, tie="url").count() == 7
+
+
+@pytest.mark.parametrize("rows_per_range", [7, 100, 10_000])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_of_all_rows_equals_the_window(spark, rows_per_range, descending):
+    from skewkit.operators.topn import rank_all
+    # one group holds most rows, some groups are small, one is null; orders tie and are null at times
+    df = spark.range(1500).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, None).otherwise(F.concat(F.lit("g"), (F.col("id") % 25).cast("string"))).alias("g"),
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") * 37 % 91).alias("v"), F.col("id").alias("tie")).repartition(5)
+    want = topn_per_group(df, "g", "v", n=None, tie="tie", descending=descending)
+    got = rank_all(df, "g", "v", tie="tie", descending=descending, rows_per_range=rows_per_range)
+    assert got.columns == want.columns
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_no_range_holds_a_hot_group(spark):
+    from skewkit.operators.topn import rank_all
+    df = spark.range(4000).select(F.lit("hot").alias("g"), (F.col("id") * 7 % 4000).alias("v"))
+    got = rank_all(df, "g", "v", rows_per_range=400)
+    assert sorted(r["rn"] for r in got.collect()) == list(range(1, 4001))
+    assert got.where("rn = 1").first()["v"] == 3999
+    from skewkit.session import staged_paths
+    numbered = spark.read.parquet(sorted(p for p in staged_paths(spark) if "ranked" in p)[-1])
+    sizes = [r["count"] for p in staged_paths(spark) if "ranked" in p and spark.read.parquet(p).count() == 4000
+             for r in spark.read.parquet(p).groupBy("_range").count().collect()]
+    assert numbered is not None and len(sizes) >= 8 and max(sizes) < 1200
+
+
+def test_ranks_of_an_empty_table(spark):
+    from skewkit.operators.topn import rank_all
+    assert rank_all(spark.createDataFrame([], "g string, v long"), "g", "v").collect() == []
