@@ -44,8 +44,8 @@ from skewkit.llm.common import arrow_map, fold_bucket, mix64, slices, staged, ut
 from skewkit.llm.ngram_trie import EliasFano, Trie
 
 #: Text bytes whose n-grams a shard holds, about, and whose n-grams a slice sends at once.
-SHARD_BYTES = 12 << 20
-SLICE_BYTES = 6 << 20
+SHARD_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Sampled n-grams for each shard.
 SAMPLES = 100
 DISCOUNT = 0.75
@@ -305,8 +305,8 @@ class Shard:
     """The trie of one range, and its answers."""
 
     def __init__(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, held: np.ndarray, hot: dict, discount: float):
-        order = np.argsort((v.astype(np.uint64) << np.uint64(32)) | w)
-        order = order[np.argsort(u[order], kind="stable")]
+        order = np.argsort((v.astype(np.uint64) << np.uint64(32)) | w).astype(np.int32)
+        order = order[np.argsort(u[order], kind="stable").astype(np.int32)]
         u, v, w, trained = u[order], v[order], w[order], ~held[order]
         firsts = [_runs_of([u]), _runs_of([u, v]), _runs_of([u, v, w])]
         #: distinct n-grams of each size: their words, and for each the one that it starts with
@@ -365,6 +365,7 @@ class Shard:
         second = t.lookup(1, word[above[1]], self.second)
         third = t.lookup(2, second[above[2]], self.third)
         self.count = t.count(word)
+        self.log_count = np.log10(self.count + 0.1)
         self.backoff = [t.backoff(0, word), t.backoff(1, second)]
         self.log_p = [t.probability(1, second), t.probability(2, third)]
 
@@ -372,7 +373,7 @@ class Shard:
         """Documents among n-grams ``at``, with the sums of their logarithms of count + 0.1 and of probability."""
         begin = u == np.uint64(BEGIN)
         nodes = [n[at] for n in self.node]
-        base = np.where(begin, 0.0, np.log10(self.count + 0.1)[nodes[0]])
+        base = np.where(begin, 0.0, self.log_count[nodes[0]])
         third = self.log_p[1][nodes[2]]
         score = np.where(np.isnan(third), 0.0, third) + np.where(begin, self.log_p[0][nodes[1]], 0.0)
         documents = np.flatnonzero(np.bincount(doc))
