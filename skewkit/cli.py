@@ -18,7 +18,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from skewkit.operators.joins import broadcast_left_join, join_topn
-from skewkit.operators.topn import salted_count, salted_topn, topn_distinct_counts
+from skewkit.operators.topn import rank_all, salted_count, salted_topn, topn_distinct_counts
 from skewkit.sources.delimited import scan_delimited, scan_orc
 from skewkit.sources.messages import message_stream
 from skewkit.streaming import apps
@@ -41,6 +41,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> DataFrame:
         if args.distinct:
             counts = salted_count(log, SITE_COLUMNS, n_salts=args.salts)
             return topn_distinct_counts(counts, "site", "url", n=n)
+        if n is None:
+            return rank_all(salted_count(log, SITE_COLUMNS, n_salts=args.salts), "site", "cnt", tie="url")
         return salted_topn(log, "site", "url", n=n, n_salts=args.salts)
     if args.command == "join-topn":
         left = read_site_log(spark, args.text, args.orc)

@@ -13,7 +13,7 @@ from skewkit.operators.joins import (
     broadcast_left_join, broadcast_lookup_join, join_topn, matched_pairs, salted_join,
 )
 from skewkit.operators.topn import (
-    count_per_key, distinct_keys, plain_topn, salted_count, salted_topn, topn_distinct_counts,
+    count_per_key, distinct_keys, plain_topn, rank_all, salted_count, salted_topn, topn_distinct_counts,
 )
 from skewkit.plans import fixtures as fx
 from skewkit.plans.tables import table
@@ -30,6 +30,9 @@ SALTS_JOIN = 10
 # default (joins.DEFAULT_ROWS_PER_SALT), so that keys of the test data are hot.
 ROWS_PER_SALT = 500
 ROWS_PER_SALT_PAIRS = 5
+ROWS_PER_SALT_CUSTOMERS = 20
+# Our parameter: rows numbered by one task, so low that the test data's groups are cut.
+ROWS_PER_RANGE = 2_000
 
 
 def topn_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,6 +214,21 @@ def left_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broadcast_left_join(orders, supplier, "o_custkey")
 
 
+def left_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier LEFT JOIN customer on s_suppkey = c_nationkey, beyond the broadcast bound: each of the 25 keys that match has a 25th of
+    all customers, most suppliers have none."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("s_suppkey"), "c_custkey", "c_name")
+    return broadcast_left_join(supplier, customer, "s_suppkey", max_rows=0, rows_per_salt=ROWS_PER_SALT_CUSTOMERS,
+                               by=["s_name"], right_by=["c_custkey"])
+
+
+def rank_all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's rank in its type by value; each type holds a fifth of all rows and is cut into ranges."""
+    events = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    return rank_all(events, "event_type", "value", tie="event_id", rows_per_range=ROWS_PER_RANGE)
+
+
 def inner_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer JOIN (one supplier per nation: the largest s_suppkey) on the nation key."""
     customer = table(spark, sf_dir, "customer").select(
@@ -276,6 +294,8 @@ BATCH_QUERIES = {
     "matched_pairs": matched_pairs_q,
     "join_topn": join_topn_q,
     "left_lookup": left_lookup,
+    "left_lookup_hot": left_lookup_hot,
+    "rank_all_events": rank_all_events,
     "inner_lookup": inner_lookup,
     "word_count": word_count,
     "running_count_batch": running_count_batch,

@@ -193,3 +193,20 @@ GROUP BY window_start, word
 ORACLE_SQL["stream_table_counts"] = ORACLE_SQL["stream_cocommit_counts"]
 ORACLE_SQL["stream_table_ledger"] = ORACLE_SQL["stream_cocommit_ledger"]
 ORACLE_SQL["stream_table_upsert"] = ORACLE_SQL["stream_upsert"]
+
+ORACLE_SQL.update({
+    "stream_running_state": f"SELECT word, running_cnt FROM ({ORACLE_SQL['stream_running_per_record']}) r",
+    "stream_running_state_resumed": f"""
+SELECT word, running_cnt FROM ({ORACLE_SQL['stream_running_per_record']}) r
+WHERE "offset" >= (SELECT (min(event_id) + max(event_id) + 1) // 2 FROM events)
+""",
+    "stream_running_store": ORACLE_SQL["word_count"],
+    "left_lookup_hot": """
+SELECT s.s_suppkey, s.s_name, c.c_custkey, c.c_name
+FROM supplier s LEFT JOIN customer c ON s.s_suppkey = c.c_nationkey
+""",
+    "rank_all_events": """
+SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY value DESC NULLS LAST, event_id) AS rn
+FROM events
+""",
+})

@@ -19,7 +19,8 @@ from skewkit.plans.tables import table
 from skewkit.session import scratch_path
 from skewkit.sources.messages import message_stream
 from skewkit.streaming import apps
-from skewkit.streaming.jobs import read_window_counts, replay_in_chunks, run_available
+from skewkit.streaming.jobs import batch_word_count, read_window_counts, replay_in_chunks, run_available
+from skewkit.streaming.keyed_state import read_state_counts
 from skewkit.streaming.ledger import read_accumulated, read_latest, read_ledger, resume_from_ledger
 from skewkit.streaming.stateful import UpdateLog, latest_updates
 from skewkit.streaming.tables import count_table, sales_table
@@ -40,6 +41,7 @@ COUNTS_SINK = f"kind string, word string, cnt long, {_LEDGER}, {_BATCH_KEY}"
 WINDOW_SINK = f"window_start timestamp_ntz, window_end timestamp_ntz, word string, cnt long, kind string, {_BATCH_KEY}"
 RUNNING_SINK = f"word string, cnt long, {_BATCH_KEY}"
 PER_RECORD_SINK = f"kind string, word string, running_cnt long, topic string, part int, offset long, {_BATCH_KEY}"
+STATE_SINK = f"word string, running_cnt long, idle boolean, {_BATCH_KEY}"
 KEYED_SINK = f"word string, offset long, running_cnt long, {_BATCH_KEY}"
 SALES_SINK = f"topic string, part int, offset long, seq long, id string, name string, money double, kind string, group_id string, {_BATCH_KEY}"
 RESUME_SINK = f"topic string, partition int, offset long, {_BATCH_KEY}"
@@ -125,6 +127,35 @@ def stream_running_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.where("kind = 'data'").select("word", "part", "offset", "running_cnt")
 
 
+def stream_running_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every word occurrence, in order of arrival, the running count of that word: keyed state without a list of a word's rows."""
+    rp = _Replay(spark, sf_dir, "words", "stream-running-state", own_offsets=True)
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_with_state(
+        s, sink, ckpt, every=None, state_partitions=rp.state_partitions), STATE_SINK)
+    return log.select("word", "running_cnt")
+
+
+def stream_running_state_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_running_state`` over the messages from the middle of the offsets on, starting from a table of the counts before."""
+    rp = _Replay(spark, sf_dir, "words", "stream-running-state-resumed")
+    lo, hi = rp.messages.agg(F.min("offset"), F.max("offset")).first()
+    middle = 0 if lo is None else (lo + hi + 1) // 2
+    path = scratch_path(spark, "initial-counts")
+    batch_word_count(rp.messages.where(F.col("offset") < middle)).write.parquet(path)
+    rp.messages = rp.messages.where(F.col("offset") >= middle)
+    log = rp.run(lambda s, sink, ckpt: apps.start_running_counts_with_state(
+        s, sink, ckpt, every=None, state_partitions=rp.state_partitions, initial=spark.read.parquet(path)), STATE_SINK)
+    return log.select("word", "running_cnt")
+
+
+def stream_running_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_running``, read from the state store of the query's checkpoint; no batch writes anything."""
+    rp = _Replay(spark, sf_dir, "words", "stream-running-store")
+    replay_in_chunks(spark, rp.messages, rp.source, N_CHUNKS, lambda: apps.start_running_counts_in_state(
+        rp.stream(), rp.checkpoint, every=None, state_partitions=rp.state_partitions), ROWS_PER_BATCH)
+    return read_state_counts(spark, rp.checkpoint)
+
+
 def stream_running_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_running_per_record`` with a state function per word."""
     rp = _Replay(spark, sf_dir, "words", "stream-running-keyed")
@@ -219,6 +250,9 @@ STREAM_QUERIES = {
     "stream_running_per_record": stream_running_per_record,
     "stream_running_partitions": stream_running_partitions,
     "stream_running_keyed": stream_running_keyed,
+    "stream_running_state": stream_running_state,
+    "stream_running_state_resumed": stream_running_state_resumed,
+    "stream_running_store": stream_running_store,
     "stream_cocommit_counts": stream_cocommit_counts,
     "stream_cocommit_ledger": stream_cocommit_ledger,
     "stream_resume": stream_resume,

@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from skewkit.functions.parse import explode_words
+from skewkit.session import ROCKSDB_PROVIDER
 from skewkit.streaming.jobs import SalesUpsertCommit, WindowCountCommit, WordCountCommit
+from skewkit.streaming.keyed_state import running_count_with_state
 from skewkit.streaming.running import SNAPSHOT_EVERY, RunningCountCommit
 from skewkit.streaming.stateful import UpdateLog, running_count, running_count_per_record, tumbling_count
 from skewkit.streaming.tables import CountTableCommit, SalesTableCommit, count_table, sales_table
@@ -36,32 +38,39 @@ DEFAULT_WATERMARK = "1 day"
 
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 @contextmanager
-def _partitions(spark, n: int | None):
-    """Session shuffle partitions set to ``n`` while a query starts.
+def _settings(spark, wanted: dict[str, str | None]):
+    """Session settings while a query starts; those that are None stay as they are.
 
-    A stateful query fixes its state partition count at its first start (it
-    is stored in the checkpoint and reused on every restart), so this sizes
+    A stateful query fixes its state partition count and its state store at its first start (they
+    are stored in the checkpoint and reused on every restart), so this sizes
     the state stores without changing the session for anything else.
     """
-    if n is None:
-        yield
-        return
-    old = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(n))
+    old = {k: spark.conf.get(k, None) for k, v in wanted.items() if v is not None}
+    for k in old:
+        spark.conf.set(k, wanted[k])
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def _start(messages: DataFrame, writer: DataStreamWriter, checkpoint: str, every: str | None,
-           state_partitions: int | None = None) -> StreamingQuery:
+           state_partitions: int | None = None, state_store: str | None = None, timers: bool = False) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    with _partitions(messages.sparkSession, state_partitions):
+    with _settings(messages.sparkSession, {SHUFFLE_PARTITIONS: None if state_partitions is None else str(state_partitions),
+                                           STATE_STORE: state_store,
+                                           # a query with timers always has one more batch to run: it would never be done
+                                           NO_DATA_BATCHES: "false" if timers and every is None else None}):
         return writer.start()
 
 
@@ -91,6 +100,26 @@ def start_running_counts_per_record(messages: DataFrame, sink: str, checkpoint:
     return _start(messages, messages.writeStream.foreachBatch(job), checkpoint, every)
 
 
+def start_running_counts_in_state(messages: DataFrame, checkpoint: str, every: str | None = DEFAULT_EVERY,
+                                  state_partitions: int | None = None) -> StreamingQuery:
+    """Running count per word that is kept in the state store only: nothing is written for a batch, and
+    :func:`skewkit.streaming.keyed_state.read_state_counts` reads the counts from the checkpoint."""
+    counts = running_count(explode_words(messages))
+    return _start(messages, counts.writeStream.outputMode("update").format("noop"), checkpoint, every, state_partitions)
+
+
+def start_running_counts_with_state(messages: DataFrame, sink: str, checkpoint: str, every: str | None = DEFAULT_EVERY,
+                                    run_id: int = 0, state_partitions: int | None = None, idle_ms: int | None = None,
+                                    initial: DataFrame | None = None) -> StreamingQuery:
+    """One row per word occurrence with the word's running count, numbered as they arrive, by a state function with
+    timers for idle words (``idle_ms``) and a starting state (``initial``: ``word, cnt``). With ``every=None`` timers run out in
+    batches with data only."""
+    words = explode_words(messages, keep=["topic", "partition", "offset"])
+    counted = running_count_with_state(words, idle_ms, initial)
+    return _start(messages, counted.writeStream.outputMode("append").foreachBatch(UpdateLog(sink, run_id)),
+                  checkpoint, every, state_partitions, ROCKSDB_PROVIDER, timers=idle_ms is not None)
+
+
 def start_running_counts_keyed(messages: DataFrame, sink: str, checkpoint: str,
                                every: str | None = DEFAULT_EVERY, run_id: int = 0,
                                state_partitions: int | None = None) -> StreamingQuery:
