@@ -126,7 +126,7 @@ class Model:
         for at, c in enumerate(counts):
             full[:, at] = self._code_lengths(c[MAX_ORDER], base[:, at], seen_rows)
         self.full = full.astype(np.float32)
-        self._index(seen_rows)
+        self.seen_rows = seen_rows                           # indexed in the workers only: see ``unpack``
         # a gram unseen by all still pays the escape where a language knows its context
         contexts = ALPHABET ** MAX_ORDER
         self.escape = np.zeros((contexts, len(languages)), np.float32)
@@ -135,6 +135,9 @@ class Model:
             known = total > 0
             self.escape[known, at] = np.log2((total[known] + distinct[known]) / distinct[known])
 
+    #: Row of each gram in ``full``: 64 MB, made where texts are scored.
+    row: np.ndarray | None = None
+
     def _index(self, seen_rows: np.ndarray) -> None:
         self.seen_rows = seen_rows
         self.row = np.full(ALPHABET ** (MAX_ORDER + 1), -1, np.int32)
@@ -181,6 +184,8 @@ class Model:
         sums, medians = np.zeros((len(offsets) - 1, len(self.languages))), np.zeros((len(offsets) - 1, 2))
         if not len(data):
             return sums, medians
+        if self.row is None:
+            self._index(self.seen_rows)
         codes = _codes(data, self.rank)
         grams = _grams(codes, offsets, MAX_ORDER)
         row = self.row[grams]

@@ -138,26 +138,48 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def combined_crc(first: int, second: int, length: int) -> int:
-    """CRC-32 of two byte strings after each other, from their CRCs and the second one's length."""
-    def times(matrix: list[int], vector: int) -> int:
-        out, i = 0, 0
-        while vector:
-            if vector & 1:
-                out ^= matrix[i]
-            vector >>= 1
-            i += 1
-        return out
-
-    # the matrix that feeds one zero bit to the register, squared for 2, 4, 8 ... bits
-    matrix = [0xEDB88320, *(1 << n for n in range(31))]
-    bits = 8 * length
-    while bits:
-        if bits & 1:
-            first = times(matrix, first)
-        matrix = [times(matrix, row) for row in matrix]
-        bits >>= 1
-    return first ^ second
+def _zero_operators(n: int) -> np.ndarray:
+    """``[k, i]``: what bit ``i`` of a CRC-32 register becomes after ``2 ** k`` zero bytes."""
+    def squared(rows: np.ndarray) -> np.ndarray:
+        return _applied(rows, rows)
+    one_bit = np.array([0xEDB88320, *(1 << i for i in range(31))], np.uint32)
+    out = [squared(squared(squared(one_bit)))]
+    while len(out) < n:
+        out.append(squared(out[-1]))
+    return np.stack(out)
+
+
+def _applied(rows: np.ndarray, crcs: np.ndarray) -> np.ndarray:
+    out = np.zeros_like(crcs)
+    for i in range(32):
+        out ^= np.where((crcs >> np.uint32(i)) & np.uint32(1), rows[i], np.uint32(0))
+    return out
+
+
+_zeros = _zero_operators(48)
+
+
+def combined_crcs(first: np.ndarray, second: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """CRC-32 of pairs of byte strings after each other, from their CRCs and the second ones' lengths."""
+    out = first.astype(np.uint32)
+    for k in range(int(lengths.max(initial=0)).bit_length()):
+        at = np.flatnonzero((lengths >> k) & 1)
+        out[at] = _applied(_zeros[k], out[at])
+    return out ^ second.astype(np.uint32)
+
+
+def joined_crcs(crcs: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """CRC-32 of each list of byte strings (``sizes`` of them in a row): neighbours are joined in pairs until one is left."""
+    crcs, lengths, sizes = crcs.astype(np.uint32), lengths.astype(np.int64), sizes.astype(np.int64)
+    while len(crcs) > len(sizes):
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        rank = np.arange(len(crcs)) - np.repeat(starts, sizes)
+        left = np.flatnonzero((rank % 2 == 0) & (rank + 1 < np.repeat(sizes, sizes)))
+        crcs[left] = combined_crcs(crcs[left], crcs[left + 1], lengths[left + 1])
+        lengths[left] += lengths[left + 1]
+        keep = rank % 2 == 0
+        crcs, lengths, sizes = crcs[keep], lengths[keep], (sizes + 1) // 2
+    return crcs
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -165,18 +187,20 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     pieces = staged(spark, read_pieces(spark, path), "pieces")
     whole = pieces.filter("here = all").select("range", "at", "doc_id", F.col("all").alias("n_tokens"), "crc")
 
-    @F.udf("long")
-    def joined(parts):
-        crc = 0
-        for p in parts:
-            crc = combined_crc(crc, p["crc"], 4 * p["here"])
-        return crc
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column("parts")
+            flat = parts.flatten()
+            crcs = joined_crcs(flat.field("crc").to_numpy(), 4 * flat.field("here").to_numpy(),
+                               np.diff(parts.offsets.to_numpy()))
+            yield pa.record_batch([*(batch.column(c) for c in ("range", "at", "doc_id", "n_tokens")), pa.array(crcs.astype(np.int64))],
+                                  ["range", "at", "doc_id", "n_tokens", "crc"])
 
     # a document over several blocks: one small struct for each of them
-    cut = (pieces.filter("here < all").groupBy("range", "at").agg(
+    cut = arrow_map(pieces.filter("here < all").groupBy("range", "at").agg(
         F.first("doc_id").alias("doc_id"), F.first("all").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("first", "here", "crc"))).alias("parts"))
-        .select("range", "at", "doc_id", "n_tokens", joined("parts").alias("crc")))
+        .select("range", "at", "doc_id", "n_tokens", "parts"), joined, "range int, at long, doc_id long, n_tokens long, crc long")
     documents = staged(spark, whole.unionByName(cut).withColumnRenamed("range", "_range"), "digests")
     return prefix_sums_by_range(documents, ["at"], "n_tokens", "start").select(
         "doc_id", "start", "n_tokens", F.col("crc").alias("ids_crc32"))

@@ -25,6 +25,8 @@ from skewkit.llm.common import kept_in_worker
 CACHE_PIECES = 200_000
 #: Longer pieces are encoded, but not kept.
 CACHE_PIECE_CHARS = 64
+#: Pieces that are encoded as one text.
+RUN_PIECES = 200
 _TRAILING = ".,!?;:"
 
 _cut = re.compile(r"(?<=\S)(?= )")
@@ -78,6 +80,25 @@ class CachedEncoder:
             out.extend([array("I", e.ids).tobytes() for e in some])
         return out
 
+    def _words(self, new: list[str]) -> list[bytes]:
+        """Ids of " " + piece. Pieces of letters alone are one word each to the tokenizer whatever stands beside them, so
+        many are encoded as one text and its ids are cut where a word begins."""
+        out: dict[str, bytes] = {}
+        letters = [p for p in new if p.isalpha()]
+        runs = [letters[i:i + RUN_PIECES] for i in range(0, len(letters), RUN_PIECES)]
+        for start in range(0, len(runs), 100):
+            some = runs[start:start + 100]
+            coded = self.tokenizer.encode_batch([" " + " ".join(r) for r in some], add_special_tokens=False)
+            for run, e in zip(some, coded, strict=True):
+                word = np.array(e.word_ids, np.int64)
+                cut = (4 * np.searchsorted(word, np.arange(len(run) + 1))).tolist()
+                if len(word) and word[-1] + 1 == len(run):      # else a letter has split a word, in lower case say
+                    ids = array("I", e.ids).tobytes()
+                    out.update(zip(run, map(ids.__getitem__, map(slice, cut, cut[1:])), strict=True))
+        alone = [p for p in new if p not in out]
+        out.update(zip(alone, self._plain([" " + p for p in alone]), strict=True))
+        return [out[p] for p in new]
+
     def _learn_heads(self, wanted: set[str]) -> None:
         new = [p for p in wanted if p not in self.heads]
         self.heads.update(zip(new, self._plain(new), strict=True))
@@ -92,7 +113,7 @@ class CachedEncoder:
         # a word with punctuation after it: the word may be known without
         cores = {p: core for p in missing if (core := p.rstrip(_TRAILING)) != p and _ends_in_letter(core)}
         fresh = list(missing.difference(cores).union(c for c in cores.values() if c not in new))
-        new.update(zip(fresh, self._plain([" " + p for p in fresh]), strict=True))
+        new.update(zip(fresh, self._words(fresh), strict=True))
         self._learn_heads({p[len(core):] for p, core in cores.items()})
         heads = self.heads
         for p, core in cores.items():

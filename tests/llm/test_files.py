@@ -70,8 +70,16 @@ def test_damage_is_noticed():
 
 def test_crcs_combine():
     a, b = b"some bytes", b"and others" * 7
-    assert token_files.combined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
-    assert token_files.combined_crc(zlib.crc32(a), 0, 0) == zlib.crc32(a)
+    def crcs(*texts):
+        return np.array([zlib.crc32(t) for t in texts], np.uint32)
+    assert token_files.combined_crcs(crcs(a), crcs(b), np.array([len(b)])).tolist() == [zlib.crc32(a + b)]
+    assert token_files.combined_crcs(crcs(a), crcs(b""), np.array([0])).tolist() == [zlib.crc32(a)]
+    # lists of byte strings of any number and length, joined in pairs
+    rng = random.Random(3)
+    lists = [[rng.randbytes(rng.choice([0, 1, 4, 300, 16384])) for _ in range(rng.choice([1, 2, 3, 7, 64]))] for _ in range(40)]
+    joined = token_files.joined_crcs(crcs(*[x for ls in lists for x in ls]), np.array([len(x) for ls in lists for x in ls]),
+                                     np.array([len(ls) for ls in lists]))
+    assert joined.tolist() == [zlib.crc32(b"".join(ls)) for ls in lists]
 
 
 def test_token_files(spark):
