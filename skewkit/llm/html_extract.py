@@ -12,6 +12,9 @@ A boilerplate word in a class, id or role counts against an element only if it n
 (``sidebar``, ``cookie-notice``) or, in other names (``comments-x``), if the element holds a small share of the text; never
 in names of a state or layout (``has-sidebar``, ``comments-open``), and never on what holds an article or nearly all of the text.
 
+Elements inside a line count as well: hidden ones give no text, and adverts, share links and form labels are blocks of their own
+for the cut, in the same line; where they go, the parts of the line around them are joined again. Other inline elements change nothing.
+
 Scripts, styles, markup, comments in the markup and hidden parts give no block; ``aria-hidden`` parts are
 seen by readers, and formulas are text (without their annotations). Character
 references are decoded, white space inside a block becomes one space, blocks
@@ -65,6 +68,11 @@ PLACE_WORDS = frozenset(
 STATE_WORDS = frozenset(
     "has have no non not with without hide hides show shows is are open opened closed enabled disabled on off allow allowed layout "
     "supports free visible using use".split())
+#: Words of class, id and role values that make an inline element a block of its own, and what may stand beside them.
+INLINE_BAD = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion share sharing sharebar "
+    "newsletter subscribe signup login".split())
+INLINE_PLACE = PLACE_WORDS | {"button", "btn", "icon", "text", "label", "inline", "span"}
 #: An element with a bad role is spared if it holds this share of the text, one with a bad word in another name,
 #: or beside the name of a content role, at HINT_SHARE.
 ROLE_SHARE = 0.8
@@ -72,7 +80,7 @@ HINT_SHARE = 0.3
 #: What counts against elements of a bad role.
 BAD_ROLE = 8.0
 BAD_TAGS = {"nav": 9.0, "footer": 8.0, "aside": 8.0, "form": 8.0, "button": 8.0, "select": 8.0, "option": 8.0, "menu": 8.0,
-            "dialog": 8.0, "fieldset": 6.0, "legend": 6.0}
+            "dialog": 8.0, "fieldset": 6.0, "legend": 6.0, "label": 6.0}
 
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -152,13 +160,32 @@ class Element:
                 self.prior += 2.0
 
 
+def _apart(name: str, attrs: str) -> bool:
+    """Whether an inline element is an advert, a share link or a form's label."""
+    if name == "label":
+        return True
+    for key, *values in _attribute.findall(attrs):
+        if key.lower() in ("class", "id", "role"):
+            for token in (values[0] or values[1] or values[2]).split():
+                words = {w.lower() for w in _word.findall(token)}
+                if not words.isdisjoint(INLINE_BAD) and words <= INLINE_BAD | INLINE_PLACE and words.isdisjoint(STATE_WORDS):
+                    return True
+    return False
+
+
+def _hides(attrs: str) -> bool:
+    return any(key.lower() == "hidden" or key.lower() == "style" and _hidden_style.search(values[0] or values[1] or values[2])
+               for key, *values in _attribute.findall(attrs))
+
+
 class Block:
-    """A run of text, the element it stands in, and how much of it are links."""
+    """A run of text, the element it stands in, and how much of it are links. Parts of one line have its number (``line``)
+    and whether white space stands before and after them."""
 
-    __slots__ = ("text", "element", "linked")
+    __slots__ = ("text", "element", "linked", "line", "spaced")
 
-    def __init__(self, text: str, element: Element, linked: int):
-        self.text, self.element, self.linked = text, element, linked
+    def __init__(self, text: str, element: Element, linked: int, line: int = 0, spaced: tuple[bool, bool] = (True, True)):
+        self.text, self.element, self.linked, self.line, self.spaced = text, element, linked, line, spaced
 
     def odds(self) -> float:
         """Log odds of being content."""
@@ -186,16 +213,41 @@ def blocks(html: str) -> list[Block]:
     stack = [top]
     elements = [top]
     pieces: list[str] = []
-    state = {"linked": 0, "link": False}
+    state = {"linked": 0, "link": False, "line": 0, "hidden": 0}
+    inline: list[tuple[str, str, int]] = []       # open inline elements: name, what it does, elements around it
 
-    def flush() -> None:
-        text = " ".join("".join(pieces).split())
+    def cut() -> None:
+        """End a part of a line."""
+        raw = "".join(pieces)
+        text = " ".join(raw.split())
         if text and not stack[-1].hidden:
-            out.append(Block(text, stack[-1], state["linked"]))
+            out.append(Block(text, stack[-1], state["linked"], state["line"], (raw[0].isspace(), raw[-1].isspace())))
         pieces.clear()
-        state["linked"], state["link"] = 0, False
+        state["linked"] = 0
+
+    def flush() -> None:
+        cut()
+        state["link"] = False
+        state["line"] += 1
+
+    def close(first: int) -> None:
+        """End the open inline elements from ``first`` on."""
+        for _, kind, depth in reversed(inline[first:]):
+            if kind == "hidden":
+                state["hidden"] -= 1
+            elif kind == "apart" and depth < len(stack):
+                cut()
+                del stack[depth:]
+        del inline[first:]
+
+    def close_outside() -> None:
+        """End the inline elements of elements that have ended."""
+        first = next((i for i, (_, _, depth) in enumerate(inline) if depth > len(stack)), len(inline))
+        close(first)
 
     def add(raw: str) -> None:
+        if state["hidden"]:
+            return
         text = unescape(raw) if "&" in raw else raw
         pieces.append(text)
         if state["link"]:
@@ -222,6 +274,11 @@ def blocks(html: str) -> list[Block]:
                 depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
                 if depth:
                     del stack[depth:]
+                    close_outside()
+            if inline and name not in BLOCK_TAGS:
+                first = next((i for i in range(len(inline) - 1, -1, -1) if inline[i][0] == name), None)
+                if first is not None:
+                    close(first)
             continue
         if name in RAW_TAGS:
             closed = m["attrs"].endswith("/")
@@ -247,8 +304,22 @@ def blocks(html: str) -> list[Block]:
             if name == "hr":
                 continue
             _end_implied(stack, name)
+            close_outside()
             stack.append(Element(name, m["attrs"], stack[-1]))
             elements.append(stack[-1])
+        elif name not in VOID_TAGS and not m["attrs"].endswith("/"):
+            attrs = m["attrs"]
+            plain = not attrs or attrs.isspace()
+            if not plain and _hides(attrs):
+                state["hidden"] += 1
+                inline.append((name, "hidden", len(stack)))
+            elif (name == "label" or not plain) and _apart(name, attrs):
+                cut()
+                inline.append((name, "apart", len(stack)))
+                stack.append(Element(name, attrs, stack[-1]))
+                elements.append(stack[-1])
+            elif inline:                                    # its end must not end one of the kinds above
+                inline.append((name, "", len(stack)))
     flush()
     _settle(elements, out)
     return out
@@ -379,8 +450,15 @@ def label(found: list[Block]) -> list[bool]:
 def main_text(html: str | None) -> tuple[str, int, int]:
     """The main text, the number of blocks and of content blocks."""
     found = blocks(html) if html else []
-    chosen = [b.text for b, yes in zip(found, label(found), strict=True) if yes]
-    return "\n\n".join(chosen), len(found), len(chosen)
+    chosen = [b for b, yes in zip(found, label(found), strict=True) if yes]
+    parts = []
+    for i, b in enumerate(chosen):
+        if i and chosen[i - 1].line == b.line:
+            parts.append(" " if chosen[i - 1].spaced[1] or b.spaced[0] else "")
+        elif i:
+            parts.append("\n\n")
+        parts.append(b.text)
+    return "".join(parts), len(found), len(chosen)
 
 
 def extract(pages: DataFrame) -> DataFrame:
