@@ -6,7 +6,7 @@ of the pairs gives the anchors, and the gaps between anchors are aligned in
 the same way, after equal words at their edges are matched. Coverage is the
 share of the template's words that are matched; ``COVERAGE`` or more is a find, if the template's deciding
 phrases (license name, version, terms) are among them, each word by word with nothing between: sibling
-licenses differ in little else. A version that goes on (``2.1`` for ``2``) or a qualified name is another license.
+licenses differ in little else. A short notice with a negation before it in its sentence (``not released under the``) is no find. A version that goes on (``2.1`` for ``2``) or a qualified name is another license.
 In short templates of the caller's own, all words decide. A short notice is looked for where its first deciding phrase is.
 
 Where a template may stand is read from shared word pairs: a pair at word ``p`` of the text and
@@ -14,8 +14,10 @@ Where a template may stand is read from shared word pairs: a pair at word ``p``
 length make one place, so that each of several copies is found. A place is aligned if at
 least ``PAIRS`` of the template's word pairs are there. The whole text is read, map-side, and nothing is shuffled.
 
+SPDX lines, license titles with a copyright line after them and short forms (``GPLv3``) are templates of their own, matched whole.
+
 Results: a row per find, none for null, empty or license-free texts. Repeated rows and null
-ids are reported as they are. Finds don't overlap: one inside a find of more matched words gives way to it, else the one with the larger product of coverage and matched share of
+ids are reported as they are. An empty table gives no rows, extra columns are not read. Finds don't overlap: one inside a find of more matched words gives way to it, else the one with the larger product of coverage and matched share of
 its words in the text wins, then the one with more matched words, then the first template by name.
 """
 
@@ -196,8 +198,32 @@ def _add_texts() -> None:
          "non-commercial, and by any means.", "released into the public domain")
 
 
+#: SPDX ids of licenses that source files name in one line.
+SPDX_IDS = (
+    "0BSD AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-1.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause "
+    "BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC0-1.0 EPL-1.0 EPL-2.0 GPL-1.0 GPL-2.0 GPL-2.0-only "
+    "GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.0 LGPL-2.0-only LGPL-2.0-or-later LGPL-2.1 LGPL-2.1-only "
+    "LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-1.1 MPL-2.0 Unlicense WTFPL Zlib").split()
+
+
+def _add_lines() -> None:
+    for name in SPDX_IDS:
+        _add(name, f"SPDX-License-Identifier: {name}", f"SPDX-License-Identifier: {name}")
+    for name, title in (("MIT", "MIT License"), ("ISC", "ISC License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
+                        ("0BSD", "Zero-Clause BSD")):
+        _add(name, f"{title} Copyright (c)", f"{title} Copyright (c)")
+    for name, versions in (("GPL", ("2", "3")), ("LGPL", ("2.1", "3")), ("AGPL", ("3",))):
+        for v in versions:
+            for wording in (f"{name}v{v}", f"{name} v{v}", f"the {name}v{v}", f"the {name} v{v}", f"the {name} version {v}"):
+                _add(f"{name}-{v if '.' in v else v + '.0'}", f"Licensed under {wording}.", f"Licensed under {wording}")
+
+
+#: Words that turn a notice round, right before it or before one of the words that may stand between.
+NEGATIONS = frozenset("not never nor isn aren wasn cannot no".split())
+BETWEEN = frozenset("t is are was be been being longer yet currently released licensed distributed available published".split())
 _add_notices()
 _add_texts()
+_add_lines()
 
 _word = re.compile(r"\w+")
 
@@ -343,8 +369,26 @@ class Scanner:
         for f in finds:
             if all(f[4] < k[3] or f[3] > k[4] for k in kept):
                 kept.append(f)
+        kept = [f for f in kept if not self._turned_round(f, spans, text)]
         return sorted(((self.shown[name], share, spans[a][1], spans[b][2]) for name, share, _, a, b in kept), key=lambda f: f[2])
 
+    def _turned_round(self, find: tuple, spans: list[tuple], text: str) -> bool:
+        """Whether a short notice is denied in its sentence, or an SPDX id goes on."""
+        name, _, _, a, b = find
+        words = self.templates[name]
+        if words[:1] == ["spdx"] and re.match(r"[-.+]\w|\+", text[spans[b][2]:spans[b][2] + 2]):
+            return True
+        if len(words) > SHORT:
+            return False
+        p = a
+        while p and a - p < 4 and not re.search(r"[.!?;:\n]", text[spans[p - 1][2]:spans[p][1]]):
+            p -= 1
+            if spans[p][0] in NEGATIONS:
+                return True
+            if spans[p][0] not in BETWEEN:
+                return False
+        return False
+
     def _gathered(self, name: str, starts: list[int]) -> list[list[int]]:
         """Starts of a template, by place; places with too few of its word pairs are left out."""
         size = len(self.templates[name])
