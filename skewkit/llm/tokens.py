@@ -3,8 +3,8 @@
 A byte-level or word BPE never merges across the start of a white-space run that
 follows a non-space character, nor between a letter and the punctuation after it, so a text can be cut
 there and its pieces encoded on their own. Words repeat, so the tokenizer sees each distinct piece
-once for as long as the worker's cache holds it. The cache is bounded: when its
-new half is full, the old half goes, and pieces still in use move on. The ids are those of
+once for as long as the worker's cache holds it: pieces have numbers, and a batch's ids are gathered by them from one
+array. The cache is bounded: when it is full, it is emptied before the next batch. The ids are those of
 the whole text's encoding.
 
 Strings of special tokens in a text are ordinary text, or with ``special_tokens`` their own ids, as the
@@ -16,15 +16,15 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
 
 from skewkit.llm.common import kept_in_worker
 
-#: Pieces in each half of the cache.
-CACHE_PIECES = 200_000
-#: Longer pieces are encoded, but not kept.
-CACHE_PIECE_CHARS = 64
+#: Pieces in the cache before a batch, and ids of them for each.
+CACHE_PIECES = 500_000
+IDS_PER_PIECE = 16
 #: Pieces that are encoded as one text.
 RUN_PIECES = 200
 _TRAILING = ".,!?;:"
@@ -33,6 +33,12 @@ _cut = re.compile(r"(?<=\S)(?= )")
 _odd_gap = re.compile(r"\s ")
 
 
+def runs(sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``start .. start + size - 1`` of every run, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def pieces(text: str) -> list[str]:
     """The text, cut at each space that follows a non-space character; the space itself is left out.
     All pieces but the first follow such a space."""
@@ -42,6 +48,19 @@ def pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
+class _Codes(dict):
+    """Numbers pieces as they are first asked for; ``fresh`` collects the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        code = self[piece] = len(self)
+        self.fresh.append(piece)
+        return code
+
+
 class CachedEncoder:
     """``encode(texts)``: the ids of each text, as uint32 arrays."""
 
@@ -51,28 +70,78 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = not special_tokens
         self.limit = cache_pieces
-        self.new: dict[str, bytes] = {}                  # ids of " " + piece
-        self.old: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = _Codes()                            # pieces that a space precedes
+        self.ids = np.zeros(1 << 16, np.uint32)          # of all pieces, one after the other
+        self.used = 0
+        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)      # by code
         self.heads: dict[str, bytes] = {}                # ids of pieces that no space precedes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.used > IDS_PER_PIECE * self.limit or len(self.codes) > self.limit or len(self.heads) > self.limit // 4:
+            self._forget()
         cut = [pieces(t) if t else [""] for t in texts]
         heads = [c.pop(0) for c in cut]
         self._learn_heads(set(heads))
-        missing = set().union(*cut).difference(self.new)
-        if missing:
-            self._learn(missing)
-        ids = self.new.__getitem__
-        out = [np.frombuffer(self.heads[h] + b"".join(map(ids, c)), np.uint32) for h, c in zip(heads, cut, strict=True)]
-        for p in missing:
-            if len(p) > CACHE_PIECE_CHARS:
-                del self.new[p]
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
-        if len(self.heads) > self.limit // 4:
-            self.heads = {}
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        if self.codes.fresh:
+            self._learn()
+        n = self.size[codes]
+        all_ids = self.ids[runs(n, self.start[codes])]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        out = []
+        for h, a, b in zip(heads, ends, ends[1:], strict=False):
+            body = all_ids[a:b]
+            out.append(np.concatenate([np.frombuffer(self.heads[h], np.uint32), body]) if h else body)
         return out
 
+    def _store(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Room for the ids of pieces; where each of them begins."""
+        top = int(codes.max()) + 1
+        while top > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        total = int(sizes.sum())
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        begin = self.used + np.cumsum(sizes) - sizes
+        self.start[codes], self.size[codes] = begin, sizes
+        self.used += total
+        return begin
+
+    def _learn(self) -> None:
+        """Encode the pieces that were asked for and have no ids yet."""
+        codes = self.codes
+        wanted, codes.fresh = codes.fresh, []
+        # a word with punctuation after it: the word may be known without
+        cores = {p: core for p in wanted if (core := p.rstrip(_TRAILING)) != p and _ends_in_letter(core)}
+        inner = [codes[core] for core in cores.values()]
+        plain = [p for p in wanted if p not in cores] + codes.fresh
+        codes.fresh = []
+        if plain:
+            found = self._words(plain)
+            at = np.fromiter(map(codes.__getitem__, plain), np.int64, len(plain))
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            self._store(at, sizes)
+            self.ids[self.used - int(sizes.sum()):self.used] = np.frombuffer(b"".join(found), np.uint32)
+        if not cores:
+            return
+        tails = [p[len(core):] for p, core in cores.items()]
+        kinds = sorted(set(tails))
+        self._learn_heads(set(kinds))
+        kind = np.fromiter(map({t: i for i, t in enumerate(kinds)}.__getitem__, tails), np.int64, len(tails))
+        tail_ids = [np.frombuffer(self.heads[t], np.uint32) for t in kinds]
+        tail_size = np.array([len(x) for x in tail_ids])
+        tail_start = np.cumsum(tail_size) - tail_size
+        inner = np.array(inner, np.int64)
+        n, m = self.size[inner], tail_size[kind]
+        at = np.fromiter(map(codes.__getitem__, cores), np.int64, len(cores))
+        begin = self._store(at, n + m)
+        self.ids[runs(n, begin)] = self.ids[runs(n, self.start[inner])]
+        self.ids[runs(m, begin + n)] = np.concatenate(tail_ids)[runs(m, tail_start[kind])]
+
     def _plain(self, texts: list[str]) -> list[bytes]:
         out = []
         for start in range(0, len(texts), 20_000):
@@ -103,22 +172,6 @@ class CachedEncoder:
         new = [p for p in wanted if p not in self.heads]
         self.heads.update(zip(new, self._plain(new), strict=True))
 
-    def _learn(self, missing: set[str]) -> None:
-        """Put pieces into the cache's new half: from the old one, or encoded."""
-        new, old = self.new, self.old
-        if old:
-            kept = missing.intersection(old)
-            new.update(zip(kept, map(old.__getitem__, kept), strict=True))
-            missing = missing.difference(kept)
-        # a word with punctuation after it: the word may be known without
-        cores = {p: core for p in missing if (core := p.rstrip(_TRAILING)) != p and _ends_in_letter(core)}
-        fresh = list(missing.difference(cores).union(c for c in cores.values() if c not in new))
-        new.update(zip(fresh, self._words(fresh), strict=True))
-        self._learn_heads({p[len(core):] for p, core in cores.items()})
-        heads = self.heads
-        for p, core in cores.items():
-            new[p] = new[core] + heads[p[len(core):]]
-
 
 def _ends_in_letter(text: str) -> bool:
     # also in lower case, where a letter may end in a mark of its own
