@@ -31,8 +31,8 @@ SCALE_NOTES = {
     "scan_text_topn": "staged text split per task; 3-salt two-phase count",
     "scan_orc_topn_all": "typed ORC scan of two columns",
     "salted_join": "reference form: right side replicated x10 in one scan (Generate)",
-    "salted_join_hot": "one counting job, a join with the (key, salts) table on both sides",
-    "salted_join_2key": "one counting job per side; hot keys get a grid of pieces",
+    "salted_join_hot": "one sketch job (a state per task); nothing is hot, so a plain join",
+    "salted_join_2key": "one sketch job per side; nothing is hot, so a plain join",
     "salted_join_mixed_types": "int and bigint keys compared as bigint; merge join",
     "salted_join_hot_left": "5 keys hold all rows: cut into pieces of 500 rows, merge join",
     "salted_join_hot_right": "as above with the right side hot",
@@ -40,6 +40,8 @@ SCALE_NOTES = {
     "matched_pairs": "semi-join of distinct keys: no a×b blow-up on hot keys",
     "join_topn": "left rows are counted before the join; a hot key is one row in it",
     "left_lookup": "small side broadcast after a rows+bytes check",
+    "left_lookup_hot": "beyond the broadcast bound: inner grid join of hot pieces, and an anti join with the distinct right keys",
+    "rank_all_events": "a hot type is many ranges; the sums of earlier ranges are at most two rows a range (the ranged, numbered rows were written before)",
     "inner_lookup": "lookup reduced to one row per key and staged, then broadcast after the check",
     "word_count": "explode + partial count",
     "running_count_batch": "rows shuffled once by (word, offset bucket); prefix sums on the bucket-count table",
