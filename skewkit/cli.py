@@ -64,9 +64,15 @@ def start_stream(args: argparse.Namespace, spark: SparkSession):
         return apps.start_word_count_with_offsets(messages, args.sink, args.checkpoint, args.group, every, args.run_id)
     if args.program == "sales":
         return apps.start_sales_upsert(messages, args.sink, args.checkpoint, args.group, every, args.run_id)
-    start = {"running-counts": apps.start_running_counts, "per-record": apps.start_running_counts_per_record,
-             "window-counts": apps.start_window_count_deltas}[args.program]
-    return start(messages, args.sink, args.checkpoint, every=every, run_id=args.run_id)
+    if args.program == "word-table":
+        return apps.start_word_count_table(messages, args.sink, args.checkpoint, args.group, every, args.run_id)
+    if args.program == "sales-table":
+        return apps.start_sales_table(messages, args.sink, args.checkpoint, args.group, every, args.run_id)
+    if args.program == "window-counts":
+        return apps.start_window_count_deltas(messages, args.sink, args.checkpoint, args.length, every, args.run_id, args.slide)
+    if args.program == "per-record":
+        return apps.start_running_counts_per_record(messages, args.sink, args.checkpoint, every, args.run_id, args.order)
+    return apps.start_running_counts(messages, args.sink, args.checkpoint, every=every, run_id=args.run_id)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -89,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--right-csv", required=True)
     c.add_argument("--key", required=True)
     s = sub.add_parser("stream")
-    s.add_argument("program", choices=["word-counts", "running-counts", "per-record", "window-counts", "sales"])
+    s.add_argument("program", choices=["word-counts", "running-counts", "per-record", "window-counts", "sales", "word-table", "sales-table"])
     s.add_argument("--source", help="folder of message files")
     s.add_argument("--kafka", help="bootstrap servers")
     s.add_argument("--topics")
@@ -99,6 +105,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--every", default=apps.DEFAULT_EVERY)
     s.add_argument("--once", action="store_true", help="process what is there and stop")
     s.add_argument("--run-id", type=int, default=0)
+    s.add_argument("--length", default="5 seconds", help="window-counts: length of a window")
+    s.add_argument("--slide", help="window-counts: from one window's start to the next; without it windows tumble")
+    s.add_argument("--order", choices=["offset", "ts"], default="offset", help="per-record: order inside a batch")
     for name, c in sub.choices.items():
         if name == "stream":
             continue

@@ -424,8 +424,13 @@ def test_cli_streams(spark, tmp_dir):
     msgs = _messages(spark, WORDS)
     src = os.path.join(tmp_dir, "src")
     msgs.write.parquet(src)
-    for program in ("word-counts", "running-counts", "per-record", "window-counts", "sales"):
+    for program in ("word-counts", "running-counts", "per-record", "window-counts", "sales", "word-table", "sales-table"):
         sink, ckpt = os.path.join(tmp_dir, program, "sink"), os.path.join(tmp_dir, program, "ckpt")
         cli.main(["stream", program, "--source", src, "--sink", sink, "--checkpoint", ckpt, "--once"])
         assert os.path.isdir(sink)
     assert rows(read_accumulated(spark.read.parquet(os.path.join(tmp_dir, "word-counts", "sink")))) == rows(batch_word_count(msgs))
+    from skewkit.streaming.tables import count_table
+    assert rows(count_table(spark, os.path.join(tmp_dir, "word-table", "sink")).read()) == rows(batch_word_count(msgs))
+    sink, ckpt = os.path.join(tmp_dir, "slide", "sink"), os.path.join(tmp_dir, "slide", "ckpt")
+    cli.main(["stream", "window-counts", "--source", src, "--sink", sink, "--checkpoint", ckpt, "--once", "--length", "10 seconds", "--slide", "4 seconds"])
+    assert spark.read.parquet(sink).selectExpr("max(window_end - window_start) AS n").first()["n"].total_seconds() == 2
