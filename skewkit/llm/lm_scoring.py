@@ -33,7 +33,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
@@ -233,22 +232,26 @@ def _hot_statistics(docs: DataFrame, ranges: Ranges) -> dict[tuple, tuple[int, i
             u, v, w = t.u[own], t.v[own], t.w[own]
             order = np.lexsort((w, v, u))
             u, v, w = u[order], v[order], w[order]
-            out = []
+            found, counts = ([], [], [], [], []), []
             for size in (1, 2, 3):
                 for node in hot[size - 1]:
-                    mine = u == np.uint64(node[0] if size > 1 else node)
-                    for column, value in zip((v, w), node[1:] if size > 1 else (), strict=False):
-                        mine &= column == np.uint32(value)
-                    at = np.flatnonzero(mine)
-                    follower = (v, w, np.zeros(len(w), np.uint32))[size - 1][at]
-                    first = _runs_of([follower])
-                    n = np.diff(np.concatenate([first, [len(at)]]))
                     key = (node,) if size == 1 else node
-                    out.append(pd.DataFrame({"size": np.int32(size), "u": np.uint64(key[0]).astype(np.int64),
-                                             "v": np.int64(key[1]) if size > 1 else np.int64(0),
-                                             "w": np.int64(key[2]) if size > 2 else np.int64(0),
-                                             "follower": follower[first].astype(np.int64), "n": n.astype(np.int64)}, index=range(len(first))))
-            yield pa.RecordBatch.from_pandas(pd.concat(out), preserve_index=False)
+                    a, b = 0, len(u)
+                    for column, value in zip((u, v, w), key, strict=False):         # ordered by u, v and w
+                        part = column[a:b]
+                        value = column.dtype.type(value)
+                        a, b = a + int(np.searchsorted(part, value, "left")), a + int(np.searchsorted(part, value, "right"))
+                    follower = (v, w, np.zeros(len(w), np.uint32))[size - 1][a:b]
+                    first = _runs_of([follower])
+                    if len(first):
+                        n = np.diff(np.concatenate([first, [b - a]]))
+                        words = [np.uint64(key[0]).astype(np.int64), *key[1:], *[0] * (3 - size)]
+                        for column, values in zip(found, (size, *words, follower[first]), strict=True):
+                            column.append(np.broadcast_to(np.asarray(values, np.int64), len(first)))
+                        counts.append(n)
+            columns = [np.concatenate([np.zeros(0, np.int64), *c]) for c in (*found, counts)]
+            yield pa.record_batch([pa.array(c, pa.int32() if i == 0 else pa.int64()) for i, c in enumerate(columns)],
+                                  ["size", "u", "v", "w", "follower", "n"])
 
     node = ["size", "u", "v", "w"]
     pairs = arrow_map(docs, run, HOT + ", follower long, n long").groupBy(*node, "follower").agg(F.sum("n").alias("n"))
