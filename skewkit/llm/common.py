@@ -108,7 +108,8 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | No
     return arrow_map(df, run, schema, keeps)
 
 
-def annotate(df: DataFrame, fn: Callable[[pa.Array], list[pa.Array]], fields: str, keeps: str | None = None) -> DataFrame:
+def annotate(df: DataFrame, fn: Callable[[pa.Array], list[pa.Array]], fields: str, keeps: str | None = None,
+             limit: int = SLICE_BYTES) -> DataFrame:
     """All columns of ``df`` by position (``_c0``, ``_c1`` ...) and the columns ``fields`` that ``fn``
     makes from each slice of its ``text``. Names of ``df`` may clash with anything; see ``restored``."""
     names = [f"_c{i}" for i in range(len(df.columns))]
@@ -122,7 +123,7 @@ def annotate(df: DataFrame, fn: Callable[[pa.Array], list[pa.Array]], fields: st
     made = [x.strip().split(" ") for x in fields.split(",")]
     schema = ", ".join([f"{n} {t}" for n, t in zip(names, types, strict=True)] +
                        [f"_m{i} {t}" for i, (_, t) in enumerate(made)])
-    out = map_slices(df.toDF(*names), run, schema, column=text, keeps=keeps)
+    out = map_slices(df.toDF(*names), run, schema, column=text, limit=limit, keeps=keeps)
     return out.withColumnsRenamed({f"_m{i}": name for i, (name, _) in enumerate(made)})
 
 

@@ -13,10 +13,9 @@ Bytes are folded (ASCII letters to lower case, digits to ``0``) and ranked; the
 code 0, which costs 8 more bits for the byte itself. Contexts start afresh at
 each text, with code 0 before its first byte.
 
-Training reads rows with a text, a letter and a language whose
-``crc32(doc_id as text) mod 3`` is not 1, and of them a sample drawn by a hash of id
-and text: about ``train_docs`` rows for each language (all, where it has fewer), for the
-``MAX_LANGUAGES`` most frequent labels.
+Training reads all rows with a text, a letter and a language whose
+``crc32(doc_id as text) mod 3`` is not 1, for the ``MAX_LANGUAGES`` most frequent labels (a caller may ask for
+a hash sample instead, see ``train_docs``).
 Counting is a Spark aggregation; the driver gets the frozen counts only, at
 most ``ALPHABET ** (MAX_ORDER + 1)`` per language.
 
@@ -40,8 +39,7 @@ from pyspark.sql import functions as F
 from skewkit.llm.common import annotate, arrow_map, fold_bucket, kept_in_worker, restored, slices, staged, utf8
 
 MAX_ORDER = 3
-ALPHABET = 64
-TRAIN_DOCS = 1500
+ALPHABET = 64          # symbols after a context are the bits of one number
 #: Languages a model may have, the most frequent labels first.
 MAX_LANGUAGES = 1_000
 UNDETERMINED = "und"
@@ -52,9 +50,13 @@ SPREADS = 4.0
 SLACK = 0.5
 #: Bits that one window alone (a name, an address) may cost besides; a text of n windows, the nth part.
 LONE_WINDOW = 4.0
-#: Held-out texts of each language for that, about, and at least.
-BOUND_DOCS = 400
+#: Held-out texts of a language for that, at least, and the cells of a bit in which their bits are counted.
 LEAST_BOUND_DOCS = 5
+BIT_CELLS = 4096
+#: Distinct grams that a task counts before it hands them on.
+_HELD_GRAMS = 1 << 18
+#: Bytes of text whose grams are looked up together: every byte takes about 80 of temporary arrays.
+_SLICE = 1 << 18
 
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
@@ -65,16 +67,22 @@ def has_letter(column: str = "text"):
     return F.coalesce(F.col(column).rlike(r"\p{L}"), F.lit(False))
 
 
-def training_rows(docs: DataFrame, train_docs: int) -> DataFrame:
-    """A hash sample of about ``train_docs`` labelled rows of each language: ``text, lang``."""
+def _frequent(rows: DataFrame) -> DataFrame:
+    """``_lang, _n`` of the ``MAX_LANGUAGES`` most frequent labels."""
+    counts = rows.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
+    return counts.orderBy(F.desc("_n"), "_lang").limit(MAX_LANGUAGES)
+
+
+def training_rows(docs: DataFrame, train_docs: int | None = None) -> DataFrame:
+    """The labelled rows to learn from, or a hash sample of about ``train_docs`` of each language: ``text, lang``."""
     rows = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & (F.coalesce(fold_bucket("doc_id", 3), F.lit(0)) != 1))
-    counts = rows.filter(F.col("text").isNotNull()).groupBy("lang").agg(F.count("*").alias("_n"))
-    shares = counts.orderBy(F.desc("_n"), "lang").limit(MAX_LANGUAGES).select(
-        "lang", F.least(F.lit(1.0), F.lit(float(train_docs)) / F.col("_n")).alias("_share"))
-    draw = (F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    return (rows.filter(has_letter()).join(F.broadcast(shares), "lang")
-            .filter(draw < F.col("_share")).select("text", "lang"))
+    languages = _frequent(rows.filter(F.col("text").isNotNull()))
+    out = rows.filter(has_letter()).join(F.broadcast(languages), F.col("lang") == F.col("_lang"))
+    if train_docs is not None:
+        draw = (F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+        out = out.filter(draw < F.lit(float(train_docs)) / F.col("_n"))
+    return out.select("text", "lang")
 
 
 def _codes(data: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -135,13 +143,23 @@ class Model:
             known = total > 0
             self.escape[known, at] = np.log2((total[known] + distinct[known]) / distinct[known])
 
-    #: Row of each gram in ``full``: 64 MB, made where texts are scored.
-    row: np.ndarray | None = None
+    #: Of each context the symbols that were seen after it, a bit each, and the row of the first of them in ``full``.
+    after: np.ndarray | None = None
+    base: np.ndarray | None = None
 
     def _index(self, seen_rows: np.ndarray) -> None:
         self.seen_rows = seen_rows
-        self.row = np.full(ALPHABET ** (MAX_ORDER + 1), -1, np.int32)
-        self.row[seen_rows] = np.arange(len(seen_rows), dtype=np.int32)
+        context = _context_of(seen_rows)
+        self.after = np.zeros(ALPHABET ** MAX_ORDER, np.uint64)
+        np.bitwise_or.at(self.after, context, np.uint64(1) << (seen_rows % ALPHABET).astype(np.uint64))
+        self.base = np.searchsorted(context, np.arange(len(self.after))).astype(np.int32)
+
+    def _rows(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each gram's row in ``full``, and whether it has one."""
+        context, symbol = _context_of(grams), np.uint64(1) << (grams % ALPHABET).astype(np.uint64)
+        after = self.after[context]
+        seen = (after & symbol) != 0
+        return np.where(seen, self.base[context] + np.bitwise_count(after & (symbol - np.uint64(1))), 0), seen
 
     def packed(self) -> tuple:
         return self.languages, self.rank, self.short, self.full, self.escape, self.seen_rows
@@ -184,13 +202,13 @@ class Model:
         sums, medians = np.zeros((len(offsets) - 1, len(self.languages))), np.zeros((len(offsets) - 1, 2))
         if not len(data):
             return sums, medians
-        if self.row is None:
+        if self.after is None:
             self._index(self.seen_rows)
         codes = _codes(data, self.rank)
         grams = _grams(codes, offsets, MAX_ORDER)
-        row = self.row[grams]
+        row, seen = self._rows(grams)
         costs = self.full[row]
-        miss = np.flatnonzero(row < 0)
+        miss = np.flatnonzero(~seen)
         if len(miss):
             costs[miss] = self.short[grams[miss] % ALPHABET ** MAX_ORDER] + self.escape[_context_of(grams[miss])]
         costs[codes == 0] += np.float32(8.0)
@@ -211,7 +229,26 @@ def _context_of(keys: np.ndarray) -> np.ndarray:
     return keys // ALPHABET
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
+def _merged(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, in order, and the sums of their counts."""
+    if len(counts) == 1:
+        return counts[0]
+    keys, n = (np.concatenate(x) for x in zip(*counts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n[order], first)
+
+
+def _all_orders(keys: np.ndarray, n: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By order its grams and their counts, from those of the longest grams: a shorter gram is the end of a longer one."""
+    out = {MAX_ORDER: (keys, n)}
+    for order in range(MAX_ORDER - 1, -1, -1):
+        keys, n = out[order] = _merged([(keys % ALPHABET ** (order + 1), n), (keys[:0], n[:0])])
+    return out
+
+
+def train(docs: DataFrame, train_docs: int | None = None) -> Model | None:
     """Fit the context trees of every language in the training rows; None if there are none."""
     rows = training_rows(docs, train_docs)
 
@@ -232,27 +269,37 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
         rank[r["byte"]] = code
 
     def gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, some in held.items():
+                keys, n = _merged(some)
+                yield pa.record_batch({"lang": pa.array([lang] * len(keys)), "gram": pa.array(keys, pa.int64()), "n": pa.array(n)})
+            held.clear()
+
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=_SLICE):
                 langs = np.array(part.column("lang").to_pylist())
-                for lang in sorted(set(langs)):
-                    rows = part.filter(pa.array(langs == lang))
-                    data, offsets = utf8(rows.column("text"))
-                    if not len(data):
-                        continue
-                    codes = _codes(data, rank)
-                    for order in range(MAX_ORDER + 1):
-                        keys, n = np.unique(_grams(codes, offsets, order), return_counts=True)
-                        yield pa.record_batch({"lang": pa.array([lang] * len(keys)),
-                                               "gram_order": pa.array(np.full(len(keys), order), pa.int32()),
-                                               "gram": pa.array(keys), "n": pa.array(n.astype(np.int64))})
-
-    frozen = (arrow_map(rows, gram_counts, "lang string, gram_order int, gram long, n long")
-              .groupBy("lang", "gram_order", "gram").agg(F.sum("n").alias("n"))
-              .groupBy("lang", "gram_order").agg(F.sort_array(F.collect_list(F.struct("gram", "n"))).alias("g")))
+                for lang in sorted(set(langs.tolist())):
+                    data, offsets = utf8(part.filter(pa.array(langs == lang)).column("text"))
+                    if len(data):
+                        keys, n = np.unique(_grams(_codes(data, rank), offsets, MAX_ORDER).astype(np.int32), return_counts=True)
+                        held.setdefault(lang, []).append((keys, n.astype(np.int64)))
+                if sum(len(k) for some in held.values() for k, _ in some) > _HELD_GRAMS:
+                    held.update({lang: [_merged(some)] for lang, some in held.items()})
+                    if sum(len(some[0][0]) for some in held.values()) > _HELD_GRAMS // 2:
+                        yield from counted()
+        yield from counted()
+
+    frozen = (arrow_map(rows, gram_counts, "lang string, gram long, n long")
+              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
+    names = frozen.column("lang").combine_chunks().dictionary_encode()
+    at, grams, n = (x.to_numpy() for x in (names.indices, frozen.column("gram"), frozen.column("n")))
     found: dict[str, dict] = {}
-    for r in frozen.select("lang", "gram_order", F.col("g.gram").alias("k"), F.col("g.n").alias("n")).toLocalIterator():
-        found.setdefault(r["lang"], {})[r["gram_order"]] = (np.array(r["k"], np.int64), np.array(r["n"], np.float64))
+    for i, lang in enumerate(names.dictionary.to_pylist()):
+        order = np.flatnonzero(at == i)
+        order = order[np.argsort(grams[order])]
+        found[lang] = _all_orders(grams[order], n[order].astype(np.float64))
     languages = sorted(lang for lang in found if MAX_ORDER in found[lang])
     return Model(languages, rank, [found[lang] for lang in languages]) if languages else None
 
@@ -281,14 +328,14 @@ def _scored(docs: DataFrame, model: Model | None, typical: bool = False) -> Data
                 pa.array(np.where(letter, posterior, 0.0)), pa.array(least / size, pa.float64(), mask=~letter),
                 *([pa.array(c.copy(), pa.float64(), mask=~letter) for c in medians.T] if typical else [])]
 
-    return annotate(docs, score, fields, keeps=KIND)
+    return annotate(docs, score, fields, keeps=KIND, limit=_SLICE)
 
 
 _letter = regex.compile(r"\p{L}").search
 KIND = "language models"
 
 
-def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, model: Model | None = None) -> DataFrame:
+def identify(docs: DataFrame, train_docs: int | None = None, model: Model | None = None) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, bits`` of each row; trained on ``docs`` unless a model is given."""
     scored = (_scored(docs.select("doc_id", "text"), model or train(docs, train_docs))
               .withColumnRenamed("_c0", "doc_id"))
@@ -296,7 +343,7 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS, model: Model | None
                          "lang_pred", "score", "bits")
 
 
-def accepted_documents(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def accepted_documents(docs: DataFrame, train_docs: int | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in one of the learned languages.
 
     Rejected: ``und`` texts, and texts whose typical bits a byte in their best language lie beyond
@@ -315,18 +362,16 @@ def accepted_documents(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFra
 
 def _bounds(docs: DataFrame, model: Model | None) -> DataFrame:
     """``lang, typical, among, within``: of held-out texts of each language the median of their typical bits a
-    byte, its spread among texts, and the spread of the median of one window. Training rows cost less than unseen
+    byte, its spread among texts, and the spread of the median of one window, from all such texts. Training rows cost less than unseen
     ones, so only held-out rows count; a language with fewer than ``LEAST_BOUND_DOCS`` has no bound."""
     rows = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & (F.coalesce(fold_bucket("doc_id", 3), F.lit(0)) == 1) & has_letter())
-    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
-    shares = counts.orderBy(F.desc("_n"), "lang").limit(MAX_LANGUAGES).select(
-        F.col("lang").alias("_lang"), F.least(F.lit(1.0), F.lit(float(BOUND_DOCS)) / F.col("_n")).alias("_share"))
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = rows.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).filter(draw < F.col("_share")).select("text", "lang")
+    known = rows.join(F.broadcast(_frequent(rows)), F.col("lang") == F.col("_lang")).select("text", "lang")
     # written once: two aggregates read it, and none scores beside the documents' own job
-    scored = staged(docs.sparkSession, _scored(drawn, model, typical=True).filter(F.col("_c1") == F.col("lang_pred"))
-                    .select("_c1", "middle", "spread"), "language-bounds")
+    # in cells, so that a language's distinct values are few however many its texts
+    cells = [(F.round(F.col(c) * BIT_CELLS) / BIT_CELLS).alias(c) for c in ("middle", "spread")]
+    scored = staged(docs.sparkSession, _scored(known, model, typical=True).filter(F.col("_c1") == F.col("lang_pred"))
+                    .select("_c1", *cells), "language-bounds")
     middles = scored.groupBy(F.col("_c1").alias("lang")).agg(
         F.percentile("middle", 0.5).alias("typical"), F.percentile("spread", 0.5).alias("spread"), F.count("*").alias("n"))
     apart = (scored.join(F.broadcast(middles.select(F.col("lang").alias("_lang"), "typical")), F.col("_c1") == F.col("_lang"))
