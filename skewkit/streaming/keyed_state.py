@@ -1,7 +1,8 @@
 """Running counts kept in keyed state: numbered as they arrive, with idle words timed out and a starting state from a table.
 
 :class:`RunningCounter` is the state function of the reference's running count in the second state interface: a word's
-total, and for each topic partition the last offset counted. A word's rows of a batch are numbered frame by frame as Spark
+total, and for each topic partition the last offset counted, in one value: a word costs two calls to the state store a batch,
+however many partitions it comes from. A word's rows of a batch are numbered frame by frame as Spark
 hands them over, so no list of them is held. With ``idle`` each word has a timer, renewed whenever it occurs; when it runs out the
 word's total is emitted once more, marked ``idle``, and its state is cleared.
 
@@ -11,6 +12,7 @@ of updates in between.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,28 +34,26 @@ class RunningCounter(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.total = handle.getValueState("total", "n long")
-        self.positions = handle.getMapState("positions", "at string", "last long")
+        self.state = handle.getValueState("state", "total long, positions string")
 
-    def _count(self) -> int:
-        return int(self.total.get()[0]) if self.total.exists() else 0
+    def _read(self) -> tuple[int, dict[str, int]]:
+        found = self.state.get()
+        return (int(found[0]), json.loads(found[1])) if found else (0, {})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        total, passed, ends = self._count(), {}, {}
+        total, passed = self._read()       # as the batch found them: frames of one batch come in any order
+        ends = dict(passed)
         for frame in rows:
-            for at, offsets in frame.groupby("at")["offset"]:
-                if at not in passed:       # as the batch found it: frames of one batch come in any order
-                    passed[at] = self.positions.getValue((at,))[0] if self.positions.containsKey((at,)) else None
-                if passed[at] is not None and offsets.min() <= passed[at]:
-                    raise ValueError(f"a batch goes back: {key[0]!r} has offset {offsets.min()} of {at} after {passed[at]} was counted")
-                ends[at] = max(ends.get(at, -1), int(offsets.max()))
+            for at, offset in zip(frame["at"].tolist(), frame["offset"].tolist(), strict=True):
+                if offset <= passed.get(at, offset - 1):
+                    raise ValueError(f"a batch goes back: {key[0]!r} has offset {offset} of {at} after {passed[at]} was counted")
+                if offset > ends.setdefault(at, -1):
+                    ends[at] = offset
             n = len(frame)
             yield pd.DataFrame({"word": pd.Series(key[0], index=range(n), dtype=object),
                                 "running_cnt": np.arange(total + 1, total + n + 1, dtype=np.int64), "idle": np.zeros(n, bool)})
             total += n
-        self.total.update((total,))
-        for at, last in ends.items():
-            self.positions.updateValue((at,), (last,))
+        self.state.update((total, json.dumps(ends)))
         self._renew(timerValues)
 
     def _renew(self, timerValues) -> None:
@@ -63,13 +63,12 @@ class RunningCounter(StatefulProcessor):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        total = self._count()
-        self.total.clear()
-        self.positions.clear()
+        total, _ = self._read()
+        self.state.clear()
         yield pd.DataFrame({"word": pd.Series([key[0]], dtype=object), "running_cnt": np.array([total], np.int64), "idle": np.array([True])})
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.total.update((int(initialState["cnt"].iloc[0]),))
+        self.state.update((int(initialState["cnt"].iloc[0]), "{}"))
         self._renew(timerValues)
 
     def close(self) -> None:
