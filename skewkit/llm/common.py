@@ -8,6 +8,7 @@ A null text counts as an empty one wherever a docstring does not say otherwise.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -82,6 +83,14 @@ def _drop_others(kind: str | None) -> None:
         _in_worker.clear()
 
 
+def _release() -> None:
+    """Give freed memory back to the system: the worker lives on, and the next operator shares its executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
               keeps: str | None = None) -> DataFrame:
     """``mapInArrow`` with batches of bounded rows, in a worker that holds no other operator's tables than ``keeps``."""
@@ -92,7 +101,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _drop_others(keeps)
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()
+        _release()
     return df.mapInArrow(run, schema)
 
 

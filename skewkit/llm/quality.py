@@ -35,7 +35,7 @@ from skewkit.llm.common import annotate, arrow_map, fold_bucket, map_slices, res
 DIMENSIONS = 1 << 18
 #: Rows that one task fits together, about.
 BLOCK_DOCS = 6000
-MARGIN_CELLS = 1 << 10
+MARGIN_CELLS = 1 << 14
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
