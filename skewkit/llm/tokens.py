@@ -4,7 +4,7 @@ A byte-level or word BPE never merges across the start of a white-space run that
 follows a non-space character, nor between a letter and the punctuation after it, so a text can be cut
 there and its pieces encoded on their own. Words repeat, so the tokenizer sees each distinct piece
 once for as long as the worker's cache holds it: pieces have numbers, and a batch's ids are gathered by them from one
-array. The cache is bounded: when it is full, it is emptied before the next batch. The ids are those of
+array. The cache is bounded: when it is full, the pieces that were met most often stay. The ids are those of
 the whole text's encoding.
 
 Strings of special tokens in a text are ordinary text, or with ``special_tokens`` their own ids, as the
@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -23,7 +24,7 @@ import numpy as np
 from skewkit.llm.common import kept_in_worker
 
 #: Pieces in the cache before a batch, and ids of them for each.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 700_000
 IDS_PER_PIECE = 16
 #: Pieces that are encoded as one text.
 RUN_PIECES = 200
@@ -31,6 +32,8 @@ _TRAILING = ".,!?;:"
 
 _cut = re.compile(r"(?<=\S)(?= )")
 _odd_gap = re.compile(r"\s ")
+_space = re.compile(r"\s")
+_any_cut = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 def runs(sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -48,6 +51,17 @@ def pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
+def _keys(text: str) -> list[str]:
+    """The text, cut at each space or line feed that follows a non-space character, as cache keys: see ``_spelled``."""
+    first, *rest = _any_cut.split(text)
+    return [first, *[p[1:] if p[0] == " " and p[1:2] not in (" ", "\n") else p for p in rest]]
+
+
+def _spelled(key: str) -> str:
+    """What a key stands for: itself if it begins with a space or line feed, else the key with a space before it."""
+    return key if key[:1] in (" ", "\n") and key else " " + key
+
+
 class _Codes(dict):
     """Numbers pieces as they are first asked for; ``fresh`` collects the new ones."""
 
@@ -56,7 +70,7 @@ class _Codes(dict):
         self.fresh: list[str] = []
 
     def __missing__(self, piece: str) -> int:
-        code = self[piece] = len(self)
+        self[piece] = code = len(self)
         self.fresh.append(piece)
         return code
 
@@ -69,26 +83,56 @@ class CachedEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = not special_tokens
+        # words of a line feed and letters: a line feed is a word of its own, or dropped
+        self.line_words = self.tokenizer.encode("\na", add_special_tokens=False).word_ids[-1] + 1
         self.limit = cache_pieces
         self._forget()
 
     def _forget(self) -> None:
-        self.codes = _Codes()                            # pieces that a space precedes
+        self.codes = _Codes()                            # keys of all pieces but a text's first
         self.ids = np.zeros(1 << 16, np.uint32)          # of all pieces, one after the other
         self.used = 0
-        self.start, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)      # by code
+        self.start, self.size, self.hits = (np.zeros(1 << 14, np.int64) for _ in range(3))      # by code
+        self.inside_gap = np.zeros(1 << 14, bool)        # by code: the cut after this key lies inside white space
         self.heads: dict[str, bytes] = {}                # ids of pieces that no space precedes
 
+    def _make_room(self) -> None:
+        """Keep the pieces that were met most often, half of what fits at most."""
+        held = len(self.codes)
+        often = np.flatnonzero(self.hits[:held] > 1)
+        room = min(self.limit, self.used // IDS_PER_PIECE) // 2
+        if len(often) > room:
+            often = np.sort(often[np.argsort(-self.hits[often], kind="stable")[:room]])
+        names, old = list(self.codes), (self.ids, self.start[often], self.size[often], self.hits[often])
+        gaps = self.inside_gap[often]
+        self._forget()
+        for i in often.tolist():
+            self.codes[names[i]] = len(self.codes)
+        if len(often):
+            ids, start, size, hits = old
+            self._store(np.arange(len(often)), size)
+            self.ids[:self.used] = ids[runs(size, start)]
+            self.hits[:len(often)], self.inside_gap[:len(often)] = hits >> 1, gaps
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.used > IDS_PER_PIECE * self.limit or len(self.codes) > self.limit or len(self.heads) > self.limit // 4:
-            self._forget()
-        cut = [pieces(t) if t else [""] for t in texts]
+            self._make_room()
+        cut = [t.replace("\n", " \n").split(" ") if t else [""] for t in texts]
         heads = [c.pop(0) for c in cut]
+        codes, counts = self._codes(cut)
+        # a cut inside white space, before the last piece or after the first one: those texts are cut with care
+        ends = np.cumsum(counts)
+        odd = self.inside_gap[codes]
+        odd[ends[counts > 0] - 1] = False
+        again = np.unique(np.searchsorted(ends, np.flatnonzero(odd), side="right")).tolist()
+        again = sorted({*again, *(i for i, h in enumerate(heads) if cut[i] and h[-1:].isspace())})
+        if again:
+            for i in again:
+                heads[i], *cut[i] = _keys(texts[i])
+            codes, counts = self._codes(cut)
         self._learn_heads(set(heads))
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
-        if self.codes.fresh:
-            self._learn()
+        held = len(self.codes)
+        self.hits[:held] += np.bincount(codes, minlength=held)
         n = self.size[codes]
         all_ids = self.ids[runs(n, self.start[codes])]
         ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
@@ -98,11 +142,20 @@ class CachedEncoder:
             out.append(np.concatenate([np.frombuffer(self.heads[h], np.uint32), body]) if h else body)
         return out
 
+    def _codes(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all keys, whose ids are known then, and how many each text has."""
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        if self.codes.fresh:
+            self._learn()
+        return codes, counts
+
     def _store(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Room for the ids of pieces; where each of them begins."""
         top = int(codes.max()) + 1
         while top > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+            self.start, self.size, self.hits, self.inside_gap = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.hits, self.inside_gap))
         total = int(sizes.sum())
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -120,12 +173,12 @@ class CachedEncoder:
         inner = [codes[core] for core in cores.values()]
         plain = [p for p in wanted if p not in cores] + codes.fresh
         codes.fresh = []
-        if plain:
-            found = self._words(plain)
-            at = np.fromiter(map(codes.__getitem__, plain), np.int64, len(plain))
-            sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        gaps = [codes[p] for p in plain if not p or p[-1].isspace()]
+        for keys, sizes, ids in self._words(plain):
+            at = np.fromiter(map(codes.__getitem__, keys), np.int64, len(keys))
             self._store(at, sizes)
-            self.ids[self.used - int(sizes.sum()):self.used] = np.frombuffer(b"".join(found), np.uint32)
+            self.ids[self.used - len(ids):self.used] = ids
+        self.inside_gap[gaps] = True
         if not cores:
             return
         tails = [p[len(core):] for p, core in cores.items()]
@@ -149,30 +202,50 @@ class CachedEncoder:
             out.extend([array("I", e.ids).tobytes() for e in some])
         return out
 
-    def _words(self, new: list[str]) -> list[bytes]:
-        """Ids of " " + piece. Pieces of letters alone are one word each to the tokenizer whatever stands beside them, so
-        many are encoded as one text and its ids are cut where a word begins."""
-        out: dict[str, bytes] = {}
-        letters = [p for p in new if p.isalpha()]
-        runs = [letters[i:i + RUN_PIECES] for i in range(0, len(letters), RUN_PIECES)]
-        for start in range(0, len(runs), 100):
-            some = runs[start:start + 100]
-            coded = self.tokenizer.encode_batch([" " + " ".join(r) for r in some], add_special_tokens=False)
-            for run, e in zip(some, coded, strict=True):
-                word = np.array(e.word_ids, np.int64)
-                cut = (4 * np.searchsorted(word, np.arange(len(run) + 1))).tolist()
-                if len(word) and word[-1] + 1 == len(run):      # else a letter has split a word, in lower case say
-                    ids = array("I", e.ids).tobytes()
-                    out.update(zip(run, map(ids.__getitem__, map(slice, cut, cut[1:])), strict=True))
-        alone = [p for p in new if p not in out]
-        out.update(zip(alone, self._plain([" " + p for p in alone]), strict=True))
-        return [out[p] for p in new]
+    def _words(self, new: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Keys, their numbers of ids and all their ids. Letters alone are one word to the tokenizer whatever stands beside
+        them, so many keys are encoded as one text and its ids are cut where a word begins. So are keys in ASCII, by the
+        place where an id begins."""
+        letters, lines, solid, alone = [], [], [], []
+        for p in new:
+            (letters if p.isalpha() else lines if p[:1] == "\n" and p[1:].isalpha() else solid if _solid(p) else alone).append(p)
+        for keys, words in ((letters, 1), (lines, self.line_words)):
+            for some in _batches(keys):
+                coded = self.tokenizer.encode_batch(["".join(map(_spelled, r)) for r in some], add_special_tokens=False)
+                for run, e in zip(some, coded, strict=True):
+                    word = np.array(e.word_ids, np.int64)
+                    if len(word) and word[-1] + 1 == words * len(run):
+                        yield run, np.diff(np.searchsorted(word, words * np.arange(len(run) + 1))), np.array(e.ids, np.uint32)
+                    else:           # a letter has split a word, in lower case say
+                        alone += run
+        for some in _batches(solid):
+            spelled = [list(map(_spelled, r)) for r in some]
+            coded = self.tokenizer.encode_batch(list(map("".join, spelled)), add_special_tokens=False)
+            for run, texts, e in zip(some, spelled, coded, strict=True):
+                begin = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
+                ends = np.cumsum([0, *map(len, texts)])
+                yield run, np.diff(np.searchsorted(begin, ends)), np.array(e.ids, np.uint32)
+        if alone:
+            found = self._plain(list(map(_spelled, alone)))
+            yield alone, np.fromiter(map(len, found), np.int64, len(found)) // 4, np.frombuffer(b"".join(found), np.uint32)
 
     def _learn_heads(self, wanted: set[str]) -> None:
         new = [p for p in wanted if p not in self.heads]
         self.heads.update(zip(new, self._plain(new), strict=True))
 
 
+def _batches(keys: list[str]) -> Iterator[list[list[str]]]:
+    """Runs of keys that are encoded as one text each, 100 at a time."""
+    parts = [keys[i:i + RUN_PIECES] for i in range(0, len(keys), RUN_PIECES)]
+    return (parts[i:i + 100] for i in range(0, len(parts), 100))
+
+
+def _solid(key: str) -> bool:
+    """ASCII without white space but a line feed before it, no special token, nothing long."""
+    body = key[1:] if key[:1] == "\n" else key
+    return 0 < len(body) <= 64 and body.isascii() and "<|" not in body and not _space.search(body)
+
+
 def _ends_in_letter(text: str) -> bool:
     # also in lower case, where a letter may end in a mark of its own
     return text != "" and text[-1].isalpha() and text[-1].lower()[-1].isalpha()
