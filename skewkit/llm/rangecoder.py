@@ -8,17 +8,20 @@ blocks of a batch is coded at once.
 For each id the model has three predictions. Order 2 and order 1 predict the id that
 last followed the two preceding ids (the preceding one), found by a hash of the
 context. Order 0 is a distribution over the ids that the block has had so far, by their counts, with an
-escape for new ones (as likely as distinct ids over all plus distinct); it is set up anew at positions 16,
-32, 64, 128 and every 128 after. First comes one of three outcomes: order 2 is right,
+escape for new ones (as likely as distinct ids over all plus distinct). First comes one of three outcomes: order 2 is right,
 order 1 is right, or neither. Its probabilities are mixed from three experts: the
 last outcome alone, how often the order-1 slot was right lately (and whether both agree), and how
 often the order-2 slot was. Expert weights move towards those that gave the
 outcome more than the others did. After "neither" the id itself is coded by order 0, a new id in plain bits.
 
-The coder keeps ``low`` and ``range`` as integers below 2**32 in doubles, where all their
-arithmetic is exact, and puts out 16-bit words with carries. The same file comes out on any machine.
+The slots change with each id. Order 0, the experts' chances and their weights are set up anew at positions 16, 32, 64, 128
+and every 128 after, from the counts so far; between those the chances of all states of the slots are one table. So
+the writer takes what it codes for a whole stretch from arrays, and steps only through slots and interval.
 
-Block layout (little endian): ``b"CMR1"``, ids (u32), words (u32), CRC-32 of the ids as
+An outcome and the id after "neither" are one interval of 2**25. The coder keeps ``low`` and ``range`` as integers below
+2**48 in doubles, where all their arithmetic is exact, and puts out 16-bit words with carries. The same file comes out on any machine.
+
+Block layout (little endian): ``b"CMR2"``, ids (u32), words (u32), CRC-32 of the ids as
 u32 values, CRC-32 of the words, the words (u16).
 """
 
@@ -29,13 +32,18 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMR1"
+MAGIC = b"CMR2"
 _HEADER = struct.Struct("<4sIIII")
 _SLOTS = 2048
-_SETUP_STEPS = 128
+#: Order 0 and the experts are set up anew after a share of the ids so far, or so many.
+_GROWTH, _SETUP_STEPS = 4, 512
 _ROOM = 8192               # shares that an order-0 distribution deals out
-_TOP, _LOW = 4294967296.0, 65536.0
-_FULL = 4096
+_FULL = 4096               # shares of the three outcomes
+_WHOLE = float(_FULL * _ROOM)
+_TOP, _LOW, _WORD = 2.0 ** 48, 2.0 ** 32, 65536.0
+_PLAIN = 2.0 ** 20
+#: Counts of an expert's row are halved beyond this.
+_MOST = 400
 #: Blocks that are coded in step. A block may have LONGEST ids at most, so that order 0 has a share for each.
 LANES = 2048
 LONGEST = 4096
@@ -43,8 +51,9 @@ LONGEST = 4096
 
 def _segments(steps: int) -> list[tuple[int, int]]:
     """Positions between which order 0 stays as it is."""
-    edges = [0, 16, 32, 64, *range(_SETUP_STEPS, steps, _SETUP_STEPS)]
-    edges = [e for e in edges if e < steps] + [steps]
+    edges = [0]
+    while edges[-1] < steps:
+        edges.append(min(steps, edges[-1] + min(max(16, edges[-1] // _GROWTH // 16 * 16), _SETUP_STEPS)))
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
@@ -84,14 +93,14 @@ class _OrderZero:
 
     def shares(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and size of each id of a steps by lanes array, and whether it needs an escape."""
-        keys = np.arange(self.lanes, dtype=np.int64)[None, :] << 32 | ids
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         if not len(self.keys):
-            new = np.ones(ids.shape, bool)
-            return np.zeros(ids.shape), np.full(ids.shape, float(_ROOM)), new
-        new = self.keys[at] != keys
-        start = np.where(new, self.escape_at, self.start[at])
-        return start, np.where(new, _ROOM - self.escape_at, self.size[at]), new
+            return np.zeros(ids.shape), np.full(ids.shape, float(_ROOM)), np.ones(ids.shape, bool)
+        keys = (np.arange(self.lanes, dtype=np.int64)[:, None] << 32 | ids.T).ravel()      # a lane's ids together: its keys stay near
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1).reshape(ids.shape[::-1]).T
+        new = self.keys.take(at) & 0xFFFFFFFF != ids
+        new |= self.keys.take(at) >> 32 != np.arange(self.lanes)
+        start = np.where(new, self.escape_at, self.start.take(at))
+        return start, np.where(new, _ROOM - self.escape_at, self.size.take(at)), new
 
     def by_share(self) -> np.ndarray:
         """For each lane and share the key's place, or -1 for the escape."""
@@ -107,16 +116,15 @@ class _Model:
     """The adaptive state of all lanes."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes, dtype=np.int64)
-        # slots of the order-1 contexts of all lanes, then those of order 2: id + 1 (0: none) and how sure it is
+        self.lanes, self.lane = lanes, np.arange(lanes, dtype=np.int64)
+        # slots of the order-1 contexts of all lanes, then those of order 2: id + 1 (0: none), in the last two bits how sure it is
         self.base = np.stack([self.lane * _SLOTS, (self.lane + lanes) * _SLOTS])
-        self.ids = np.zeros(2 * lanes * _SLOTS, np.uint32)
-        self.sure = np.zeros(2 * lanes * _SLOTS, np.int64)
-        # experts: chance (of _FULL) of outcome 1 and 2; rows by last outcome (3), order-1 slot (8), order-2 slot (4)
-        self.rows = np.stack([self.lane * 15, self.lane * 15 + 3, self.lane * 15 + 11])
-        self.chance = [np.full(lanes * 15, _FULL // 8, np.int32) for _ in range(2)]
-        self.weights = np.full((3, lanes), 20, np.int32)
+        self.state = np.zeros(2 * lanes * _SLOTS, np.uint32)
+        # experts: outcomes counted, by last outcome (3 rows), order-1 slot (8), order-2 slot (4)
+        self.counts = [np.zeros((lanes, n, 3), np.int64) for n in (3, 8, 4)]
+        self.weights = np.full((lanes, 3), 20, np.int64)
         self.last = np.zeros(lanes, np.int64)
+        self._set_up()
 
     def slots(self, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         """Slots of the order-1 and order-2 contexts of the first lanes; the last axis runs over lanes."""
@@ -125,33 +133,51 @@ class _Model:
         k = before.shape[-1]
         return np.stack([(one >> np.uint32(21)) + self.base[0, :k], (two >> np.uint32(21)) + self.base[1, :k]], axis=-2)
 
-    def outcomes(self, k: int, at: np.ndarray) -> tuple:
-        """Predicted ids plus 1 (order 1, order 2); the experts' rows and chances; frequencies of the outcomes."""
-        predicted = self.ids.take(at)
-        rows = self.rows[:, :k].copy()
-        sure = self.sure.take(at)
-        rows[0] += self.last[:k]
-        rows[1] += sure[0] + 4 * (predicted[0] == predicted[1])
-        rows[2] += sure[1]
-        first, second = self.chance[0].take(rows), self.chance[1].take(rows)
-        weights = self.weights[:, :k]
-        one = ((weights * first).sum(axis=0) >> 6) + 1
-        two = ((weights * second).sum(axis=0) >> 6) + 1
-        total = (weights.sum(axis=0) * _FULL >> 6) + 3
-        return predicted, sure, rows, first, second, (total - one - two, one, two, total)
-
-    def learn(self, k: int, outcome: np.ndarray, ids: np.ndarray, at: np.ndarray, seen: tuple) -> None:
-        predicted, sure, rows, first, second, _ = seen
-        is_one, is_two = outcome == 1, outcome == 2
-        gave = np.where(is_one, first, np.where(is_two, second, _FULL - first - second))
-        step = (3 * gave > gave.sum(axis=0)) * 2 - 1
-        self.weights[:, :k] = np.clip(self.weights[:, :k] + step, 1, 60)
-        self.chance[0][rows] = first + ((is_one * _FULL - first) >> 4)
-        self.chance[1][rows] = second + ((is_two * _FULL - second) >> 4)
-        self.last[:k] = outcome
-        wanted = ids + np.uint32(1)
-        self.sure[at] = np.where(predicted == wanted, np.minimum(sure + 1, 3), 1)
-        self.ids[at] = wanted
+    def learn(self, at: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> None:
+        """Slots ``at`` were ``seen`` and should have predicted ``wanted`` (ids plus 1)."""
+        right = seen >> np.uint32(2) == wanted
+        self.state[at] = np.where(right, seen + ((seen & np.uint32(3)) < 3), wanted << np.uint32(2) | np.uint32(1))
+
+    def _set_up(self) -> None:
+        """Chances (of ``_FULL``) in all 96 states, mixed: ``none`` and ``known``, where the shares of outcome 1 and 2 begin."""
+        self.chances = []
+        for c in self.counts:
+            some = (2 * c[:, :, 1:] + 1) * _FULL // (2 * c.sum(axis=2, keepdims=True) + 8)
+            self.chances.append(np.concatenate([_FULL - some.sum(axis=2, keepdims=True), some], axis=2))
+        given = self._by_state(self.chances)
+        all_weights = self.weights.sum(axis=1)[:, None, None, None] * _FULL
+        weights = self.weights[:, :, None, None, None]
+        one, two = ((sum(weights[:, e] * given[e][..., o] for e in range(3)) * (_FULL - 3) // all_weights + 1).ravel() for o in (1, 2))
+        self.none, self.known = _FULL - one - two, _FULL - two
+        self.none, self.known = self.none.astype(np.float64), self.known.astype(np.float64)
+
+    @staticmethod
+    def _by_state(rows: list[np.ndarray]) -> list[np.ndarray]:
+        return [rows[0][:, :, None, None], rows[1][:, None, :, None], rows[2][:, None, None, :]]
+
+    def states(self, seen: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Which of the 96 states of its lane each position is in; ``seen``: (..., 2, lanes)."""
+        one, two = seen[..., 0, :], seen[..., 1, :]
+        agree = (one ^ two) < 4
+        inner = ((one & np.uint32(3)) << np.uint32(2)) + (agree * np.uint32(16)) + (two & np.uint32(3))
+        return (self.lane[:seen.shape[-1]] * 3 + last) * 32 + inner
+
+    def adapt(self, states: np.ndarray, outcomes: np.ndarray, active: np.ndarray) -> None:
+        """Count what has come (steps by lanes) and set up the chances anew."""
+        found = states * 3 + outcomes
+        if active[-1] < self.lanes:
+            found = found[self.lane[None, :] < active[:, None]]
+        came = np.bincount(found.ravel(), minlength=288 * self.lanes).reshape(self.lanes, 3, 8, 4, 3)
+        given = self._by_state(self.chances)
+        total = given[0] + given[1] + given[2]
+        all_came = came.reshape(self.lanes, -1).sum(axis=1)
+        for e, by in enumerate(given):
+            better = (came * (3 * by > total)).reshape(self.lanes, -1).sum(axis=1)
+            self.weights[:, e] = np.clip(self.weights[:, e] + ((2 * better - all_came) >> 2), 1, 60)
+        for c, axes in zip(self.counts, ((2, 3), (1, 3), (1, 2)), strict=True):
+            c += came.sum(axis=axes)
+            c[c.sum(axis=2) > _MOST] >>= 1
+        self._set_up()
 
 
 class _Writer:
@@ -161,12 +187,12 @@ class _Writer:
         self.at = np.zeros(lanes, np.int64)
 
     def make_room(self) -> None:
-        if self.at.max() + 4 * _SETUP_STEPS > self.words.shape[1]:
+        if self.at.max() + 5 * _SETUP_STEPS > self.words.shape[1]:
             self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
 
-    def put(self, lanes: np.ndarray | None, low: np.ndarray, rng: np.ndarray, start, size, total) -> None:
-        """Narrow ``low`` and ``rng`` (in place) to ``[start, start + size)`` of ``total``; lanes None: the first ones."""
-        unit = np.floor(rng / total)
+    def put(self, lanes: np.ndarray | None, low: np.ndarray, rng: np.ndarray, start, size, share: float) -> None:
+        """Narrow ``low`` and ``rng`` (in place) to ``[start, start + size)`` times ``share``; lanes None: the first ones."""
+        unit = np.floor(rng * share)
         low += unit * start
         np.multiply(unit, size, out=rng)
         over = np.flatnonzero(low >= _TOP)
@@ -174,14 +200,16 @@ class _Writer:
             low[over] -= _TOP
             self._carry(over if lanes is None else lanes[over])
         short = np.flatnonzero(rng < _LOW)
-        if len(short):
+        while len(short):
             part = low[short]
             word = np.floor(part / _LOW)
             to = short if lanes is None else lanes[short]
             self.words[to, self.at[to]] = word
             self.at[to] += 1
-            low[short] = (part - word * _LOW) * _LOW
-            rng[short] *= _LOW
+            low[short] = (part - word * _LOW) * _WORD
+            left = rng[short] * _WORD
+            rng[short] = left
+            short = short[left < _LOW]
 
     def _carry(self, lanes: np.ndarray) -> None:
         at = self.at[lanes] - 1
@@ -191,12 +219,13 @@ class _Writer:
             lanes, at = lanes[more], at[more] - 1
 
     def finish(self) -> list[np.ndarray]:
-        high = np.floor(self.low / _LOW)
-        lanes = np.arange(len(self.low))
+        lanes, left = np.arange(len(self.low)), self.low
         self.make_room()
-        self.words[lanes, self.at] = high
-        self.words[lanes, self.at + 1] = self.low - high * _LOW
-        return [w[:n + 2] for w, n in zip(self.words, self.at, strict=True)]
+        for i, scale in enumerate((_LOW, _WORD, 1.0)):
+            word = np.floor(left / scale)
+            self.words[lanes, self.at + i] = word
+            left = left - word * scale
+        return [w[:n + 3] for w, n in zip(self.words, self.at, strict=True)]
 
 
 def _encode_batch(blocks: list[np.ndarray]) -> list[np.ndarray]:
@@ -216,29 +245,31 @@ def _encode_batch(blocks: list[np.ndarray]) -> list[np.ndarray]:
         past = np.concatenate([earlier[None], before[None], ids])
         slots = model.slots(past[1:-1], past[:-2])
         earlier, before = past[-2], past[-1]
-        starts, sizes, new = zero.shares(ids)
         active = np.searchsorted(-lengths, -np.arange(begin, end), side="left")
-        for t in range(end - begin):
-            k = int(active[t])
-            own, at = ids[t, :k], slots[t, :, :k]
-            seen = model.outcomes(k, at)
-            hit = seen[0] == own + np.uint32(1)
-            none, one, two, total = seen[-1]
-            out.put(None, out.low[:k], out.range[:k], np.where(hit[1], none, (none + one) * hit[0]),
-                    np.where(hit[1], one, np.where(hit[0], two, none)), total)
-            outcome = np.where(hit[1], 1, hit[0] * 2)
-            literal = np.flatnonzero(outcome == 0)
-            if len(literal):
-                low, rng = out.low[literal], out.range[literal]
-                out.put(literal, low, rng, starts[t].take(literal), sizes[t].take(literal), _ROOM)
-                out.low[literal], out.range[literal] = low, rng
-                plain = literal[new[t].take(literal)]
-                if len(plain):
-                    low, rng, value = out.low[plain], out.range[plain], own[plain]
-                    out.put(plain, low, rng, value >> np.uint32(16), 1.0, 16.0)
-                    out.put(plain, low, rng, value & np.uint32(65535), 1.0, _LOW)
-                    out.low[plain], out.range[plain] = low, rng
-            model.learn(k, outcome, own, at, seen)
+        wanted = ids + np.uint32(1)
+        seen = np.zeros((end - begin, 2, lanes), np.uint32)
+        for t, k in enumerate(active.tolist()):
+            at = slots[t, :, :k]
+            seen[t, :, :k] = now = model.state.take(at)
+            model.learn(at, now, wanted[t, :k])
+        hit = seen >> np.uint32(2) == wanted[:, None, :]
+        outcomes = np.where(hit[:, 1], 1, hit[:, 0] * 2)
+        states = model.states(seen, np.concatenate([model.last[None], outcomes[:-1]]))
+        none, known = model.none.take(states), model.known.take(states)
+        starts, sizes, new = zero.shares(ids)
+        literal = outcomes == 0
+        starts = np.where(literal, starts * none, np.where(hit[:, 1], none, known) * _ROOM)
+        sizes = np.where(literal, sizes * none, np.where(hit[:, 1], known - none, _FULL - known) * _ROOM)
+        new &= literal
+        for t, k in enumerate(active.tolist()):
+            out.put(None, out.low[:k], out.range[:k], starts[t, :k], sizes[t, :k], 1 / _WHOLE)
+            plain = np.flatnonzero(new[t, :k])
+            if len(plain):
+                low, rng = out.low[plain], out.range[plain]
+                out.put(plain, low, rng, ids[t].take(plain), 1.0, 1 / _PLAIN)
+                out.low[plain], out.range[plain] = low, rng
+        model.last = outcomes[-1]
+        model.adapt(states, outcomes, active)
         zero.add(ids, active)
     return out.finish()
 
@@ -251,10 +282,10 @@ def _decode_batch(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
     stream = np.zeros((lanes, int(sizes.max()) + 1), np.uint16)
     for i, w in enumerate(words):
         stream[i, :len(w)] = w
-    at = np.full(lanes, 2)
-    code = stream[:, 0] * _LOW + stream[:, 1]
+    at = np.full(lanes, 3)
+    code = (stream[:, 0] * _WORD + stream[:, 1]) * _WORD + stream[:, 2]
     rng = np.full(lanes, _TOP)
-    last = stream.shape[1] - 1
+    last_word = stream.shape[1] - 1
     ids = np.zeros((steps, lanes), np.uint32)
     earlier, before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
 
@@ -262,64 +293,62 @@ def _decode_batch(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
         c -= unit * start
         np.multiply(unit, size, out=r)
         short = np.flatnonzero(r < _LOW)
-        if len(short):
+        while len(short):
             to = short if where is None else where[short]
             # a damaged block may run past its words; its checksum tells
-            c[short] = c[short] * _LOW + stream[to, np.minimum(at[to], last)]
-            r[short] *= _LOW
+            c[short] = c[short] * _WORD + stream[to, np.minimum(at[to], last_word)]
+            left = r[short] * _WORD
+            r[short] = left
             at[to] += 1
-
-    def plain_part(where, c, r, total) -> np.ndarray:
-        unit = np.floor(r / total)
-        value = np.minimum(np.floor(c / unit), total - 1.0)
-        narrow(where, c, r, unit, value, 1.0)
-        return value.astype(np.int64)
-
-    def by_order_zero(literal: np.ndarray, shares: np.ndarray) -> np.ndarray:
-        c, r = code[literal], rng[literal]
-        unit = np.floor(r / _ROOM)
-        share = np.minimum(np.floor(c / unit), _ROOM - 1.0).astype(np.int64)
-        key = shares.take(literal * _ROOM + share)
-        new = key < 0
-        if len(zero.keys):
-            escape = zero.escape_at.take(literal)
-            narrow(literal, c, r, unit, np.where(new, escape, zero.start.take(key, mode="wrap")),
-                   np.where(new, _ROOM - escape, zero.size.take(key, mode="wrap")))
-            found = zero.keys.take(key, mode="wrap") & 0xFFFFFFFF
-        else:
-            narrow(literal, c, r, unit, 0.0, float(_ROOM))
-            found = np.zeros(len(literal), np.int64)
-        code[literal], rng[literal] = c, r
-        plain = literal[new]
-        if len(plain):
-            c, r = code[plain], rng[plain]
-            high = plain_part(plain, c, r, 16.0)
-            found[new] = high << 16 | plain_part(plain, c, r, _LOW)
-            code[plain], rng[plain] = c, r
-        return found
+            short = short[left < _LOW]
 
     for begin, end in _segments(steps):
         shares = zero.by_share()
         active = np.searchsorted(-lengths, -np.arange(begin, end), side="left")
-        for t, k in zip(range(begin, end), active.tolist(), strict=True):
+        states, outcomes = (np.zeros((end - begin, lanes), np.int64) for _ in range(2))
+        for t, k in enumerate(active.tolist()):
             slots = model.slots(before[:k], earlier[:k])
-            seen = model.outcomes(k, slots)
-            predicted, (none, one, two, total) = seen[0], seen[-1]
+            seen = model.state.take(slots)
+            state = model.states(seen, model.last[:k])
+            none, known = model.none.take(state), model.known.take(state)
             c, r = code[:k], rng[:k]
-            unit = np.floor(r / total)
-            value = np.floor(c / unit)
-            by_any, by_one = value >= none, value >= none + one
-            outcome = by_any.astype(np.int64) + by_one
-            narrow(None, c, r, unit, np.where(by_one, none + one, none * by_any),
-                   np.where(by_one, two, np.where(by_any, one, none)))
+            unit = np.floor(r / _WHOLE)
+            value = np.minimum(np.floor(c / unit), _WHOLE - 1)
+            by_any, by_one = value >= none * _ROOM, value >= known * _ROOM
             # outcome 1 is the order-2 prediction, outcome 2 the order-1 prediction
-            own = np.where(by_one, predicted[0], predicted[1]) - np.uint32(1)
+            outcome = by_any.astype(np.int64) + by_one
+            start = np.where(by_one, known, none) * _ROOM
+            size = np.where(by_one, _FULL - known, known - none) * _ROOM
+            own = np.where(by_one, seen[0], seen[1]) >> np.uint32(2)
+            own -= np.uint32(1)
             literal = np.flatnonzero(outcome == 0)
+            plain = literal[:0]
             if len(literal):
-                own[literal] = by_order_zero(literal, shares)
-            model.learn(k, outcome, own, slots, seen)
-            ids[t, :k] = own
+                room = none.take(literal)
+                share = np.floor(value.take(literal) / room).astype(np.int64)
+                key = shares.take(literal * _ROOM + share)
+                new = key < 0
+                if len(zero.keys):
+                    escape = zero.escape_at.take(literal)
+                    start[literal] = room * np.where(new, escape, zero.start.take(key, mode="wrap"))
+                    size[literal] = room * np.where(new, _ROOM - escape, zero.size.take(key, mode="wrap"))
+                    own[literal] = zero.keys.take(key, mode="wrap") & 0xFFFFFFFF
+                else:
+                    start[literal], size[literal] = 0.0, room * _ROOM
+                plain = literal[new]
+            narrow(None, c, r, unit, start, size)
+            if len(plain):
+                c_new, r_new = c[plain], r[plain]
+                unit = np.floor(r_new / _PLAIN)
+                value = np.minimum(np.floor(c_new / unit), _PLAIN - 1)
+                narrow(plain, c_new, r_new, unit, value, 1.0)
+                c[plain], r[plain], own[plain] = c_new, r_new, value.astype(np.uint32)
+            model.learn(slots, seen, own + np.uint32(1))
+            model.last[:k] = outcome
+            states[t, :k], outcomes[t, :k] = state, outcome
+            ids[begin + t, :k] = own
             earlier[:k], before[:k] = before[:k], own
+        model.adapt(states, outcomes, active)
         zero.add(ids[begin:end], active)
     return [np.ascontiguousarray(ids[:n, i]) for i, n in enumerate(lengths)]
 
