@@ -14,8 +14,8 @@ last outcome alone, how often the order-1 slot was right lately (and whether bot
 often the order-2 slot was. Expert weights move towards those that gave the
 outcome more than the others did. After "neither" the id itself is coded by order 0, a new id in plain bits.
 
-The slots change with each id. Order 0, the experts' chances and their weights are set up anew at positions 16, 32, 64, 128
-and every 128 after, from the counts so far; between those the chances of all states of the slots are one table. So
+The slots change with each id. Order 0, the experts' chances and their weights are set up anew after a quarter more ids (16 to 512),
+from the counts so far; between those the chances of all states of the slots are one table. So
 the writer takes what it codes for a whole stretch from arrays, and steps only through slots and interval.
 
 An outcome and the id after "neither" are one interval of 2**25. The coder keeps ``low`` and ``range`` as integers below
