@@ -47,7 +47,7 @@ def decompose(docs: DataFrame, vocabulary: str, end_id: int, context: int = CONT
         schema += ", ids array<array<int>>"
 
     def cut(part: pa.RecordBatch) -> pa.RecordBatch:
-        found = encoder(vocabulary, special_tokens).encode(part.column("text").to_pylist())
+        found = encoder(vocabulary, special_tokens).encode(part.column("text"))
         lengths, starts, crcs, whole, pieces = [], [], [], [], []
         for ids in found:
             ids = np.append(ids, np.uint32(end_id)).astype("<u4")

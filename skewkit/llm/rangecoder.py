@@ -2,27 +2,28 @@
 
 A block is a run of ids that is coded on its own: its model starts afresh and its bytes
 carry checksums, so blocks can be decoded in any order and a damaged one is noticed.
-Python steps through the positions and numpy through the blocks: position ``t`` of all
-blocks of a batch is coded at once.
+A block begins with the list of its distinct ids (Elias-Fano), so the model deals with ranks in that list.
 
 For each id the model has three predictions. Order 2 and order 1 predict the id that
-last followed the two preceding ids (the preceding one), found by a hash of the
-context. Order 0 is a distribution over the ids that the block has had so far, by their counts, with an
-escape for new ones (as likely as distinct ids over all plus distinct). First comes one of three outcomes: order 2 is right,
+last followed the two preceding ids (found by a hash of them) or the preceding one. Order 0 is a
+distribution over the listed ids, by their counts so far. First comes one of three outcomes: order 2 is right,
 order 1 is right, or neither. Its probabilities are mixed from three experts: the
 last outcome alone, how often the order-1 slot was right lately (and whether both agree), and how
 often the order-2 slot was. Expert weights move towards those that gave the
-outcome more than the others did. After "neither" the id itself is coded by order 0, a new id in plain bits.
+outcome more than the others did. After "neither" the id itself is coded by order 0.
 
-The slots change with each id. Order 0, the experts' chances and their weights are set up anew after a quarter more ids (16 to 512),
-from the counts so far; between those the chances of all states of the slots are one table. So
-the writer takes what it codes for a whole stretch from arrays, and steps only through slots and interval.
+The slots change with each id. Order 0, the experts' chances and their weights are set up anew after as many ids again (32 to 1024),
+from the counts so far; between those the chances of all states of the slots are one table.
 
-An outcome and the id after "neither" are one interval of 2**25. The coder keeps ``low`` and ``range`` as integers below
-2**48 in doubles, where all their arithmetic is exact, and puts out 16-bit words with carries. The same file comes out on any machine.
+The writer knows all ids, so it finds what every slot held by sorting a block's positions by slot: whole
+blocks are arrays, a few at a time, and only the interval goes step by step. The reader steps through the positions,
+numpy through the blocks: position ``t`` of all blocks of a batch is decoded at once.
 
-Block layout (little endian): ``b"CMR2"``, ids (u32), words (u32), CRC-32 of the ids as
-u32 values, CRC-32 of the words, the words (u16).
+An outcome and the id after "neither" are one interval of 2**25. The coder keeps ``low`` and ``range`` as
+integers below 2**64 and puts out 32-bit words with carries. The same file comes out on any machine.
+
+Block layout (little endian): ``b"CMR3"``, ids (u32), distinct ids (u32), words (u32), CRC-32 of the ids as
+u32 values, CRC-32 of all other bytes, the list of ids, the words (u32).
 """
 
 from __future__ import annotations
@@ -32,325 +33,339 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMR2"
-_HEADER = struct.Struct("<4sIIII")
-_SLOTS = 2048
+MAGIC = b"CMR3"
+_HEADER = struct.Struct("<4sIIIII")
+_SLOT_BITS = 11            # of a hash of two ids
 #: Order 0 and the experts are set up anew after a share of the ids so far, or so many.
-_GROWTH, _SETUP_STEPS = 4, 512
-_ROOM = 8192               # shares that an order-0 distribution deals out
-_FULL = 4096               # shares of the three outcomes
-_WHOLE = float(_FULL * _ROOM)
-_TOP, _LOW, _WORD = 2.0 ** 48, 2.0 ** 32, 65536.0
-_PLAIN = 2.0 ** 20
+_GROWTH, _FIRST_STEPS, _SETUP_STEPS = 1, 32, 1024
+_ROOM_BITS, _FULL_BITS = 13, 12
+_ROOM = 1 << _ROOM_BITS    # shares that an order-0 distribution deals out
+_FULL = 1 << _FULL_BITS    # shares of the three outcomes
+_WHOLE_BITS = np.uint64(_ROOM_BITS + _FULL_BITS)
+_LOW, _WORD_BITS = np.uint64(1 << 32), np.uint64(32)
 #: Counts of an expert's row are halved beyond this.
 _MOST = 400
 #: Blocks that are coded in step. A block may have LONGEST ids at most, so that order 0 has a share for each.
 LANES = 2048
 LONGEST = 4096
+#: Ids (and places of a table of all ids) that the writer's model holds at a time.
+_AT_ONCE = 1 << 18
 
 
 def _segments(steps: int) -> list[tuple[int, int]]:
     """Positions between which order 0 stays as it is."""
     edges = [0]
     while edges[-1] < steps:
-        edges.append(min(steps, edges[-1] + min(max(16, edges[-1] // _GROWTH // 16 * 16), _SETUP_STEPS)))
+        edges.append(min(steps, edges[-1] + min(max(_FIRST_STEPS, edges[-1] // _GROWTH // 32 * 32), _SETUP_STEPS)))
     return list(zip(edges[:-1], edges[1:], strict=True))
 
 
-class _OrderZero:
-    """Counts of the ids of all lanes, sorted by lane and id, and their shares of ``_ROOM``."""
+def _hashed(before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """Slot of the two preceding ranks, uint16 arrays."""
+    return (before * np.uint16(0x9E35) ^ earlier * np.uint16(0x6A6D)) >> np.uint16(16 - _SLOT_BITS)
 
-    def __init__(self, lanes: int):
-        self.lanes = lanes
-        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+class _OrderZero:
+    """Counts of the listed ids of all lanes, a lane's cells together, and their shares of ``_ROOM``."""
+
+    def __init__(self, distinct: np.ndarray):
+        self.lanes = len(distinct)
+        self.distinct = distinct
+        self.first = np.cumsum(distinct) - distinct
+        self.counts = np.zeros(int(distinct.sum()), np.int64)
+        self.rank = np.arange(len(self.counts)) - np.repeat(self.first, distinct)
+        self.total = np.zeros(self.lanes, np.int64)
         self.set_up()
 
-    def add(self, ids: np.ndarray, active: np.ndarray) -> None:
-        """``ids``: steps by lanes; ``active``: how many of the first lanes each step has."""
-        here = np.arange(self.lanes)[None, :] < active[:, None]
-        keys = (np.arange(self.lanes, dtype=np.int64)[None, :] << 32 | ids)[here]
-        keys, counts = np.unique(keys, return_counts=True)
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        self.counts[at[known]] += counts[known]
-        self.keys = np.insert(self.keys, at[~known], keys[~known])
-        self.counts = np.insert(self.counts, at[~known], counts[~known])
+    def add(self, cells: np.ndarray, came: np.ndarray) -> None:
+        """``cells`` of the ids that came, ``came`` of them for each lane."""
+        self.counts += np.bincount(cells, minlength=len(self.counts))
+        self.total += came
         self.set_up()
 
     def set_up(self) -> None:
-        lane = self.keys >> 32
-        first = np.searchsorted(lane, np.arange(self.lanes + 1))
-        distinct = np.diff(first)
-        total = np.bincount(lane, self.counts, self.lanes).astype(np.int64)
-        escape = np.minimum(np.maximum(_ROOM * distinct // np.maximum(total + distinct, 1), 1), _ROOM // 4)
-        room = _ROOM - escape - distinct
-        self.size = 1 + self.counts * room[lane] // np.maximum(total, 1)[lane]
-        sums = np.concatenate([[0], np.cumsum(self.size)])
-        self.start = (sums[:-1] - sums[first[:-1]][lane]).astype(np.float64)
-        self.escape_at = (sums[first[1:]] - sums[first[:-1]]).astype(np.float64)
-        self.first = first
-
-    def shares(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and size of each id of a steps by lanes array, and whether it needs an escape."""
-        if not len(self.keys):
-            return np.zeros(ids.shape), np.full(ids.shape, float(_ROOM)), np.ones(ids.shape, bool)
-        keys = (np.arange(self.lanes, dtype=np.int64)[:, None] << 32 | ids.T).ravel()      # a lane's ids together: its keys stay near
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1).reshape(ids.shape[::-1]).T
-        new = self.keys.take(at) & 0xFFFFFFFF != ids
-        new |= self.keys.take(at) >> 32 != np.arange(self.lanes)
-        start = np.where(new, self.escape_at, self.start.take(at))
-        return start, np.where(new, _ROOM - self.escape_at, self.size.take(at)), new
+        # a share for each, the others by the counts; before the first id all are alike
+        sums = np.cumsum(self.counts) if self.total.any() else np.arange(1, len(self.counts) + 1)
+        ends = sums[self.first + self.distinct - 1]
+        before = np.concatenate([[0], ends[:-1]])
+        sums -= np.repeat(before, self.distinct)
+        sums *= np.repeat(_ROOM - self.distinct, self.distinct)
+        sums //= np.repeat(np.maximum(ends - before, 1), self.distinct)
+        sums += self.rank
+        sums += 1
+        self.start = np.empty(len(sums), np.uint32)
+        self.start[1:] = sums[:-1]
+        self.start[self.first] = 0
+        self.size = sums.astype(np.uint32) - self.start
 
     def by_share(self) -> np.ndarray:
-        """For each lane and share the key's place, or -1 for the escape."""
-        slots = np.full(len(self.keys) + self.lanes, -1, np.int32)
-        sizes = np.zeros(len(slots), np.int64)
-        own = np.arange(len(self.keys)) + (self.keys >> 32)
-        slots[own], sizes[own] = np.arange(len(self.keys)), self.size
-        sizes[self.first[1:] + np.arange(self.lanes)] = _ROOM - self.escape_at.astype(np.int64)
-        return np.repeat(slots, sizes)
+        """For each lane and share the rank of the id."""
+        return np.repeat(self.rank.astype(np.uint16), self.size)
 
 
-class _Model:
-    """The adaptive state of all lanes."""
+class _Outcomes:
+    """Chances of the three outcomes in the 96 states of all lanes; the last axis of every table runs over lanes."""
 
     def __init__(self, lanes: int):
-        self.lanes, self.lane = lanes, np.arange(lanes, dtype=np.int64)
-        # slots of the order-1 contexts of all lanes, then those of order 2: id + 1 (0: none), in the last two bits how sure it is
-        self.base = np.stack([self.lane * _SLOTS, (self.lane + lanes) * _SLOTS])
-        self.state = np.zeros(2 * lanes * _SLOTS, np.uint32)
+        self.lanes = lanes
         # experts: outcomes counted, by last outcome (3 rows), order-1 slot (8), order-2 slot (4)
-        self.counts = [np.zeros((lanes, n, 3), np.int64) for n in (3, 8, 4)]
-        self.weights = np.full((lanes, 3), 20, np.int64)
-        self.last = np.zeros(lanes, np.int64)
+        self.counts = [np.zeros((n, 3, lanes), np.int64) for n in (3, 8, 4)]
+        self.weights = np.full((3, lanes), 20, np.int64)
         self._set_up()
 
-    def slots(self, before: np.ndarray, earlier: np.ndarray) -> np.ndarray:
-        """Slots of the order-1 and order-2 contexts of the first lanes; the last axis runs over lanes."""
-        one = before.astype(np.uint32) * np.uint32(0x9E3779B1)
-        two = (one ^ (earlier.astype(np.uint32) + np.uint32(1)) * np.uint32(0x85EBCA77)) * np.uint32(0xC2B2AE3D)
-        k = before.shape[-1]
-        return np.stack([(one >> np.uint32(21)) + self.base[0, :k], (two >> np.uint32(21)) + self.base[1, :k]], axis=-2)
-
-    def learn(self, at: np.ndarray, seen: np.ndarray, wanted: np.ndarray) -> None:
-        """Slots ``at`` were ``seen`` and should have predicted ``wanted`` (ids plus 1)."""
-        right = seen >> np.uint32(2) == wanted
-        self.state[at] = np.where(right, seen + ((seen & np.uint32(3)) < 3), wanted << np.uint32(2) | np.uint32(1))
-
     def _set_up(self) -> None:
         """Chances (of ``_FULL``) in all 96 states, mixed: ``none`` and ``known``, where the shares of outcome 1 and 2 begin."""
         self.chances = []
         for c in self.counts:
-            some = (2 * c[:, :, 1:] + 1) * _FULL // (2 * c.sum(axis=2, keepdims=True) + 8)
-            self.chances.append(np.concatenate([_FULL - some.sum(axis=2, keepdims=True), some], axis=2))
-        given = self._by_state(self.chances)
-        all_weights = self.weights.sum(axis=1)[:, None, None, None] * _FULL
-        weights = self.weights[:, :, None, None, None]
-        one, two = ((sum(weights[:, e] * given[e][..., o] for e in range(3)) * (_FULL - 3) // all_weights + 1).ravel() for o in (1, 2))
-        self.none, self.known = _FULL - one - two, _FULL - two
-        self.none, self.known = self.none.astype(np.float64), self.known.astype(np.float64)
+            some = (2 * c[:, 1:] + 1) * _FULL // (2 * (c[:, :1] + c[:, 1:2] + c[:, 2:]) + 8)
+            self.chances.append(np.concatenate([_FULL - some[:, :1] - some[:, 1:], some], axis=1).astype(np.int32))
+        divisor = (self.weights.sum(axis=0) * _FULL).astype(np.float64)
+        weighted = [w * c for w, c in zip(self.weights.astype(np.int32), self.chances, strict=True)]
+        one, two = (np.floor((a + b + c) * (_FULL - 3.0) / divisor) + 1 for a, b, c in (self._by_state(weighted, o) for o in (1, 2)))
+        self.none, self.known = (_FULL - one - two).astype(np.uint32).ravel(), (_FULL - two).astype(np.uint32).ravel()
 
     @staticmethod
-    def _by_state(rows: list[np.ndarray]) -> list[np.ndarray]:
-        return [rows[0][:, :, None, None], rows[1][:, None, :, None], rows[2][:, None, None, :]]
-
-    def states(self, seen: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Which of the 96 states of its lane each position is in; ``seen``: (..., 2, lanes)."""
-        one, two = seen[..., 0, :], seen[..., 1, :]
-        agree = (one ^ two) < 4
-        inner = ((one & np.uint32(3)) << np.uint32(2)) + (agree * np.uint32(16)) + (two & np.uint32(3))
-        return (self.lane[:seen.shape[-1]] * 3 + last) * 32 + inner
-
-    def adapt(self, states: np.ndarray, outcomes: np.ndarray, active: np.ndarray) -> None:
-        """Count what has come (steps by lanes) and set up the chances anew."""
-        found = states * 3 + outcomes
-        if active[-1] < self.lanes:
-            found = found[self.lane[None, :] < active[:, None]]
-        came = np.bincount(found.ravel(), minlength=288 * self.lanes).reshape(self.lanes, 3, 8, 4, 3)
-        given = self._by_state(self.chances)
-        total = given[0] + given[1] + given[2]
-        all_came = came.reshape(self.lanes, -1).sum(axis=1)
-        for e, by in enumerate(given):
-            better = (came * (3 * by > total)).reshape(self.lanes, -1).sum(axis=1)
-            self.weights[:, e] = np.clip(self.weights[:, e] + ((2 * better - all_came) >> 2), 1, 60)
-        for c, axes in zip(self.counts, ((2, 3), (1, 3), (1, 2)), strict=True):
-            c += came.sum(axis=axes)
-            c[c.sum(axis=2) > _MOST] >>= 1
+    def _by_state(rows: list[np.ndarray], outcome: int) -> list[np.ndarray]:
+        last, one, two = (r[:, outcome] for r in rows)
+        return [last[:, None, None], one[None, :, None], two[None, None, :]]
+
+    def adapt(self, found: np.ndarray) -> None:
+        """Count what has come (each as outcome times 96 plus state, times lanes, plus lane) and set up the chances anew."""
+        came = np.bincount(found, minlength=288 * self.lanes).astype(np.int32).reshape(3, 3, 8, 4, self.lanes)
+        better = np.zeros((3, self.lanes), np.int64)
+        for o in range(3):
+            given = self._by_state(self.chances, o)
+            total = given[0] + given[1] + given[2]
+            for e, by in enumerate(given):
+                better[e] += (came[o] * (3 * by > total)).reshape(96, -1).sum(axis=0)
+        by_last, by_one, by_two = (came.sum(axis=axes) for axes in ((2, 3), (1, 3), (1, 2)))
+        self.weights = np.clip(self.weights + ((2 * better - by_last.sum(axis=(0, 1))) >> 2), 1, 60)
+        for c, new in zip(self.counts, (by_last, by_one, by_two), strict=True):
+            c += new.swapaxes(0, 1)
+            c >>= (c.sum(axis=1, keepdims=True) > _MOST)
         self._set_up()
 
 
-class _Writer:
-    def __init__(self, lanes: int, length: int):
-        self.low, self.range = np.zeros(lanes), np.full(lanes, _TOP)
-        self.words = np.zeros((lanes, length + 64), np.uint16)
-        self.at = np.zeros(lanes, np.int64)
-
-    def make_room(self) -> None:
-        if self.at.max() + 5 * _SETUP_STEPS > self.words.shape[1]:
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-
-    def put(self, lanes: np.ndarray | None, low: np.ndarray, rng: np.ndarray, start, size, share: float) -> None:
-        """Narrow ``low`` and ``rng`` (in place) to ``[start, start + size)`` times ``share``; lanes None: the first ones."""
-        unit = np.floor(rng * share)
-        low += unit * start
-        np.multiply(unit, size, out=rng)
-        over = np.flatnonzero(low >= _TOP)
-        if len(over):
-            low[over] -= _TOP
-            self._carry(over if lanes is None else lanes[over])
-        short = np.flatnonzero(rng < _LOW)
-        while len(short):
-            part = low[short]
-            word = np.floor(part / _LOW)
-            to = short if lanes is None else lanes[short]
-            self.words[to, self.at[to]] = word
-            self.at[to] += 1
-            low[short] = (part - word * _LOW) * _WORD
-            left = rng[short] * _WORD
-            rng[short] = left
-            short = short[left < _LOW]
-
-    def _carry(self, lanes: np.ndarray) -> None:
-        at = self.at[lanes] - 1
-        while len(lanes):
-            self.words[lanes, at] += np.uint16(1)
-            more = self.words[lanes, at] == 0
-            lanes, at = lanes[more], at[more] - 1
-
-    def finish(self) -> list[np.ndarray]:
-        lanes, left = np.arange(len(self.low)), self.low
-        self.make_room()
-        for i, scale in enumerate((_LOW, _WORD, 1.0)):
-            word = np.floor(left / scale)
-            self.words[lanes, self.at + i] = word
-            left = left - word * scale
-        return [w[:n + 3] for w, n in zip(self.words, self.at, strict=True)]
-
-
-def _encode_batch(blocks: list[np.ndarray]) -> list[np.ndarray]:
-    """Words of each block; ``blocks`` in order of falling length."""
+def _states(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which of the 32 states two slots are in: rank + 1 (0: none), in the last two bits how sure each is."""
+    three = np.uint16(3)
+    return (((one ^ two) < 4) * np.uint16(16)) | ((one & three) << np.uint16(2)) | (two & three)
+
+
+def _slots_seen(slots: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """What the slot of each position held before it: blocks by positions."""
+    at = np.argsort(slots, axis=1, kind="stable")
+    at += np.arange(len(slots))[:, None] * slots.shape[1]
+    at = at.ravel()
+    slot, wanted = slots.ravel().take(at), ranks.ravel().take(at)
+    # in order of block, slot and position
+    again = np.empty(slots.shape, bool)
+    again.ravel()[1:] = slot[1:] == slot[:-1]
+    again[:, 0] = False
+    again = again.ravel()
+    right = again.copy()
+    right[1:] &= wanted[1:] == wanted[:-1]
+    held = np.zeros(len(at), np.uint16)
+    held[1:] = (wanted[:-1] + np.uint16(1)) << np.uint16(2)
+    held[1:] += np.uint16(1) + right[:-1]
+    held[2:] += right[1:-1] & right[:-2]
+    held *= again
+    seen = np.empty(len(at), np.uint16)
+    seen[at] = held
+    return seen.reshape(slots.shape)
+
+
+def _modelled(ids: np.ndarray, places: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Blocks of one length (blocks by positions; ids below ``places``): their lists of ids, start and size of each interval."""
+    lanes, steps = ids.shape
+    keys = ids + np.arange(lanes)[:, None] * places
+    there = np.zeros(lanes * places, bool)
+    there[keys] = True
+    listed = np.flatnonzero(there)
+    edges = np.searchsorted(listed, np.arange(lanes + 1) * places)
+    zero, mixed = _OrderZero(np.diff(edges)), _Outcomes(lanes)
+    ranks = np.empty(lanes * places, np.uint16)
+    ranks[listed] = zero.rank
+    ranks = ranks.take(keys)
+    past = np.concatenate([np.zeros((lanes, 2), np.uint16), ranks], axis=1)
+    one = _slots_seen(past[:, 1:-1], ranks)
+    two = _slots_seen(_hashed(past[:, 1:-1], past[:, :-2]), ranks)
+    wanted = ranks + np.uint16(1)
+    by_two = two >> np.uint16(2) == wanted
+    outcomes = np.where(by_two, np.uint16(1), (one >> np.uint16(2) == wanted) * np.uint16(2))
+    states = _states(one, two)
+    states[:, 1:] |= outcomes[:, :-1] << np.uint16(5)
+    starts, sizes = np.empty((2, steps, lanes), np.uint32)
+    lane = np.arange(lanes)[:, None]
+    for begin, end in _segments(steps):
+        state = states[:, begin:end] * np.int64(lanes) + lane
+        outcome = outcomes[:, begin:end]
+        none, known = mixed.none.take(state), mixed.known.take(state)
+        cells = ranks[:, begin:end] + zero.first[:, None]
+        start, size = zero.start.take(cells), zero.size.take(cells)
+        start *= none
+        size *= none
+        hits = np.flatnonzero(outcome)
+        first = outcome.ravel().take(hits) == 1
+        none, known = none.ravel().take(hits), known.ravel().take(hits)
+        start.ravel()[hits] = np.where(first, none, known) << np.uint32(_ROOM_BITS)
+        size.ravel()[hits] = np.where(first, known - none, np.uint32(_FULL) - known) << np.uint32(_ROOM_BITS)
+        starts[begin:end], sizes[begin:end] = start.T, size.T
+        if end < steps:
+            state += outcome * np.int64(96 * lanes)
+            mixed.adapt(state.ravel())
+            zero.add(cells.ravel(), np.full(lanes, end - begin))
+    listed -= np.repeat(np.arange(lanes) * places, zero.distinct)
+    return np.split(listed, edges[1:-1]), starts, sizes
+
+
+def _encode_batch(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """List of ids and words of each block; ``blocks`` in order of falling length, none empty."""
     lanes, steps = len(blocks), len(blocks[0])
     lengths = np.array([len(b) for b in blocks])
-    model, zero, out = _Model(lanes), _OrderZero(lanes), _Writer(lanes, steps)
-    earlier, before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-    for begin, end in _segments(steps):
-        out.make_room()
-        ids = np.zeros((end - begin, lanes), np.uint32)
-        for i, b in enumerate(blocks):
-            part = b[begin:end]
-            if not len(part):
-                break
-            ids[:len(part), i] = part
-        past = np.concatenate([earlier[None], before[None], ids])
-        slots = model.slots(past[1:-1], past[:-2])
-        earlier, before = past[-2], past[-1]
-        active = np.searchsorted(-lengths, -np.arange(begin, end), side="left")
-        wanted = ids + np.uint32(1)
-        seen = np.zeros((end - begin, 2, lanes), np.uint32)
-        for t, k in enumerate(active.tolist()):
-            at = slots[t, :, :k]
-            seen[t, :, :k] = now = model.state.take(at)
-            model.learn(at, now, wanted[t, :k])
-        hit = seen >> np.uint32(2) == wanted[:, None, :]
-        outcomes = np.where(hit[:, 1], 1, hit[:, 0] * 2)
-        states = model.states(seen, np.concatenate([model.last[None], outcomes[:-1]]))
-        none, known = model.none.take(states), model.known.take(states)
-        starts, sizes, new = zero.shares(ids)
-        literal = outcomes == 0
-        starts = np.where(literal, starts * none, np.where(hit[:, 1], none, known) * _ROOM)
-        sizes = np.where(literal, sizes * none, np.where(hit[:, 1], known - none, _FULL - known) * _ROOM)
-        new &= literal
-        for t, k in enumerate(active.tolist()):
-            out.put(None, out.low[:k], out.range[:k], starts[t, :k], sizes[t, :k], 1 / _WHOLE)
-            plain = np.flatnonzero(new[t, :k])
-            if len(plain):
-                low, rng = out.low[plain], out.range[plain]
-                out.put(plain, low, rng, ids[t].take(plain), 1.0, 1 / _PLAIN)
-                out.low[plain], out.range[plain] = low, rng
-        model.last = outcomes[-1]
-        model.adapt(states, outcomes, active)
-        zero.add(ids, active)
-    return out.finish()
-
-
-def _decode_batch(words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarray]:
-    """Ids of each block; blocks in order of falling length."""
+    starts, sizes = np.empty((2, steps, lanes), np.uint32)
+    lists: list[np.ndarray] = []
+    while len(lists) < lanes:
+        begin, length = len(lists), int(lengths[len(lists)])
+        same = int(np.searchsorted(-lengths, -length, side="right"))
+        places = 1 + max(int(b.max()) for b in blocks[begin:same])
+        end = min(same, begin + max(1, min(_AT_ONCE // length, 16 * _AT_ONCE // places)))
+        found, starts[:length, begin:end], sizes[:length, begin:end] = _modelled(np.stack(blocks[begin:end]).astype(np.int64), places)
+        lists += found
+    width = steps * int(_WHOLE_BITS) // 32 + 3
+    words = np.zeros(lanes * width, np.uint32)
+    origin = np.arange(lanes) * width
+    at = origin.copy()
+    all_low, all_rng = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0))
+
+    def carried(to: np.ndarray) -> None:
+        while len(to):
+            to = to - 1
+            words[to] += np.uint32(1)
+            to = to[words[to] == 0]
+
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    for t, k in enumerate(active.tolist()):
+        low, rng = all_low[:k], all_rng[:k]
+        unit = rng >> _WHOLE_BITS
+        moved = unit * starts[t, :k]
+        low += moved
+        np.multiply(unit, sizes[t, :k], out=rng)
+        over = np.flatnonzero(low < moved)
+        if len(over):
+            carried(at[over])
+        short = np.flatnonzero(rng < _LOW)
+        if len(short):
+            part, to = low.take(short), at.take(short)
+            words[to] = part >> _WORD_BITS
+            at[short] = to + 1
+            low[short] = part << _WORD_BITS
+            rng[short] = rng.take(short) << _WORD_BITS
+    # the first multiple of 2**32 that is not below low; readers take zeros beyond the words
+    last = all_low + (_LOW - np.uint64(1))
+    carried(at[last < all_low])
+    words[at] = last >> _WORD_BITS
+    return [(ids, words[a:b]) for ids, a, b in zip(lists, origin.tolist(), (at + 1).tolist(), strict=True)]
+
+
+def _decode_batch(lists: list[np.ndarray], words: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarray]:
+    """Ids of each block; blocks in order of falling length, none empty."""
     lanes, steps = len(words), int(lengths[0])
-    model, zero = _Model(lanes), _OrderZero(lanes)
-    sizes = np.array([len(w) for w in words])
-    stream = np.zeros((lanes, int(sizes.max()) + 1), np.uint16)
+    zero, mixed = _OrderZero(np.array([len(x) for x in lists])), _Outcomes(lanes)
+    width = max(map(len, words)) + 2
+    stream = np.zeros((lanes, width), np.uint32)
     for i, w in enumerate(words):
         stream[i, :len(w)] = w
-    at = np.full(lanes, 3)
-    code = (stream[:, 0] * _WORD + stream[:, 1]) * _WORD + stream[:, 2]
-    rng = np.full(lanes, _TOP)
-    last_word = stream.shape[1] - 1
-    ids = np.zeros((steps, lanes), np.uint32)
-    earlier, before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-
-    def narrow(where, c, r, unit, start, size) -> None:
-        c -= unit * start
-        np.multiply(unit, size, out=r)
-        short = np.flatnonzero(r < _LOW)
-        while len(short):
-            to = short if where is None else where[short]
-            # a damaged block may run past its words; its checksum tells
-            c[short] = c[short] * _WORD + stream[to, np.minimum(at[to], last_word)]
-            left = r[short] * _WORD
-            r[short] = left
-            at[to] += 1
-            short = short[left < _LOW]
-
+    all_code = stream[:, 0].astype(np.uint64) << _WORD_BITS | stream[:, 1]
+    stream = stream.ravel()
+    at = np.arange(lanes) * width + 2          # where the next word is; the checksum tells of damage
+    all_rng = np.full(lanes, ~np.uint64(0))
+    # slots of the order-1 contexts of all lanes, one for each cell, then those of order 2
+    cells_of_all = len(zero.counts)
+    slots = np.zeros(cells_of_all + (lanes << _SLOT_BITS), np.uint16)
+    lane, base_two = np.arange(lanes), cells_of_all + (np.arange(lanes) << _SLOT_BITS)
+    base_share = np.arange(lanes) << _ROOM_BITS
+    ranks = np.zeros((steps + 2, lanes), np.uint16)     # two ranks before the first
+    last = np.zeros(lanes, np.uint16)
+    one_sure, two_bits, three = np.uint16(1), np.uint16(2), np.uint16(3)
+    room_bits, low_half, half = np.uint32(_ROOM_BITS), np.uint32(0xFFFF), np.uint32(16)
+    at_slots = np.empty((2, lanes), np.int64)
+    cell = zero.first
     for begin, end in _segments(steps):
         shares = zero.by_share()
+        pairs = zero.start | zero.size << half
         active = np.searchsorted(-lengths, -np.arange(begin, end), side="left")
-        states, outcomes = (np.zeros((end - begin, lanes), np.int64) for _ in range(2))
-        for t, k in enumerate(active.tolist()):
-            slots = model.slots(before[:k], earlier[:k])
-            seen = model.state.take(slots)
-            state = model.states(seen, model.last[:k])
-            none, known = model.none.take(state), model.known.take(state)
-            c, r = code[:k], rng[:k]
-            unit = np.floor(r / _WHOLE)
-            value = np.minimum(np.floor(c / unit), _WHOLE - 1)
-            by_any, by_one = value >= none * _ROOM, value >= known * _ROOM
-            # outcome 1 is the order-2 prediction, outcome 2 the order-1 prediction
-            outcome = by_any.astype(np.int64) + by_one
-            start = np.where(by_one, known, none) * _ROOM
-            size = np.where(by_one, _FULL - known, known - none) * _ROOM
-            own = np.where(by_one, seen[0], seen[1]) >> np.uint32(2)
-            own -= np.uint32(1)
-            literal = np.flatnonzero(outcome == 0)
-            plain = literal[:0]
-            if len(literal):
-                room = none.take(literal)
-                share = np.floor(value.take(literal) / room).astype(np.int64)
-                key = shares.take(literal * _ROOM + share)
-                new = key < 0
-                if len(zero.keys):
-                    escape = zero.escape_at.take(literal)
-                    start[literal] = room * np.where(new, escape, zero.start.take(key, mode="wrap"))
-                    size[literal] = room * np.where(new, _ROOM - escape, zero.size.take(key, mode="wrap"))
-                    own[literal] = zero.keys.take(key, mode="wrap") & 0xFFFFFFFF
-                else:
-                    start[literal], size[literal] = 0.0, room * _ROOM
-                plain = literal[new]
-            narrow(None, c, r, unit, start, size)
-            if len(plain):
-                c_new, r_new = c[plain], r[plain]
-                unit = np.floor(r_new / _PLAIN)
-                value = np.minimum(np.floor(c_new / unit), _PLAIN - 1)
-                narrow(plain, c_new, r_new, unit, value, 1.0)
-                c[plain], r[plain], own[plain] = c_new, r_new, value.astype(np.uint32)
-            model.learn(slots, seen, own + np.uint32(1))
-            model.last[:k] = outcome
-            states[t, :k], outcomes[t, :k] = state, outcome
-            ids[begin + t, :k] = own
-            earlier[:k], before[:k] = before[:k], own
-        model.adapt(states, outcomes, active)
-        zero.add(ids[begin:end], active)
-    return [np.ascontiguousarray(ids[:n, i]) for i, n in enumerate(lengths)]
+        found, cells = [], []
+        for t, k in enumerate(active.tolist(), begin):
+            where = at_slots if k == lanes else np.empty((2, k), np.int64)
+            where[0] = cell[:k]
+            np.add(_hashed(ranks[t + 1, :k], ranks[t, :k]), base_two[:k], out=where[1])
+            held = slots.take(where)
+            state = _states(held[0], held[1])
+            state |= last[:k] << np.uint16(5)
+            state = state * np.int64(lanes)
+            state += lane[:k]
+            none = mixed.none.take(state, mode="clip")
+            code, rng = all_code[:k], all_rng[:k]
+            unit = rng >> _WHOLE_BITS
+            value = (code // unit).astype(np.uint32)
+            hits = np.flatnonzero(value >= none << room_bits)
+            # all as if coded by order 0, then the others
+            share = (value / none).astype(np.int64)
+            share += base_share[:k]
+            rank = shares.take(share, mode="clip")
+            cell = rank + zero.first[:k]
+            pair = pairs.take(cell, mode="clip")
+            start, size = pair & low_half, pair >> half
+            start *= none
+            size *= none
+            outcome = np.zeros(k, np.uint16)
+            if len(hits):
+                known, low = mixed.known.take(state.take(hits)), none.take(hits)
+                second = value.take(hits) >= known << room_bits
+                outcome[hits] = second + one_sure
+                start[hits] = np.where(second, known, low) << room_bits
+                size[hits] = np.where(second, np.uint32(_FULL) - known, known - low) << room_bits
+                own = (np.where(second, held[0].take(hits), held[1].take(hits)) >> two_bits) - one_sure
+                rank[hits] = own
+                cell[hits] = zero.first.take(hits) + own
+            code -= unit * start
+            np.multiply(unit, size, out=rng)
+            short = np.flatnonzero(rng < _LOW)
+            if len(short):
+                to = at.take(short)
+                code[short] = code.take(short) << _WORD_BITS | stream.take(to, mode="clip")
+                rng[short] = rng.take(short) << _WORD_BITS
+                at[short] = to + 1
+            wanted = ((rank + one_sure) << two_bits) | one_sure
+            surer = np.minimum(held + one_sure, held | three)
+            slots[where] = np.where((held ^ wanted) < 4, surer, wanted)
+            ranks[t + 2, :k] = rank
+            last = outcome
+            found.append(state + outcome * np.int64(96 * lanes))
+            cells.append(cell)
+        if end < steps:
+            mixed.adapt(np.concatenate(found))
+            zero.add(np.concatenate(cells), np.clip(lengths - begin, 0, end - begin))
+    ranks = np.ascontiguousarray(ranks[2:].T)
+    return [x.take(ranks[i, :n], mode="clip") for i, (x, n) in enumerate(zip(lists, lengths.tolist(), strict=True))]
+
+
+def _pack_list(ids: np.ndarray) -> bytes:
+    """Rising ids by Elias and Fano: the number of their low bits, those, and the others as ones at rising places."""
+    low_bits = max(0, int(ids[-1]).bit_length() - len(ids).bit_length())
+    high = np.zeros((int(ids[-1]) >> low_bits) + len(ids), np.uint8)
+    high[(ids >> low_bits) + np.arange(len(ids))] = 1
+    low = (ids[:, None] >> np.arange(low_bits) & 1).astype(np.uint8)
+    return bytes([low_bits]) + np.packbits(low).tobytes() + np.packbits(high).tobytes()
+
+
+def _unpack_list(packed: bytes, n: int) -> np.ndarray:
+    low_bits = packed[0]
+    end = 1 + (n * low_bits + 7) // 8
+    low = np.unpackbits(np.frombuffer(packed[1:end], np.uint8), count=n * low_bits).reshape(n, low_bits)
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(packed[end:], np.uint8))) - np.arange(n)
+    return (high << low_bits | low @ (1 << np.arange(low_bits))).astype(np.uint32)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -358,16 +373,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     blocks = [np.asarray(b, np.uint32) for b in blocks]
     if any(len(b) > LONGEST or (len(b) and b.max() >> 20) for b in blocks):
         raise ValueError(f"a block holds at most {LONGEST} ids below 2**20")
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-    out: list[bytes] = [b""] * len(blocks)
+
+    def packed(ids: np.ndarray, listed: int, words: int, body: bytes) -> bytes:
+        head = _HEADER.pack(MAGIC, len(ids), listed, words, zlib.crc32(ids.astype("<u4").tobytes()), 0)[:-4]
+        return head + struct.pack("<I", zlib.crc32(body, zlib.crc32(head))) + body
+
+    out = [packed(b, 0, 0, b"") for b in blocks]
+    order = sorted((i for i, b in enumerate(blocks) if len(b)), key=lambda i: -len(blocks[i]))
     for begin in range(0, len(order), LANES):
         batch = order[begin:begin + LANES]
-        plain = [blocks[i] for i in batch]
-        coded = _encode_batch(plain) if len(plain[0]) else [np.zeros(0, np.uint16)] * len(plain)
-        for i, ids, words in zip(batch, plain, coded, strict=True):
-            payload = words.astype("<u2").tobytes()
-            out[i] = _HEADER.pack(MAGIC, len(ids), len(words), zlib.crc32(ids.astype("<u4").tobytes()),
-                                  zlib.crc32(payload)) + payload
+        for i, (listed, words) in zip(batch, _encode_batch([blocks[i] for i in batch]), strict=True):
+            out[i] = packed(blocks[i], len(listed), len(words), _pack_list(listed) + words.astype("<u4").tobytes())
     return out
 
 
@@ -378,17 +394,23 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         if len(b) < _HEADER.size or b[:4] != MAGIC:
             raise ValueError("not a block of coded ids")
         head = _HEADER.unpack_from(b)
-        if len(b) != _HEADER.size + 2 * head[2] or zlib.crc32(b[_HEADER.size:]) != head[4] or head[1] > LONGEST:
+        if zlib.crc32(b[_HEADER.size:], zlib.crc32(b[:_HEADER.size - 4])) != head[5] or head[1] > LONGEST:
             raise ValueError("a block's bytes don't match its header")
         heads.append(head)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(coded)
     order = sorted((i for i, h in enumerate(heads) if h[1]), key=lambda i: -heads[i][1])
     for begin in range(0, len(order), LANES):
         batch = order[begin:begin + LANES]
-        words = [np.frombuffer(coded[i], "<u2", offset=_HEADER.size) for i in batch]
-        for i, ids in zip(batch, _decode_batch(words, np.array([heads[i][1] for i in batch])), strict=True):
+        ends = [len(coded[i]) - 4 * heads[i][3] for i in batch]
+        words = [np.frombuffer(coded[i], "<u4", offset=end) for i, end in zip(batch, ends, strict=True)]
+        lists = [_unpack_list(coded[i][_HEADER.size:end], heads[i][2]) for i, end in zip(batch, ends, strict=True)]
+        try:
+            decoded = _decode_batch(lists, words, np.array([heads[i][1] for i in batch]))
+        except IndexError as e:       # a rank beyond the list
+            raise ValueError("a block's words don't match its ids") from e
+        for i, ids in zip(batch, decoded, strict=True):
             out[i] = ids
     for ids, head in zip(out, heads, strict=True):
-        if zlib.crc32(ids.astype("<u4").tobytes()) != head[3]:
+        if zlib.crc32(ids.astype("<u4").tobytes()) != head[4]:
             raise ValueError("a block's ids don't match their checksum")
     return out

@@ -23,12 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewkit.llm.common import arrow_map, staged
+from skewkit.llm.common import arrow_map, slices, staged
 from skewkit.llm.ordering import default_parts, prefix_sums_by_range
 from skewkit.llm.rangecoder import LANES, LONGEST, decode_blocks, encode_blocks
 from skewkit.llm.tokens import KIND, encoder
 
 BLOCK_IDS = LONGEST
+#: Texts that are encoded at a time.
+TEXT_BYTES = 8 << 20
 _PIECE = "struct<at:long,doc_id:long,first:long,here:long,all:long>"
 FILE_SCHEMA = f"range int, block long, n_ids long, documents array<{_PIECE}>, payload binary"
 _pieces = pa.list_(pa.struct([(n, pa.int64()) for n in ("at", "doc_id", "first", "here", "all")]))
@@ -82,14 +84,12 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, special_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(TaskContext.get().partitionId())
         tokens = encoder(vocabulary, special_tokens)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                ids = tokens.encode(part.column("text").to_pylist())
-                for doc_id, own in zip(part.column("doc_id").to_pylist(), ids, strict=True):
-                    blocks.add(doc_id, np.append(own, np.uint32(end_id)))
-                if len(blocks.ready) >= LANES:
-                    yield blocks.coded()
+        for part in _gathered((p for batch in batches for p in slices(batch, limit=TEXT_BYTES // 4)), TEXT_BYTES):
+            ids = tokens.encode(part.column("text"))
+            for doc_id, own in zip(part.column("doc_id").to_pylist(), ids, strict=True):
+                blocks.add(doc_id, np.append(own, np.uint32(end_id)))
+            if len(blocks.ready) >= LANES:
+                yield blocks.coded()
         blocks.end()
         if blocks.ready:
             yield blocks.coded()
@@ -100,7 +100,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, special_
 def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Decode the blocks: a row per document and block, ``range, at, doc_id, first, here, all, crc`` (and ``ids``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _gathered(batches):
+        for batch in _gathered((b.slice(i, LANES) for b in batches for i in range(0, b.num_rows, LANES))):
             cols = {n: [] for n in ("range", "at", "doc_id", "first", "here", "all", "crc")}
             ids = []
             decoded = decode_blocks(batch.column("payload").to_pylist())
@@ -125,17 +125,22 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     return arrow_map(blocks, run, schema + (", ids array<int>" if with_ids else ""))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Larger batches: blocks are decoded fastest many at a time."""
+def _gathered(parts: Iterator[pa.RecordBatch], text_bytes: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Larger batches, of ``LANES`` blocks or of texts of ``text_bytes``: many are coded, or encoded, fastest together."""
     held: list[pa.RecordBatch] = []
-    for batch in batches:
-        for start in range(0, batch.num_rows, LANES):
-            held.append(batch.slice(start, LANES))
-            if sum(b.num_rows for b in held) >= LANES:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += part.num_rows if text_bytes is None else part.nbytes
+        if size >= (text_bytes or LANES):
+            yield _together(held)
+            held, size = [], 0
     if sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _together(held)
+
+
+def _together(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
 def _zero_operators(n: int) -> np.ndarray:

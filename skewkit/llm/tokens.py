@@ -4,7 +4,8 @@ A byte-level or word BPE never merges across the start of a white-space run that
 follows a non-space character, nor between a letter and the punctuation after it, so a text can be cut
 there and its pieces encoded on their own. Words repeat, so the tokenizer sees each distinct piece
 once for as long as the worker's cache holds it: pieces have numbers, and a batch's ids are gathered by them from one
-array. The cache is bounded: when it is full, the pieces that were met most often stay. The ids are those of
+array. A batch's distinct pieces are found by Arrow, and a piece of Latin letters with punctuation after it is looked up
+without that, and in small letters if capitals are the same to the vocabulary. The cache is bounded: when it is full, the pieces that were met most often stay. The ids are those of
 the whole text's encoding.
 
 Strings of special tokens in a text are ordinary text, or with ``special_tokens`` their own ids, as the
@@ -17,9 +18,10 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from skewkit.llm.common import kept_in_worker
 
@@ -29,6 +31,7 @@ IDS_PER_PIECE = 16
 #: Pieces that are encoded as one text.
 RUN_PIECES = 200
 _TRAILING = ".,!?;:"
+_LATIN_TRAILING = ".,!?;:#$%&*"
 
 _cut = re.compile(r"(?<=\S)(?= )")
 _odd_gap = re.compile(r"\s ")
@@ -85,6 +88,8 @@ class CachedEncoder:
         self.tokenizer.encode_special_tokens = not special_tokens
         # words of a line feed and letters: a line feed is a word of its own, or dropped
         self.line_words = self.tokenizer.encode("\na", add_special_tokens=False).word_ids[-1] + 1
+        # whether capitals are small letters to this vocabulary
+        self.small = self.tokenizer.encode("A É", add_special_tokens=False).ids == self.tokenizer.encode("a é", add_special_tokens=False).ids
         self.limit = cache_pieces
         self._forget()
 
@@ -114,41 +119,80 @@ class CachedEncoder:
             self.ids[:self.used] = ids[runs(size, start)]
             self.hits[:len(often)], self.inside_gap[:len(often)] = hits >> 1, gaps
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
         if self.used > IDS_PER_PIECE * self.limit or len(self.codes) > self.limit or len(self.heads) > self.limit // 4:
             self._make_room()
-        cut = [t.replace("\n", " \n").split(" ") if t else [""] for t in texts]
-        heads = [c.pop(0) for c in cut]
-        codes, counts = self._codes(cut)
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        found = cut.flatten().dictionary_encode()
+        edges = cut.offsets.to_numpy().astype(np.int64)
+        at, first = found.indices.to_numpy(), edges[:-1] - edges[0]
+        counts = np.diff(edges) - 1
+        heads = found.dictionary.take(pa.array(at[first])).to_pylist()
+        out, odd = self._bodies(found.dictionary, np.delete(at, first), counts)
         # a cut inside white space, before the last piece or after the first one: those texts are cut with care
-        ends = np.cumsum(counts)
-        odd = self.inside_gap[codes]
-        odd[ends[counts > 0] - 1] = False
-        again = np.unique(np.searchsorted(ends, np.flatnonzero(odd), side="right")).tolist()
-        again = sorted({*again, *(i for i, h in enumerate(heads) if cut[i] and h[-1:].isspace())})
+        again = sorted({*odd, *(i for i, h in enumerate(heads) if counts[i] and h[-1:].isspace())})
         if again:
+            rest = []
             for i in again:
-                heads[i], *cut[i] = _keys(texts[i])
-            codes, counts = self._codes(cut)
+                heads[i], *keys = _keys(texts[i].as_py())
+                counts[i] = len(keys)
+                rest += keys
+            found = pa.array(rest, pa.large_string()).dictionary_encode()
+            for i, body in zip(again, self._bodies(found.dictionary, found.indices.to_numpy(), counts[again])[0], strict=True):
+                out[i] = body
         self._learn_heads(set(heads))
-        held = len(self.codes)
-        self.hits[:held] += np.bincount(codes, minlength=held)
-        n = self.size[codes]
-        all_ids = self.ids[runs(n, self.start[codes])]
-        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-        out = []
-        for h, a, b in zip(heads, ends, ends[1:], strict=False):
-            body = all_ids[a:b]
-            out.append(np.concatenate([np.frombuffer(self.heads[h], np.uint32), body]) if h else body)
-        return out
-
-    def _codes(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all keys, whose ids are known then, and how many each text has."""
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        return [np.concatenate([np.frombuffer(self.heads[h], np.uint32), body]) if h else body for h, body in zip(heads, out, strict=True)]
+
+    def _bodies(self, names: pa.Array, at: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+        """Ids of texts of ``counts`` pieces each, the pieces being ``names[at]``; and which texts are cut inside white space."""
+        used = np.flatnonzero(np.bincount(at, minlength=len(names)))
+        place = np.zeros(len(names), np.int64)
+        place[used] = np.arange(len(used))
+        at = place[at]
+        cores, tails, kind = self._split(names.take(pa.array(used)))
+        codes = np.fromiter(map(self.codes.__getitem__, cores.dictionary.to_pylist()), np.int64, len(cores.dictionary))
         if self.codes.fresh:
             self._learn()
-        return codes, counts
+        codes = codes[cores.indices.to_numpy()]
+        self.hits[:len(self.codes)] += np.bincount(codes, np.bincount(at, minlength=len(used)), len(self.codes)).astype(np.int64)
+        # ids of the distinct pieces, one after the other, then those of all
+        tail_size = np.array([len(x) for x in tails], np.int64)
+        n, m = self.size[codes], tail_size[kind]
+        size = n + m
+        begin = np.cumsum(size) - size
+        ids = np.empty(int(size.sum()), np.uint32)
+        ids[runs(n, begin)] = self.ids[runs(n, self.start[codes])]
+        ids[runs(m, begin + n)] = np.concatenate(tails)[runs(m, (np.cumsum(tail_size) - tail_size)[kind])]
+        sizes = size[at]
+        all_ids = ids[runs(sizes, begin[at])]
+        ends = np.cumsum(counts)
+        odd = self.inside_gap[codes]
+        if odd.any():
+            odd = odd[at]
+            odd[ends[counts > 0] - 1] = False
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])].tolist()
+        return ([all_ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)],
+                np.unique(np.searchsorted(ends, np.flatnonzero(odd), side="right")).tolist())
+
+    def _split(self, names: pa.Array) -> tuple[pa.DictionaryArray, list[np.ndarray], np.ndarray]:
+        """The keys of pieces; the ids of kinds of punctuation, and the kind that each piece has after its key."""
+        bare = pc.utf8_rtrim(names, _LATIN_TRAILING)
+        length = pc.binary_length(names).to_numpy() - pc.binary_length(bare).to_numpy()
+        latin = _latin_word(bare) & (length <= 8)
+        keys = pc.if_else(latin, pc.utf8_lower(bare) if self.small else bare, names)
+        tailed = np.flatnonzero(latin & (length > 0))
+        text, edges = _bytes(names)
+        length, end = length[tailed], edges[1:][tailed]
+        spelled = np.zeros((len(tailed), 8), np.uint8)
+        for j in range(int(length.max(initial=0))):
+            spelled[:, j] = np.where(j < length, text[np.minimum(end - length + j, len(text) - 1)], 0)
+        kinds, which = np.unique(spelled.view("<u8").ravel(), return_inverse=True)
+        kind = np.zeros(len(names), np.int64)
+        kind[tailed] = which + 1
+        tails = ["", *(int(k).to_bytes(8, "little").rstrip(b"\0").decode() for k in kinds)]
+        self._learn_heads(set(tails))
+        return keys.dictionary_encode(), [np.frombuffer(self.heads[t], np.uint32) for t in tails], kind
 
     def _store(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Room for the ids of pieces; where each of them begins."""
@@ -251,6 +295,31 @@ def _ends_in_letter(text: str) -> bool:
     return text != "" and text[-1].isalpha() and text[-1].lower()[-1].isalpha()
 
 
+def _bytes(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings, a zero after them, and where each string begins and the last ends."""
+    _, offsets, data = names.buffers()
+    edges = np.frombuffer(offsets, np.int64)[names.offset:names.offset + len(names) + 1] if len(names) else np.zeros(1, np.int64)
+    text = np.zeros(int(edges[-1]) + 1, np.uint8)
+    if len(text) > 1:
+        text[:-1] = np.frombuffer(data, np.uint8)[:len(text) - 1]
+    return text, edges
+
+
+def _latin_word(names: pa.Array) -> np.ndarray:
+    """Which strings have only characters below U+0180 and a letter at their end, each letter with one small letter
+    wherever it stands (so no dotted capital I), and cannot hold a special token."""
+    text, edges = _bytes(names)
+    end = text[np.maximum(edges[1:] - 1, 0)]
+    lead = text[np.maximum(edges[1:] - 2, 0)]
+    small = end | np.uint8(32)
+    letter = (small >= 97) & (small <= 122) & (end < 128)
+    letter |= (end >= 128) & ((lead == 0xC4) | (lead == 0xC5) | ((lead == 0xC3) & (end != 0x97) & (end != 0xB7)))
+    other = (text > 0xC5) | (text == ord("<"))
+    other[:-1] |= (text[:-1] == 0xC4) & (text[1:] == 0xB0)
+    before = np.concatenate([[0], np.cumsum(other)])
+    return letter & (edges[1:] > edges[:-1]) & (before[edges[1:]] == before[edges[:-1]])
+
+
 KIND = "tokens"
 
 

@@ -45,3 +45,12 @@ def test_contexts_are_used():
     noise = rng.integers(0, 50, rangecoder.LONGEST)
     sizes = [len(c) for c in rangecoder.encode_blocks([np.array(chain), mixed, noise])]
     assert sizes[0] < sizes[2] / 3 and sizes[1] < sizes[2]
+
+
+def test_a_blocks_ids_are_listed_once():
+    # new ids cost their place in a list, not 20 bits and an escape each; half the set-ups do
+    ids = np.random.default_rng(3).permutation(49_408)[:rangecoder.LONGEST]
+    assert len(rangecoder.encode_blocks([ids])[0]) < 19 * len(ids) // 8
+    assert len(rangecoder._segments(rangecoder.LONGEST)) <= 16
+    for listed in ([0], [(1 << 20) - 1], [0, 1, 2], sorted({*map(int, ids)}), [5, 1 << 19, (1 << 19) + 1]):
+        assert rangecoder._unpack_list(rangecoder._pack_list(np.array(listed)), len(listed)).tolist() == listed

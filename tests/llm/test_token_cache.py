@@ -60,3 +60,16 @@ def test_keys_with_odd_white_space(path):
     for some in (texts, [t + u for t in texts for u in texts]):
         for text, ids in zip(some, encoder.encode(some), strict=True):
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("path", PATHS)
+def test_latin_words_are_sent_without_punctuation_and_capitals(path):
+    encoder = listening(path)
+    encoder.encode(["a été straße ###, *** ."])
+    encoder.tokenizer.sent.clear()
+    text = "a été### straße, été, straße###, Été STRASSE Straße. İst <|endoftext|>. ŉ×! ΑΣ, don't!"
+    library = Tokenizer.from_file(path)
+    assert encoder.encode([text, None, ""])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    sent = "".join(encoder.tokenizer.sent)
+    assert "été#" not in sent and "straße" not in sent
+    assert ("Été" in sent) == (library.encode("A").ids != library.encode("a").ids)
