@@ -225,10 +225,10 @@ def _encode_batch(blocks: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray
     lengths = np.array([len(b) for b in blocks])
     starts, sizes = np.empty((2, steps, lanes), np.uint32)
     lists: list[np.ndarray] = []
+    places = 1 + max(int(b.max()) for b in blocks)
     while len(lists) < lanes:
         begin, length = len(lists), int(lengths[len(lists)])
         same = int(np.searchsorted(-lengths, -length, side="right"))
-        places = 1 + max(int(b.max()) for b in blocks[begin:same])
         end = min(same, begin + max(1, min(_AT_ONCE // length, 16 * _AT_ONCE // places)))
         found, starts[:length, begin:end], sizes[:length, begin:end] = _modelled(np.stack(blocks[begin:end]).astype(np.int64), places)
         lists += found
@@ -291,11 +291,11 @@ def _decode_batch(lists: list[np.ndarray], words: list[np.ndarray], lengths: np.
     room_bits, low_half, half = np.uint32(_ROOM_BITS), np.uint32(0xFFFF), np.uint32(16)
     at_slots = np.empty((2, lanes), np.int64)
     cell = zero.first
+    came = np.empty((min(_SETUP_STEPS, steps), lanes), np.uint16)     # states and outcomes
     for begin, end in _segments(steps):
         shares = zero.by_share()
         pairs = zero.start | zero.size << half
         active = np.searchsorted(-lengths, -np.arange(begin, end), side="left")
-        found, cells = [], []
         for t, k in enumerate(active.tolist(), begin):
             where = at_slots if k == lanes else np.empty((2, k), np.int64)
             where[0] = cell[:k]
@@ -303,6 +303,7 @@ def _decode_batch(lists: list[np.ndarray], words: list[np.ndarray], lengths: np.
             held = slots.take(where)
             state = _states(held[0], held[1])
             state |= last[:k] << np.uint16(5)
+            came[t - begin, :k] = state
             state = state * np.int64(lanes)
             state += lane[:k]
             none = mixed.none.take(state, mode="clip")
@@ -342,11 +343,11 @@ def _decode_batch(lists: list[np.ndarray], words: list[np.ndarray], lengths: np.
             slots[where] = np.where((held ^ wanted) < 4, surer, wanted)
             ranks[t + 2, :k] = rank
             last = outcome
-            found.append(state + outcome * np.int64(96 * lanes))
-            cells.append(cell)
+            came[t - begin, :k] += outcome * np.uint16(96)
         if end < steps:
-            mixed.adapt(np.concatenate(found))
-            zero.add(np.concatenate(cells), np.clip(lengths - begin, 0, end - begin))
+            there = slice(None) if active[-1] == lanes else lane < active[:, None]
+            mixed.adapt((came[:end - begin] * np.int64(lanes) + lane)[there].ravel())
+            zero.add((ranks[begin + 2:end + 2] + zero.first)[there].ravel(), np.clip(lengths - begin, 0, end - begin))
     ranks = np.ascontiguousarray(ranks[2:].T)
     return [x.take(ranks[i, :n], mode="clip") for i, (x, n) in enumerate(zip(lists, lengths.tolist(), strict=True))]
 
@@ -375,7 +376,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         raise ValueError(f"a block holds at most {LONGEST} ids below 2**20")
 
     def packed(ids: np.ndarray, listed: int, words: int, body: bytes) -> bytes:
-        head = _HEADER.pack(MAGIC, len(ids), listed, words, zlib.crc32(ids.astype("<u4").tobytes()), 0)[:-4]
+        head = _HEADER.pack(MAGIC, len(ids), listed, words, zlib.crc32(np.ascontiguousarray(ids, "<u4")), 0)[:-4]
         return head + struct.pack("<I", zlib.crc32(body, zlib.crc32(head))) + body
 
     out = [packed(b, 0, 0, b"") for b in blocks]
@@ -411,6 +412,6 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         for i, ids in zip(batch, decoded, strict=True):
             out[i] = ids
     for ids, head in zip(out, heads, strict=True):
-        if zlib.crc32(ids.astype("<u4").tobytes()) != head[4]:
+        if zlib.crc32(np.ascontiguousarray(ids, "<u4")) != head[4]:
             raise ValueError("a block's ids don't match their checksum")
     return out

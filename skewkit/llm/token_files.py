@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,23 +102,17 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     """Decode the blocks: a row per document and block, ``range, at, doc_id, first, here, all, crc`` (and ``ids``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered((b.slice(i, LANES) for b in batches for i in range(0, b.num_rows, LANES))):
-            cols = {n: [] for n in ("range", "at", "doc_id", "first", "here", "all", "crc")}
-            ids = []
-            decoded = decode_blocks(batch.column("payload").to_pylist())
-            for part, documents, block in zip(batch.column("range").to_pylist(), batch.column("documents").to_pylist(),
-                                              decoded, strict=True):
-                begin = 0
-                for d in documents:
-                    own = block[begin:begin + d["here"]]
-                    begin += d["here"]
-                    for name, value in d.items():
-                        cols[name].append(value)
-                    cols["range"].append(part)
-                    cols["crc"].append(zlib.crc32(own.astype("<u4").tobytes()))
-                    ids.append(own.astype(np.int32))
-            arrays = {n: pa.array(v, pa.int32() if n == "range" else pa.int64()) for n, v in cols.items()}
+            documents = batch.column("documents")
+            pieces = documents.flatten()
+            here = pieces.field("here").to_numpy()
+            block = np.concatenate([np.zeros(0, np.uint32), *decode_blocks(batch.column("payload").to_pylist())])
+            ends = np.cumsum(here).tolist()
+            ids = [block[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            arrays = {"range": batch.column("range").take(pc.list_parent_indices(documents)),
+                      **{n: pieces.field(n) for n in ("at", "doc_id", "first", "here", "all")},
+                      "crc": pa.array([zlib.crc32(own.astype("<u4", copy=False)) for own in ids], pa.int64())}
             if with_ids:
-                arrays["ids"] = pa.array(ids, pa.list_(pa.int32()))
+                arrays["ids"] = pa.array([own.astype(np.int32) for own in ids], pa.list_(pa.int32()))
             yield pa.record_batch(arrays)
 
     schema = "range int, at long, doc_id long, first long, here long, all long, crc long"
