@@ -12,7 +12,7 @@ last outcome alone, how often the order-1 slot was right lately (and whether bot
 often the order-2 slot was. Expert weights move towards those that gave the
 outcome more than the others did. After "neither" the id itself is coded by order 0.
 
-The slots change with each id. Order 0, the experts' chances and their weights are set up anew after as many ids again (32 to 1024),
+The slots change with each id. Order 0, the experts' chances and their weights are set up anew after as many ids again (128 to 1024),
 from the counts so far; between those the chances of all states of the slots are one table.
 
 The writer knows all ids, so it finds what every slot held by sorting a block's positions by slot: whole
@@ -37,7 +37,7 @@ MAGIC = b"CMR3"
 _HEADER = struct.Struct("<4sIIIII")
 _SLOT_BITS = 11            # of a hash of two ids
 #: Order 0 and the experts are set up anew after a share of the ids so far, or so many.
-_GROWTH, _FIRST_STEPS, _SETUP_STEPS = 1, 32, 1024
+_GROWTH, _FIRST_STEPS, _SETUP_STEPS = 1, 128, 1024
 _ROOM_BITS, _FULL_BITS = 13, 12
 _ROOM = 1 << _ROOM_BITS    # shares that an order-0 distribution deals out
 _FULL = 1 << _FULL_BITS    # shares of the three outcomes
